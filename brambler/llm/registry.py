@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
+from .bpe import op8_bpe
 from .line_dedup import OP7_SQL, op7_line_dedup
 
-QUERIES = {"op7_line_dedup": op7_line_dedup}
+QUERIES = {"op7_line_dedup": op7_line_dedup, "op8_bpe": op8_bpe}
 ORACLE_SQL = {"op7_line_dedup": OP7_SQL}
