@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .bpe import op8_bpe
 from .line_dedup import OP7_SQL, op7_line_dedup
+from .media import op9_media
 
-QUERIES = {"op7_line_dedup": op7_line_dedup, "op8_bpe": op8_bpe}
+QUERIES = {"op7_line_dedup": op7_line_dedup, "op8_bpe": op8_bpe, "op9_media": op9_media}
 ORACLE_SQL = {"op7_line_dedup": OP7_SQL}
