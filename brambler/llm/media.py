@@ -21,6 +21,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +31,8 @@ from .common import new_path, open_fs, read, saved, small_batches
 WIDTH = 64
 SHARD_BYTES = 256 << 20
 HEADER = 33
+#: Digests of copies up to which every task reads their first 8 bytes (32 MB).
+RESIDENT = 4_000_000
 PNG = b"\x89PNG\r\n\x1a\n"
 
 
@@ -85,64 +89,115 @@ def feature_of(payload: bytes) -> str:
     return f"{WIDTH}x{len(rows)}:{rows.mean():.4f}:{bits:016x}"
 
 
-def _new_members(column: str):
+class _Shards:
+    """Appends members to this task's tar shards, a new one after every SHARD_BYTES."""
+
+    def __init__(self, uri: str):
+        self.uri, self.out, self.at, self.name = uri, None, 0, ""
+
+    def add(self, digest: bytes, media: bytes) -> tuple[str, int, int]:
+        if self.out is None or self.at > SHARD_BYTES:
+            self.close()
+            fs, path = open_fs(self.uri)
+            fs.create_dir(path)
+            self.name = f"{uuid.uuid4().hex}.tar"
+            self.out, self.at = fs.open_output_stream(f"{path}/{self.name}"), 0
+        info = tarfile.TarInfo(f"{digest.hex()}.png")
+        info.size = len(media)
+        head = info.tobuf(tarfile.USTAR_FORMAT)
+        self.out.write(head + media + bytes(-len(media) % 512))
+        start = self.at + len(head)
+        self.at = start + len(media) + -len(media) % 512
+        return self.name, start, len(media)
+
+    def close(self) -> None:
+        if self.out:
+            self.out.write(bytes(1024))
+            self.out.close()
+
+
+@functools.lru_cache(maxsize=1)
+def _copied(path: str) -> np.ndarray:
+    """First 8 bytes of all digests in a written table, sorted."""
+    fs, at = open_fs(path)
+    parts = [pq.read_table(fs.open_input_file(i.path), columns=["head"])["head"].to_numpy() for i in fs.get_file_info(pyarrow.fs.FileSelector(at)) if i.path.endswith(".parquet")]
+    return np.sort(np.concatenate([np.zeros(0, np.int64), *parts]))
+
+
+def _members(uri: str, copied: str | None):
+    """Members whose payload occurs once go to a shard at once; those of copies (all, if `copied` is None) are sent on."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[bytes] = set()  # digests of this task's rows: a copy is neither coded nor sent twice
+        sent: set[bytes] = set()  # a task codes and sends a payload once
+        shards = _Shards(uri)
         for batch in batches:
-            digests, media = [], []
-            for text in batch[column].cast(pa.binary()).to_pylist():
+            rows = []
+            for text in batch["text"].cast(pa.binary()).to_pylist():
                 payload = payload_of(text or b"")
                 digest = hashlib.sha256(payload).digest()
-                if digest not in seen:
-                    seen.add(digest)
-                    digests.append(digest)
-                    media.append(to_png(payload))
-            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(media, pa.binary())], names=["digest", "media"])
+                if copied is not None:
+                    known, head = _copied(copied), struct.unpack(">q", digest[:8])[0]
+                    i = int(np.searchsorted(known, head))
+                    if i == len(known) or known[i] != head:
+                        rows.append((digest, *shards.add(digest, to_png(payload)), None))
+                        continue
+                if digest not in sent:
+                    sent.add(digest)
+                    rows.append((digest, None, None, None, to_png(payload)))
+            yield _batch(rows, SENT)
+        shards.close()
 
     return run
 
 
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) if rows else [[]] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, schema, strict=True)], schema=schema)
+
+
 INDEX = pa.schema([("digest", pa.binary()), ("shard", pa.string()), ("offset", pa.int64()), ("length", pa.int64())])
 
 
+SENT = INDEX.append(pa.field("media", pa.binary()))
+
+
 def _write_shards(uri: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, at, last = None, 0, None
+        shards, last = _Shards(uri), None
         for batch in batches:
             rows = []
             for digest, media in zip(batch["digest"].to_pylist(), batch["media"].to_pylist(), strict=True):
-                if digest == last:
-                    continue  # sorted by digest: the same payload from another task
-                if out is None or at > SHARD_BYTES:
-                    if out:
-                        out.write(bytes(1024))
-                        out.close()
-                    fs, path = open_fs(uri)
-                    fs.create_dir(path)
-                    shard = f"{uuid.uuid4().hex}.tar"
-                    out, at = fs.open_output_stream(f"{path}/{shard}"), 0
-                info = tarfile.TarInfo(f"{digest.hex()}.png")
-                info.size = len(media)
-                head = info.tobuf(tarfile.USTAR_FORMAT)
-                out.write(head + media + bytes(-len(media) % 512))
-                rows.append((digest, shard, at + len(head), len(media)))
-                at += len(head) + len(media) + -len(media) % 512
-                last = digest
-            yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 4, INDEX, strict=True)], schema=INDEX)
-        if out:
-            out.write(bytes(1024))
-            out.close()
+                if digest != last:  # sorted by digest: else the same payload from another task
+                    rows.append((digest, *shards.add(digest, media)))
+                    last = digest
+            yield _batch(rows, INDEX)
+        shards.close()
 
     return run
 
 
-def store(docs: DataFrame, column: str = "text") -> tuple[str, DataFrame]:
-    """Writes the distinct payloads of a column to tar shards; gives their folder and the index by digest."""
-    small_batches(docs.sparkSession, 500)
-    uri = new_path(docs.sparkSession, "media")
-    members = docs.select(F.col(column).cast("string").alias("text")).mapInArrow(_new_members("text"), "digest binary, media binary")
-    index = members.repartition("digest").sortWithinPartitions("digest").mapInArrow(_write_shards(uri), "digest binary, shard string, offset long, length long")
-    return uri, saved(index, "media-index")
+def store(docs: DataFrame, column: str = "text", resident: int = RESIDENT) -> tuple[str, DataFrame]:
+    """Writes the distinct payloads of a column to tar shards; gives their folder and the index by digest.
+
+    Digests that occur more than once are written to the shared folder first. Up to `resident` of them, every task
+    reads their first 8 bytes, writes what occurs once where it is read and sends on the rest alone; beyond that, all
+    members are dealt out by digest.
+    """
+    spark = docs.sparkSession
+    small_batches(spark, 500)
+    uri, known = new_path(spark, "media"), new_path(spark, "copied")
+    docs = docs.select(F.col(column).cast("string").alias("text"))
+    digest = F.sha2(payload_column(F.col("text")), 256)
+    copies = docs.select(F.unhex(digest).alias("digest")).groupBy("digest").count().filter("count > 1")
+    # the first 8 bytes as a long: the top bit apart, as conv() is unsigned
+    copies.select(F.conv(F.substring(F.hex("digest"), 1, 16), 16, -10).cast("long").alias("head")).write.parquet(known)
+    few = spark.read.schema("head long").parquet(known).count() <= resident
+    members = docs.mapInArrow(_members(uri, known if few else None), "digest binary, shard string, offset long, length long, media binary")
+    if few:
+        members = saved(members, "members")
+    rest = members.filter("media is not null").select("digest", "media").repartition("digest").sortWithinPartitions("digest")
+    index = rest.mapInArrow(_write_shards(uri), "digest binary, shard string, offset long, length long")
+    return uri, saved(members.filter("media is null").drop("media").unionByName(index) if few else index, "media-index")
 
 
 @functools.lru_cache(maxsize=4)

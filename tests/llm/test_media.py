@@ -31,4 +31,5 @@ def test_query(spark, tmp_path):
     assert index.count() == 6  # distinct payloads
     one = index.first()
     assert hashlib.sha256(from_png(read_range(uri, one.shard, one.offset, one.length))).digest() == one.digest
+    assert store(docs, resident=0)[1].count() == 6
     assert store(docs.limit(0))[1].count() == 0
