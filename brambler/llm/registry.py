@@ -6,6 +6,7 @@ from .bpe import op8_bpe
 from .line_dedup import OP7_SQL, op7_line_dedup
 from .media import op9_media
 from .setsketch import op10_setsketch
+from .toxicity import op2_toxicity
 
-QUERIES = {"op7_line_dedup": op7_line_dedup, "op8_bpe": op8_bpe, "op9_media": op9_media, "op10_setsketch": op10_setsketch}
+QUERIES = {"op2_toxicity": op2_toxicity, "op7_line_dedup": op7_line_dedup, "op8_bpe": op8_bpe, "op9_media": op9_media, "op10_setsketch": op10_setsketch}
 ORACLE_SQL = {"op7_line_dedup": OP7_SQL}

@@ -11,7 +11,7 @@ MASK = 2**64 - 1
 class WordHashes(dict):
     """word -> xxh3_64; two generations of `size` words at most."""
 
-    def __init__(self, size: int = 300_000):
+    def __init__(self, size: int = 100_000):
         super().__init__()
         self.size, self.old = size, {}
 
