@@ -1,13 +1,13 @@
 """Toxicity by FTRL-proximal logistic regression over hashed word n-grams and skip-grams (operator 2).
 
-A text's features are its distinct words, pairs and triples of neighbours, and pairs with one word between them, each
-hashed to one of DIMENSIONS coordinates. Training takes labelled rows whose crc32(doc_id) isn't 0 by 5, at most
+A text's features are its distinct words, words cut to their first STEM bytes, pairs and triples of neighbours, and
+pairs with one word between them, each hashed to one of DIMENSIONS coordinates. Training takes labelled rows whose crc32(doc_id) isn't 0 by 5, at most
 MAX_ROWS of them (by a hash of the id, so always the same). They are dealt to SHARDS; in each round every shard passes
-over its rows from the common state, one row after another with a rate per coordinate, and the states' changes are
+several times over its rows from the common state, one row after another with a rate per coordinate, and the states' changes are
 averaged by coordinate. The L1 term leaves few weights other than zero, and those alone are broadcast for scoring.
 
 Odd input: a null or empty text has no feature and gets the score of the intercept; several labels of a document
-count as toxic if one is; without labelled rows all scores are 0; repeated rows are scored each on their own.
+count as toxic if one is; without labelled rows all scores are 0.5; repeated rows are scored each on their own.
 """
 
 from __future__ import annotations
@@ -24,22 +24,36 @@ from .words import WordHashes, mix
 
 DIMENSIONS = 1 << 22
 #: Labelled rows to learn from at most, the shards that learn side by side and the rounds after which they meet.
-MAX_ROWS, SHARDS, ROUNDS = 12_000, 8, 3
+MAX_ROWS, SHARDS, ROUNDS = 12_000, 4, 3
+#: Times a shard passes over its rows in a round.
+PASSES = 3
 #: Per-coordinate rate, its smoothing, and the L1 and L2 terms.
-ALPHA, BETA, L1, L2 = 0.4, 1.0, 2.0, 0.5
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 2.0, 0.1
+STEM = 5
 #: Marks at words' ends are no part of them.
 MARKS = bytes.maketrans(b".,;:!?\"()[]{}*", b" " * 14)
 INTERCEPT = DIMENSIONS
 
 
-def features(text: bytes, cache: WordHashes) -> np.ndarray:
+class StemHashes(WordHashes):
+    """word -> hash of its first STEM bytes."""
+
+    def hash(self, word: bytes) -> int:
+        return super().hash(b"^" + word[:STEM])
+
+
+def caches() -> tuple[WordHashes, WordHashes]:
+    return WordHashes(), StemHashes()
+
+
+def features(text: bytes, cache: tuple[WordHashes, WordHashes]) -> np.ndarray:
     """Coordinates of a text's features, with repeats."""
     words = text.lower().translate(MARKS).split()
-    w = np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
+    w, stems = (np.fromiter(map(c.__getitem__, words), np.uint64, len(words)) for c in cache)
     two = w[:-1] * np.uint64(0x9E3779B97F4A7C15) + w[1:]
     three = two[:-1] * np.uint64(0x9E3779B97F4A7C15) + w[2:]
     skip = w[:-2] * np.uint64(0xC2B2AE3D27D4EB4F) + w[2:]
-    return (mix(np.concatenate([w, two, three, skip])) % np.uint64(DIMENSIONS)).astype(np.int64)
+    return (mix(np.concatenate([w, stems, two, three, skip])) % np.uint64(DIMENSIONS)).astype(np.int64)
 
 
 def weights_of(z: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -59,7 +73,7 @@ def learn(rows: list[np.ndarray], labels: list[int], z: np.ndarray, n: np.ndarra
             n[at] += g * g
 
 
-STATE = pa.schema([("shard", pa.int32()), ("at", pa.int64()), ("z", pa.float64()), ("n", pa.float64())])
+STATE = pa.schema([("at", pa.int64()), ("shard", pa.int32()), ("z", pa.float64()), ("n", pa.float64())])
 
 
 def _round(state):
@@ -68,13 +82,12 @@ def _round(state):
         at, z0, n0 = state.value
         z, n = np.zeros(DIMENSIONS + 1), np.zeros(DIMENSIONS + 1)
         z[at], n[at] = z0, n0
-        cache = WordHashes()
+        cache = caches()
         rows = [np.unique(features(t, cache)) for t in texts(group["text"].combine_chunks())]
-        learn(rows, group["toxic"].to_pylist(), z, n)
-        moved = np.union1d(np.flatnonzero(n), at)
-        z[at] -= z0
-        n[at] -= n0
-        return pa.Table.from_arrays([pa.array(np.full(len(moved), group["shard"][0].as_py()), pa.int32()), pa.array(moved), pa.array(z[moved]), pa.array(n[moved])], schema=STATE)
+        for _ in range(PASSES):
+            learn(rows, group["toxic"].to_pylist(), z, n)
+        told = np.union1d(np.flatnonzero(np.abs(z) > L1 / 2), at)  # the rest is far from having a weight
+        return pa.Table.from_arrays([pa.array(told), pa.array(np.full(len(told), group["shard"][0].as_py()), pa.int32()), pa.array(z[told]), pa.array(n[told])], schema=STATE)
 
     return run
 
@@ -96,18 +109,13 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> tuple
     state = (np.zeros(0, np.int64), np.zeros(0), np.zeros(0))
     for _ in range(ROUNDS):
         sent = spark.sparkContext.broadcast(state)
-        moved = rows.groupBy("shard").applyInArrow(_round(sent), "shard int, at long, z double, n double")
-        # the mean change over the shards that a coordinate occurs in; few shards, so z is summed in their order
-        mean = moved.groupBy("at").agg(F.array_sort(F.collect_list(F.struct("shard", "z", "n"))).alias("all"))
-        total = lambda c: F.aggregate("all", F.lit(0.0), lambda s, x: s + x[c]) / F.size("all")
-        mean = mean.select("at", total("z").alias("z"), total("n").alias("n"))
-        # what can't matter yet stays behind: the state sent on is bounded by DIMENSIONS and, in practice, small
-        got = mean.filter((F.abs("z") > L1 / 4) | (F.col("at") == INTERCEPT) | F.col("at").isin([int(x) for x in state[0][:1000]])).toArrow().sort_by("at")
-        change = {int(a): (z, n) for a, z, n in zip(got["at"].to_numpy(), got["z"].to_numpy(), got["n"].to_numpy(), strict=True)}
-        old = {int(a): (z, n) for a, z, n in zip(*state, strict=True)}
-        keys = sorted(old.keys() | change.keys())
-        pairs = [tuple(x + y for x, y in zip(old.get(k, (0.0, 0.0)), change.get(k, (0.0, 0.0)), strict=True)) for k in keys]
-        state = (np.array(keys, np.int64), np.array([p[0] for p in pairs]), np.array([p[1] for p in pairs]))
+        states = rows.groupBy("shard").applyInArrow(_round(sent), "at long, shard int, z double, n double")
+        # the mean over the shards that tell of a coordinate, summed in their order so that reruns agree to the bit;
+        # at most DIMENSIONS coordinates, and only those near a weight
+        states = states.groupBy("at").agg(F.array_sort(F.collect_list(F.struct("shard", "z", "n"))).alias("all"))
+        mean = lambda c: F.aggregate("all", F.lit(0.0), lambda s, x: s + x[c]) / F.size("all")
+        got = states.select("at", mean("z").alias("z"), mean("n").alias("n")).filter((F.abs("z") > L1 / 2) | (F.col("at") == INTERCEPT)).toArrow().sort_by("at")
+        state = tuple(got[c].to_numpy() for c in ("at", "z", "n"))
         sent.unpersist()
     at, z, n = state
     own = at == INTERCEPT
@@ -126,7 +134,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], column:
         at, w, bias = sent.value
         dense = np.zeros(DIMENSIONS, np.float32)
         dense[at] = w
-        cache = WordHashes()
+        cache = caches()
         for batch in batches:
             scores = []
             for text in texts(batch["text"]):

@@ -15,10 +15,13 @@ class WordHashes(dict):
         super().__init__()
         self.size, self.old = size, {}
 
+    def hash(self, word: bytes) -> int:
+        return xxhash.xxh3_64_intdigest(word)
+
     def __missing__(self, word: bytes) -> int:
         found = self.old.get(word)
         if found is None:
-            found = xxhash.xxh3_64_intdigest(word)
+            found = self.hash(word)
         if len(word) <= 64:
             if len(self) >= self.size:
                 self.old = dict(self)
