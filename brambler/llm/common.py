@@ -74,3 +74,10 @@ def in_slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Recor
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+
+
+def counted(docs: DataFrame) -> DataFrame:
+    """docs with n_chars, where it has that column, as the length of its text."""
+    if "n_chars" not in docs.columns:
+        return docs
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
