@@ -180,7 +180,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     bands = classes.select("rep", "registers").mapInArrow(_bands, "band long, rep long")
     heads = bands.groupBy("band").agg(F.min("rep").alias("a"), F.max("rep").alias("last")).filter("a < last").drop("last")
-    near = bands.join(heads, "band").filter("rep <> a").select("a", F.col("rep").alias("b")).distinct()
+    # a document's band heads (BANDS at most) are tied to the smallest of them, and the document to that one alone
+    tied = bands.join(heads, "band").filter("rep <> a").groupBy("rep").agg(F.collect_set("a").alias("heads"))
+    tied = saved(tied.select("rep", F.array_min("heads").alias("b"), "heads"), "band-heads")
+    near = tied.select(F.col("rep").alias("a"), "b").union(tied.select(F.explode("heads").alias("a"), "b")).filter("a <> b").distinct()
     families = components(near)
 
     members = saved(families.select(F.col("node").alias("rep"), F.col("component").alias("family")).join(classes.drop("key"), "rep"), "members")
@@ -195,6 +198,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     above = parts.select("family", (F.col("level") - 1).alias("level"), F.col("parts").alias("above"))
     below = parts.select("family", (F.col("level") + 1).alias("level"), F.col("parts").alias("below"))
     parts = parts.join(above, ["family", "level"], "left").join(below, ["family", "level"], "left").fillna(0, ["above", "below"])
+    parts = saved(parts, "family-parts")  # read anew, so that Spark can split the join's larger side where a family is large
     part = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
     placed = sized.join(parts, ["family", "level"]).withColumn("part", part)
     own = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: F.struct(F.col("level").alias("l1"), F.least("part", k).alias("p1"), F.col("level").alias("l2"), F.greatest("part", k).alias("p2"), (F.col("part") > k).cast("int").alias("side")))
