@@ -5,12 +5,13 @@ from __future__ import annotations
 import corpus_pipeline
 
 from .bpe import op8_bpe
+from .embedding_dedup import OP3_SQL, op3_embedding_dedup
 from .line_dedup import OP7_SQL, op7_line_dedup
 from .media import op9_media
 from .mixing import op4_sainte_lague
 from .setsketch import op10_setsketch
 from .toxicity import op2_toxicity
 
-QUERIES = {"op2_toxicity": op2_toxicity, "op4_sainte_lague": op4_sainte_lague, "op7_line_dedup": op7_line_dedup, "op8_bpe": op8_bpe, "op9_media": op9_media, "op10_setsketch": op10_setsketch}
+QUERIES = {"op2_toxicity": op2_toxicity, "op3_embedding_dedup": op3_embedding_dedup, "op4_sainte_lague": op4_sainte_lague, "op7_line_dedup": op7_line_dedup, "op8_bpe": op8_bpe, "op9_media": op9_media, "op10_setsketch": op10_setsketch}
 QUERIES["pipeline"] = corpus_pipeline.run
-ORACLE_SQL = {"op7_line_dedup": OP7_SQL}
+ORACLE_SQL = {"op3_embedding_dedup": OP3_SQL, "op7_line_dedup": OP7_SQL}

@@ -131,15 +131,14 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(h.ravel().view(np.int64)), pa.array(np.repeat(batch["rep"].to_numpy(), BANDS))], names=["band", "rep"])
 
 
-def links_among(docs: list[int], sides: list[int], sets: list[np.ndarray], registers: np.ndarray) -> list[tuple[int, int]]:
-    """Links that connect what is similar among the documents of two sides (or of one, if all sides are equal)."""
+def links_among(docs: list[int], sides: list[int], both: bool, sets: list[np.ndarray], registers: np.ndarray) -> list[tuple[int, int]]:
+    """Links that connect what is similar among documents; if there are two sides, only from one to the other."""
     order = np.argsort([len(s) for s in sets], kind="stable")
     docs, sides, sets, registers = [docs[i] for i in order], np.array(sides)[order], [sets[i] for i in order], registers[order]
     sizes = np.array([len(s) for s in sets])
     names, ids = np.unique(np.concatenate(sets), return_inverse=True)
     starts = np.concatenate([[0], np.cumsum(sizes)])
     group, out, marked = np.arange(len(docs)), [], np.zeros(len(names), bool)
-    both = sides.min() != sides.max()
     for i in range(len(docs)):
         end = int(np.searchsorted(sizes, sizes[i] * 100 // PERCENT, "right"))
         js = np.arange(i + 1, end)
@@ -166,7 +165,9 @@ def _verify(group: pa.Table) -> pa.Table:
     cache = WordHashes()
     sets = [shingles(hashed(t, cache)) for t in texts(group["text"].combine_chunks())]
     registers = np.frombuffer(b"".join(group["registers"].to_pylist()), np.uint16).reshape(-1, M)
-    found = links_among(group["rep"].to_pylist(), group["side"].to_pylist(), sets, registers)
+    at = {c: group[c][0].as_py() for c in ("l1", "p1", "l2", "p2")}
+    both = (at["l1"], at["p1"]) != (at["l2"], at["p2"])
+    found = links_among(group["rep"].to_pylist(), group["side"].to_pylist(), both, sets, registers)
     return pa.Table.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], schema=LINK)
 
 
