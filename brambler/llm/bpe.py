@@ -25,13 +25,13 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read, small_batches
+from .common import read, small_batches, tidy
 
 END = "</w>"
 #: Stands for END inside the automaton; no byte of a text is mapped to it.
 CLOSE = "\n"
 #: Entries in each of the two generations of a worker's cache of text pieces, and the longest piece kept there.
-CACHE, CACHED_CHARS = 250_000, 64
+CACHE, CACHED_CHARS = 150_000, 64
 
 
 def byte_letters() -> list[str]:
@@ -194,10 +194,12 @@ def encoder_of(spark: SparkSession, path: str):
 def encode(docs: DataFrame, path: str, results: Iterable[str] = ("n_tokens", "ids", "decoded")) -> DataFrame:
     """docs with the named results (see KINDS) for each row's text, in place of columns of these names."""
     results = list(results)
-    small_batches(docs.sparkSession, 1000)
+    small_batches(docs.sparkSession)
     get = encoder_of(docs.sparkSession, path)
     keep = [c for c in docs.columns if c not in results]
 
+    @tidy
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = get()
         for batch in batches:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
+import inspect
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -46,10 +50,10 @@ def open_fs(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
     return pyarrow.fs.FileSystem.from_uri(uri.replace("file:/", "file:///") if uri.startswith("file:/") and not uri.startswith("file:///") else uri)
 
 
-def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+def small_batches(spark: SparkSession, rows: int = 500) -> None:
     """Bounds the Arrow batches that tasks get; long rows are further bounded by bytes."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", 32 << 20)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20)
 
 
 def doc_key(name: str = "doc_id") -> Column:
@@ -81,3 +85,33 @@ def counted(docs: DataFrame) -> DataFrame:
     if "n_chars" not in docs.columns:
         return docs
     return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def release() -> None:
+    """Gives memory that a task has freed back to the machine; Python workers outlive their tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def tidy(task):
+    """For functions of mapInArrow and applyInArrow: release() after each task or group."""
+
+    @functools.wraps(task)
+    def over_batches(batches):
+        try:
+            yield from task(batches)
+        finally:
+            release()
+
+    @functools.wraps(task)
+    def over_group(group):
+        try:
+            return task(group)
+        finally:
+            release()
+
+    return over_batches if inspect.isgeneratorfunction(task) else over_group

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import NO_ID, read, saved, small_batches
+from .common import NO_ID, read, saved, small_batches, tidy
 from .graph import components
 from .words import mix
 
@@ -37,6 +37,7 @@ SEED = 3
 CLASSED = pa.schema([("id", pa.int64()), ("label", pa.string()), ("key", pa.binary()), ("vector", pa.binary())])
 
 
+@tidy
 def _classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Key of each usable vector (label and components), and the vector in double precision where it is new to the task."""
     seen: set[bytes] = set()
@@ -74,6 +75,7 @@ def units(vectors: list[bytes]) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
+@tidy
 def _celled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         vectors, labels = batch["vector"].to_pylist(), batch["label"].to_pylist()
@@ -90,6 +92,7 @@ def _celled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 FOUND = pa.schema([("a", pa.int64()), ("n", pa.int64()), ("b", pa.int64())])
 
 
+@tidy
 def _compare(group: pa.Table) -> pa.Table:
     """For each member the links to others counted here, and a tree of links (b, else null) that joins what is linked."""
     group = group.sort_by([("side", "ascending"), ("rep", "ascending")])

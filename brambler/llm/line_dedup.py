@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import NO_ID, doc_key, new_path, open_fs, read, saved, small_batches, texts
+from .common import NO_ID, doc_key, new_path, open_fs, read, saved, small_batches, texts, tidy
 
 MIN_CHARS = 10
 SPACE = b" \t\n\v\f\r"
@@ -45,6 +45,7 @@ def line_key(line: bytes) -> tuple[int, int] | None:
 KEYS = pa.schema([("h", pa.int64()), ("f", pa.int64()), ("doc", pa.int64())])
 
 
+@tidy
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         h, f, doc = [], [], []
@@ -93,6 +94,7 @@ def slot(sizes: list[int], bits: np.ndarray, rank: np.ndarray, h: np.ndarray) ->
 SHARD = "shard int, n long, sizes array<long>, bits binary, fingerprints binary, counts binary, owners binary"
 
 
+@tidy
 def _build(group: pa.Table) -> pa.Table:
     """One shard's arrays. Two keys with equal h (none expected) are told apart by keeping the rest in a second row."""
     h, f, n, doc = (group[c].to_numpy() for c in ("h", "f", "n", "doc"))
@@ -158,6 +160,7 @@ def build_index(docs: DataFrame) -> tuple[str, int, int]:
 
 
 def _drop_by_index(uri: str, shards: int):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             split = [t.split(b"\n") for t in texts(batch["text"])]
@@ -170,6 +173,7 @@ def _drop_by_index(uri: str, shards: int):
     return run
 
 
+@tidy
 def _drop_by_list(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         split = [t.split(b"\n") for t in texts(batch["text"])]
@@ -185,6 +189,7 @@ def _kept(batch: pa.RecordBatch, split: list[list[bytes]], drop: list[list[bool]
 
 
 def _routed(uri: str, shards: int):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             h, f, doc = (batch[c].to_numpy() for c in ("h", "f", "doc"))

@@ -26,7 +26,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import new_path, open_fs, read, saved, small_batches
+from .common import new_path, open_fs, read, saved, small_batches, tidy
 
 WIDTH = 64
 SHARD_BYTES = 256 << 20
@@ -127,6 +127,8 @@ def _copied(path: str) -> np.ndarray:
 def _members(uri: str, copied: str | None):
     """Members whose payload occurs once go to a shard at once; those of copies (all, if `copied` is None) are sent on."""
 
+    @tidy
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[bytes] = set()  # a task codes and sends a payload once
         shards = _Shards(uri)
@@ -162,6 +164,7 @@ SENT = INDEX.append(pa.field("media", pa.binary()))
 
 
 def _write_shards(uri: str):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shards, last = _Shards(uri), None
         for batch in batches:
@@ -184,7 +187,7 @@ def store(docs: DataFrame, column: str = "text", resident: int = RESIDENT) -> tu
     members are dealt out by digest.
     """
     spark = docs.sparkSession
-    small_batches(spark, 500)
+    small_batches(spark)
     uri, known = new_path(spark, "media"), new_path(spark, "copied")
     docs = docs.select(F.col(column).cast("string").alias("text"))
     digest = F.sha2(payload_column(F.col("text")), 256)
@@ -213,6 +216,8 @@ def read_range(uri: str, shard: str, offset: int, length: int) -> bytes:
 def with_metadata(uri: str, index: DataFrame) -> DataFrame:
     """width and height of each member, by ranges of HEADER bytes only."""
 
+    @tidy
+
     def run(batches):
         for batch in batches:
             sizes = [png_size(read_range(uri, s, o, HEADER)) for s, o in zip(batch["shard"].to_pylist(), batch["offset"].to_pylist(), strict=True)]
@@ -224,6 +229,8 @@ def with_metadata(uri: str, index: DataFrame) -> DataFrame:
 def with_features(uri: str, index: DataFrame) -> DataFrame:
     """What each member's whole range shows: sizes, digests of payload and stored form, checksum of the end, feature."""
 
+    @tidy
+
     def run(batches):
         for batch in batches:
             rows = []

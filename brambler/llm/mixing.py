@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import read, saved, small_batches, texts
+from .common import read, saved, small_batches, texts, tidy
 
 WEIGHTS, SHARE, TWICE = (5.0, 2.0, 1.0), 1.5, 2.0
 #: Words of a block, and of a shard on average; a source has MAX_SHARDS at most.
@@ -106,6 +106,7 @@ def plan(docs: DataFrame, sources: dict) -> DataFrame:
 QUOTA = pa.schema([("__s", pa.int64()), ("__shard", pa.int32()), ("words", pa.int64()), ("quota", pa.int64())])
 
 
+@tidy
 def _quota(group: pa.Table) -> pa.Table:
     """A source's blocks, by highest quotients among its shards (MAX_SHARDS rows at most)."""
     group = group.sort_by("__shard")
@@ -141,6 +142,7 @@ def _pieces(s: int, shard: int, blocks: int, rest: int, start: int, end: int, ca
 TAKEN = "doc_id long, size long, source_size long, target double, taken long, rounds long, pieces array<struct<from:long,to:long>>, __order long"
 
 
+@tidy
 def _take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     cache: dict = {}
     for batch in batches:
@@ -181,13 +183,15 @@ def op4_sainte_lague(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix itself, in the columns of docs: a row for each whole round of a document and one for its further pieces."""
-    small_batches(docs.sparkSession, 500)
+    small_batches(docs.sparkSession)
     found = mix(docs).filter("taken > 0").select("__order", "rounds", "pieces").dropDuplicates(["__order"])
     order = F.xxhash64(F.col("doc_id").cast("long").cast("string"), F.lit(SEED), F.when(F.col("doc_id").isNull(), F.col("text").cast("string")))
     rows = docs.withColumn("text", F.col("text").cast("string")).withColumn("__order", order).join(found, "__order")
 
     names = docs.columns
 
+    @tidy
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, out = [], []

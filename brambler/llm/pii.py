@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read, saved, small_batches
+from .common import read, saved, small_batches, tidy
 
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
@@ -139,6 +139,7 @@ SPAN = "array<struct<kind:int,start:long,end:long>>"
 SEEN = "array<struct<pattern:long,instance:long,seed:int,kinds:int,start:long,end:long>>"
 
 
+@tidy
 def _look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     number = lambda s: xxhash.xxh3_64_intdigest(s) - 2**63
     for batch in batches:

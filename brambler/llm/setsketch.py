@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import NO_ID, doc_key, read, saved, small_batches, texts
+from .common import NO_ID, doc_key, read, saved, small_batches, texts, tidy
 from .graph import components
 from .words import WordHashes, hashed, mix, shingles
 
@@ -103,6 +103,7 @@ MARGIN = 6.5 * math.sqrt(0.75 * 0.25 / M)
 SIGNED = pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("key", pa.binary()), ("registers", pa.binary())])
 
 
+@tidy
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     cache, seen = WordHashes(), set()
     for batch in batches:
@@ -121,6 +122,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch["doc"], pa.array(map(len, sets), pa.int64()), pa.array(keys, pa.binary()), pa.array(registers, pa.binary())], schema=SIGNED)
 
 
+@tidy
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     tag = mix(np.arange(BANDS, dtype=np.uint64) + np.uint64(77))
     for batch in batches:
@@ -161,6 +163,7 @@ def links_among(docs: list[int], sides: list[int], both: bool, sets: list[np.nda
 LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
+@tidy
 def _verify(group: pa.Table) -> pa.Table:
     cache = WordHashes()
     sets = [shingles(hashed(t, cache)) for t in texts(group["text"].combine_chunks())]
@@ -173,7 +176,7 @@ def _verify(group: pa.Table) -> pa.Table:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc, n_shingles and component_id of each document (doc: its id, or NO_ID for null), one row for each row."""
-    small_batches(docs.sparkSession, 500)
+    small_batches(docs.sparkSession)
     docs = docs.select(doc_key().alias("doc"), F.col("text").cast("string").alias("text"))
     signed = saved(docs.mapInArrow(_sign, "doc long, n long, key binary, registers binary"), "sketches")
     classes = signed.filter("key is not null").groupBy("key").agg(F.min("doc").alias("rep"), F.min("n").alias("n"), F.max("registers").alias("registers"))

@@ -19,10 +19,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, read, saved, small_batches, texts
+from .common import held_out, read, saved, small_batches, texts, tidy
 from .words import WordHashes, mix
 
-DIMENSIONS = 1 << 22
+DIMENSIONS = 1 << 21
 #: Labelled rows to learn from at most, the shards that learn side by side and the rounds after which they meet.
 MAX_ROWS, SHARDS, ROUNDS = 12_000, 4, 3
 #: Times a shard passes over its rows in a round.
@@ -77,13 +77,14 @@ STATE = pa.schema([("at", pa.int64()), ("shard", pa.int32()), ("z", pa.float64()
 
 
 def _round(state):
+    @tidy
     def run(group: pa.Table) -> pa.Table:
         group = group.sort_by("doc")
         at, z0, n0 = state.value
         z, n = np.zeros(DIMENSIONS + 1), np.zeros(DIMENSIONS + 1)
         z[at], n[at] = z0, n0
         cache = caches()
-        rows = [np.unique(features(t, cache)) for t in texts(group["text"].combine_chunks())]
+        rows = [np.unique(features(t, cache)).astype(np.int32) for t in texts(group["text"].combine_chunks())]
         for _ in range(PASSES):
             learn(rows, group["toxic"].to_pylist(), z, n)
         told = np.union1d(np.flatnonzero(np.abs(z) > L1 / 2), at)  # the rest is far from having a weight
@@ -126,10 +127,12 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> tuple
 
 def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], column: str = "score") -> DataFrame:
     """docs with the probability that each row's text is toxic, in place of a column of that name."""
-    small_batches(docs.sparkSession, 1000)
+    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     docs = docs.drop(column)
 
+    @tidy
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, w, bias = sent.value
         dense = np.zeros(DIMENSIONS, np.float32)
