@@ -2,7 +2,7 @@
 
 Vectors of one label are scaled to length 1; a cosine of at least MIN_COSINE is then a distance of at most 0.2. Each
 of TABLES tables quantises PROJECTIONS random projections in cells of WIDTH. At that distance one projection falls into
-one cell in 88.6 of 100 cases, so a pair is missed by all tables with probability (1 - 0.886^10)^32, about 1 in 80,000
+one cell in 88.6 of 100 cases, so a pair is missed by all tables with probability (1 - 0.886^12)^44, about 1 in 120,000
 at the threshold itself and far less above it. What shares a cell is compared by exact cosine in double precision.
 
 Cells with more than BLOCK members are cut at random into parts and compared part by part, so no task holds a large
@@ -29,9 +29,11 @@ from .common import NO_ID, read, saved, small_batches, tidy
 from .graph import components
 from .words import mix
 
-TABLES, PROJECTIONS, WIDTH = 32, 10, 1.4
+TABLES, PROJECTIONS, WIDTH = 44, 12, 1.4
 MIN_COSINE = 0.98
 BLOCK = 512
+#: Members of a cell up to which its pairs are looked at together with those of other cells.
+FEW = 32
 SEED = 3
 
 CLASSED = pa.schema([("id", pa.int64()), ("label", pa.string()), ("key", pa.binary()), ("vector", pa.binary())])
@@ -92,19 +94,9 @@ def _celled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 FOUND = pa.schema([("a", pa.int64()), ("n", pa.int64()), ("b", pa.int64())])
 
 
-@tidy
-def _compare(group: pa.Table) -> pa.Table:
-    """For each member the links to others counted here, and a tree of links (b, else null) that joins what is linked."""
-    group = group.sort_by([("side", "ascending"), ("rep", "ascending")])
-    ids, side, weight = (group[c].to_numpy() for c in ("rep", "side", "weight"))
-    vectors = group["vector"].to_pylist()
-    if len({len(v) for v in vectors}) > 1:
-        return pa.Table.from_arrays([pa.array([], t.type) for t in FOUND], schema=FOUND)
-    x, cell = units(vectors), group["cell"][0].as_py()
-    hashes = np.frombuffer(b"".join(group["hashes"].to_pylist()), np.int64).reshape(-1, TABLES)
-    table = int(np.flatnonzero(hashes[0] == cell)[0])
+def _large(ids: np.ndarray, side: np.ndarray, both: bool, weight: np.ndarray, x: np.ndarray, hashes: np.ndarray, table: int) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Links of each member of one cell that are counted here, and links that join what is linked."""
     count, edges, own = np.zeros(len(ids), np.int64), [], np.arange(len(ids))
-    both = group["p"][0].as_py() != group["q"][0].as_py()
     for i in range(len(ids)):
         js = np.arange(i + 1, len(ids))
         js = js[x[js] @ x[i] >= MIN_COSINE]
@@ -114,11 +106,73 @@ def _compare(group: pa.Table) -> pa.Table:
         count[js] += weight[i]
         for j in js[own[js] != own[i]]:
             if own[j] != own[i]:
-                edges.append((ids[i], ids[j]))
+                edges.append((int(ids[i]), int(ids[j])))
                 own[own == own[j]] = own[i]
-    told = np.flatnonzero(count)
-    a = [*ids[told].tolist(), *[int(e[0]) for e in edges]]
-    return pa.Table.from_arrays([pa.array(a, pa.int64()), pa.array([*count[told].tolist(), *[0] * len(edges)], pa.int64()), pa.array([None] * len(told) + [int(e[1]) for e in edges], pa.int64())], schema=FOUND)
+    return count, edges
+
+
+def _compare(rows: pa.Table) -> pa.RecordBatch:
+    """For whole cells, sorted: links counted here for each id (b null), and links (a, b) that connect."""
+    ids, side, weight, cell, p, q = (rows[c].to_numpy() for c in ("rep", "side", "weight", "cell", "p", "q"))
+    x = units(rows["vector"].to_pylist())
+    hashes = np.frombuffer(b"".join(rows["hashes"].to_pylist()), np.int64).reshape(-1, TABLES)
+    new = np.concatenate([[True], (cell[1:] != cell[:-1]) | (p[1:] != p[:-1]) | (q[1:] != q[:-1])])
+    group, starts = np.cumsum(new) - 1, np.flatnonzero(new)
+    sizes = np.diff(np.append(starts, len(ids)))
+    table = (hashes == cell[:, None]).argmax(1)
+    count, a, b = np.zeros(len(ids), np.int64), [], []
+    for g in np.flatnonzero(sizes > FEW):
+        at = slice(starts[g], starts[g] + sizes[g])
+        own, edges = _large(ids[at], side[at], p[at][0] != q[at][0], weight[at], x[at], hashes[at], table[starts[g]])
+        count[at] += own
+        a += [e[0] for e in edges]
+        b += [e[1] for e in edges]
+    small = np.flatnonzero(sizes[group] <= FEW)
+    for d in range(1, min(FEW, int(sizes.max()))):
+        i = small[small + d < len(ids)]
+        j = i + d
+        ok = (group[i] == group[j]) & ((p[i] == q[i]) | (side[i] != side[j]))
+        i, j = i[ok], j[ok]
+        ok = np.einsum("ij,ij->i", x[i], x[j]) >= MIN_COSINE
+        i, j = i[ok], j[ok]
+        # counted in the first table that has both in one cell
+        ok = (hashes[i] == hashes[j]).argmax(1) == table[i]
+        i, j = i[ok], j[ok]
+        np.add.at(count, i, weight[j])
+        np.add.at(count, j, weight[i])
+        a += ids[i].tolist()
+        b += ids[j].tolist()
+    names, own = np.unique(ids, return_inverse=True)
+    total = np.zeros(len(names), np.int64)
+    np.add.at(total, own, count)
+    told = np.flatnonzero(total)
+    return pa.RecordBatch.from_arrays([pa.array([*names[told].tolist(), *a], pa.int64()), pa.array([*total[told].tolist(), *[0] * len(a)], pa.int64()), pa.array([None] * len(told) + b, pa.int64())], schema=FOUND)
+
+
+@tidy
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come by (size, cell, p, q); the last cell of a batch waits for the next one."""
+    left = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch]) if left is None else pa.concat_tables([left, pa.Table.from_batches([batch])])
+        rows = rows.combine_chunks()
+        keys = [rows[c].to_numpy() for c in ("size", "cell", "p", "q")]
+        if not rows.num_rows:
+            continue
+        last = np.all([k == k[-1] for k in keys], 0)
+        cut = rows.num_rows - int(last.sum()) if not last.all() else 0
+        left = rows.slice(cut)
+        yield from _by_size(rows.slice(0, cut))
+    if left is not None:
+        yield from _by_size(left)
+
+
+def _by_size(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    if rows.num_rows:
+        size = rows["size"].to_numpy()
+        edges = [0, *(np.flatnonzero(np.diff(size)) + 1).tolist(), len(size)]
+        for a, b in zip(edges, edges[1:]):  # noqa: B905
+            yield _compare(rows.slice(a, b - a))
 
 
 def near_vectors(rows: DataFrame) -> DataFrame:
@@ -133,7 +187,9 @@ def near_vectors(rows: DataFrame) -> DataFrame:
     part = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
     shared = members.join(held, "cell").withColumn("part", part)
     spread = shared.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("rep", "cell", F.least("part", "k").alias("p"), F.greatest("part", "k").alias("q"), (F.col("part") > F.col("k")).cast("int").alias("side"))
-    found = spread.join(placed.drop("cells"), "rep").groupBy("cell", "p", "q").applyInArrow(_compare, "a long, n long, b long")
+    # a cell has 2 * BLOCK rows at most here, so cells are what is dealt out and kept together
+    rows = spread.join(placed.drop("cells"), "rep").withColumn("size", F.length("vector")).repartition("cell", "p", "q").sortWithinPartitions("size", "cell", "p", "q", "rep")
+    found = rows.mapInArrow(_compared, "a long, n long, b long")
     found = saved(found, "vector-links")
     counts = found.filter("b is null").groupBy("a").agg(F.sum("n").alias("n")).withColumnRenamed("a", "rep")
     groups = components(found.filter("b is not null")).withColumnRenamed("node", "rep")

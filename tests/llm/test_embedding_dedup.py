@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 
 from brambler.llm import embedding_dedup
 from brambler.llm.embedding_dedup import near_vectors, op3_embedding_dedup
@@ -61,3 +62,22 @@ def test_odd_tables(spark, tmp_path):
     got = op3_embedding_dedup(spark, f"file://{tmp_path}").collect()
     assert sorted((str(r.vec_id), r.n_links, r.component_id, r.kept) for r in got) == [("7", 1, 7, True), ("8", 0, 8, True), ("None", 1, 7, False)]
     assert near_vectors(frame.limit(0)).count() == 0
+
+
+def test_large_and_small_cells_agree(monkeypatch):
+    """Cells of many members are compared row by row, small ones side by side; both count the same links."""
+    rng = np.random.default_rng(6)
+    x = np.repeat(rng.standard_normal((6, 8)), 5, 0) + rng.standard_normal((30, 8)) * 0.1
+    hashes = np.sort(rng.integers(0, 3, (30, embedding_dedup.TABLES)).astype(np.int64) + np.arange(embedding_dedup.TABLES) * 10, 0)
+    rows = []
+    for t in (0, 3):
+        for c in np.unique(hashes[:, t]):
+            own = np.flatnonzero(hashes[:, t] == c)
+            rows += [{"rep": int(i), "side": 0, "weight": 1 + int(i) % 2, "cell": int(c), "p": 0, "q": 0, "size": 64, "vector": x[i].tobytes(), "hashes": hashes[i].tobytes()} for i in own]
+    found = []
+    for few in (1, 2, 32):
+        monkeypatch.setattr(embedding_dedup, "FEW", few)
+        out = embedding_dedup._compare(pa.Table.from_pylist(rows)).to_pylist()
+        found.append((sorted((r["a"], r["n"]) for r in out if r["b"] is None), {frozenset((r["a"], r["b"])) for r in out if r["b"] is not None}))
+    assert found[0][0] == found[1][0] == found[2][0] and found[2][0]
+    assert found[0][1] <= found[2][1]
