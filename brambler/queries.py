@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .bindings import AS_OF, domain, oracle
 from .functions import scalars as S
 from .functions import vocab
-from .operators import html, mail, people, read, state
+from .operators import html, mail, people, read, release, state
 from .plans import batches
 from .sources import locators
 
@@ -570,6 +570,52 @@ def first_wins_dedupe(locator_raw):
     return rows.withColumn("n", F.row_number().over(Window.partitionBy("code").orderBy("seq"))).filter("n = 1").select("code", "seq")
 
 
+# ---- releases
+
+_RELEASES = "(SELECT id AS release_id, id % 20 AS client, source_date AS release_date, id AS list_pos FROM contacts) AS r"
+
+
+@query(f"SELECT release_id FROM (SELECT *, max(CASE WHEN release_date < DATE '2022-03-01' THEN 1 ELSE 0 END) OVER (PARTITION BY client ORDER BY list_pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS old FROM {_RELEASES}) AS s WHERE old = 0")
+def release_scan_until_older(contacts):
+    rows = contacts.select(F.col("id").alias("release_id"), (F.col("id") % 20).alias("client"), F.col("source_date").alias("release_date"), F.col("id").alias("list_pos"))
+    return release.until_older(rows, "client", F.expr("DATE '2022-03-01'")).select("release_id")
+
+
+@query("SELECT address AS email, source_date, full_name, seq FROM (SELECT address, max(source_date) AS source_date, arg_min(full_name, seq) AS full_name, min(seq) AS seq FROM (SELECT split_part(address, '@', 2) AS address, seq, display_name AS full_name, DATE '2022-01-01' + CAST(seq % 700 AS INT) AS source_date FROM senders) AS x GROUP BY address) AS y")
+def latest_captures(senders):
+    rows = senders.select(S.domain_part(F.col("address")).alias("email"), "seq", F.col("display_name").alias("full_name"), F.expr("DATE '2022-01-01' + CAST(seq % 700 AS INT)").alias("source_date"))
+    return release.latest_captures(rows)
+
+
+_SITE_SQL = "lower(nullif(regexp_replace(regexp_extract(website_url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1), '^www\\.', ''), ''))"
+
+
+def _patterns_sql(rows: str) -> str:
+    """(grp, domain, pattern) of rows (grp, email, seq)."""
+    return (
+        f"SELECT grp, domain, {_PATTERN} AS pattern FROM (SELECT grp, domain, count(*) AS n, count(*) FILTER (contains(own, '.')) AS dots, count(*) FILTER (contains(own, '_')) AS lines, count(*) FILTER (p) AS plain, avg(length(own)) FILTER (p) AS mean FROM "
+        f"(SELECT grp, domain, split_part(email, '@', 1) AS own, regexp_matches(split_part(email, '@', 1), '^[a-z]+$') AND length(split_part(email, '@', 1)) > 2 AS p FROM (SELECT *, split_part(email, '@', 2) AS domain FROM ({rows}) AS a) AS b JOIN "
+        f"(SELECT grp, domain FROM (SELECT grp, split_part(email, '@', 2) AS domain, row_number() OVER (PARTITION BY grp ORDER BY count(*) DESC, min(seq)) AS k FROM ({rows}) AS c GROUP BY 1, 2) AS d WHERE k = 1) AS e USING (grp, domain)) AS f GROUP BY grp, domain) AS g"
+    )
+
+
+@query(
+    f"WITH one AS ({_patterns_sql('SELECT dealership_id AS grp, email, id AS seq FROM contacts WHERE email IS NOT NULL AND dealership_id IS NOT NULL')}), two AS ({_patterns_sql('SELECT email_domain AS grp, email, id AS seq FROM contacts WHERE email IS NOT NULL')}), "
+    f"p AS (SELECT c.id, lower(first_name) AS f, lower(last_name) AS l, coalesce(one.pattern, two.pattern) AS pattern, CASE WHEN one.pattern IS NOT NULL THEN one.domain ELSE two.domain END AS domain FROM contacts AS c JOIN (SELECT id AS d_id, {_SITE_SQL} AS site FROM dealerships) AS d ON d_id = dealership_id "
+    "LEFT JOIN one ON one.grp = dealership_id AND one.pattern IS NOT NULL LEFT JOIN two ON two.grp = site AND two.pattern IS NOT NULL WHERE c.email IS NULL), "
+    "m AS (SELECT id, pattern, CASE pattern WHEN 'first.last' THEN f || '.' || l WHEN 'first_last' THEN f || '_' || l WHEN 'flast' THEN substr(f, 1, 1) || l WHEN 'first' THEN f END || '@' || domain AS email FROM p) "
+    "SELECT id, email, 'inferred' AS confidence, pattern FROM (SELECT *, row_number() OVER (PARTITION BY email ORDER BY id) AS k FROM m WHERE email IS NOT NULL) AS x WHERE k = 1 AND NOT EXISTS (SELECT 1 FROM contacts AS c WHERE c.email = x.email)"
+)
+def cross_dealer_patterns(contacts, dealerships):
+    return release.pattern_pass(contacts, dealerships)
+
+
+@query()
+def release_contacts(pages):
+    rows = pages.select(F.col("page_id").alias("release_id"), F.col("html").alias("content_html"))
+    return release.release_contacts(rows, release.contact_tables(rows))
+
+
 # ---- plans
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from brambler.bindings import domain
 from brambler.functions import scalars as S
-from brambler.operators import html, mail, people, read, state
+from brambler.operators import html, mail, people, read, release, state
 from brambler.plans.batches import CEILING, plan_batches, simulate
 from brambler.sources import files, locators
 from brambler.streaming.monitor import sends_by_day_stream
@@ -191,3 +191,30 @@ def test_stream_equals_batch(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert sorted(map(str, spark.table("days").collect())) == sorted(map(str, read.sends_by_day(events).collect()))
+
+
+def test_releases(spark):
+    body = "<table><tr><th>Media contacts</th><th></th></tr><tr><td>Ann Example</td><td>Bo Example</td></tr><tr><td>Ann@a.test</td><td>bo@a.test</td></tr></table><p>c@a.test</p><table><tr><td>x@other.test</td></tr></table>"
+    rows = spark.createDataFrame([(1, body), (2, None)], "release_id int, content_html string")
+    tables = release.contact_tables(rows)
+    assert [(r.name, r.email) for r in tables.orderBy("seq").collect()] == [("Ann Example", "ann@a.test"), ("Bo Example", "bo@a.test")]
+    assert {(r.email, r.name) for r in release.release_contacts(rows, tables).collect()} == {("ann@a.test", "Ann Example"), ("bo@a.test", "Bo Example"), ("c@a.test", None), ("x@other.test", None)}
+    named = spark.createDataFrame([(1, "Jane Doe named", "Acme today said Jane Doe has been appointed as General Manager of Acme."), (2, "x", "nothing")], "release_id int, title string, body string")
+    assert [(r.name, r.role) for r in mail.appointments(named).collect()] == [("Jane Doe", "General Manager")]
+    formats = spark.createDataFrame([(1, "a.test", "first.last"), (1, "b.test", "flast"), (1, "b.test", "first")], "release_id int, domain string, pattern string")
+    assert [(r.email, r.confidence) for r in mail.extrapolate(spark.createDataFrame([(1, "Jane Doe")], "release_id int, name string"), formats).collect()] == [("jane.doe@a.test", "inferred")]
+    assert each(spark, ["acme.test", "acmecars.test", "havas.test", "other.test"], lambda c: mail.in_house(F.lit("Acme Motors"), c)) == [True, True, False, False]
+    assert each(spark, ["2024-01-02", "03/02/2024", "soon"], lambda c: mail.release_date([F.lit(None).cast("string"), c]).cast("string")) == ["2024-01-02", "2024-02-03", None]
+
+
+def test_edition():
+    html = "[if:a]x[else]y[endif]<body><div id=cut>1<div>2</div></div><p>"
+    assert release.edition(html, "HI", "<body>", ["id=cut"]) == ("y<body>HI<p>", True)
+    for bad in ("[if:a]", "<body><body>", "<body><div id=cut>"):
+        with pytest.raises(ValueError):
+            release.edition(bad, "HI", "<body>", ["id=cut"] if "cut" in bad else [])
+
+
+def test_cockpit(spark):
+    parts = release.cockpit(domain(spark, SF, "contacts"), domain(spark, SF, "dealerships"), domain(spark, SF, "send_events"))
+    assert parts["summary"].count() == 1 and 0 < parts["sends"].count() <= 30 and 0 < parts["contacts"].count() <= 600
