@@ -43,7 +43,7 @@ WINDOW, GRAM = 50, 24
 #: Places of a GRAM-byte string in a window, and the bytes around a sample position that windows can reach.
 PLACES, BEFORE = WINDOW - GRAM + 1, WINDOW - GRAM
 CONTEXT = BEFORE + WINDOW
-PACK_BYTES = 2 << 20
+PACK_BYTES = 512 << 10
 #: Sampled hashes that a bucket holds on average.
 BUCKET = 500_000
 PRINT = 5  # bytes of a hash that are sent; the bucket adds to them
@@ -96,7 +96,7 @@ def _gram_hashes(data: np.ndarray) -> np.ndarray:
         if not left:
             return mix(whole) | np.uint64(1)
         h = h[:-width] * power + h[width:]
-        width, power = 2 * width, power * power
+        width, power = 2 * width, np.uint64(int(power) ** 2 & (2**64 - 1))
 
 
 class Sample:
@@ -320,7 +320,7 @@ def _cut(n: int, whole: bool):
 
 def remove_repeats(docs: DataFrame, whole: bool = True) -> DataFrame:
     """doc, n_bytes, n_removed and n_spans of each row of docs, and text: its remaining bytes (or their SHA-256 in hex)."""
-    small_batches(docs.sparkSession, 200)
+    small_batches(docs.sparkSession, 16)
     rows = docs.select(doc_key().alias("doc"), F.col("text").cast("string").alias("text"))
     packs = saved(rows.mapInArrow(_pack, "pack long, docs array<long>, sizes array<long>, bytes long, data binary"), "packs", "uncompressed")
     total = packs.agg(F.sum("bytes")).first()[0] or 0
