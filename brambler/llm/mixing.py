@@ -184,7 +184,7 @@ def op4_sainte_lague(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix itself, in the columns of docs: a row for each whole round of a document and one for its further pieces."""
     small_batches(docs.sparkSession)
-    found = mix(docs).filter("taken > 0").select("__order", "rounds", "pieces").dropDuplicates(["__order"])
+    found = mix(docs).filter("taken > 0").select("__order", F.col("rounds").alias("__rounds"), F.col("pieces").alias("__pieces")).dropDuplicates(["__order"])
     order = F.xxhash64(F.col("doc_id").cast("long").cast("string"), F.lit(SEED), F.when(F.col("doc_id").isNull(), F.col("text").cast("string")))
     rows = docs.withColumn("text", F.col("text").cast("string")).withColumn("__order", order).join(found, "__order")
 
@@ -195,7 +195,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, out = [], []
-            for i, (text, rounds, pieces) in enumerate(zip(texts(batch["text"]), batch["rounds"].to_pylist(), batch["pieces"].to_pylist(), strict=True)):
+            for i, (text, rounds, pieces) in enumerate(zip(texts(batch["text"]), batch["__rounds"].to_pylist(), batch["__pieces"].to_pylist(), strict=True)):
                 whole = [text] * rounds
                 if pieces:
                     words = text.split()  # of bytes: [^\x20\x09-\x0D]+

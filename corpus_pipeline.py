@@ -20,7 +20,9 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines found in several documents stay in the one with the smallest id."""
-    return counted(dedup_lines(docs)).select(*docs.columns)
+    own = {c: f"own_{c}" for c in ("n_lines", "n_dropped") if c in docs.columns}  # the operator's counts take these names
+    kept = dedup_lines(docs.withColumnsRenamed(own)).drop("n_lines", "n_dropped")
+    return counted(kept.withColumnsRenamed({v: k for k, v in own.items()})).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

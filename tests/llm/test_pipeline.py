@@ -32,3 +32,22 @@ def test_stages(spark):
             assert all(r.n_tokens == len(r.ids) for r in rows) and len(rows) == len(old_rows)
         at = new
     assert corpus_pipeline.run(spark, sf_dir).count() == at.count()
+
+
+def test_odd_rows_and_extra_columns(spark):
+    """Nulls in every column, repeated rows, a long text, and columns named like the operators' own."""
+    names = ["n_lines", "n_dropped", "score", "size", "target", "taken", "rounds", "pieces", "ids", "n_tokens", "doc", "rep", "key", "held_out", "component_id"]
+    extra = {n: i for i, n in enumerate(names)}
+    line = "the same line of words here"
+    rows = [(1, f"{line}\nown words one two three", "en", "a", 5), (2, line, "en", "a", 5), (2, line, "en", "a", 5), (None, None, None, None, None), (None, "x", None, None, None), (3, "", "en", None, 0), (4, "long " * 40_000, None, "b", 1), (5, " \n\t", "de", "b", 3), (6, f"{line}\r\nmore of it", None, None, None)]
+    docs = spark.createDataFrame([(*r, *extra.values()) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} int" for n in names)).repartition(2)
+    sf_dir = "/root/testdata/sf0.001"
+    for table in (docs, docs.limit(0)):
+        at = table
+        for name, stage in corpus_pipeline.STAGES:
+            new = stage(spark, at, sf_dir).cache()
+            if name != "bpe":
+                assert new.columns == docs.columns
+                assert all(r[n] == i for r in new.collect() for n, i in extra.items())
+            at = new
+        assert at.count() == 0 if table is not docs else at.count() > 0
