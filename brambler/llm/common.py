@@ -7,6 +7,7 @@ import functools
 import gc
 import inspect
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -97,8 +98,13 @@ def release() -> None:
         pass
 
 
+#: Seconds between releases after groups; groups may be many and small.
+RELEASE_S = 3.0
+_released = [0.0]
+
+
 def tidy(task):
-    """For functions of mapInArrow and applyInArrow: release() after each task or group."""
+    """For functions of mapInArrow and applyInArrow: release() after each task, or after a group if some time has passed."""
 
     @functools.wraps(task)
     def over_batches(batches):
@@ -112,6 +118,8 @@ def tidy(task):
         try:
             return task(group)
         finally:
-            release()
+            if time.monotonic() - _released[0] > RELEASE_S:
+                release()
+                _released[0] = time.monotonic()
 
     return over_batches if inspect.isgeneratorfunction(task) else over_group
