@@ -184,10 +184,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     bands = classes.select("rep", "registers").mapInArrow(_bands, "band long, rep long")
     heads = bands.groupBy("band").agg(F.min("rep").alias("a"), F.max("rep").alias("last")).filter("a < last").drop("last")
-    # a document's band heads (BANDS at most) are tied to the smallest of them, and the document to that one alone
-    tied = bands.join(heads, "band").filter("rep <> a").groupBy("rep").agg(F.collect_set("a").alias("heads"))
-    tied = saved(tied.select("rep", F.array_min("heads").alias("b"), "heads"), "band-heads")
-    near = tied.select(F.col("rep").alias("a"), "b").union(tied.select(F.explode("heads").alias("a"), "b")).filter("a <> b").distinct()
+    near = bands.join(heads, "band").filter("rep <> a").select("a", F.col("rep").alias("b"))
     families = components(near)
 
     members = saved(families.select(F.col("node").alias("rep"), F.col("component").alias("family")).join(classes.drop("key"), "rep"), "members")
