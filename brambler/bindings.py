@@ -73,7 +73,7 @@ TABLES = {
           proximity_tier, source_date, ooo_at, sent_at, source_detail, company
         FROM contacts_ranked""",
     "subscriber_states": """
-        SELECT CASE WHEN id % 4 = 0 THEN 'Outreach-warm' ELSE 'Newsletter' END AS list_name,
+        SELECT CASE WHEN id % 4 = 0 THEN 'Campaign-warm' ELSE 'Newsletter' END AS list_name,
           CASE id % 3 WHEN 0 THEN 'active' WHEN 1 THEN 'unsubscribed' ELSE 'deleted' END AS state, upper(email) AS email, full_name AS name
         FROM contacts WHERE email IS NOT NULL AND id % 7 = 0
         UNION ALL

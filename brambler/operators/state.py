@@ -89,7 +89,7 @@ def ledger_refresh(contacts: DataFrame, dealerships: DataFrame) -> DataFrame:
     ).select(*contacts.columns)
 
 
-def subscriber_stamp(contacts: DataFrame, states: DataFrame, skip_prefix: str = "Outreach-") -> DataFrame:
+def subscriber_stamp(contacts: DataFrame, states: DataFrame, skip_prefix: str = "Campaign-") -> DataFrame:
     """cm_status of every contact with an address: its strongest state on any list, else not_found."""
     rank = F.create_map(*[F.lit(x) for kv in PRECEDENCE.items() for x in kv])
     best = states.filter(~F.col("list_name").startswith(skip_prefix)).groupBy(F.lower("email").alias("__email")).agg(F.max_by("state", F.try_element_at(rank, F.col("state"))).alias("__state"))

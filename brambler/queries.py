@@ -225,7 +225,7 @@ def token_overlap(contacts):
 KEPT = "id, suppressed, suppress_reason"
 
 
-@query("SELECT c.id, CASE WHEN c.email IS NULL THEN cm_status ELSE coalesce(state, 'not_found') END AS cm_status FROM contacts AS c LEFT JOIN (SELECT lower(email) AS email, arg_max(state, CASE state WHEN 'active' THEN 3 WHEN 'unsubscribed' THEN 2 ELSE 1 END) AS state FROM subscriber_states WHERE list_name NOT LIKE 'Outreach-%' GROUP BY 1) AS s ON lower(c.email) = s.email")
+@query("SELECT c.id, CASE WHEN c.email IS NULL THEN cm_status ELSE coalesce(state, 'not_found') END AS cm_status FROM contacts AS c LEFT JOIN (SELECT lower(email) AS email, arg_max(state, CASE state WHEN 'active' THEN 3 WHEN 'unsubscribed' THEN 2 ELSE 1 END) AS state FROM subscriber_states WHERE list_name NOT LIKE 'Campaign-%' GROUP BY 1) AS s ON lower(c.email) = s.email")
 def subscriber_stamp(contacts, subscriber_states):
     return state.subscriber_stamp(contacts, subscriber_states).select("id", "cm_status")
 
@@ -454,9 +454,9 @@ def published_over_derived(contacts, senders):
     return people.published_over_derived(contacts.filter("email is not null and id % 3 = 0").select("email"), senders.select(F.col("address").alias("email")))
 
 
-@query("SELECT state, lower(email) AS email FROM subscriber_states WHERE list_name NOT LIKE 'Outreach-%' GROUP BY 1, 2")
+@query("SELECT state, lower(email) AS email FROM subscriber_states WHERE list_name NOT LIKE 'Campaign-%' GROUP BY 1, 2")
 def union_states(subscriber_states):
-    rows = subscriber_states.filter(~F.col("list_name").startswith("Outreach-")).select("state", F.lower("email").alias("email"))
+    rows = subscriber_states.filter(~F.col("list_name").startswith("Campaign-")).select("state", F.lower("email").alias("email"))
     return rows.distinct()
 
 
