@@ -101,6 +101,10 @@ TABLES = {
         SELECT o_orderkey AS mail_id, '"' || c.full_name || '" <' || upper(c.email) || '>' AS to_header, o_orderkey % 3 <> 0 AS is_outgoing,
           CAST(o_orderdate AS DATE) AS sent_on, CASE WHEN o_orderkey % 4 = 0 THEN 'read THE MARKER here' ELSE 'plain' END AS body
         FROM orders JOIN contacts AS c ON c.id = o_custkey WHERE c.email IS NOT NULL AND o_orderkey % 50 = 0""",
+    "archive_whole": """
+        SELECT o_orderkey AS mail_id, '"' || c.full_name || '" <' || upper(c.email) || '>' AS to_header, o_orderkey % 3 <> 0 AS is_outgoing,
+          CAST(o_orderdate AS DATE) AS sent_on, CASE WHEN o_orderkey % 4 = 0 THEN 'read THE MARKER here' ELSE 'plain' END AS body
+        FROM orders JOIN contacts AS c ON c.id = o_custkey WHERE c.email IS NOT NULL""",
     "sweep": """
         SELECT email, CASE WHEN id % 2 = 0 THEN 'bounce' ELSE 'ooo' END AS kind, CASE WHEN id % 3 = 0 THEN NULL ELSE DATE '2024-01-01' + CAST(id % 20 AS INT) END AS evdate
         FROM contacts WHERE email IS NOT NULL AND id % 17 = 3""",

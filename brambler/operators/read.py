@@ -122,11 +122,22 @@ def recent_batch(contacts: DataFrame, active_names: DataFrame, as_of: Column, mo
 def preflight_matches(candidates: DataFrame, archive: DataFrame, marker: str) -> DataFrame:
     """Candidates whose address is part of a recipient header of an earlier mail with the marker.
 
-    The test is any substring, so no key can deal it out. The archive is cut down to marked outgoing mail first;
-    candidates of a day's batch (two short columns, a few dozen rows) are what Spark broadcasts if they are small.
+    The test is any substring. An address with one @ is part of a header if the header has, around one of its @, a
+    suffix of what stands before and a prefix of what comes after that make up the address; both end at the next @.
+    These strings are the key of the join, each taken once for a header, where it first stands. Candidates without just
+    one @ are no addresses and rare; for them alone each header is searched.
     """
     mail = archive.filter(F.col("is_outgoing") & F.col("body").ilike(f"%{marker}%")).select("mail_id", "sent_on", F.lower("to_header").alias("to_lower"))
-    return mail.join(candidates.select("id", "email"), F.expr("instr(to_lower, email) > 0")).select("id", "email", "mail_id", "sent_on")
+    candidates = candidates.select("id", "email")
+    address = F.length("email") - F.length(F.replace("email", F.lit("@"))) == 1
+    parts = mail.withColumn("parts", F.split("to_lower", "@", -1))
+    sides = parts.filter("size(parts) > 1").select("*", F.explode(F.expr("sequence(1, size(parts) - 1)")).alias("k"))
+    sides = sides.select("mail_id", "sent_on", "to_lower", F.expr("parts[k - 1]").alias("before"), F.expr("parts[k]").alias("after"), F.length(F.array_join(F.slice("parts", 1, F.col("k")), "@")).alias("end"))
+    heads = sides.select("*", F.explode(F.expr("sequence(0, length(before))")).alias("n"))
+    found = heads.select("mail_id", "sent_on", "to_lower", "end", "n", F.explode(F.expr("transform(sequence(0, length(after)), m -> concat(right(before, n), '@', left(after, m)))")).alias("email"))
+    found = found.filter("instr(to_lower, email) = end - n + 1").select("mail_id", "sent_on", "email")
+    others = mail.join(candidates.filter(~address), F.expr("instr(to_lower, email) > 0"))
+    return found.join(candidates.filter(address), "email").select("id", "email", "mail_id", "sent_on").union(others.select("id", "email", "mail_id", "sent_on"))
 
 
 def batch_composition(contacts: DataFrame) -> DataFrame:

@@ -299,6 +299,11 @@ def preflight_matches(contacts, archive):
     return read.preflight_matches(contacts.filter("id < 200 and email is not null"), archive, "the marker")
 
 
+@query("SELECT c.id, c.email, mail_id, sent_on FROM (SELECT id, email FROM contacts WHERE email IS NOT NULL) AS c JOIN archive_whole AS a ON contains(lower(to_header), c.email) WHERE is_outgoing AND body ILIKE '%the marker%'")
+def preflight_matches_whole(contacts, archive_whole):
+    return read.preflight_matches(contacts.filter("email is not null"), archive_whole, "the marker")
+
+
 @query(
     f"SELECT id, suppressed OR b AS suppressed, CASE WHEN b THEN 'bounce' ELSE ruled_out_stage END AS ruled_out_stage, CASE WHEN b THEN 'ruled_out' ELSE disposition END AS disposition, CASE WHEN kind = 'ooo' AND ooo_at IS NULL THEN coalesce(evdate, {AS_OF}) ELSE ooo_at END AS ooo_at "
     "FROM (SELECT c.*, kind, evdate, coalesce(kind = 'bounce', false) AND ruled_out_stage IS DISTINCT FROM 'bounce' AS b FROM contacts AS c LEFT JOIN (SELECT email AS s_email, kind, evdate FROM sweep) AS s ON lower(c.email) = s_email) AS r"
@@ -454,6 +459,11 @@ def published_over_derived(contacts, senders):
     return people.published_over_derived(contacts.filter("email is not null and id % 3 = 0").select("email"), senders.select(F.col("address").alias("email")))
 
 
+@query("SELECT email, 'direct' AS confidence FROM contacts WHERE email IS NOT NULL UNION ALL SELECT address AS email, 'inferred' AS confidence FROM senders WHERE NOT EXISTS (SELECT 1 FROM contacts WHERE email = address)")
+def published_over_derived_whole(contacts, senders):
+    return people.published_over_derived(contacts.filter("email is not null").select("email"), senders.select(F.col("address").alias("email")))
+
+
 @query("SELECT state, lower(email) AS email FROM subscriber_states WHERE list_name NOT LIKE 'Campaign-%' GROUP BY 1, 2")
 def union_states(subscriber_states):
     rows = subscriber_states.filter(~F.col("list_name").startswith("Campaign-")).select("state", F.lower("email").alias("email"))

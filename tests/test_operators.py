@@ -129,6 +129,29 @@ def test_files(spark, tmp_path):
     assert [r.email for r in files.address_list(spark, f"file://{tmp_path}/l.txt").collect()] == ["a@b.test"]
 
 
+def test_preflight_is_any_substring_and_no_nested_loop(spark):
+    headers = ['"Xa" <XA@B.test.au>, a@b.test', "a@b.test a@b.test", "@", "é@ü.test,a@@b", "none", None, "a@b.tes", "q@a@b.test@x"]
+    emails = ["a@b.test", "xa@b.test", "b.test", "@", "a@", "@b", "é@ü", "a@@b", "a@b.test@", "", None, "a@b.test"]
+    archive = spark.createDataFrame([(i, h, True, "the marker", "d") for i, h in enumerate(headers)] + [(90, "a@b.test", False, "the marker", "d"), (91, "a@b.test", True, "x", "d")], "mail_id int, to_header string, is_outgoing boolean, body string, sent_on string")
+    people_ = spark.createDataFrame(list(enumerate(emails)), "id int, email string")
+    got = sorted((r.id, r.mail_id) for r in read.preflight_matches(people_, archive, "the marker").collect())
+    assert got == sorted((i, m) for i, e in enumerate(emails) for m, h in enumerate(headers) if e is not None and h is not None and e in h.lower())
+    addresses = people_.filter("email like '%@%'").withColumn("email", F.concat(F.lit("u"), "id", F.lit("@b.test")))
+    plan = read.preflight_matches(addresses, archive, "the marker")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner, (email" in plan
+
+
+def test_whole_tables_are_tested(spark):
+    from brambler.queries import QUERIES
+
+    contacts, all_ = domain(spark, SF, "contacts"), domain(spark, SF, "archive_whole")
+    assert all_.count() > 40 * domain(spark, SF, "archive").count() > 0
+    matched = {r.id for r in QUERIES["preflight_matches_whole"](spark, SF).select("id").distinct().collect()}
+    own = all_.filter("is_outgoing and body like '%MARKER%'").select(F.regexp_extract(F.lower("to_header"), "<(.*)>", 1).alias("email")).distinct()
+    assert {r.id for r in contacts.join(own, "email").select("id").collect()} <= matched
+    assert QUERIES["published_over_derived_whole"](spark, SF).filter("confidence = 'direct'").count() == contacts.filter("email is not null").count()
+
+
 PAGE = """<html><head><script type="application/ld+json">[{"@type":"Person","name":"Ann Example","jobTitle":"Sales Manager","telephone":["1","2"]},{"@type":"Org","name":"X"}]</script>
 <script>var a = "</p> x@script.test"</script></head><body><p>Write to <a href="mailto:Ann@site.test?subject=x">Ann</a> or bob@site.test <b>now<p>logo@2x.png
 <div class="staff-card"><h3>Cleo Example</h3><p>Service Advisor</p></div><h2>Our Cars</h2>
