@@ -110,6 +110,16 @@ NOT_NAMES = [
     "team", "department", "company", "corporation", "dealership", "dealer", "national", "global", "international", "region", "regional",
     "partners", "solutions", "services", "enterprises",
 ]
+# Words that make a name in a release no person's.
+RELEASE_NOT_NAMES = [
+    "australia", "australian", "pty", "ltd", "limited", "group", "holdings", "inc", "corp", "corporation", "company", "co", "motors",
+    "motor", "automotive", "consulting", "partners", "solutions", "services", "enterprises", "ogilvy", "communications", "communication",
+    "manager", "director", "officer", "chief", "executive", "consultant", "advisor", "adviser", "principal", "coordinator", "president",
+    "head", "specialist", "representative", "associate", "supervisor", "lead", "relations", "public", "product", "external", "corporate",
+    "affairs", "media", "press", "marketing", "sales", "service", "finance", "insurance", "newsroom", "department", "division", "office",
+    "team", "mobile", "telephone", "phone", "email", "enquiries", "enquiry", "contact", "contacts", "national", "global",
+    "international", "region", "regional",
+]
 # Local parts that are no person's on web pages, whole and as patterns; domains of the web's own plumbing.
 GENERIC_LOCALS = [
     "info", "sales", "service", "parts", "admin", "reception", "enquiries", "contact", "noreply", "no-reply", "accounts", "marketing",

@@ -17,6 +17,8 @@ from ..functions.scalars import domain_part, local_part, role_plausible
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 SILENT = {"script", "style", "noscript", "iframe"}
+#: Tags whose text tells of no people.
+FRAME = {"nav", "header", "footer"}
 #: Tags that end an open one of their kind.
 SELF_CLOSING = {"p", "li", "td", "th", "tr"}
 
@@ -28,6 +30,7 @@ class _Page(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.stack: list[str] = []
         self.text: list[str] = []
+        self.content: list[str] = []  # text outside FRAME
         self.mailtos: list[str] = []
         self.links: list[list[str]] = []
         self.blocks: list[str] = []
@@ -69,6 +72,8 @@ class _Page(HTMLParser):
         if SILENT & set(self.stack):
             return
         self.text.append(data)
+        if not FRAME & set(self.stack):
+            self.content.append(data)
         if self.open_link and self.links:
             self.links[-1][1] += data
         if self.nodes and data.strip():
@@ -112,7 +117,7 @@ def _cards(nodes: list[dict]) -> list[dict]:
     return out
 
 
-PARSED = "text string, mailtos array<string>, links array<struct<href:string,text:string>>, people array<struct<name:string,role:string,email:string,phone:string>>, cards array<struct<name:string,role:string,in_card:boolean>>"
+PARSED = "text string, content string, mailtos array<string>, links array<struct<href:string,text:string>>, people array<struct<name:string,role:string,email:string,phone:string>>, cards array<struct<name:string,role:string,in_card:boolean>>"
 
 
 def parse_pages(pages: DataFrame, key: str = "page_id", base: str = "url") -> DataFrame:
@@ -126,8 +131,8 @@ def parse_pages(pages: DataFrame, key: str = "page_id", base: str = "url") -> Da
                 page.feed(html or "")
                 page.close()
                 links = [{"href": urljoin(url or "", h), "text": t.strip()} for h, t in page.links if not h.lower().startswith(("#", "mailto:", "tel:"))]
-                rows.append((k, url, " ".join(page.text), page.mailtos, links, _people(page.blocks), _cards(page.nodes)))
-            yield pd.DataFrame(rows, columns=[key, base, "text", "mailtos", "links", "people", "cards"])
+                rows.append((k, url, " ".join(page.text), " ".join(page.content), page.mailtos, links, _people(page.blocks), _cards(page.nodes)))
+            yield pd.DataFrame(rows, columns=[key, base, "text", "content", "mailtos", "links", "people", "cards"])
 
     kind = dict(pages.dtypes)
     return pages.select(key, base, "html").mapInPandas(run, f"{key} {kind[key]}, {base} {kind[base]}, {PARSED}")
@@ -157,9 +162,19 @@ def jsonld_people(parsed: DataFrame, key: str = "page_id") -> DataFrame:
 
 
 def card_people(parsed: DataFrame, key: str = "page_id") -> DataFrame:
-    """People in cards; on pages without any, headings that a role follows."""
-    rows = parsed.select(key, F.exists("cards", lambda c: c["in_card"]).alias("any"), F.posexplode("cards").alias("seq", "c")).filter(F.col("c.in_card") | ~F.col("any"))
-    return rows.select(key, "seq", "c.name", "c.role").filter(name_plausible(F.col("name")))
+    """People in cards; on pages without any, headings that a role follows; without these, 'Name - Role' in the text."""
+    cards = F.filter(F.transform("cards", lambda c, i: F.struct(i.alias("seq"), c["name"].alias("name"), c["role"].alias("role"), c["in_card"].alias("in_card"))), lambda c: name_plausible(c["name"]))
+    pair = [F.regexp_extract_all("content", F.lit(NAME_AND_ROLE), F.lit(k)) for k in (1, 2)]
+    told = F.filter(F.zip_with(*pair, lambda n, r: F.struct(n.alias("name"), F.trim(r).alias("role"))), lambda p: name_plausible(p["name"]) & role_plausible(p["role"]))
+    rows = parsed.select(key, cards.alias("cards"), told.alias("told"))
+    names = F.transform("told", lambda p: F.lower(p["name"]))
+    first = F.filter(F.transform("told", lambda p, i: F.struct(i.alias("seq"), p["name"].alias("name"), p["role"].alias("role"), F.lit(False).alias("in_card"))), lambda p: F.array_position(names, F.lower(p["name"])) == p["seq"] + 1)
+    inside = F.filter("cards", lambda c: c["in_card"])
+    found = F.when(F.size(inside) > 0, inside).when(F.size("cards") > 0, F.col("cards")).otherwise(first)
+    return rows.select(key, F.explode(found).alias("c")).select(key, "c.seq", "c.name", "c.role")
+
+
+NAME_AND_ROLE = r"([A-Z][a-z]+ [A-Z][a-z]+)\s*[-–|]\s*(.{5,40})"
 
 
 def name_plausible(name: Column) -> Column:

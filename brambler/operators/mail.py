@@ -82,17 +82,22 @@ def name_of_local(local: Column) -> Column:
     return F.when((F.size(parts) == 2) & F.forall(parts, lambda p: p.rlike("^[A-Za-z]{2,}$")), F.initcap(F.array_join(parts, " ")))
 
 
+NAME_NEAR = r"\b([A-Z][a-z]+(?:['\-][A-Z][a-z]+)?(?: [A-Z][a-z]+){1,2})\b"
+
+
 def harvest_replies(parsed: DataFrame, self_domains: tuple[str, ...] = ()) -> DataFrame:
     """People named in replies: address, name and role nearby. The sender is never one; the first capture of an address
     counts unless it has no role and a later one has."""
     text = F.concat_ws(" ", F.coalesce("reply_to", F.lit("")), "body")
-    hits = parsed.select("msg_id", "sender", text.alias("text")).select("msg_id", "sender", "text", F.posexplode(F.regexp_extract_all("text", F.lit(r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}"), F.lit(0))).alias("pos", "raw"))
+    hits = parsed.select("msg_id", "sender", "body", text.alias("text")).select("msg_id", "sender", "body", F.posexplode(F.regexp_extract_all("text", F.lit(r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}"), F.lit(0))).alias("pos", "raw"))
     rows = hits.withColumn("email", clean_address(F.col("raw"))).filter("email is not null").filter(~F.contains(F.lower("sender"), F.col("email")))
-    at = F.instr("text", F.col("raw"))
-    before = F.substring("text", F.greatest(at - 220, F.lit(1)), F.least(at - 1, F.lit(220)))
-    near = F.regexp_extract_all(before, F.lit(r"\b([A-Z][a-z]+(?:['\-][A-Z][a-z]+)?(?: [A-Z][a-z]+){1,2})\b"), F.lit(1))
-    context = F.when(F.size(near) > 0, F.element_at(near, -1))
-    window = F.substring("text", F.greatest(at - 220, F.lit(1)), F.lit(280))
+    # where the address first stands in the body; one that only Reply-To names has no context
+    at = F.nullif(F.instr(F.lower("body"), F.col("email")), F.lit(0))
+    start = F.greatest(at - 220, F.lit(1))
+    near = F.regexp_extract_all(F.substring("body", start, at - start), F.lit(NAME_NEAR), F.lit(1))
+    line = F.concat(F.substring_index(F.substring("body", F.lit(1), at - 1), "\n", -1), F.substring_index(F.substring("body", at, F.length("body")), "\n", 1))
+    context = F.when(F.size(near) > 0, F.element_at(near, -1)).otherwise(F.nullif(F.regexp_extract(line, NAME_NEAR, 1), F.lit("")))
+    window = F.substring("body", start, at + 60 - start)
     own = name_of_local(local_part(F.col("email")))
     rows = rows.withColumns({"role": role_normalised(window), "full_name": F.coalesce(F.when(person_name(own), own), F.when(person_name(context), context)), "reason": reject_reason(local_part(F.col("email")), domain_part(F.col("email")), self_domains)})
     first = Window.partitionBy("email").orderBy(F.col("role").isNull(), "msg_id", "pos")
@@ -104,17 +109,48 @@ def release_date(fields: list[Column]) -> Column:
     return F.coalesce(*[F.coalesce(F.try_to_date(f, "yyyy-MM-dd"), F.try_to_date(f, "dd/MM/yyyy")) for f in fields])
 
 
-APPOINTED = r"(?:appointed|named|promoted|joins|welcomes?)"
+APPOINTING = r"(?iU)\b(appoint\w*|joins|joining|named|welcomes|welcomed|promot\w*|new (?:chief|head|director|manager|general manager|ceo|md|managing director)|steps? (?:up|into)|takes? (?:up|over|the reins)|succeeds?)\b"
+_NAME, _ROLE = r"([A-Z][a-zA-Z'\-]+(?: [A-Z][a-zA-Z'\-]+){1,2})", r"(?:its |the |a |an )?([^.,;()\n]{3,60})"
+#: In order; group 1 is the name and group 2 the role, if the sentence gives it.
+APPOINTED = [
+    rf"(?U)(?:has |have )?appointed\s+{_NAME}(?:\s+(?:as|to)\s+{_ROLE})?",
+    rf"(?U){_NAME}\s+has been appointed(?:\s+(?:as|to)\s+)?{_ROLE}?",
+    rf"(?U){_NAME}\s+(?:has |will )?join(?:s|ed|ing)?\b[^.,;\n]{{0,40}}?\s+as\s+{_ROLE}",
+    rf"(?U)(?:the )?appointment of\s+{_NAME}(?:\s+(?:as|to)\s+{_ROLE})?",
+    rf"(?U){_NAME}\s+has been named(?:\s+(?:as|to)\s+)?{_ROLE}?",
+    rf"(?U)(?:welcomes?|welcomed)\s+{_NAME}(?:\s+(?:as|to)\s+{_ROLE})?",
+]
+
+
+def release_name(name: Column) -> Column:
+    """Two or three words, none of a role, label or company."""
+    words = F.split(F.trim(name), r"\s+")
+    return F.size(words).between(2, 3) & ~F.exists(words, lambda w: F.btrim(F.lower(w), F.lit(".,'")).isin(vocab.RELEASE_NOT_NAMES))
+
+
+def appointed_role(raw: Column) -> Column:
+    """A captured role without the clauses behind it; null over 8 words. ' of Acme' goes too, but not of 'Head of Design' or 'Director of Sales'."""
+    tidy = lambda c: F.btrim(c, F.lit(" .,-"))
+    role = tidy(F.regexp_replace(raw, r"(?U)\s+", " "))
+    role = F.regexp_replace(role, r"\s+(?:at|for|of the|with)\s+[A-Z].*", "")
+    role = F.regexp_replace(role, rf"(?<!\b(?:[Hh]ead|[Cc]hief))\s+of\s+(?!(?i:{'|'.join(vocab.TITLE_WORDS)})\b)[A-Z].*", "")
+    role = tidy(F.regexp_replace(role, r"(?i)\s+(?:from|effective|commencing|starting|beginning)\b.*", ""))
+    return F.when((role != "") & (F.size(F.split(role, " +")) <= 8), role)
 
 
 def appointments(releases: DataFrame) -> DataFrame:
-    """release_id, name and role of people said to be appointed; a gate on title and start comes first."""
-    start = F.substring("body", 1, 1800)
-    gate = F.concat_ws(" ", "title", F.substring("body", 1, 1500)).rlike(rf"(?i)\b{APPOINTED}\b")
-    pattern = rf"([A-Z][a-z]+(?: [A-Z][a-z'\-]+){{1,2}}) (?:has been |was |is |as )?{APPOINTED} (?:as |to |the |its |new )*([A-Za-z&, ]+?)(?:\.|,| of | for | at |$)"
-    rows = releases.filter(gate).withColumn("name", F.regexp_extract(start, pattern, 1)).withColumn("role", F.trim(F.regexp_extract(start, pattern, 2)))
-    few = F.size(F.split("role", " +")) <= 8
-    return rows.filter("name <> ''").select("release_id", "name", F.when(few, F.nullif("role", F.lit(""))).alias("role"))
+    """release_id, name and role of all people said to be appointed; a gate on title and start comes first.
+
+    Each pattern's every match in title and text counts, a name once for a release, with the first role that it has.
+    """
+    blob = F.concat(F.coalesce("title", F.lit("")), F.lit(". "))
+    rows = releases.filter("body <> ''").filter(F.concat(blob, F.substring("body", 1, 1500)).rlike(APPOINTING))
+    rows = rows.select("release_id", F.substring(F.concat(blob, F.col("body")), 1, 1800).alias("head"))
+    matches = [F.arrays_zip(F.regexp_extract_all("head", F.lit(p), F.lit(1)).alias("name"), F.regexp_extract_all("head", F.lit(p), F.lit(2)).alias("role")) for p in APPOINTED]
+    found = F.filter(F.concat(*matches), lambda m: release_name(m["name"]))
+    rows = rows.select("release_id", F.transform(found, lambda m: F.struct(m["name"].alias("name"), appointed_role(m["role"]).alias("role"))).alias("found"))
+    rows = rows.select("release_id", "found", F.explode(F.array_distinct(F.transform("found", lambda m: m["name"]))).alias("name"))
+    return rows.select("release_id", "name", F.get(F.filter("found", lambda m: (m["name"] == F.col("name")) & m["role"].isNotNull()), F.lit(0))["role"].alias("role"))
 
 
 def in_house(client: Column, domain: Column, agencies: list[str] = vocab.AGENCIES) -> Column:

@@ -534,7 +534,7 @@ def mime_body(documents):
 
 @query()
 def appointments(documents):
-    return mail.appointments(documents.select(F.col("doc_id").alias("release_id"), F.substring("text", 1, 60).alias("title"), F.col("text").alias("body")))
+    return mail.appointments(documents.select(F.col("doc_id").alias("release_id"), F.lit(None).cast("string").alias("title"), F.col("text").alias("body")))
 
 
 # ---- locators

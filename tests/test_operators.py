@@ -184,6 +184,40 @@ def test_mail(spark):
     assert found["info@c.test"].reason == "role"
 
 
+def test_people_in_text_where_there_are_no_others(spark):
+    def names(page):
+        parsed = html.parse_pages(spark.createDataFrame([(1, "https://site.test/", page)], "page_id int, url string, html string"))
+        return [(r.name, r.role) for r in html.card_people(parsed).orderBy("seq").collect()]
+
+    line = "<p>Ann Example - Sales Manager<br></p>\n<p>Bo Example | Service Advisor</p>\n<p>ann Example - x</p>\n<p>Ann Example - Director</p>"
+    assert names(f"<nav>Cy Example - Manager</nav>{line}") == [("Ann Example", "Sales Manager"), ("Bo Example", "Service Advisor")]
+    assert names(f"<h3>Cleo Example</h3><p>Service Advisor</p>{line}") == [("Cleo Example", "Service Advisor")]
+    assert names(f'<div class="card"><h3>Our Team</h3></div><h3>Cleo Example</h3><p>Service Advisor</p>{line}') == [("Cleo Example", "Service Advisor")]
+
+
+def test_context_of_replies(spark):
+    def found(body, reply_to=None):
+        parsed = spark.createDataFrame([(1, "s@s.test", reply_to, body)], "msg_id int, sender string, reply_to string, body string")
+        return {r.email: (r.full_name, r.role) for r in mail.harvest_replies(parsed).collect()}
+
+    assert found("hello\njd@a.test is Jane Doe\nBo Ray") == {"jd@a.test": ("Jane Doe", None)}
+    assert found("hello Jane Doe", "jd@a.test") == {"jd@a.test": (None, None)}
+    assert found("jd@a.test " + "x " * 60 + "Service Manager") == {"jd@a.test": (None, None)}
+
+
+def test_all_appointments(spark):
+    def people_(title, body):
+        rows = mail.appointments(spark.createDataFrame([(1, title, body)], "release_id int, title string, body string"))
+        return {r.name: r.role for r in rows.collect()}
+
+    assert people_("News", "Acme has appointed Jane Doe as General Manager. Bo Ray has been appointed to the Head of Design role from May.") == {"Jane Doe": "General Manager", "Bo Ray": "Head of Design role"}
+    assert people_("New chief", "This is about the appointment of Jane Doe, who succeeds Bo Ray.") == {"Jane Doe": None}
+    assert people_("Acme welcomes Jane Doe", "She starts on Monday.") == {"Jane Doe": None}
+    assert people_(None, "Jane Doe joins Acme as Director of Sales at Acme Motors. Jane Doe has been named a Fellow.") == {"Jane Doe": "Director of Sales"}
+    assert people_("x", "Acme welcomes Sales Team as guests; welcomes " + "Jane Doe to " + "w " * 9) == {"Jane Doe": None}
+    assert people_("Bo Ray", "nobody has been hired") == people_("Acme welcomes Jane Doe", None) == {}
+
+
 def test_locators(spark):
     def rows(brand, *payloads):
         raw = spark.createDataFrame([(brand, i, json.dumps(p)) for i, p in enumerate(payloads)], "brand_slug string, seq long, payload_json string")
