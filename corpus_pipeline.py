@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from brambler.llm.bpe import default_path, encode
 from brambler.llm.common import counted, read, saved
@@ -13,8 +14,10 @@ from brambler.llm.toxicity import score, train
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, trained on those of them that have labels, holds for toxic go."""
+    """Documents that the classifier, trained on those of them that have labels, holds for toxic go; all stay if it learned nothing."""
     model = train(docs, read(spark, sf_dir, "labels"))
+    if not len(model[0]):  # no weight: every text gets the same score, 0.5 without labelled rows, which tells nothing
+        return docs.withColumn("text", F.col("text").cast("string"))
     return score(docs, model, "__score").filter("__score < 0.5").select(*docs.columns)
 
 

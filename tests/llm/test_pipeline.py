@@ -1,3 +1,5 @@
+import zlib
+
 import corpus_pipeline
 from tests.llm.test_setsketch import brute
 
@@ -51,3 +53,14 @@ def test_odd_rows_and_extra_columns(spark):
                 assert all(r[n] == i for r in new.collect() for n, i in extra.items())
             at = new
         assert at.count() == 0 if table is not docs else at.count() > 0
+
+
+def test_all_stay_if_nothing_was_learned(spark, tmp_path):
+    """Labels that are empty, null, held out, or of no document: the first stage drops nothing."""
+    docs = spark.createDataFrame([(i, f"words of text {i}", "en", "a", 5) for i in (1, 2, None)], "doc_id long, text string, lang string, source string, n_chars long")
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 5 == 0)
+    more = docs.union(docs.limit(1).selectExpr(f"{held}L", "text", "lang", "source", "n_chars"))
+    for k, rows in enumerate([[], [(1, 1, None)], [(held, 1, 1)], [(999, 1, 1)]]):
+        spark.createDataFrame(rows, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/{k}/labels.parquet")
+        kept = corpus_pipeline.toxicity(spark, more, f"file://{tmp_path}/{k}")
+        assert kept.columns == COLUMNS and kept.count() == 4
