@@ -12,8 +12,9 @@ With 60 bands of 6 registers a pair at the threshold of 0.75 is missed in under
 0.8 in under 1 of 10^8. Equal sets are one class from the start, by a 128-bit digest.
 
 Odd input: without words (null, empty, blank) a set is empty and linked with nothing; a null doc_id counts as the
-largest id inside and its component_id is null if it is alone; rows that share a doc_id count as one document, each
-with a row in the result; other columns are not looked at; a table without rows gives none.
+largest id inside and its component_id is null if no row of its group has an id; rows that share a doc_id (or have
+none) are told apart by their texts and grouped each by its own, and of a group all rows with the smallest id are kept;
+other columns are not looked at; a table without rows gives none.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import NO_ID, doc_key, read, saved, small_batches, texts, tidy
@@ -100,7 +101,7 @@ def likeliest(a: np.ndarray, size_a: int, others: np.ndarray, sizes: np.ndarray)
 #: Estimates this far under the threshold (over six standard deviations) rule a pair out.
 MARGIN = 6.5 * math.sqrt(0.75 * 0.25 / M)
 
-SIGNED = pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("key", pa.binary()), ("registers", pa.binary())])
+SIGNED = pa.schema([("doc", pa.int64()), ("own", pa.string()), ("n", pa.int64()), ("key", pa.binary()), ("registers", pa.binary())])
 
 
 @tidy
@@ -119,7 +120,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = new[part : part + 128]
             for i, r in zip(own, sketches([sets[i] for i in own]), strict=True):
                 registers[i] = r.tobytes()
-        yield pa.RecordBatch.from_arrays([batch["doc"], pa.array(map(len, sets), pa.int64()), pa.array(keys, pa.binary()), pa.array(registers, pa.binary())], schema=SIGNED)
+        yield pa.RecordBatch.from_arrays([batch["doc"], batch["own"].cast(pa.string()), pa.array(map(len, sets), pa.int64()), pa.array(keys, pa.binary()), pa.array(registers, pa.binary())], schema=SIGNED)
 
 
 @tidy
@@ -174,13 +175,24 @@ def _verify(group: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], schema=LINK)
 
 
+def text_key() -> Column:
+    """With doc_key() a row's identity; rows that are equal in both are in one group."""
+    return F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc, n_shingles and component_id of each document (doc: its id, or NO_ID for null), one row for each row."""
+    return _grouped(docs).drop("own")
+
+
+def _grouped(docs: DataFrame) -> DataFrame:
+    """near_duplicates() with own, the text_key() of each row."""
     small_batches(docs.sparkSession)
-    docs = docs.select(doc_key().alias("doc"), F.col("text").cast("string").alias("text"))
-    signed = saved(docs.mapInArrow(_sign, "doc long, n long, key binary, registers binary"), "sketches")
-    classes = signed.filter("key is not null").groupBy("key").agg(F.min("doc").alias("rep"), F.min("n").alias("n"), F.max("registers").alias("registers"))
-    classes = saved(classes, "classes")
+    docs = docs.select(doc_key().alias("doc"), text_key().alias("own"), F.col("text").cast("string").alias("text"))
+    signed = saved(docs.mapInArrow(_sign, "doc long, own string, n long, key binary, registers binary"), "sketches")
+    # a class is a set: rep is its number, written once, and (doc, own) one row that has it
+    classes = signed.filter("key is not null").groupBy("key").agg(F.min(F.struct("doc", "own")).alias("row"), F.min("n").alias("n"), F.max("registers").alias("registers"))
+    classes = saved(classes.select(F.monotonically_increasing_id().alias("rep"), "key", "row.doc", "row.own", "n", "registers"), "classes")
 
     bands = classes.select("rep", "registers").mapInArrow(_bands, "band long, rep long")
     heads = bands.groupBy("band").agg(F.min("rep").alias("a"), F.max("rep").alias("last")).filter("a < last").drop("last")
@@ -207,19 +219,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     down = F.when(F.col("below") > 0, F.transform(F.sequence(F.lit(0), F.col("below") - 1), lambda k: F.struct((F.col("level") - 1).alias("l1"), k.alias("p1"), F.col("level").alias("l2"), F.col("part").alias("p2"), F.lit(1).alias("side")))).otherwise(F.array())
     pair_of = F.when(F.col("level") < 0, F.slice(own, 1, 1)).otherwise(F.concat(own, up, down))
     spread = placed.select("rep", "family", "registers", F.explode(pair_of).alias("at")).select("rep", "family", "registers", "at.*")
-    first = docs.join(members.select(F.col("rep").alias("doc")), "doc").dropDuplicates(["doc"])
-    blocks = first.withColumnRenamed("doc", "rep").join(spread, "rep")
+    first = docs.join(members.select("rep", "doc", "own"), ["doc", "own"]).select("rep", "text").dropDuplicates(["rep"])
+    blocks = first.join(spread, "rep")
     links = blocks.groupBy("family", "l1", "p1", "l2", "p2").applyInArrow(_verify, "a long, b long")
     found = components(saved(links, "near-links"))
 
-    named = classes.select("key", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select("key", F.coalesce("component", "rep").alias("component_id"))
-    return signed.select("doc", "n", "key").join(named, "key", "left").select("doc", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc").alias("component_id"))
+    found = classes.select("key", "rep", "doc").join(found.withColumnRenamed("node", "rep"), "rep", "left")
+    least = found.filter("component is not null").groupBy("component").agg(F.min("doc").alias("least"))
+    named = found.join(least, "component", "left").select("key", F.coalesce("least", "doc").alias("component_id"))
+    return signed.select("doc", "own", "n", "key").join(named, "key", "left").select("doc", "own", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc").alias("component_id"))
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """Rows of docs, without those documents whose group has one with a smaller doc_id."""
-    kept = near_duplicates(docs).filter("doc = component_id").select(F.col("doc").alias("__doc")).distinct()
-    return docs.withColumn("__doc", doc_key()).join(kept, "__doc", "left_semi").drop("__doc")
+    """Rows of docs, without those whose group has one with a smaller doc_id."""
+    kept = _grouped(docs).filter("doc = component_id").select(F.col("doc").alias("__doc"), F.col("own").alias("__own")).distinct()
+    return docs.withColumns({"__doc": doc_key(), "__own": text_key()}).join(kept, ["__doc", "__own"], "left_semi").drop("__doc", "__own")
 
 
 def op10_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:

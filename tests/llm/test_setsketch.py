@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 
-from brambler.llm.setsketch import M, likeliest, merge, near_duplicates, op10_setsketch, sketches
+from brambler.llm.setsketch import M, drop_near_duplicates, likeliest, merge, near_duplicates, op10_setsketch, sketches
 from brambler.llm import setsketch
 
 
@@ -68,3 +68,16 @@ def test_odd_tables(spark, tmp_path):
     rows = sorted(op10_setsketch(spark, f"file://{tmp_path}").collect(), key=str)
     assert sorted((str(r.doc_id), r.component_id, r.kept) for r in rows) == [("1", 1, True), ("1", 1, True), ("2", 2, True), ("None", 1, False)]
     assert near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_texts_that_share_an_id(spark):
+    """Null and repeated ids: each row goes by its own text, however rows are dealt."""
+    text = lambda n: " ".join(f"w{n}x{i}" for i in range(60))
+    near = lambda n: f"{text(n)} more"
+    rows = [(5, text(5)), (None, near(5)), (None, text(1)), (None, text(2)), (7, text(7)), (7, near(5)), (9, near(7)), (9, text(9)), (3, None), (None, None)]
+    want = {(5, text(5)): 5, (None, near(5)): 5, (None, text(1)): None, (None, text(2)): None, (7, text(7)): 7, (7, near(5)): 5, (9, near(7)): 7, (9, text(9)): 9, (3, None): 3, (None, None): None}
+    for k in (1, 4):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(k)
+        got = sorted((r.doc, r.component_id) for r in near_duplicates(docs).collect())
+        assert got == sorted((d or setsketch.NO_ID, c or setsketch.NO_ID) for (d, _), c in want.items())
+        assert sorted(map(str, ((r.doc_id, r.text) for r in drop_near_duplicates(docs).collect()))) == sorted(str(k) for k, c in want.items() if k[0] == c)
