@@ -8,8 +8,8 @@ quota beyond a shard's own blocks takes all of them as often as it goes and the
 is taken by whole rounds plus the words of chosen blocks that lie in it.
 
 Odd input: null, empty and blank texts have size 0 and are never taken; null is a source like any other; null ids are
-lined up like the rest, by their text; rows that are equal in all of this are lined up side by side, each taken for
-itself; other columns stay; a table without rows gives none.
+lined up like the rest, by their text; rows that share an id are lined up side by side, by size and text, each taken
+for itself; other columns stay; a table without rows gives none.
 """
 
 from __future__ import annotations
@@ -91,11 +91,11 @@ def plan(docs: DataFrame, sources: dict) -> DataFrame:
     rows = docs.join(F.broadcast(info), F.col("source").eqNullSafe(F.col("__name"))).drop("__name")
     order = F.xxhash64(F.col("doc_id").cast("string"), F.lit(SEED), F.when(F.col("doc_id").isNull(), F.col("text")))
     rows = rows.withColumn("__order", order).withColumn("__shard", F.pmod(F.xxhash64("__order", F.lit(SEED + 1)), F.col("__shards")).cast("int"))
-    small = saved(rows.select("doc_id", "__s", "__shard", "__order", "size", "target", "source_size"), "mix-rows")
+    small = saved(rows.select("__row", "doc_id", "__s", "__shard", "__order", "__tie", "size", "target", "source_size"), "mix-rows")
 
     held = small.groupBy("__s", "__shard").agg(F.sum("size").alias("words"), F.first("target").alias("target"), F.first("source_size").alias("source_size"))
     quota = held.groupBy("__s").applyInArrow(_quota, "__s long, __shard int, words long, quota long")
-    line = Window.partitionBy("__s", "__shard").orderBy("__order", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    line = Window.partitionBy("__s", "__shard").orderBy("__order", "doc_id", "size", "__tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     lined = small.withColumn("end", F.sum("size").over(line)).withColumn("start", F.col("end") - F.col("size"))
     blocks = F.ceil(F.col("words") / BLOCK).cast("long")
     lined = lined.join(quota, ["__s", "__shard"]).withColumn("rounds", F.when(F.col("words") > 0, F.floor(F.col("quota") / blocks)).otherwise(0).cast("long"))
@@ -139,7 +139,7 @@ def _pieces(s: int, shard: int, blocks: int, rest: int, start: int, end: int, ca
     return [(max(start, (first + a) * BLOCK) - start, min(end, (first + b) * BLOCK) - start) for a, b in edges.reshape(-1, 2).tolist()]
 
 
-TAKEN = "doc_id long, size long, source_size long, target double, taken long, rounds long, pieces array<struct<from:long,to:long>>, __order long"
+TAKEN = "doc_id long, size long, source_size long, target double, taken long, rounds long, pieces array<struct<from:long,to:long>>, __row long"
 
 
 @tidy
@@ -151,13 +151,14 @@ def _take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         taken = [k * n + sum(b - a for a, b in p) for k, n, p in zip(col["rounds"], col["size"], pieces, strict=True)]
         kind = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
         yield pa.RecordBatch.from_arrays(
-            [batch["doc_id"], batch["size"], batch["source_size"], batch["target"], pa.array(taken, pa.int64()), batch["rounds"], pa.array([[{"from": a, "to": b} for a, b in p] for p in pieces], kind), batch["__order"]],
-            names=["doc_id", "size", "source_size", "target", "taken", "rounds", "pieces", "__order"],
+            [batch["doc_id"], batch["size"], batch["source_size"], batch["target"], pa.array(taken, pa.int64()), batch["rounds"], pa.array([[{"from": a, "to": b} for a, b in p] for p in pieces], kind), batch["__row"]],
+            names=["doc_id", "size", "source_size", "target", "taken", "rounds", "pieces", "__row"],
         )
 
 
 def _sized(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), size_of(F.col("text")).alias("size"), F.col("text").cast("string").alias("text"))
+    row = F.col("__row") if "__row" in docs.columns else F.lit(0).cast("long")
+    return docs.select(row.alias("__row"), F.xxhash64(F.col("text").cast("string")).alias("__tie"), F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), size_of(F.col("text")).alias("size"), F.col("text").cast("string").alias("text"))
 
 
 def source_sizes(docs: DataFrame) -> dict:
@@ -184,9 +185,10 @@ def op4_sainte_lague(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix itself, in the columns of docs: a row for each whole round of a document and one for its further pieces."""
     small_batches(docs.sparkSession)
-    found = mix(docs).filter("taken > 0").select("__order", F.col("rounds").alias("__rounds"), F.col("pieces").alias("__pieces")).dropDuplicates(["__order"])
-    order = F.xxhash64(F.col("doc_id").cast("long").cast("string"), F.lit(SEED), F.when(F.col("doc_id").isNull(), F.col("text").cast("string")))
-    rows = docs.withColumn("text", F.col("text").cast("string")).withColumn("__order", order).join(found, "__order")
+    # rows get numbers in a written table, so that each meets its own part of the plan, whatever its id
+    rows = saved(docs.withColumn("text", F.col("text").cast("string")).withColumn("__row", F.monotonically_increasing_id()), "mix-docs")
+    found = mix(rows).filter("taken > 0").select("__row", F.col("rounds").alias("__rounds"), F.col("pieces").alias("__pieces"))
+    rows = rows.join(found, "__row")
 
     names = docs.columns
 

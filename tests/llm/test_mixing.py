@@ -71,3 +71,23 @@ def test_documents_of_the_mix(spark):
         assert all(w in at for w in own)  # pieces are in order
     assert count == {i: n for i, n in taken.items() if n}
     assert mixed_documents(docs.limit(0)).count() == 0
+
+
+def test_documents_that_share_an_id(spark):
+    """Words by id come to what the plan says, for null and repeated ids with equal and other texts, in every run."""
+    rng = random.Random(5)
+    rows = [(rng.choice([None, 1, 2, 3, *range(10, 200)]), " ".join(f"{i}.{k}" for k in range(rng.choice([3, 90, 300]))), rng.choice(["a", "a", "b", None])) for i in range(300)]
+    rows += [(1, "same " * 100, "a")] * 5 + [(None, "none " * 100, "a")] * 5
+    runs = []
+    for k in (1, 3):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(k)
+        taken: dict = {}
+        for r in mix(docs).collect():
+            taken[r.doc_id] = taken.get(r.doc_id, 0) + r.taken
+        got = mixed_documents(docs).collect()
+        count: dict = {}
+        for r in got:
+            count[r.doc_id] = count.get(r.doc_id, 0) + len(r.text.split())
+        assert count == {i: n for i, n in taken.items() if n}
+        runs.append(sorted(map(str, got)))
+    assert runs[0] == runs[1]
