@@ -33,8 +33,14 @@ CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 SIGN = re.compile(r"[0-9@]")
 DIGITS = re.compile(r"[0-9]")
-#: Words of a pattern, the characters before a token in which they are looked for, and the longest token.
-WORDS, BEFORE, LONGEST = 2, 48, 80
+SPACE = re.compile(r"\s")
+#: What may stand between the digits of a group-wise identifier, and its groups one after another.
+GROUPED = re.compile(r"[+(]?[0-9]++(?=[ ().-]{1,3}[0-9])")
+NEXT = re.compile(r"[ ().-]{1,3}[0-9]++")
+#: Digits that a card may have at least and at most, and a phone, if they don't keep the kind's rule.
+CARD_DIGITS, PHONE_DIGITS = (12, 19), (7, 15)
+#: Words of a pattern, and the characters before a token in which they are looked for first.
+WORDS, BEFORE = 2, 48
 CUES = ":=#"
 ROUNDS = 3
 #: A pattern is trusted from this score and this many different seeds on.
@@ -81,24 +87,56 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def pattern_before(text: str, start: int) -> str | None:
     """The lexical pattern that ends where a token starts; None if too little stands there."""
-    before = text[max(0, start - BEFORE) : start]
-    words = before.lower().split()
-    if len(before) == BEFORE and words and not before[0].isspace():
-        words = words[1:]  # cut in the middle
-    if words and words[-1][-1] in CUES and not SIGN.search(words[-1]):
-        return words[-1]
+    size, words = BEFORE, []
+    while True:
+        at = max(0, start - size)
+        before = text[at:start]
+        words = before.lower().split()
+        sign = any(map(SIGN.search, words[-WORDS:]))
+        if at and words and not before[0].isspace():
+            words = words[1:]  # may be cut in the middle
+        if words and words[-1][-1] in CUES and not SIGN.search(words[-1]):
+            return words[-1]
+        if len(words) >= WORDS or not at or sign:
+            break
+        size *= 4
     words = words[-WORDS:]
-    return " ".join(words) if len(words) == WORDS and not any(map(SIGN.search, words)) else None
+    return " ".join(words) if len(words) == WORDS and not sign else None
 
 
 def allowed(kind: int, token: str) -> bool:
     """Whether a token can be of a kind at all, though it doesn't keep the kind's rule."""
     digits = len(DIGITS.findall(token))
-    return (kind == 0 and "@" in token) or (kind == 1 and token.count(".") >= 3 and digits >= 4) or (kind == 2 and 12 <= digits <= 19) or (kind == 3 and 7 <= digits <= 15 and "@" not in token)
+    return (kind == 0 and "@" in token) or (kind == 1 and token.count(".") >= 3 and digits >= 4) or (kind == 2 and CARD_DIGITS[0] <= digits <= CARD_DIGITS[1]) or (kind == 3 and PHONE_DIGITS[0] <= digits <= PHONE_DIGITS[1] and "@" not in token)
+
+
+def grown(text: str, start: int, least: int, limit: int) -> list[tuple[int, int]]:
+    """(kind, end) for card and phone where the digits from start on, over the blanks, parentheses, dots and hyphens
+    between their groups, give one; each as long as the kind allows. Ends are behind least, none beyond limit."""
+    first = GROUPED.match(text, start)
+    if not first:
+        return []
+    best: dict[int, int] = {}
+    end, digits, plain = first.end(), len(DIGITS.findall(first[0])), text[start] not in "+("
+    while m := NEXT.match(text, end):
+        mark = m[0].rstrip("0123456789")
+        end, digits, plain = m.end(), digits + len(m[0]) - len(mark), plain and mark in (" ", "-")
+        if end > limit or digits > CARD_DIGITS[1]:
+            break
+        if end > least and not (text[end : end + 1].isalnum() or text[end : end + 1] in ("@", "_")):
+            if plain and digits >= CARD_DIGITS[0]:
+                best[2] = end
+            if PHONE_DIGITS[0] <= digits <= PHONE_DIGITS[1]:
+                best[3] = end
+    return sorted(best.items())
 
 
 def occurrences(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
-    """Base spans and identifier-like tokens, each with pattern and instance; kinds: bits of the kinds it may get."""
+    """Base spans and identifier-like tokens, each with pattern and instance; kinds: bits of the kinds it may get.
+
+    A token grows over the groups of digits behind it for a card or phone that it can't be alone. Of several spans at a
+    place only the first has an instance, so that the place counts once.
+    """
     out = []
     for kind, a, b in base:
         if p := pattern_before(text, a):
@@ -109,25 +147,32 @@ def occurrences(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
         if m.start() < done:
             continue
         a, b = m.start(), m.end()
-        while a > done and not text[a - 1].isspace() and b - a <= LONGEST:
+        while a > done and not text[a - 1].isspace():
             a -= 1
-        while b < len(text) and not text[b].isspace() and b - a <= LONGEST:
-            b += 1
-        done = b
-        if b - a > LONGEST:
-            continue
+        space = SPACE.search(text, b)
+        b = done = space.start() if space else len(text)
         while a < b and text[a] in "\"'([{<":
             a += 1
+        opened = a > 0 and text[a - 1] == "("
         while b > a and text[b - 1] in ".,;:!?\"')]}>":
             b -= 1
         while k < len(taken) and taken[k][1] <= a:
             k += 1
-        if b - a < 4 or any(x < b and y > a for x, y in taken[max(0, k - 1) : k + 8]):
+        if any(x < b and y > a for x, y in taken[max(0, k - 1) : k + 8]):
             continue
         token = text[a:b]
         kinds = sum(1 << i for i in range(len(KINDS)) if allowed(i, token))
-        if p := pattern_before(text, a):
-            out.append({"pattern": p, "instance": token.lower(), "seed": None, "kinds": kinds, "start": a, "end": b})
+        # a "(" that is closed behind the first digits is part of the run
+        start = a - 1 if opened and text[b : b + 1] == ")" and token.isdigit() else a
+        ends = [(i, e) for i, e in grown(text, start, b, taken[k][0] if k < len(taken) else len(text)) if not kinds >> i & 1]
+        if not ends and b - a < 4:
+            continue
+        if not kinds and ends:
+            done = max(done, max(e for _, e in ends))
+        spans = [(a, b, kinds)] * bool(kinds or not ends) + [(start, e, 1 << i) for i, e in sorted(ends, key=lambda x: -x[1])]
+        if p := pattern_before(text, spans[0][0]):
+            for n, (x, y, own) in enumerate(spans):
+                out.append({"pattern": p, "instance": None if n else text[x:y].lower(), "seed": None, "kinds": own, "start": x, "end": y})
     return out
 
 
@@ -147,7 +192,7 @@ def _look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text in batch["text"].to_pylist():
             base = base_spans(text or "")
             spans.append([{"kind": k, "start": a, "end": b} for k, a, b in base])
-            seen.append([o | {"pattern": number(o["pattern"]), "instance": number(o["instance"])} for o in occurrences(text or "", base)])
+            seen.append([o | {"pattern": number(o["pattern"]), "instance": None if o["instance"] is None else number(o["instance"])} for o in occurrences(text or "", base)])
         span = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64())]))
         note = pa.list_(pa.struct([("pattern", pa.int64()), ("instance", pa.int64()), ("seed", pa.int32()), ("kinds", pa.int32()), ("start", pa.int64()), ("end", pa.int64())]))
         yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(spans, span), pa.array(seen, note)], names=["doc_id", "base", "seen"])
@@ -175,7 +220,7 @@ def find_pii(docs: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(_look, f"doc_id {dict(docs.dtypes)['doc_id']}, base {SPAN}, seen {SEEN}")
     rows = saved(rows.withColumn("row", F.monotonically_increasing_id()), "pii")
     seen = rows.select("row", F.explode("seen").alias("o")).select("row", "o.*")
-    best = trusted_patterns(seen.select("pattern", "instance", "seed")).groupBy("pattern").agg(F.max_by("kind", F.struct("score", -F.col("kind"))).alias("kind"))
+    best = trusted_patterns(seen.filter("instance is not null").select("pattern", "instance", "seed")).groupBy("pattern").agg(F.max_by("kind", F.struct("score", -F.col("kind"))).alias("kind"))
     new = seen.filter("seed is null and kinds > 0").join(best, "pattern").filter("(shiftright(kinds, kind) & 1) = 1")
     more = new.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("kind", "start", "end"))).alias("more"))
     return rows.drop("seen").join(more, "row", "left").select("doc_id", "base", F.coalesce("more", F.array().cast(SPAN)).alias("more"))

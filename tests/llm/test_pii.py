@@ -4,7 +4,7 @@ import re
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from brambler.llm.pii import KINDS, base_sha256, base_spans, luhn, op5_pii
+from brambler.llm.pii import KINDS, base_sha256, base_spans, luhn, op5_pii, pattern_before
 
 
 def plain(text):
@@ -49,3 +49,38 @@ def test_patterns_find_more(spark, tmp_path):
     assert all(rows[i].n_added == 0 for i in range(n))
     frame.limit(0).write.parquet(f"{tmp_path}/no/documents.parquet")
     assert op5_pii(spark, f"file://{tmp_path}/no").count() == 0
+
+
+def test_identifiers_in_groups(spark, tmp_path):
+    rng = random.Random(3)
+    docs = []
+    for n in range(12):
+        number = "4" + "".join(rng.choices("0123456789", k=14))
+        number += next(d for d in "0123456789" if luhn(number + d))
+        docs += [(3 * n, f"pay by card: {number} now"), (3 * n + 1, f"please call phone: +1 (555) 555-{rng.randint(1000, 9999)} now"), (3 * n + 2, f"some words reach me at u{n}@example.com for more")]
+    cases = {
+        "use card: 4111 1111 1111 1112 today": "card:10:29",
+        "use card: 4111-1111 1111-1112, ok": "card:10:29",
+        "a phone: (555) 555-1234 x": "phone:9:23",
+        "a phone: 555 123 4567.": "phone:9:21",
+        "a phone: 555.123 4567 4111 1111 1111": "phone:9:26",
+        "a phone: 555-555-0199 3 times": "phone:9:21",
+        "the 555 123 4567 alone": "",
+        "phone: 555 123": "",
+        "a phone: 555 123 45x7": "",
+        "a phone: 555 1234 x@example.com": "email:18:31,phone:9:17",
+        "write or reach me at " + "long" * 30 + "@localhost": f"email:21:{21 + 120 + 10}",
+        "reach" + " " * 60 + "me" + " " * 60 + "at me at joe@localhost": f"email:{5 + 60 + 2 + 60 + 9}:{5 + 60 + 2 + 60 + 22}",
+    }
+    docs += [(100 + i, t) for i, t in enumerate(cases)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r.doc_id: r for r in op5_pii(spark, f"file://{tmp_path}").collect()}
+    assert {t: rows[100 + i].spans for i, t in enumerate(cases)} == cases
+    assert all(rows[i].n_added == 0 for i in range(36))
+
+
+def test_words_of_a_pattern_may_be_far():
+    assert pattern_before("reach" + " " * 60 + "me" + " " * 90, 157) == "reach me"
+    assert pattern_before("a" * 90 + " by x", 92 + 2) == "a" * 90 + " by"
+    assert pattern_before("one 2two three x", 15) is None and pattern_before("5 " + "w" * 90 + ": x", 94) == "w" * 90 + ":"
+    assert pattern_before("alone ", 6) is None
