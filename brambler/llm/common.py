@@ -25,10 +25,13 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """URI of the folder that the driver and all executors see: spark.checkpoint.dir, set here only if the session has none."""
+    """URI of the folder that the driver and all executors see: spark.checkpoint.dir. A session without one gets a folder
+    of this machine if all its tasks run here (as in tests), else an error."""
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if sc._jsc.sc().getCheckpointDir().isEmpty() and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors see")
         if sc._jsc.sc().getCheckpointDir().isEmpty():
             sc.setCheckpointDir(f"file://{tempfile.mkdtemp(prefix='brambler-')}")
         found = sc._jsc.sc().getCheckpointDir().get()
@@ -104,7 +107,8 @@ _released = [0.0]
 
 
 def tidy(task):
-    """For functions of mapInArrow and applyInArrow: release() after each task, or after a group if some time has passed."""
+    """For functions of mapInArrow and applyInArrow (of one table or two): release() after each task, or after a group if
+    some time has passed."""
 
     @functools.wraps(task)
     def over_batches(batches):
@@ -113,13 +117,25 @@ def tidy(task):
         finally:
             release()
 
+    def now_and_then() -> None:
+        if time.monotonic() - _released[0] > RELEASE_S:
+            release()
+            _released[0] = time.monotonic()
+
     @functools.wraps(task)
     def over_group(group):
         try:
             return task(group)
         finally:
-            if time.monotonic() - _released[0] > RELEASE_S:
-                release()
-                _released[0] = time.monotonic()
+            now_and_then()
+
+    @functools.wraps(task)
+    def over_groups(left, right):
+        try:
+            return task(left, right)
+        finally:
+            now_and_then()
 
-    return over_batches if inspect.isgeneratorfunction(task) else over_group
+    if inspect.isgeneratorfunction(task):
+        return over_batches
+    return over_group if len(inspect.signature(task).parameters) == 1 else over_groups

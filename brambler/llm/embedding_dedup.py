@@ -5,14 +5,14 @@ of TABLES tables quantises PROJECTIONS random projections in cells of WIDTH. At
 one cell in 88.6 of 100 cases, so a pair is missed by all tables with probability (1 - 0.886^12)^44, about 1 in 120,000
 at the threshold itself and far less above it. What shares a cell is compared by exact cosine in double precision.
 
-Cells with more than BLOCK members are cut at random into parts and compared part by part, so no task holds a large
+Cells with more than BLOCK members are cut by a hash into parts and compared part by part, so no task holds a large
 cell. A pair is counted in the first table that brings it together; tasks give counts and the links that connect, not
 pairs. Equal vectors are one class with a weight.
 
 Odd input: vectors that are null, zero or hold null or non-finite components, or whose label is null, link with
-nothing; so do vectors of different lengths with each other; a null vec_id counts as the largest id inside and comes
-back as null; rows with equal vec_id are vectors of their own, and the id names the class they are in; extra columns
-are not looked at; a table without rows gives none.
+nothing; so do vectors of different lengths with each other; rows with equal or null vec_id are vectors of their own,
+linked each by its components; a null vec_id counts as the largest id, so a component's id is null only if no row in it
+has one; extra columns are not looked at; a table without rows gives none.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from .words import mix
 
 TABLES, PROJECTIONS, WIDTH = 44, 12, 1.4
 MIN_COSINE = 0.98
-BLOCK = 512
+BLOCK = 1024
 #: Members of a cell up to which its pairs are looked at together with those of other cells.
 FEW = 32
 SEED = 3
@@ -99,9 +99,9 @@ def _large(ids: np.ndarray, side: np.ndarray, both: bool, weight: np.ndarray, x:
     count, edges, own = np.zeros(len(ids), np.int64), [], np.arange(len(ids))
     for i in range(len(ids)):
         js = np.arange(i + 1, len(ids))
-        js = js[x[js] @ x[i] >= MIN_COSINE]
         js = js[side[js] != side[i]] if both else js
-        js = js[~(hashes[js, :table] == hashes[i, :table]).any(1)]
+        js = js[~(hashes[js, :table] == hashes[i, :table]).any(1)]  # the others were counted in an earlier table
+        js = js[x[js] @ x[i] >= MIN_COSINE]
         count[i] += weight[js].sum()
         count[js] += weight[i]
         for j in js[own[js] != own[i]]:
@@ -133,11 +133,11 @@ def _compare(rows: pa.Table) -> pa.RecordBatch:
         j = i + d
         ok = (group[i] == group[j]) & ((p[i] == q[i]) | (side[i] != side[j]))
         i, j = i[ok], j[ok]
-        ok = np.einsum("ij,ij->i", x[i], x[j]) >= MIN_COSINE
-        i, j = i[ok], j[ok]
         # counted in the first table that has both in one cell
         ok = (hashes[i] == hashes[j]).argmax(1) == table[i]
         i, j = i[ok], j[ok]
+        ok = np.einsum("ij,ij->i", x[i], x[j]) >= MIN_COSINE
+        i, j = i[ok], j[ok]
         np.add.at(count, i, weight[j])
         np.add.at(count, j, weight[i])
         a += ids[i].tolist()
@@ -180,7 +180,9 @@ def near_vectors(rows: DataFrame) -> DataFrame:
     small_batches(rows.sparkSession)
     rows = rows.select(F.coalesce(F.col("vec_id").cast("long"), F.lit(NO_ID)).alias("id"), F.col("label").cast("string").alias("label"), F.col("embedding").cast("array<double>").alias("embedding"))
     classed = saved(rows.mapInArrow(_classed, "id long, label string, key binary, vector binary"), "vectors")
-    classes = saved(classed.filter("key is not null").groupBy("key").agg(F.min("id").alias("rep"), F.count("*").alias("weight"), F.max("vector").alias("vector"), F.min("label").alias("label")), "vector-classes")
+    # a class is a label and a vector: rep is its number, written once, and id the smallest one of its rows
+    classes = classed.filter("key is not null").groupBy("key").agg(F.min("id").alias("id"), F.count("*").alias("weight"), F.max("vector").alias("vector"), F.min("label").alias("label"))
+    classes = saved(classes.withColumn("rep", F.monotonically_increasing_id()), "vector-classes")
     placed = saved(classes.mapInArrow(_celled, "rep long, vector binary, hashes binary, cells array<long>, weight long"), "vector-cells")
     members = placed.select("rep", F.explode("cells").alias("cell"))
     held = saved(members.groupBy("cell").agg(F.count("*").alias("n")).filter("n > 1").select("cell", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts")), "cell-sizes")
@@ -193,15 +195,16 @@ def near_vectors(rows: DataFrame) -> DataFrame:
     found = saved(found, "vector-links")
     counts = found.filter("b is null").groupBy("a").agg(F.sum("n").alias("n")).withColumnRenamed("a", "rep")
     groups = components(found.filter("b is not null")).withColumnRenamed("node", "rep")
-    named = classes.select("key", "rep", "weight").join(counts, "rep", "left").join(groups, "rep", "left")
-    named = named.select("key", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
+    named = classes.select("key", "rep", "id", "weight").join(counts, "rep", "left").join(groups, "rep", "left")
+    least = groups.join(classes.select("rep", "id"), "rep").groupBy("component").agg(F.min("id").alias("least"))
+    named = named.join(least, "component", "left").select("key", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("least", "id").alias("component_id"))
     return classed.select("id", "key").join(named, "key", "left").select("id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "id").alias("component_id"))
 
 
 def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_vectors(read(spark, sf_dir, "embeddings"))
     ids = [F.when(F.col(c) != NO_ID, F.col(c)).alias(n) for c, n in (("id", "vec_id"), ("component_id", "component_id"))]
-    return found.select(*ids, "n_links", (F.col("id") == F.col("component_id")).alias("kept"))
+    return found.select(ids[0], "n_links", ids[1], (F.col("id") == F.col("component_id")).alias("kept"))
 
 
 #: Whole-table SQL for the same rows.

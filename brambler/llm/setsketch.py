@@ -3,10 +3,16 @@
 A document's set is its distinct runs of five words. Its sketch has M registers: register i holds the smallest of the
 exponential values that the set's elements draw for i, on a scale of powers of BASE and cut to 16 bits. Sketches of
 unions are the larger values register by register (merge()), and equal registers are the likelier the more similar two
-sets are. Runs of ROWS registers are hashed as bands. Documents that share a band's value fall into one family; in a
-family, the joint likelihood of all registers (how many are larger, smaller, equal) rules out pairs far below the
-threshold, and all others are confirmed on the full sets. Groups are never expanded into pairs of rows: a family is
-compared in blocks of bounded size and a block gives at most one link for each of its members.
+sets are. Runs of ROWS registers are hashed as bands, and documents that share a band's value are candidates:
+
+1. Every member of a band is told the band's first member and the one before it. Of all these partners each document
+   is compared with two, those it shares most bands with. That is work in proportion to the documents, however many
+   share a band, and joins nearly all that belongs together.
+2. Bands whose members are in different components after that are compared whole, but for pairs of one component: by
+   the joint likelihood of their registers (how many are larger, smaller, equal), which rules out pairs far below the
+   threshold. A pair counts in the first band it shares. Large bands go by classes of size (similar sets differ by one
+   class at most) and in blocks of bounded size, whose rows are registers without texts.
+3. Pairs that are left are confirmed on the full sets; texts of documents without such a pair are not sent.
 
 With 60 bands of 6 registers a pair at the threshold of 0.75 is missed in under 1 of 100,000 cases (0.822^60), one of
 0.8 in under 1 of 10^8. Equal sets are one class from the start, by a 128-bit digest.
@@ -14,7 +20,7 @@ With 60 bands of 6 registers a pair at the threshold of 0.75 is missed in under
 Odd input: without words (null, empty, blank) a set is empty and linked with nothing; a null doc_id counts as the
 largest id inside and its component_id is null if no row of its group has an id; rows that share a doc_id (or have
 none) are told apart by their texts and grouped each by its own, and of a group all rows with the smallest id are kept;
-other columns are not looked at; a table without rows gives none.
+very long texts are one set like any other; other columns are not looked at; a table without rows gives none.
 """
 
 from __future__ import annotations
@@ -39,8 +45,10 @@ BASE = 1.001
 TOP = 2**16 - 2
 #: Shares of the union, in hundredths: links need 100 * intersection >= 75 * union.
 PERCENT = 75
-#: Members and elements of a block of a family at most.
-BLOCK_DOCS, BLOCK_ELEMENTS = 200, 400_000
+#: Members of a band that are compared as one block, pairs and elements of sets that a task confirms at once, about.
+BLOCK, PAIRS, ELEMENTS = 512, 400, 400_000
+#: Members of a block up to which its pairs are looked at together with those of other blocks.
+FEW = 24
 
 
 def sketches(sets: list[np.ndarray], m: int = M) -> np.ndarray:
@@ -82,22 +90,31 @@ def merge(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 GRID = np.linspace(0, 1, 101)
 
 
-def likeliest(a: np.ndarray, size_a: int, others: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The Jaccard similarity of one sketch to each of the others that makes their registers likeliest.
+def likeliest(a: np.ndarray, sizes_a: np.ndarray, b: np.ndarray, sizes_b: np.ndarray) -> np.ndarray:
+    """For each row the Jaccard similarity of two sketched sets that makes their registers likeliest.
 
     With sizes as shares u and v of their sum, a register of the first is larger with probability p(u - v J), smaller
     with p(v - u J) and equal otherwise, where p(x) = -log(1 - x (BASE - 1) / BASE, BASE).
     """
-    larger, smaller = (a > others).sum(1), (a < others).sum(1)
-    u = (size_a / (size_a + sizes))[:, None]
+    larger, smaller = (a > b).sum(1), (a < b).sum(1)
+    u = (sizes_a / (sizes_a + sizes_b))[:, None]
     p = lambda x: np.clip(-np.log1p(-np.clip(x, 0, 1) * (BASE - 1) / BASE) / math.log(BASE), 1e-9, 1)
     up, down = p(u - (1 - u) * GRID), p((1 - u) - u * GRID)
     even = np.clip(1 - up - down, 1e-9, 1)
-    score = larger[:, None] * np.log(up) + smaller[:, None] * np.log(down) + (len(a) - larger - smaller)[:, None] * np.log(even)
+    score = larger[:, None] * np.log(up) + smaller[:, None] * np.log(down) + (a.shape[1] - larger - smaller)[:, None] * np.log(even)
     score[GRID[None, :] > np.minimum(u / (1 - u), (1 - u) / u) + 0.01] = -np.inf
     return GRID[score.argmax(1)]
 
 
+def likely(i: np.ndarray, j: np.ndarray, registers: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Which pairs (i, j) of rows their registers don't rule out."""
+    out = np.zeros(len(i), bool)
+    for at in range(0, len(i), 2048):
+        x, y = i[at : at + 2048], j[at : at + 2048]
+        out[at : at + 2048] = likeliest(registers[x], sizes[x], registers[y], sizes[y]) >= PERCENT / 100 - MARGIN
+    return out
+
+
 #: Estimates this far under the threshold (over six standard deviations) rule a pair out.
 MARGIN = 6.5 * math.sqrt(0.75 * 0.25 / M)
 
@@ -125,54 +142,126 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @tidy
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A hash of each band's registers, whose last 6 bits are the band's number."""
     tag = mix(np.arange(BANDS, dtype=np.uint64) + np.uint64(77))
     for batch in batches:
-        registers = np.frombuffer(b"".join(batch["registers"].to_pylist()), np.uint16).reshape(-1, BANDS, ROWS).astype(np.uint64)
+        registers = registers_of(batch["registers"]).reshape(-1, BANDS, ROWS).astype(np.uint64)
         h = np.broadcast_to(tag, registers.shape[:2]).copy()
         for j in range(ROWS):
             h = mix(h * np.uint64(31) + registers[:, :, j])
+        h = (h & np.uint64(2**64 - 64)) | np.arange(BANDS, dtype=np.uint64)
         yield pa.RecordBatch.from_arrays([pa.array(h.ravel().view(np.int64)), pa.array(np.repeat(batch["rep"].to_numpy(), BANDS))], names=["band", "rep"])
 
 
-def links_among(docs: list[int], sides: list[int], both: bool, sets: list[np.ndarray], registers: np.ndarray) -> list[tuple[int, int]]:
-    """Links that connect what is similar among documents; if there are two sides, only from one to the other."""
-    order = np.argsort([len(s) for s in sets], kind="stable")
-    docs, sides, sets, registers = [docs[i] for i in order], np.array(sides)[order], [sets[i] for i in order], registers[order]
-    sizes = np.array([len(s) for s in sets])
-    names, ids = np.unique(np.concatenate(sets), return_inverse=True)
-    starts = np.concatenate([[0], np.cumsum(sizes)])
-    group, out, marked = np.arange(len(docs)), [], np.zeros(len(names), bool)
-    for i in range(len(docs)):
-        end = int(np.searchsorted(sizes, sizes[i] * 100 // PERCENT, "right"))
-        js = np.arange(i + 1, end)
-        js = js[(group[js] != group[i]) & ((sides[js] != sides[i]) | (not both))]
-        if len(js):
-            js = js[likeliest(registers[i], sizes[i], registers[js], sizes[js]) >= PERCENT / 100 - MARGIN]
-        if not len(js):
+def registers_of(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, M)
+
+
+SHARED = pa.schema([("band", pa.int64()), ("rep", pa.int64()), ("head", pa.int64()), ("prior", pa.int64())])
+
+
+@tidy
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come by (band, rep). All members of a band but its first one, with that one and the one before them."""
+    band = rep = head = np.zeros(0, np.int64)  # the last row that was seen
+    for batch in batches:
+        if not batch.num_rows:
             continue
-        marked[ids[starts[i] : starts[i + 1]]] = True
-        for j in js:
-            if group[j] != group[i]:
-                shared = int(marked[ids[starts[j] : starts[j + 1]]].sum())
-                if 100 * shared >= PERCENT * (sizes[i] + sizes[j] - shared):
-                    out.append((docs[i], docs[j]))
-                    group[group == group[j]] = group[i]
-        marked[ids[starts[i] : starts[i + 1]]] = False
-    return out
+        last = len(band)
+        band, rep = np.concatenate([band, batch["band"].to_numpy()]), np.concatenate([rep, batch["rep"].to_numpy()])
+        new = np.concatenate([[True], band[1:] != band[:-1]])
+        starts = np.flatnonzero(new)
+        own = rep[starts]
+        if last:
+            own[0] = head[0]
+        heads = own[np.cumsum(new) - 1]
+        at = np.flatnonzero(~new)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (band[at], rep[at], heads[at], rep[at - 1])], schema=SHARED)
+        band, rep, head = band[-1:], rep[-1:], heads[-1:]
+
+
+NEAR = pa.schema([("block", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
+
+
+def _pairs_of(rows: pa.Table) -> pa.RecordBatch:
+    """For whole blocks, sorted: pairs of members that the block has to tell of and that their registers don't rule out."""
+    block, rep, comp, n, band, side, half = (rows[c].to_numpy() for c in ("block", "rep", "comp", "n", "band", "side", "half"))
+    registers = registers_of(rows["registers"].combine_chunks())
+    new = np.concatenate([[True], block[1:] != block[:-1]])
+    group, starts = np.cumsum(new) - 1, np.flatnonzero(new)
+    sizes = np.diff(np.append(starts, len(rep)))
+
+    def told(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ok = (comp[i] != comp[j]) & (rep[i] != rep[j]) & (100 * np.minimum(n[i], n[j]) >= PERCENT * np.maximum(n[i], n[j]))
+        ok &= ~((side[i] == 1) & (side[j] == 1)) & ((half[i] < 0) | (half[i] != half[j]))
+        i, j = i[ok], j[ok]
+        same = (registers[i] == registers[j]).reshape(-1, BANDS, ROWS).all(2)
+        ok = same.any(1) & (same.argmax(1) == (band[i] & 63))
+        i, j = i[ok], j[ok]
+        ok = likely(i, j, registers, n)
+        return i[ok], j[ok]
+
+    found = []
+    small = np.flatnonzero(sizes[group] <= FEW)
+    for d in range(1, min(FEW, int(sizes.max()))):
+        i = small[small + d < len(rep)]
+        i = i[group[i] == group[i + d]]
+        found += [told(i[at : at + 4096], i[at : at + 4096] + d) for at in range(0, len(i), 4096)]
+    for g in np.flatnonzero(sizes > FEW):
+        end = starts[g] + sizes[g]
+        for i in range(starts[g], end - 1):
+            j = np.arange(i + 1, end)
+            found.append(told(np.full(len(j), i), j))
+    i, j = (np.concatenate([x[k] for x in found] or [np.zeros(0, np.int64)]) for k in (0, 1))
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in (block[i], np.minimum(rep[i], rep[j]), np.maximum(rep[i], rep[j]))], schema=NEAR)
+
+
+@tidy
+def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come by block, 2 * BLOCK for one at most; the last block of a batch waits for the next batch."""
+    left: pa.Table | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        own = pa.Table.from_batches([batch])
+        rows = own if left is None else pa.concat_tables([left, own])
+        block = rows["block"].to_numpy()
+        cut = int(np.flatnonzero(block != block[-1])[-1]) + 1 if block[0] != block[-1] else 0
+        left = rows.slice(cut)
+        if cut:
+            yield _pairs_of(rows.slice(0, cut))
+    if left is not None:
+        yield _pairs_of(left)
+
+
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sorted sets reach the threshold."""
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * shared >= PERCENT * (len(a) + len(b) - shared)
 
 
 LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
 @tidy
-def _verify(group: pa.Table) -> pa.Table:
-    cache = WordHashes()
-    sets = [shingles(hashed(t, cache)) for t in texts(group["text"].combine_chunks())]
-    registers = np.frombuffer(b"".join(group["registers"].to_pylist()), np.uint16).reshape(-1, M)
-    at = {c: group[c][0].as_py() for c in ("l1", "p1", "l2", "p2")}
-    both = (at["l1"], at["p1"]) != (at["l2"], at["p2"])
-    found = links_among(group["rep"].to_pylist(), group["side"].to_pylist(), both, sets, registers)
-    return pa.Table.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], schema=LINK)
+def _verify(pairs: pa.Table, rows: pa.Table) -> pa.Table:
+    """The pairs of one task that are linked, without those that its other links already join."""
+    names, text = rows["rep"].to_numpy(), rows["text"].combine_chunks()
+    order = np.argsort(names)
+    a, b = (order[np.searchsorted(names[order], pairs[c].to_numpy())] for c in ("a", "b"))
+    ok = likely(a, b, registers_of(rows["registers"].combine_chunks()), rows["n"].to_numpy())
+    sort = np.lexsort((b[ok], a[ok]))
+    group, cache, out, last, own = np.arange(len(names)), WordHashes(), [], -1, None
+    for i, j in zip(a[ok][sort].tolist(), b[ok][sort].tolist(), strict=True):
+        if group[i] == group[j]:
+            continue
+        set_of = lambda k: shingles(hashed(texts(text.slice(k, 1))[0], cache))
+        if i != last:
+            last, own = i, set_of(i)
+        if similar(own, set_of(j)):
+            out.append((names[i], names[j]))
+            group[group == group[j]] = group[i]
+    return pa.Table.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], schema=LINK)
 
 
 def text_key() -> Column:
@@ -180,6 +269,62 @@ def text_key() -> Column:
     return F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
 
 
+def shared_bands(classes: DataFrame) -> DataFrame:
+    """(band, rep, head, prior) of each member of a band but its first: a row for each band that a class shares."""
+    bands = classes.select("rep", "registers").mapInArrow(_bands, "band long, rep long")
+    return saved(bands.repartition("band").sortWithinPartitions("band", "rep").mapInArrow(_shared, "band long, rep long, head long, prior long"), "bands")
+
+
+def first_partners(shared: DataFrame) -> DataFrame:
+    """(block, a, b): each class with the two partners that it shares most bands with; PAIRS of them are a block."""
+    counts = shared.groupBy("rep", "head").count().withColumnRenamed("head", "a").unionByName(shared.groupBy("rep", "prior").count().withColumnRenamed("prior", "a"))
+    most = counts.groupBy("rep", "a").agg(F.max("count").alias("count")).groupBy("rep").agg(F.max_by("a", F.struct("count", -F.col("a"))).alias("a"), F.max_by("a", F.struct("count", "a")).alias("z"))
+    pairs = most.select(F.explode(F.array_distinct(F.array("a", "z"))).alias("a"), F.col("rep").alias("b"))
+    # pairs of one first partner are confirmed together, in parts if they are many
+    many = pairs.groupBy("a").agg(F.ceil(F.count("*") / PAIRS).cast("int").alias("parts")).filter("parts > 1")
+    part = F.coalesce(F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"), F.lit(0))
+    return pairs.join(many, "a", "left").select(F.xxhash64("a", part).alias("block"), "a", "b")
+
+
+def other_pairs(shared: DataFrame, components_of: DataFrame, classes: DataFrame) -> DataFrame:
+    """(block, a, b): pairs of one band in different components, but for those that registers rule out."""
+    comp = components_of.select(F.col("node").alias("rep"), F.col("component").alias("comp"))
+    heads = comp.select(F.col("rep").alias("head"), F.col("comp").alias("first"))
+    placed = shared.select("band", "rep", "head").join(comp, "rep", "left").join(heads, "head", "left")
+    mixed = placed.filter(F.coalesce("comp", "rep") != F.coalesce("first", "head")).select("band").distinct()
+    mixed = saved(shared.select("band", "rep", "head").join(mixed, "band"), "mixed-bands")
+    members = mixed.select("band", "rep").unionByName(mixed.select("band", F.col("head").alias("rep")).distinct())
+    members = members.join(classes.select("rep", "n"), "rep").join(comp, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+    members = saved(members, "band-members")
+    large = members.groupBy("band").count().filter(F.col("count") > BLOCK).select("band", F.lit(True).alias("large"))
+    level = F.floor(F.log("n") / F.lit(math.log(100 / PERCENT)) + 1e-9).cast("int")
+    at = lambda k, side: F.struct(k.cast("int").alias("level"), F.lit(side).alias("side"))
+    levels = F.when(F.col("large"), F.array(at(level, 0), at(level + 1, 1))).otherwise(F.array(at(F.lit(-1), 0)))
+    sized = members.join(large, "band", "left").select("band", "rep", "comp", F.explode(levels).alias("at")).select("band", "rep", "comp", "at.*")
+    parts = sized.groupBy("band", "level").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"), F.min("side").alias("own"), F.min("comp").alias("low"), F.max("comp").alias("high"))
+    parts = saved(parts.filter("own = 0 and low < high").drop("own", "low", "high"), "band-parts")  # read anew, so that Spark can split a large band
+    part = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
+    cut = sized.join(parts, ["band", "level"]).withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    block = F.xxhash64("band", "level", F.least("part", "other"), F.greatest("part", "other"))
+    half = F.when(F.col("part") == F.col("other"), -1).otherwise((F.col("part") > F.col("other")).cast("int"))
+    rows = cut.select("band", "rep", "comp", F.col("side"), block.alias("block"), half.alias("half")).join(classes.select("rep", "n", "registers"), "rep")
+    return rows.repartition("block").sortWithinPartitions("block", "side", "rep").mapInArrow(_near, "block long, a long, b long")
+
+
+def verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Those of the pairs (block, a, b) that full sets confirm. Small blocks are put together, so that a task's groups
+    are few; rows: rep, n, registers and text of all that may be in a pair."""
+    pairs = saved(pairs, "near-pairs")
+    sizes = rows.select("rep", "n")
+    work = pairs.join(sizes.withColumnRenamed("rep", "a").withColumnRenamed("n", "n_a"), "a").join(sizes.withColumnRenamed("rep", "b").withColumnRenamed("n", "n_b"), "b")
+    total = work.agg(F.count("*").alias("pairs"), F.sum(F.col("n_a") + F.col("n_b")).alias("elements")).first()
+    blocks = max(1, -(-total.pairs // PAIRS), -(-(total.elements or 0) // ELEMENTS))
+    pairs = pairs.withColumn("block", F.pmod("block", F.lit(blocks)))
+    ends = pairs.select("block", F.col("a").alias("rep")).unionByName(pairs.select("block", F.col("b").alias("rep"))).distinct()
+    sent = ends.withColumnRenamed("block", "to").join(rows, "rep")
+    return saved(pairs.groupBy("block").cogroup(sent.groupBy("to")).applyInArrow(_verify, "a long, b long"), "near-links")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc, n_shingles and component_id of each document (doc: its id, or NO_ID for null), one row for each row."""
     return _grouped(docs).drop("own")
@@ -194,35 +339,15 @@ def _grouped(docs: DataFrame) -> DataFrame:
     classes = signed.filter("key is not null").groupBy("key").agg(F.min(F.struct("doc", "own")).alias("row"), F.min("n").alias("n"), F.max("registers").alias("registers"))
     classes = saved(classes.select(F.monotonically_increasing_id().alias("rep"), "key", "row.doc", "row.own", "n", "registers"), "classes")
 
-    bands = classes.select("rep", "registers").mapInArrow(_bands, "band long, rep long")
-    heads = bands.groupBy("band").agg(F.min("rep").alias("a"), F.max("rep").alias("last")).filter("a < last").drop("last")
-    near = bands.join(heads, "band").filter("rep <> a").select("a", F.col("rep").alias("b"))
-    families = components(near)
-
-    members = saved(families.select(F.col("node").alias("rep"), F.col("component").alias("family")).join(classes.drop("key"), "rep"), "members")
-    # blocks: a family that fits one is compared at once; others by classes of size (similar sets differ by one class
-    # at most), each class cut at random into blocks, each pair of blocks apart
-    whole = members.groupBy("family").agg(F.count("*").alias("docs"), F.sum("n").alias("elements"))
-    small = (F.col("docs") <= BLOCK_DOCS) & (F.col("elements") <= BLOCK_ELEMENTS)
-    level = F.floor(F.log(F.col("n")) / F.lit(math.log(100 / PERCENT))).cast("int")
-    sized = members.join(whole, "family").withColumn("level", F.when(small, -1).otherwise(level)).drop("docs", "elements")
-    parts = sized.groupBy("family", "level").agg(F.ceil(F.greatest(F.count("*") / BLOCK_DOCS, F.sum("n") / BLOCK_ELEMENTS)).cast("int").alias("parts"))
-    parts = parts.withColumn("parts", F.when(F.col("level") < 0, 1).otherwise(F.col("parts")))
-    above = parts.select("family", (F.col("level") - 1).alias("level"), F.col("parts").alias("above"))
-    below = parts.select("family", (F.col("level") + 1).alias("level"), F.col("parts").alias("below"))
-    parts = parts.join(above, ["family", "level"], "left").join(below, ["family", "level"], "left").fillna(0, ["above", "below"])
-    parts = saved(parts, "family-parts")  # read anew, so that Spark can split the join's larger side where a family is large
-    part = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
-    placed = sized.join(parts, ["family", "level"]).withColumn("part", part)
-    own = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: F.struct(F.col("level").alias("l1"), F.least("part", k).alias("p1"), F.col("level").alias("l2"), F.greatest("part", k).alias("p2"), (F.col("part") > k).cast("int").alias("side")))
-    up = F.when(F.col("above") > 0, F.transform(F.sequence(F.lit(0), F.col("above") - 1), lambda k: F.struct(F.col("level").alias("l1"), F.col("part").alias("p1"), (F.col("level") + 1).alias("l2"), k.alias("p2"), F.lit(0).alias("side")))).otherwise(F.array())
-    down = F.when(F.col("below") > 0, F.transform(F.sequence(F.lit(0), F.col("below") - 1), lambda k: F.struct((F.col("level") - 1).alias("l1"), k.alias("p1"), F.col("level").alias("l2"), F.col("part").alias("p2"), F.lit(1).alias("side")))).otherwise(F.array())
-    pair_of = F.when(F.col("level") < 0, F.slice(own, 1, 1)).otherwise(F.concat(own, up, down))
-    spread = placed.select("rep", "family", "registers", F.explode(pair_of).alias("at")).select("rep", "family", "registers", "at.*")
-    first = docs.join(members.select("rep", "doc", "own"), ["doc", "own"]).select("rep", "text").dropDuplicates(["rep"])
-    blocks = first.join(spread, "rep")
-    links = blocks.groupBy("family", "l1", "p1", "l2", "p2").applyInArrow(_verify, "a long, b long")
-    found = components(saved(links, "near-links"))
+    shared = shared_bands(classes)
+    named = shared.select("rep").unionByName(shared.select(F.col("head").alias("rep"))).distinct()
+    rows = classes.select("rep", "doc", "own", "n", "registers").join(named, "rep", "left_semi")
+    rows = saved(docs.join(rows, ["doc", "own"]).select("rep", "n", "registers", "text").dropDuplicates(["rep"]), "near-texts")
+    links = verified(first_partners(shared), rows)
+    found = components(links)
+    more = verified(other_pairs(shared, found, classes), rows)
+    if more.limit(1).count():
+        found = components(links.unionByName(more))
 
     found = classes.select("key", "rep", "doc").join(found.withColumnRenamed("node", "rep"), "rep", "left")
     least = found.filter("component is not null").groupBy("component").agg(F.min("doc").alias("least"))
@@ -239,4 +364,4 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
 def op10_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(read(spark, sf_dir, "documents"))
     ids = [F.when(F.col(c) != NO_ID, F.col(c)).alias(n) for c, n in (("doc", "doc_id"), ("component_id", "component_id"))]
-    return found.select(*ids, "n_shingles", (F.col("doc") == F.col("component_id")).alias("kept"))
+    return found.select(ids[0], "n_shingles", ids[1], (F.col("doc") == F.col("component_id")).alias("kept"))

@@ -4,6 +4,7 @@ import numpy as np
 import pyarrow as pa
 
 from brambler.llm import embedding_dedup
+from brambler.llm.common import NO_ID
 from brambler.llm.embedding_dedup import near_vectors, op3_embedding_dedup
 
 
@@ -81,3 +82,15 @@ def test_large_and_small_cells_agree(monkeypatch):
         found.append((sorted((r["a"], r["n"]) for r in out if r["b"] is None), {frozenset((r["a"], r["b"])) for r in out if r["b"] is not None}))
     assert found[0][0] == found[1][0] == found[2][0] and found[2][0]
     assert found[0][1] <= found[2][1]
+
+
+def test_vectors_that_share_an_id(spark):
+    """Null and repeated ids: each row is linked by its own components."""
+    a, b, c, d = np.eye(4).tolist()
+    near = lambda v: [x + 0.01 for x in v]
+    data = [(2, a), (3, b), (None, near(a)), (None, near(b)), (7, c), (7, d), (7, near(a)), (9, near(d)), (None, c), (None, c), (5, None), (None, None)]
+    want = [(2, 2, 2), (3, 1, 3), (None, 2, 2), (None, 1, 3), (7, 2, 7), (7, 1, 7), (7, 2, 2), (9, 1, 7), (None, 2, 7), (None, 2, 7), (5, 0, 5), (None, 0, None)]
+    for k in (1, 4):
+        frame = spark.createDataFrame([(i, v, 1) for i, v in data], "vec_id long, embedding array<double>, label int").repartition(k)
+        got = sorted((r.id, r.n_links, r.component_id) for r in near_vectors(frame).collect())
+        assert got == sorted((NO_ID if i is None else i, n, NO_ID if g is None else g) for i, n, g in want)

@@ -41,7 +41,7 @@ def test_sketch_and_estimate():
     a, b, c = (rng.integers(0, 2**63, n).astype(np.uint64) for n in (900, 50, 50))
     s = sketches([np.concatenate([a, b]), np.concatenate([a, c]), a, np.zeros(0, np.uint64)])
     assert s.shape == (4, M) and (s[3] == 0).all()
-    assert abs(likeliest(s[0], 950, s[1:2], np.array([950]))[0] - 0.9) < 0.1
+    assert abs(likeliest(s[:1], np.array([950]), s[1:2], np.array([950]))[0] - 0.9) < 0.1
     assert (merge(s[0], s[2]) == s[0]).all()
 
 
@@ -57,8 +57,9 @@ def test_against_brute_force(spark):
     check(spark, corpus())
 
 
-def test_blocks(spark, monkeypatch):
-    monkeypatch.setattr(setsketch, "BLOCK_DOCS", 20)
+def test_parts(spark, monkeypatch):
+    monkeypatch.setattr(setsketch, "BLOCK", 20)
+    monkeypatch.setattr(setsketch, "PAIRS", 15)
     check(spark, corpus())
 
 
@@ -81,3 +82,28 @@ def test_texts_that_share_an_id(spark):
         got = sorted((r.doc, r.component_id) for r in near_duplicates(docs).collect())
         assert got == sorted((d or setsketch.NO_ID, c or setsketch.NO_ID) for (d, _), c in want.items())
         assert sorted(map(str, ((r.doc_id, r.text) for r in drop_near_duplicates(docs).collect()))) == sorted(str(k) for k, c in want.items() if k[0] == c)
+
+
+def test_work_grows_with_a_chain(spark):
+    """Each document is similar to its neighbours only: shared bands, partners and pairs to confirm grow in proportion."""
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(8000)]
+    figures = []
+    for n in (50, 200):
+        docs = spark.createDataFrame([(i, " ".join(words[8 * i : 8 * i + 100])) for i in range(n)], "doc_id long, text string")
+        assert {r.component_id for r in near_duplicates(docs).collect()} == {0}
+        signed = docs.selectExpr("doc_id as doc", "'' as own", "text").mapInArrow(setsketch._sign, "doc long, own string, n long, key binary, registers binary")
+        classes = signed.selectExpr("doc as rep", "n", "registers")
+        shared = setsketch.shared_bands(classes)
+        pairs = setsketch.first_partners(shared)
+        alone = spark.createDataFrame([(i, i) for i in range(n)], "node long, component long")
+        figures.append((shared.count(), pairs.count(), setsketch.other_pairs(shared, alone, classes).count()))
+    small, large = figures
+    assert all(0 < b <= 4.6 * a for a, b in zip(small, large, strict=True)) and large[1] <= 2 * 200
+
+
+def test_other_pairs_are_whole(spark, monkeypatch):
+    """What first partners leave is found band by band: with no link from them, all links come from there."""
+    monkeypatch.setattr(setsketch, "first_partners", lambda shared: shared.select("band", "head", "rep").toDF("block", "a", "b").limit(0))
+    monkeypatch.setattr(setsketch, "BLOCK", 16)
+    check(spark, corpus())
