@@ -3,12 +3,14 @@
 A document's size is its number of words. Sources, by code point and null last, weigh 5, 2, 1, repeating; they share
 SHARE of all words, but none gets more than TWICE its own words. A source's documents are dealt to shards by a hash of
 their id, a shard's documents are lined up in seeded order and cut into blocks of BLOCK words. Blocks are what is
-apportioned: a source's target in blocks is its quota, shared among its shards by highest quotients n / (2 q + 1). A
-quota beyond a shard's own blocks takes all of them as often as it goes and the rest by seeded choice, so a document
-is taken by whole rounds plus the words of chosen blocks that lie in it.
+apportioned, by highest quotients weight / (2 q + 1), twice: all blocks of the mix among the sources, with their targets
+as weights and twice their own blocks as limits, then a source's blocks among its shards by their words. A quota beyond
+a shard's own blocks takes all of them as often as it goes and the rest by seeded choice, so a document is taken by
+whole rounds plus the words of chosen blocks that lie in it. Choice is by a seeded permutation of block numbers that is
+worked out number by number, so no task holds a shard's blocks.
 
 Odd input: null, empty and blank texts have size 0 and are never taken; null is a source like any other; null ids are
-lined up like the rest, by their text; rows that share an id are lined up side by side, by size and text, each taken
+lined up like the rest, by their text; very long texts are cut like any other; rows that share an id are lined up side by side, by size and text, each taken
 for itself; other columns stay; a table without rows gives none.
 """
 
@@ -23,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import read, saved, small_batches, texts, tidy
+from .words import mix as spread
 
 WEIGHTS, SHARE, TWICE = (5.0, 2.0, 1.0), 1.5, 2.0
 #: Words of a block, and of a shard on average; a source has MAX_SHARDS at most.
@@ -51,7 +54,8 @@ def targets(sizes: list[int]) -> list[float]:
         for i in over:
             out[i] = limit[i]
         left -= sum(limit[i] for i in over)
-        open_ = [i for i in open_ if i not in set(over)]
+        full = set(over)
+        open_ = [i for i in open_ if i not in full]
     return out
 
 
@@ -93,13 +97,19 @@ def plan(docs: DataFrame, sources: dict) -> DataFrame:
     rows = rows.withColumn("__order", order).withColumn("__shard", F.pmod(F.xxhash64("__order", F.lit(SEED + 1)), F.col("__shards")).cast("int"))
     small = saved(rows.select("__row", "doc_id", "__s", "__shard", "__order", "__tie", "size", "target", "source_size"), "mix-rows")
 
-    held = small.groupBy("__s", "__shard").agg(F.sum("size").alias("words"), F.first("target").alias("target"), F.first("source_size").alias("source_size"))
-    quota = held.groupBy("__s").applyInArrow(_quota, "__s long, __shard int, words long, quota long")
+    held = small.groupBy("__s", "__shard").agg(F.sum("size").alias("words"))
+    blocks = dict(held.groupBy("__s").agg(F.sum(F.ceil(F.col("words") / BLOCK)).cast("long").alias("blocks")).collect())  # MAX_SOURCES rows at most
+    own = np.array([blocks.get(i, 0) for i in range(len(names))], np.int64)
+    # a source's blocks hold fewer than BLOCK words on average, as a shard's last one does: targets count in its own blocks
+    goals = np.array(goal) * own / np.maximum([sources[s] for s in names], 1)
+    seats = sainte_lague(goals, 2 * own, round(float(goals.sum()))) if names else own
+    given = spark.createDataFrame([(i, int(n)) for i, n in enumerate(seats)], "__s long, seats long")
+    quota = held.join(F.broadcast(given), "__s").groupBy("__s").applyInArrow(_quota, "__s long, __shard int, words long, quota long")
     line = Window.partitionBy("__s", "__shard").orderBy("__order", "doc_id", "size", "__tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     lined = small.withColumn("end", F.sum("size").over(line)).withColumn("start", F.col("end") - F.col("size"))
     blocks = F.ceil(F.col("words") / BLOCK).cast("long")
     lined = lined.join(quota, ["__s", "__shard"]).withColumn("rounds", F.when(F.col("words") > 0, F.floor(F.col("quota") / blocks)).otherwise(0).cast("long"))
-    # the blocks that are chosen once more: the first `rest` of a seeded shuffle, told from rank thresholds below
+    # the blocks that are chosen once more: those that a seeded permutation puts before `rest`
     return lined.withColumn("rest", F.when(F.col("words") > 0, F.col("quota") % blocks).otherwise(0).cast("long")).withColumn("blocks", blocks)
 
 
@@ -111,30 +121,34 @@ def _quota(group: pa.Table) -> pa.Table:
     """A source's blocks, by highest quotients among its shards (MAX_SHARDS rows at most)."""
     group = group.sort_by("__shard")
     words = group["words"].to_numpy()
-    blocks = -(-words // BLOCK)
-    size = max(1, int(group["source_size"][0].as_py()))
-    seats = round(group["target"][0].as_py() * int(blocks.sum()) / size)
-    return pa.Table.from_arrays([group["__s"].combine_chunks(), group["__shard"].combine_chunks(), pa.array(words, pa.int64()), pa.array(sainte_lague(words, 2 * blocks, seats), pa.int64())], schema=QUOTA)
-
-
-def chosen(s: int, shard: int, blocks: int, rest: int) -> np.ndarray:
-    """Whether each of a shard's blocks is taken once more: `rest` of them, by seeded choice."""
-    rng = np.random.default_rng([SEED, s, shard])
-    out = np.zeros(blocks, bool)
-    out[rng.permutation(blocks)[:rest]] = True
-    return out
-
-
-def _pieces(s: int, shard: int, blocks: int, rest: int, start: int, end: int, cache: dict) -> list[tuple[int, int]]:
+    quota = sainte_lague(words, 2 * -(-words // BLOCK), group["seats"][0].as_py())
+    return pa.Table.from_arrays([group["__s"].combine_chunks(), group["__shard"].combine_chunks(), pa.array(words, pa.int64()), pa.array(quota, pa.int64())], schema=QUOTA)
+
+
+def permuted(s: int, shard: int, blocks: int, x: np.ndarray) -> np.ndarray:
+    """Where a seeded permutation of the numbers below `blocks` puts each of x: steps that are one to one on the next power
+    of two, gone on with until the number is below `blocks`."""
+    bits = max(1, int(blocks - 1).bit_length())
+    mask, half = np.uint64(2**bits - 1), np.uint64((bits + 1) // 2)
+    keys = [spread(np.array([SEED * 1_000_003 + k, s, shard], np.uint64)) for k in range(6)]
+    x = x.astype(np.uint64)
+    todo = np.arange(len(x))
+    while len(todo):
+        y = x[todo]
+        for k in keys:
+            y = (y ^ k[0] ^ k[1]) * (k[2] | np.uint64(1)) + k[1] & mask
+            y ^= y >> half
+        x[todo] = y
+        todo = todo[y >= np.uint64(blocks)]
+    return x.astype(np.int64)
+
+
+def _pieces(s: int, shard: int, blocks: int, rest: int, start: int, end: int) -> list[tuple[int, int]]:
     """Runs of words [from, to) of a document at [start, end) of its shard that chosen blocks cover."""
     if end <= start or not rest:
         return []
-    key = (s, shard)
-    if key not in cache:
-        cache.clear()
-        cache[key] = chosen(s, shard, blocks, rest)
     first, last = start // BLOCK, (end - 1) // BLOCK
-    own = np.concatenate([[False], cache[key][first : last + 1], [False]])
+    own = np.concatenate([[False], permuted(s, shard, blocks, np.arange(first, last + 1)) < rest, [False]])
     edges = np.flatnonzero(np.diff(own.astype(np.int8)))
     return [(max(start, (first + a) * BLOCK) - start, min(end, (first + b) * BLOCK) - start) for a, b in edges.reshape(-1, 2).tolist()]
 
@@ -144,10 +158,9 @@ TAKEN = "doc_id long, size long, source_size long, target double, taken long, ro
 
 @tidy
 def _take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    cache: dict = {}
     for batch in batches:
         col = {n: batch[n].to_pylist() for n in ("__s", "__shard", "blocks", "rest", "start", "end", "rounds", "size")}
-        pieces = [_pieces(*r, cache) for r in zip(*(col[n] for n in ("__s", "__shard", "blocks", "rest", "start", "end")), strict=True)]
+        pieces = [_pieces(*r) for r in zip(*(col[n] for n in ("__s", "__shard", "blocks", "rest", "start", "end")), strict=True)]
         taken = [k * n + sum(b - a for a, b in p) for k, n, p in zip(col["rounds"], col["size"], pieces, strict=True)]
         kind = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
         yield pa.RecordBatch.from_arrays(
@@ -193,7 +206,6 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     names = docs.columns
 
     @tidy
-
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, out = [], []

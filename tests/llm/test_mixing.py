@@ -5,7 +5,7 @@ import numpy as np
 from hypothesis import given
 from hypothesis import strategies as st
 
-from brambler.llm.mixing import mix, mixed_documents, op4_sainte_lague, sainte_lague, targets
+from brambler.llm.mixing import mix, mixed_documents, op4_sainte_lague, permuted, sainte_lague, targets
 
 
 @given(st.lists(st.tuples(st.integers(0, 50), st.integers(0, 30)), min_size=1, max_size=12), st.integers(0, 200))
@@ -26,6 +26,14 @@ def test_targets():
     assert targets([]) == []
 
 
+def test_permutation():
+    for n in (1, 2, 3, 64, 1000, 4097):
+        got = permuted(3, 5, n, np.arange(n))
+        assert sorted(got.tolist()) == list(range(n)) and (permuted(3, 5, n, np.arange(n)[::-1])[::-1] == got).all()
+    hits = np.array([permuted(s, 1, 1000, np.arange(1000)) < 250 for s in range(200)])
+    assert abs(hits.mean(0) - 0.25).max() < 0.15 and abs(np.corrcoef(hits[:, :-1].ravel(), hits[:, 1:].ravel())[0, 1]) < 0.03
+
+
 def corpus(spark):
     rng = random.Random(2)
     rows = []
