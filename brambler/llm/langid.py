@@ -1,15 +1,20 @@
 """Language of mixed-language text: script ranges, per-word scores and Viterbi spans (operator 6).
 
-Words are runs of letters. A word's script (by ranges of code points) leaves the languages that were seen to write it;
+Words are runs of letters (Unicode categories L; numerals are none). A word's script (by ranges of code points) leaves the languages that were seen to write it;
 each of these scores the word by the log-likelihood of its hashed character n-grams. Viterbi with a penalty for every
 switch labels the words; neighbours with one label are a span. The text's language is the one whose spans hold most
 letters and the score is their share.
 
-Learning takes text and lang of at most MAX_ROWS rows with a lang whose crc32(doc_id) isn't 0 by 5, by a hash of the
-id. Counts are summed by Spark; the model has at most FEATURES numbers for each language and is broadcast.
+Viterbi goes over all texts of a batch side by side, with a state for each language. Texts of over CHUNK words are cut
+in chunks: what each chunk makes of every label before it is worked out first, a bounded number of chunks at a time and
+without back-pointers, then the labels at the chunks' ends, and with those all chunks go like texts of their own.
+
+Learning takes text and lang of at most MAX_ROWS rows with a lang whose crc32(doc_id) isn't 0 by 5, by a hash of id
+and text. Counts are summed by Spark; the model has at most FEATURES numbers for each language and is broadcast.
 
 Odd input: `und` with score 0 if a text is null or has no letter, or nothing could be learned; repeated rows are
-labelled each on their own; other columns are not looked at; a table without rows gives none.
+labelled each on their own and chosen for learning together; rows without an id are held out; very long texts are labelled whole; other columns are not looked at; a
+table without rows gives none.
 """
 
 from __future__ import annotations
@@ -37,7 +42,9 @@ CANDIDATE = 0.01
 CHUNK = 256
 #: Words of which a task keeps the scores.
 CACHE = 150_000
-WORD = re.compile(r"[^\W\d_]+")
+#: Numbers that the look ahead over chunks may hold at a time.
+AHEAD = 1 << 22
+RUN = re.compile(r"[^\W\d_]+")
 #: First code points of ranges of scripts; a range ends where the next one starts.
 SCRIPTS = [
     (0x0000, "latin"), (0x0370, "greek"), (0x0400, "cyrillic"), (0x0530, "armenian"), (0x0590, "hebrew"), (0x0600, "arabic"),
@@ -75,6 +82,14 @@ def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return (np.concatenate(features) % np.uint64(FEATURES)).astype(np.int64), np.concatenate(owners), scripts
 
 
+def words_of(text: str) -> list[str]:
+    """Runs of letters, in lower case. The expression also takes numerals that are no digits; they end a word."""
+    found = RUN.findall(text.lower())
+    if all(map(str.isalpha, found)):
+        return found
+    return [x for w in found for x in ([w] if w.isalpha() else "".join(c if c.isalpha() else " " for c in w).split())]
+
+
 COUNTED = pa.schema([("lang", pa.string()), ("feature", pa.int64()), ("n", pa.int64())])
 
 
@@ -85,7 +100,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         words: dict[str, Counter] = {}
         for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist(), strict=True):
-            words.setdefault(lang, Counter()).update(WORD.findall((text or "").lower()))
+            words.setdefault(lang, Counter()).update(words_of(text or ""))
         for lang, count in words.items():
             if count:
                 features, owner, scripts = grams(list(count))
@@ -124,57 +139,73 @@ class Model:
         return self.rows[np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))]
 
 
-def viterbi(scores: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Best label of each word of several texts (sizes: words of each, at least one).
-
-    All chunks of all texts go forward side by side, once for every label before their first word; then the chunks of
-    a text are joined and their labels read backwards.
-    """
-    k, starts = scores.shape[1], np.concatenate([[0], np.cumsum(sizes)])
-    text = np.repeat(np.arange(len(sizes)), -(-sizes // CHUNK))
-    number = np.arange(len(text)) - np.repeat(np.cumsum(-(-sizes // CHUNK)) - -(-sizes // CHUNK), -(-sizes // CHUNK))
-    first = starts[text] + number * CHUNK
-    length = np.minimum(starts[text + 1], first + CHUNK) - first
-    order = np.argsort(-length, kind="stable")
-    first, length = first[order], length[order]
-    # value[c, s, l]: best way through chunk c from label s before it to label l at its end
+def _forward(value: np.ndarray, scores: np.ndarray) -> np.ndarray:
+    """One word on: value (..., label) is that of the best way to each label; the new one is changed in place."""
+    np.maximum(value, value.max(-1, keepdims=True) - np.float32(SWITCH), out=value)
+    value += scores
+    return value
+
+
+def _through(scores: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """For chunks, longest first: value of the best way from each label before a chunk to each label at its end."""
+    k = scores.shape[1]
     value = np.full((len(first), k, k), -np.inf, np.float32)
     value[:, np.arange(k), np.arange(k)] = 0
-    longest = int(length[0])
-    stays, bests = np.zeros((longest, len(first), k, k), bool), np.zeros((longest, len(first), k), np.uint8)
-    live = np.searchsorted(-length, -np.arange(longest), "left")  # chunks that have a word t
+    for t in range(int(length[0])):
+        n = int(np.searchsorted(-length, -t, "left"))
+        _forward(value[:n], scores[first[:n] + t][:, None, :])
+    return value
+
+
+def _labels(scores: np.ndarray, first: np.ndarray, length: np.ndarray, before: np.ndarray, after: np.ndarray, out: np.ndarray) -> None:
+    """Labels of the words of runs, longest first, given the label before a run (-1: any) and at its end (-1: the best)."""
+    k, longest = scores.shape[1], int(length[0])
+    value = np.where((before[:, None] < 0) | (before[:, None] == np.arange(k)), np.float32(0), np.float32(-np.inf))
+    live = np.searchsorted(-length, -np.arange(longest), "left")  # runs that have a word t
+    stays, bests = [], []
     for t in range(longest):
-        n = live[t]
-        now = value[:n]
-        bests[t, :n] = now.argmax(2)
-        other = now.max(2, keepdims=True) - SWITCH
-        stays[t, :n] = now >= other
-        value[:n] = np.maximum(now, other) + scores[first[:n] + t][:, None, :]
-    place = np.empty(len(order), np.int64)
-    place[order] = np.arange(len(order))
-    start_label, end_label = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64)
-    at = 0
-    for c in (-(-sizes // CHUNK)).tolist():
-        total, back = value[place[at]].max(0), []  # any label may stand before a text
-        start_label[place[at]] = -1
-        for i in range(at + 1, at + c):
-            through = total[:, None] + value[place[i]]
-            back.append(through.argmax(0))
-            total = through.max(0)
-        label = int(total.argmax())
-        for i in range(at + c - 1, at, -1):
-            end_label[place[i]] = label
-            label = int(back[i - at - 1][label])
-            start_label[place[i]] = label
-        end_label[place[at]] = label
-        start_label[place[at]] = int(value[place[at], :, label].argmax())
-        at += c
-    out, label, own = np.zeros(len(scores), np.int64), end_label.copy(), np.arange(len(order))
+        now = value[: live[t]]
+        bests.append(now.argmax(1).astype(np.uint16))
+        stays.append(now >= now.max(1, keepdims=True) - np.float32(SWITCH))
+        _forward(now, scores[first[: live[t]] + t])
+    label = np.where(after < 0, value.argmax(1), after)
     for t in range(longest - 1, -1, -1):
         n = live[t]
         out[first[:n] + t] = label[:n]
-        stay = stays[t, own[:n], start_label[:n], label[:n]]
-        label[:n] = np.where(stay, label[:n], bests[t, own[:n], start_label[:n]])
+        label[:n] = np.where(stays[t][np.arange(n), label[:n]], label[:n], bests[t])
+
+
+def viterbi(scores: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Best label of each word of several texts (sizes: words of each, at least one)."""
+    k, starts, chunks = scores.shape[1], np.concatenate([[0], np.cumsum(sizes)]), -(-sizes // CHUNK)
+    text = np.repeat(np.arange(len(sizes)), chunks)
+    number = np.arange(len(text)) - np.repeat(np.cumsum(chunks) - chunks, chunks)
+    first = starts[text] + number * CHUNK
+    length = np.minimum(starts[text + 1], first + CHUNK) - first
+    before, after = np.full(len(text), -1), np.full(len(text), -1)
+    many, step = np.flatnonzero(chunks[text] > 1), max(1, AHEAD // (k * k))
+    for a in range(0, len(many), step):
+        own = many[a : a + step]
+        order = np.argsort(-length[own], kind="stable")
+        ways = np.empty((len(own), k, k), np.float32)
+        ways[order] = _through(scores, first[own[order]], length[own[order]])
+        for at, way in zip(own.tolist(), ways, strict=True):
+            if number[at] == 0:
+                total, back = np.zeros(k, np.float32), []
+            through = total[:, None] + way
+            back.append(through.argmax(0).astype(np.uint16))
+            total = through.max(0)
+            if len(back) == chunks[text[at]]:  # the labels at the ends of this text's chunks
+                label = int(total.argmax())
+                for b in reversed(back):
+                    after[at] = label
+                    before[at] = label = int(b[label])
+                    at -= 1
+    out, order = np.zeros(len(scores), np.int64), np.argsort(-length, kind="stable")
+    step = max(1, AHEAD * 8 // (k * CHUNK))
+    for a in range(0, len(order), step):
+        own = order[a : a + step]
+        _labels(scores, first[own], length[own], before[own], after[own], out)
     return out
 
 
@@ -182,11 +213,12 @@ def train(docs: DataFrame, max_rows: int = MAX_ROWS) -> tuple[list[str], np.ndar
     """Languages, n-gram counts and script counts. docs: text, lang and doc_id."""
     known = docs.filter("lang is not null").filter(~held_out())
     share = min(1.0, max_rows / max(known.count(), 1))
-    chosen = known.filter(F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 30)) < F.lit(int((1 << 30) * share)))
+    chosen = known.filter(F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.col("text").cast("string")), F.lit(1 << 30)) < F.lit(int((1 << 30) * share)))
     rows = chosen.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     got = rows.mapInArrow(_count, "lang string, feature long, n long").groupBy("lang", "feature").agg(F.sum("n").alias("n")).toArrow()
     langs = sorted(set(got["lang"].to_pylist()))
-    column = np.array([langs.index(x) for x in got["lang"].to_pylist()], np.int64)
+    number = {x: i for i, x in enumerate(langs)}
+    column = np.array([number[x] for x in got["lang"].to_pylist()], np.int64)
     feature, n = (got[c].to_numpy().astype(np.int64) for c in ("feature", "n"))
     counts, scripts = np.zeros((FEATURES, len(langs)), np.float32), np.zeros((len(NAMES), len(langs)))
     counts[feature[feature >= 0], column[feature >= 0]] = n[feature >= 0]
@@ -203,7 +235,7 @@ def label(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray]) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(*sent.value) if sent.value[0] else None
         for batch in batches:
-            words = [WORD.findall((t or "").lower()) for t in batch["text"].to_pylist()]
+            words = [words_of(t or "") for t in batch["text"].to_pylist()]
             sizes = np.array([len(w) for w in words])
             best, shares, spans = ["und"] * len(words), [0.0] * len(words), [[] for _ in words]
             flat = [w for ws in words for w in ws]

@@ -5,7 +5,7 @@ import zlib
 import numpy as np
 
 from brambler.llm import langid
-from brambler.llm.langid import SWITCH, grams, label, op6_language, train, viterbi
+from brambler.llm.langid import SWITCH, grams, label, op6_language, train, viterbi, words_of
 
 LETTERS = {"aa": "abcdeh", "bb": "mnopqe", "cc": "ваксолпе", "dd": "ваксжщъы"}
 
@@ -29,6 +29,19 @@ def test_viterbi(monkeypatch):
             at += n
 
 
+def test_many_languages():
+    """Labels beyond 255, and memory that doesn't grow with their square."""
+    scores = np.full((900, 300), -9.0, np.float32)
+    scores[:500, 280] = scores[500:, 5] = 0
+    got = viterbi(scores, np.array([900]))
+    assert (got[:500] == 280).all() and (got[500:] == 5).all()
+    assert (viterbi(np.repeat(scores, 3, 0), np.array([1500, 1200])) == np.repeat(got, 3)).all()
+
+
+def test_letters():
+    assert words_of("½ ² Ⅷ ① ٣ 12_") == [] and words_of("Ab½c dⅧ, É—x") == ["ab", "c", "d", "é", "x"]
+
+
 def test_grams():
     one, owner, scripts = grams(["ab", "жд", "é"])
     assert sorted(set(owner.tolist())) == [0, 1, 2] and [langid.NAMES[s] for s in scripts] == ["latin", "cyrillic", "latin"]
@@ -40,7 +53,7 @@ def test_grams():
 def test_held_out(spark, tmp_path):
     rng = random.Random(1)
     rows = [(i, text(rng, x := rng.choice(list(LETTERS)), rng.randint(1, 60)), x if rng.random() < 0.9 else None, "s", x) for i in range(800)]
-    rows += [(900, None, "aa", "s", "und"), (901, " 12 _ !", "aa", "s", "und"), (902, "", None, "s", "und"), (None, text(rng, "bb", 9), None, "s", "bb"), (903, text(rng, "aa", 30_000), "aa", "s", "aa")]
+    rows += [(900, None, "aa", "s", "und"), (901, " 12 _ !", "aa", "s", "und"), (902, "", None, "s", "und"), (904, "½ ² Ⅷ ①", None, "s", "und"), (None, text(rng, "bb", 9), None, "s", "bb"), (903, text(rng, "aa", 30_000), "aa", "s", "aa")]
     frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, lang_pred string")
     frame.write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.doc_id: r for r in op6_language(spark, f"file://{tmp_path}").collect()}
