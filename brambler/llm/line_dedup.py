@@ -1,11 +1,13 @@
 """Line dedup by a sharded minimal perfect hash (operator 7).
 
 Keys found in two documents or more are indexed: a shard is a minimal perfect hash with compact arrays beside it
-(fingerprint, count, smallest doc_id). Documents look their lines up in those arrays; lines are never joined.
+(fingerprint, count, smallest doc_id). Documents look their lines up in those arrays; lines are never joined. Keys of one
+document only can't lose a line, so they are counted but not indexed.
 
 Results for odd input: a null or empty text is one empty line and stays as it is (null becomes empty); a null
-doc_id counts as the largest id; rows that share a doc_id are one document for the question of who owns a line,
-so all of them keep the lines that this document owns; an empty table gives no rows.
+doc_id counts as the largest id; rows that share a doc_id (or have none) are one document for the question of who owns a
+line, so all of them keep the lines that this document owns; very long texts and lines go like any other; other columns
+stay; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import NO_ID, doc_key, new_path, open_fs, read, saved, small_batches, texts, tidy
@@ -27,7 +29,7 @@ SPACE = b" \t\n\v\f\r"
 #: Keys a shard holds on average, so that a task has one small shard in hand.
 SHARD_KEYS = 50_000
 #: Beyond this many keys in all shards, lines travel to the shards instead of every task reading all shards.
-RESIDENT_KEYS = 8_000_000
+RESIDENT_KEYS = 2_000_000
 #: Tasks among which the lines of one shard are spread on that way.
 SALTS = 32
 
@@ -42,19 +44,26 @@ def line_key(line: bytes) -> tuple[int, int] | None:
     return h - 2**64 if h >= 2**63 else h, f - 2**64 if f >= 2**63 else f
 
 
-KEYS = pa.schema([("h", pa.int64()), ("f", pa.int64()), ("doc", pa.int64())])
+KEYS = pa.schema([("h", pa.int64()), ("f", pa.int64()), ("doc", pa.int64()), ("row", pa.int64())])
+KEYS_SQL = "h long, f long, doc long, row long"
 
 
 @tidy
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct keys of each row; row is a hash of its text, which with the id stands for what the row loses."""
     for batch in batches:
-        h, f, doc = [], [], []
+        h, f, doc, row = [], [], [], []
         for d, text in zip(batch["doc"].to_pylist(), texts(batch["text"]), strict=True):
             own = {k for k in map(line_key, set(text.split(b"\n"))) if k}
             h += [k[0] for k in own]
             f += [k[1] for k in own]
             doc += [d] * len(own)
-        yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(f, pa.int64()), pa.array(doc, pa.int64())], schema=KEYS)
+            row += [row_of(text)] * len(own)
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (h, f, doc, row)], schema=KEYS)
+
+
+def row_of(text: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(text) - 2**63
 
 
 # ---- a minimal perfect hash: in each level, keys alone in their cell set its bit; the rest go on to the next level
@@ -112,7 +121,7 @@ def _build(group: pa.Table) -> pa.Table:
     return pa.Table.from_pylist(rows, schema=pa.schema([("shard", pa.int32()), ("n", pa.int64()), ("sizes", pa.list_(pa.int64())), ("bits", pa.binary()), ("fingerprints", pa.binary()), ("counts", pa.binary()), ("owners", pa.binary())]))
 
 
-@functools.lru_cache(maxsize=64)
+@functools.lru_cache(maxsize=RESIDENT_KEYS // SHARD_KEYS + 8)
 def _shard(uri: str, shard: int) -> list[tuple]:
     fs, path = open_fs(f"{uri}/part={shard}")
     out = []
@@ -120,7 +129,7 @@ def _shard(uri: str, shard: int) -> list[tuple]:
         if info.path.endswith(".parquet"):
             for r in pq.ParquetFile(fs.open_input_file(info.path)).read().to_pylist():
                 bits = np.unpackbits(np.frombuffer(r["bits"], np.uint8))[: sum(r["sizes"])].astype(bool)
-                out.append((r["sizes"], bits, np.cumsum(bits), np.frombuffer(r["fingerprints"], np.int64), np.frombuffer(r["owners"], np.int64)))
+                out.append((r["sizes"], bits, np.cumsum(bits), np.frombuffer(r["fingerprints"], np.int64), np.frombuffer(r["counts"], np.uint32), np.frombuffer(r["owners"], np.int64)))
     return out
 
 
@@ -131,30 +140,33 @@ def pyarrow_selector(path: str):
 
 
 def probe(uri: str, shards: int, h: np.ndarray, f: np.ndarray) -> np.ndarray:
-    """Smallest doc_id of each key that is indexed, else NO_ID."""
+    """Smallest doc_id of each key that is indexed with a count of two or more, else NO_ID."""
     owner, where = np.full(len(h), NO_ID, np.int64), (h.view(np.uint64) % np.uint64(shards)).astype(np.int64)
     order = np.argsort(where, kind="stable")
     ids, starts = np.unique(where[order], return_index=True)
     for s, own in zip(ids.tolist(), np.split(order, starts[1:]), strict=True):
-        for sizes, bits, rank, prints, owners in _shard(uri, s):
+        for sizes, bits, rank, prints, counts, owners in _shard(uri, s):
             at = slot(sizes, bits, rank, h[own])
-            hit = (at >= 0) & (prints[at] == f[own])
+            hit = (at >= 0) & (prints[at] == f[own]) & (counts[at] > 1)
             owner[own[hit]] = owners[at[hit]]
     return owner
 
 
+def shard_of(shards: int) -> Column:
+    """The unsigned remainder, as probe() takes it: h < 0 stands for h + 2**64."""
+    return F.pmod(F.pmod(F.col("h"), F.lit(shards)) + F.when(F.col("h") < 0, F.lit(2**64 % shards)).otherwise(F.lit(0)), F.lit(shards)).cast("int")
+
+
 def build_index(docs: DataFrame) -> tuple[str, int, int]:
     """Writes the shards of all keys found in two documents or more; gives their folder, the number of shards and of keys."""
     spark = docs.sparkSession
-    keys = docs.select(doc_key().alias("doc"), "text").mapInArrow(_keys, "h long, f long, doc long")
+    keys = docs.select(doc_key().alias("doc"), "text").mapInArrow(_keys, KEYS_SQL)
     found = keys.groupBy("h", "f").agg(F.count("*").alias("n"), F.min("doc").alias("doc"), F.max("doc").alias("last")).filter("doc < last").drop("last")
     found = saved(found, "line-keys")
     n = found.count()
     shards = max(1, -(-n // SHARD_KEYS))
     uri = new_path(spark, "line-index")
-    # the unsigned remainder, as probe() takes it: h < 0 stands for h + 2**64
-    part = F.pmod(F.pmod(F.col("h"), F.lit(shards)) + F.when(F.col("h") < 0, F.lit(2**64 % shards)).otherwise(F.lit(0)), F.lit(shards)).cast("int")
-    built = found.withColumn("shard", part).groupBy("shard").applyInArrow(_build, SHARD)
+    built = found.withColumn("shard", shard_of(shards)).groupBy("shard").applyInArrow(_build, SHARD)
     built.withColumn("part", F.col("shard")).write.partitionBy("part").parquet(uri)
     return uri, shards, n
 
@@ -192,9 +204,9 @@ def _routed(uri: str, shards: int):
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            h, f, doc = (batch[c].to_numpy() for c in ("h", "f", "doc"))
+            h, f, doc, row = (batch[c].to_numpy() for c in KEYS.names)
             lost = probe(uri, shards, h, f) < doc
-            yield pa.RecordBatch.from_arrays([pa.array(x[lost], pa.int64()) for x in (h, f, doc)], schema=KEYS)
+            yield pa.RecordBatch.from_arrays([pa.array(x[lost], pa.int64()) for x in (h, f, doc, row)], schema=KEYS)
 
     return run
 
@@ -211,10 +223,19 @@ def dedup_lines(docs: DataFrame, resident_keys: int = RESIDENT_KEYS) -> DataFram
     schema = ", ".join([*kept, "n_lines long", "n_dropped long"])
     if n <= resident_keys:
         return docs.withColumn("__doc", doc_key()).mapInArrow(_drop_by_index(uri, shards), schema)
-    keys = docs.select(doc_key().alias("doc"), "text").mapInArrow(_keys, "h long, f long, doc long")
-    spread = keys.repartition(F.pmod("h", F.lit(shards)), F.pmod("doc", F.lit(SALTS)))
-    lost = spread.mapInArrow(_routed(uri, shards), "h long, f long, doc long").groupBy("doc").agg(F.collect_set(F.struct("h", "f")).alias("__lost"))
-    return docs.withColumn("__doc", doc_key()).join(lost.withColumnRenamed("doc", "__doc"), "__doc", "left").mapInArrow(_drop_by_list, schema)
+    keys = docs.select(doc_key().alias("doc"), "text").mapInArrow(_keys, KEYS_SQL)
+    # a task goes through few shards, one after another; a hot shard's lines are spread over SALTS tasks
+    spread = keys.withColumn("shard", shard_of(shards)).repartition("shard", F.pmod(F.xxhash64("doc", "row"), F.lit(SALTS))).sortWithinPartitions("shard").select(*KEYS.names)
+    lost = spread.mapInArrow(_routed(uri, shards), KEYS_SQL).groupBy("doc", "row").agg(F.collect_set(F.struct("h", "f")).alias("__lost"))
+
+    @tidy
+    def with_row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(map(row_of, texts(batch["text"])), pa.int64())], names=[*batch.schema.names, "__row"])
+
+    named = docs.withColumn("__doc", doc_key())
+    named = named.mapInArrow(with_row, ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in named.schema] + ["__row long"]))
+    return named.join(lost.withColumnsRenamed({"doc": "__doc", "row": "__row"}), ["__doc", "__row"], "left").mapInArrow(_drop_by_list, schema)
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,8 +5,10 @@ A text's UTF-8 bytes, filled with zero bytes up to a positive multiple of 64, ar
 SHA-256; rows carry that digest and the shard, offset and length of the member's data. Metadata columns are filled by
 reading a member's first 33 bytes; features read its whole range.
 
-Odd input: a null or empty text is 64 zero bytes; equal texts share one member; null ids stay null; a table without
-rows makes no shard. A shard of a lost task stays as an unused file: the written index only names finished shards.
+Odd input: a null or empty text is 64 zero bytes; equal texts share one member; null ids stay null, repeated rows stay;
+a very long text is one member like any other, so a task holds it whole; other columns are not looked at; a table
+without rows makes no shard. A shard of a lost task stays as an unused file: the written index only names finished
+shards. Names and order of shards, and so shard and offset, differ from run to run; all else agrees.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ from .common import new_path, open_fs, read, saved, small_batches, tidy
 
 WIDTH = 64
 SHARD_BYTES = 256 << 20
+#: Stored bytes that a task reads back, about.
+READ_BYTES = 8 << 20
 HEADER = 33
 #: Digests of copies up to which every task reads their first 8 bytes (32 MB).
 RESIDENT = 4_000_000
@@ -209,6 +213,14 @@ def _open(uri: str, shard: str):
     return fs.open_input_file(f"{path}/{shard}")
 
 
+def dealt(index: DataFrame) -> DataFrame:
+    """The index in parts of about READ_BYTES of stored bytes: by size alone its few bytes a row would make a few tasks."""
+    total = index.agg(F.sum("length")).first()[0] or 0
+    parts = max(1, -(-total // READ_BYTES))
+    # neighbours in a shard stay together as far as a part goes
+    return index.repartition(parts, "shard", F.floor(F.col("offset") / READ_BYTES)).sortWithinPartitions("shard", "offset")
+
+
 def read_range(uri: str, shard: str, offset: int, length: int) -> bytes:
     return _open(uri, shard).read_at(length, offset)
 
@@ -252,6 +264,6 @@ FEATURES = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "med
 def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", F.col("text").cast("string").alias("text"))
     uri, index = store(docs)
-    found = with_features(uri, with_metadata(uri, index))
+    found = with_features(uri, with_metadata(uri, dealt(index)))
     rows = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), F.unhex(F.sha2(payload_column(F.col("text")), 256)).alias("digest"))
     return rows.join(found, "digest").select("doc_id", "n_bytes", *FEATURES, "width", "height", "shard", "offset", "length")

@@ -1,13 +1,15 @@
 """Toxicity by FTRL-proximal logistic regression over hashed word n-grams and skip-grams (operator 2).
 
 A text's features are its distinct words, words cut to their first STEM bytes, pairs and triples of neighbours, and
-pairs with one word between them, each hashed to one of DIMENSIONS coordinates. Training takes labelled rows whose crc32(doc_id) isn't 0 by 5, at most
-MAX_ROWS of them (by a hash of the id, so always the same). They are dealt to SHARDS; in each round every shard passes
-several times over its rows from the common state, one row after another with a rate per coordinate, and the states' changes are
-averaged by coordinate. The L1 term leaves few weights other than zero, and those alone are broadcast for scoring.
+pairs with one word between them, each hashed to one of DIMENSIONS coordinates. Training takes labelled documents whose
+crc32(doc_id) isn't 0 by 5, at most MAX_ROWS of them (by a hash of the id, so always the same). Their coordinates, not
+their texts, are dealt to SHARDS; in each round every shard passes several times over its rows from the common state,
+one row after another with a rate per coordinate, and the states' changes are averaged by coordinate. The L1 term leaves few weights other than zero, and those alone are broadcast for scoring.
 
 Odd input: a null or empty text has no feature and gets the score of the intercept; several labels of a document
-count as toxic if one is; without labelled rows all scores are 0.5; repeated rows are scored each on their own.
+count as toxic if one is; of rows that share a labelled id the one whose coordinates come first is learned from; without
+labelled rows all scores are 0.5; repeated rows are scored each on their own; very long texts are read whole; other
+columns stay, one named like the score is replaced; a table without rows gives none.
 """
 
 from __future__ import annotations
@@ -83,8 +85,7 @@ def _round(state):
         at, z0, n0 = state.value
         z, n = np.zeros(DIMENSIONS + 1), np.zeros(DIMENSIONS + 1)
         z[at], n[at] = z0, n0
-        cache = caches()
-        rows = [np.unique(features(t, cache)).astype(np.int32) for t in texts(group["text"].combine_chunks())]
+        rows = [np.frombuffer(x, np.int32) for x in group["x"].to_pylist()]
         for _ in range(PASSES):
             learn(rows, group["toxic"].to_pylist(), z, n)
         told = np.union1d(np.flatnonzero(np.abs(z) > L1 / 2), at)  # the rest is far from having a weight
@@ -93,14 +94,23 @@ def _round(state):
     return run
 
 
+@tidy
+def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    cache = caches()
+    for batch in batches:
+        found = [np.unique(features(t, cache)).astype(np.int32).tobytes() for t in texts(batch["text"])]
+        yield pa.RecordBatch.from_arrays([batch["doc"], pa.array(found, pa.binary()), batch["toxic"]], names=["doc", "x", "toxic"])
+
+
 def sample(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
-    """doc, text, toxic and shard of the rows to learn from."""
+    """doc, x (distinct coordinates), toxic and shard of the documents to learn from."""
     known = labels.filter("toxic is not null and doc_id is not null").filter(~held_out()).groupBy("doc_id").agg(F.max(F.when(F.col("toxic") == 1, 1).otherwise(0)).alias("toxic"))
     n = known.count()
     chosen = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.lit(int((1 << 30) * min(1.0, max_rows / max(n, 1))))).select(F.col("doc_id").cast("long").alias("doc"), "toxic")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text"))
     # at most about max_rows rows of two numbers, so this side may be broadcast
-    return docs.join(F.broadcast(chosen), "doc").withColumn("shard", F.pmod(F.xxhash64("doc", F.lit(1)), F.lit(SHARDS)).cast("int"))
+    rows = docs.join(F.broadcast(chosen), "doc").mapInArrow(_featured, "doc long, x binary, toxic int")
+    return rows.groupBy("doc").agg(F.min("x").alias("x"), F.first("toxic").alias("toxic")).withColumn("shard", F.pmod(F.xxhash64("doc", F.lit(1)), F.lit(SHARDS)).cast("int"))
 
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> tuple[np.ndarray, np.ndarray, float]:
