@@ -1,13 +1,21 @@
 """Personal data by bootstrapped contextual extraction (operator 5).
 
-One pass finds the base spans (email, ip, card, phone by fixed rules) and notes what stands before each of them and
-before every other token that looks like an identifier: the last two words, or one word that ends in a cue such as a
-colon. These left contexts are the patterns and the tokens are the instances of a bipartite graph. Base spans are the
-seeds. Spark scores in rounds: a pattern by the share of its occurrences that instances of a kind fill, an instance
-by its patterns together. Patterns with high scores and several different seeds then give their kind to the other
-tokens they stand before, where the token's digits or signs allow that kind.
-
-All counts cover the whole corpus. n_email to n_phone and base_sha256 tell of the base spans, spans of all.
+One pass finds the base spans (email, ip, card, phone by fixed rules) and notes the lexical patterns of each of them and
+of every other token that looks like an identifier:
+
+* before it, the last two words, or one word that ends in a cue such as a colon;
+* behind it, the next two words;
+* its own form, where a kind has no checksum or range that a form can't tell: letters and runs of digits of an email, and
+  the groups of a phone without its country code.
+
+Patterns and tokens (instances) are the two sides of a graph. Base spans are the seeds. Spark scores in rounds: a
+pattern by the share of its occurrences that instances of a kind fill, an instance by its patterns together. Patterns
+with high scores and several different seeds then give their kind to the other tokens they stand at, where the token's
+digits or signs allow that kind.
+
+All counts cover the whole corpus; tokens, contexts and documents may be of any length. n_email to n_phone and
+base_sha256 tell of the base spans, spans of all. To measure what patterns find, a share of the seeds can be hidden:
+hidden ones are tokens like others (hidden_seeds()).
 Odd input: a null or empty text has no spans; repeated rows are read each on their own, and count again in the graph
 only as further occurrences; other columns are not looked at; a table without rows gives none.
 """
@@ -15,7 +23,9 @@ only as further occurrences; other columns are not looked at; a table without ro
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -104,6 +114,38 @@ def pattern_before(text: str, start: int) -> str | None:
     return " ".join(words) if len(words) == WORDS and not sign else None
 
 
+def pattern_behind(text: str, end: int) -> str | None:
+    """The two words that follow a token; None if there are fewer or one looks like an identifier itself."""
+    size = BEFORE
+    while True:
+        after = text[end : end + size]
+        words = after.lower().split()
+        if end + size < len(text) and words and not after[-1].isspace():
+            words = words[:-1]  # may be cut in the middle
+        if len(words) >= WORDS or end + size >= len(text):
+            break
+        size *= 4
+    words = words[:WORDS]
+    return " ".join(words) if len(words) == WORDS and not any(map(SIGN.search, words)) else None
+
+
+COUNTRY = re.compile(r"^\+[0-9]{1,3}[ .-]*(?=[(0-9])")
+
+
+def form(kind: int, token: str) -> str | None:
+    """The form of an email or phone; None for other kinds, whose rules are about values."""
+    if kind == 3:
+        token = re.sub("[0-9]", "9", COUNTRY.sub("", token))
+        return token if re.search("[^0-9]", token) else None  # digits alone may be anything
+    return re.sub("[0-9]+", "9", re.sub("[A-Za-z]+", "a", token)) if kind == 0 else None
+
+
+def patterns_of(text: str, start: int, end: int, kinds: list[int]) -> list[str]:
+    """All patterns of a token, each with a letter for its sort in front."""
+    found = [("l", pattern_before(text, start)), ("r", pattern_behind(text, end)), *((f"f{k}", form(k, text[start:end])) for k in kinds)]
+    return [f"{sort} {p}" for sort, p in found if p]
+
+
 def allowed(kind: int, token: str) -> bool:
     """Whether a token can be of a kind at all, though it doesn't keep the kind's rule."""
     digits = len(DIGITS.findall(token))
@@ -131,16 +173,22 @@ def grown(text: str, start: int, least: int, limit: int) -> list[tuple[int, int]
     return sorted(best.items())
 
 
-def occurrences(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
-    """Base spans and identifier-like tokens, each with pattern and instance; kinds: bits of the kinds it may get.
+def hidden(token: str) -> bool:
+    """Whether a seed is among the fifth that is hidden for measuring."""
+    return zlib.crc32(token.lower().encode()) % 5 == 0
+
+
+def occurrences(text: str, base: list[tuple[int, int, int]], hide: bool = False) -> list[dict]:
+    """Base spans and identifier-like tokens, each with patterns and instance; kinds: bits of the kinds it may get.
 
     A token grows over the groups of digits behind it for a card or phone that it can't be alone. Of several spans at a
     place only the first has an instance, so that the place counts once.
     """
     out = []
     for kind, a, b in base:
-        if p := pattern_before(text, a):
-            out.append({"pattern": p, "instance": text[a:b].lower(), "seed": kind, "kinds": 0, "start": a, "end": b})
+        if p := patterns_of(text, a, b, [kind]):
+            seed = not (hide and hidden(text[a:b]))
+            out.append({"patterns": p, "instance": text[a:b].lower(), "seed": kind if seed else None, "kinds": 0 if seed else 1 << kind, "start": a, "end": b})
     taken = sorted((a, b) for _, a, b in base)
     done, k = 0, 0
     for m in SIGN.finditer(text):
@@ -158,7 +206,8 @@ def occurrences(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
             b -= 1
         while k < len(taken) and taken[k][1] <= a:
             k += 1
-        if any(x < b and y > a for x, y in taken[max(0, k - 1) : k + 8]):
+        # spans from k on end behind a, but for some that lie in longer ones; they are in order of their starts
+        if any(y > a for x, y in itertools.takewhile(lambda span: span[0] < b, itertools.islice(taken, k, None))):
             continue
         token = text[a:b]
         kinds = sum(1 << i for i in range(len(KINDS)) if allowed(i, token))
@@ -170,9 +219,9 @@ def occurrences(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
         if not kinds and ends:
             done = max(done, max(e for _, e in ends))
         spans = [(a, b, kinds)] * bool(kinds or not ends) + [(start, e, 1 << i) for i, e in sorted(ends, key=lambda x: -x[1])]
-        if p := pattern_before(text, spans[0][0]):
-            for n, (x, y, own) in enumerate(spans):
-                out.append({"pattern": p, "instance": None if n else text[x:y].lower(), "seed": None, "kinds": own, "start": x, "end": y})
+        for n, (x, y, own) in enumerate(spans):
+            if p := patterns_of(text, x, y, [i for i in range(len(KINDS)) if own >> i & 1]):
+                out.append({"patterns": p, "instance": None if n else text[x:y].lower(), "seed": None, "kinds": own, "start": x, "end": y})
     return out
 
 
@@ -181,21 +230,26 @@ def told(spans: list[tuple[int, int, int]]) -> str:
 
 
 SPAN = "array<struct<kind:int,start:long,end:long>>"
-SEEN = "array<struct<pattern:long,instance:long,seed:int,kinds:int,start:long,end:long>>"
+SEEN = "array<struct<patterns:array<long>,instance:long,seed:int,kinds:int,start:long,end:long>>"
 
 
-@tidy
-def _look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _look(hide: bool):
     number = lambda s: xxhash.xxh3_64_intdigest(s) - 2**63
-    for batch in batches:
-        spans, seen = [], []
-        for text in batch["text"].to_pylist():
-            base = base_spans(text or "")
-            spans.append([{"kind": k, "start": a, "end": b} for k, a, b in base])
-            seen.append([o | {"pattern": number(o["pattern"]), "instance": None if o["instance"] is None else number(o["instance"])} for o in occurrences(text or "", base)])
-        span = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64())]))
-        note = pa.list_(pa.struct([("pattern", pa.int64()), ("instance", pa.int64()), ("seed", pa.int32()), ("kinds", pa.int32()), ("start", pa.int64()), ("end", pa.int64())]))
-        yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(spans, span), pa.array(seen, note)], names=["doc_id", "base", "seen"])
+    span = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64())]))
+    note = pa.list_(pa.struct([("patterns", pa.list_(pa.int64())), ("instance", pa.int64()), ("seed", pa.int32()), ("kinds", pa.int32()), ("start", pa.int64()), ("end", pa.int64())]))
+
+    @tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spans, seen = [], []
+            for text in batch["text"].to_pylist():
+                base = base_spans(text or "")
+                spans.append([{"kind": k, "start": a, "end": b} for k, a, b in base])
+                found = occurrences(text or "", base, hide)
+                seen.append([o | {"patterns": [number(p) for p in o["patterns"]], "instance": None if o["instance"] is None else number(o["instance"])} for o in found])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(spans, span), pa.array(seen, note)], names=["doc_id", "base", "seen"])
+
+    return run
 
 
 def trusted_patterns(seen: DataFrame) -> DataFrame:
@@ -214,18 +268,31 @@ def trusted_patterns(seen: DataFrame) -> DataFrame:
     return patterns.filter((F.col("score") >= TRUST) & (F.col("seeds") >= SEEDS)).select("pattern", "kind", "score")
 
 
-def find_pii(docs: DataFrame) -> DataFrame:
-    """doc_id, base (spans by rule) and more (spans that patterns add) of each row of docs."""
+def find_pii(docs: DataFrame, hide: bool = False) -> DataFrame:
+    """doc_id, base (spans by rule) and more (spans that patterns add) of each row of docs; hide: see hidden_seeds()."""
     small_batches(docs.sparkSession)
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(_look, f"doc_id {dict(docs.dtypes)['doc_id']}, base {SPAN}, seen {SEEN}")
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(_look(hide), f"doc_id {dict(docs.dtypes)['doc_id']}, base {SPAN}, seen {SEEN}")
     rows = saved(rows.withColumn("row", F.monotonically_increasing_id()), "pii")
-    seen = rows.select("row", F.explode("seen").alias("o")).select("row", "o.*")
-    best = trusted_patterns(seen.filter("instance is not null").select("pattern", "instance", "seed")).groupBy("pattern").agg(F.max_by("kind", F.struct("score", -F.col("kind"))).alias("kind"))
-    new = seen.filter("seed is null and kinds > 0").join(best, "pattern").filter("(shiftright(kinds, kind) & 1) = 1")
+    seen = rows.select("row", F.explode("seen").alias("o")).select("row", "o.*").withColumn("pattern", F.explode("patterns")).drop("patterns")
+    trusted = trusted_patterns(seen.filter("instance is not null").select("pattern", "instance", "seed"))
+    new = seen.filter("seed is null and kinds > 0").join(trusted, "pattern").filter("(shiftright(kinds, kind) & 1) = 1")
+    # a span gets the kind of its best pattern
+    new = new.groupBy("row", "start", "end").agg(F.max_by("kind", F.struct("score", -F.col("kind"))).alias("kind"))
     more = new.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("kind", "start", "end"))).alias("more"))
     return rows.drop("seen").join(more, "row", "left").select("doc_id", "base", F.coalesce("more", F.array().cast(SPAN)).alias("more"))
 
 
+def hidden_seeds(docs: DataFrame) -> DataFrame:
+    """kind (its number), hidden, found and added: with a fifth of the identifiers hidden, their spans, those of them that
+    patterns bring back, and all spans that patterns give this kind. docs must have different ids."""
+    spans = find_pii(docs, hide=True).join(docs.select("doc_id", "text"), "doc_id")
+    told = spans.select("doc_id", "text", F.explode("base").alias("s")).select("doc_id", F.expr("substring(text, int(s.start) + 1, int(s.end - s.start))").alias("token"), "s.*")
+    told = told.filter(F.crc32(F.lower("token").cast("binary")) % 5 == 0).withColumn("hidden", F.lit(1))
+    more = spans.select("doc_id", F.explode("more").alias("s")).select("doc_id", "s.*").withColumn("added", F.lit(1))
+    both = told.join(more, ["doc_id", "kind", "start", "end"], "full")
+    return both.groupBy("kind").agg(F.count("hidden").alias("hidden"), F.count(F.when(F.col("hidden") == 1, F.col("added"))).alias("found"), F.count("added").alias("added"))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_pii(read(spark, sf_dir, "documents"))
     text = lambda spans: F.array_join(F.transform(F.array_sort(spans), lambda s: F.concat_ws(":", F.element_at(F.array(*map(F.lit, KINDS)), s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")

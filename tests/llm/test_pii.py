@@ -4,7 +4,7 @@ import re
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from brambler.llm.pii import KINDS, base_sha256, base_spans, luhn, op5_pii, pattern_before
+from brambler.llm.pii import KINDS, base_sha256, form, hidden_seeds, pattern_behind, base_spans, luhn, op5_pii, pattern_before
 
 
 def plain(text):
@@ -84,3 +84,27 @@ def test_words_of_a_pattern_may_be_far():
     assert pattern_before("a" * 90 + " by x", 92 + 2) == "a" * 90 + " by"
     assert pattern_before("one 2two three x", 15) is None and pattern_before("5 " + "w" * 90 + ": x", 94) == "w" * 90 + ":"
     assert pattern_before("alone ", 6) is None
+
+
+def test_patterns_behind_and_forms(spark):
+    assert pattern_behind("x@y is My  address", 3) == "is my" and pattern_behind("x@y is", 3) is None and pattern_behind("x@y is 5 more", 3) is None
+    assert pattern_behind("x " + "w" * 90 + " v u", 1) == "w" * 90 + " v"
+    assert form(3, "+1 (555) 555-0100") == form(3, "(555) 555-0100") == "(999) 999-9999" and form(3, "5550100123") is None
+    assert form(0, "ab.c12@x.example") == "a.a9@a.a" and form(1, "1.2.3.4") is None is form(2, "4111")
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    rows = [(i, f"{word()} {word()} +{rng.randint(1, 99)} (555) 555-{rng.randint(1000, 9999)} {word()} {word()}") for i in range(60)]
+    rows += [(100 + i, f"{word()} 10.0.{i}.{rng.randint(1, 200)} is my address") for i in range(60)]
+    found = {r.kind: r for r in hidden_seeds(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(found[k].hidden > 5 and found[k].found == found[k].hidden == found[k].added for k in (1, 3))
+
+
+def test_unseen_by_form_and_behind(spark, tmp_path):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    docs = [(i, f"{word()} {word()} +1 (555) 555-{rng.randint(1000, 9999)} {word()} {word()}") for i in range(30)]
+    docs += [(40 + i, f"{word()} {word()}{i}@mail.example.com is my address {word()}") for i in range(30)]
+    docs += [(100, "aa bb (555) 555-1212 cc dd"), (101, "write jo@localhost is my address ok"), (102, "aa bb 555-1212 cc dd"), (103, "on 2024-05-06 is my day")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r.doc_id: r.spans for r in op5_pii(spark, f"file://{tmp_path}").collect()}
+    assert (rows[100], rows[101], rows[102], rows[103]) == ("phone:6:20", "email:6:18", "", "")
