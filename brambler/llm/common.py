@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import functools
 import gc
@@ -38,13 +39,34 @@ def shared_dir(spark: SparkSession) -> str:
     return found if "://" in found or found.startswith("file:") else f"file://{found}"
 
 
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+#: Paths that scratch() removes; one list for each that is open.
+_open_scratch: list[list[str]] = []
 
 
-def saved(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
-    """df written to the shared folder and read again: lineage ends there, and every reader sees the same rows."""
-    path = new_path(df.sparkSession, name)
+def new_path(spark: SparkSession, name: str, keep: bool = False) -> str:
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if _open_scratch and not keep:
+        _open_scratch[-1].append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes what is written to the shared folder inside, but for tables that are to be kept. What rests on these
+    tables must be written by then."""
+    _open_scratch.append([])
+    try:
+        yield
+    finally:
+        for path in _open_scratch.pop():
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def saved(df: DataFrame, name: str, codec: str = "snappy", keep: bool = False) -> DataFrame:
+    """df written to the shared folder and read again: lineage ends there, and every reader sees the same rows. Tables stay
+    there, as results may rest on them, unless a scratch() is open and they aren't to be kept."""
+    path = new_path(df.sparkSession, name, keep)
     df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
-
 from .bpe import op8_bpe
 from .embedding_dedup import OP3_SQL, op3_embedding_dedup
 from .langid import op6_language
@@ -16,5 +14,4 @@ from .suffix_dedup import op1_suffix_dedup
 from .toxicity import op2_toxicity
 
 QUERIES = {"op1_suffix_dedup": op1_suffix_dedup, "op2_toxicity": op2_toxicity, "op3_embedding_dedup": op3_embedding_dedup, "op4_sainte_lague": op4_sainte_lague, "op5_pii": op5_pii, "op6_language": op6_language, "op7_line_dedup": op7_line_dedup, "op8_bpe": op8_bpe, "op9_media": op9_media, "op10_setsketch": op10_setsketch}
-QUERIES["pipeline"] = corpus_pipeline.run
 ORACLE_SQL = {"op3_embedding_dedup": OP3_SQL, "op7_line_dedup": OP7_SQL}
