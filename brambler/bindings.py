@@ -28,7 +28,58 @@ DOMAINS = [f"{w}.{t}" for w in ("alpha", "bravo", "delta", "fleet-hub", "garage1
 ROLE_LOCALS = ["sales", "info", "service.dept", "accounts", "parts", "noreply"]
 ROLES = ["Dealer Principal", "New Car Sales Manager", "Senior Sales Consultant", "Service Advisor", "Parts Interpreter", "Fleet & Sales Manager", "Gardener", "Finance Manager ", "DP", "Receptionist", "New Car Manager"]
 
+#: A payload of each brand; #n to #e stand for name, address, suburb, state, postcode, phone, site and email, #i for a number.
+PAYLOADS = {
+    "toyota": '{"results":[{"dealerCode":"#i","name":" #n ","address":"#a","city":"#u","state":"#s","postCode":"#p","telephone":"#h","webSite":"#w","email":"#e"}]}',
+    "mitsubishi": '{"data":{"stockists":{"locations":[{"identifier":"#i","name":"#n","website":"#w","address":{"street":"#a","city":"#u","region":"#s","postcode":"#p","phone":"#h"}}]}}}',
+    "hyundai": '[{"tradingName":"#n","streetName":"#a","suburb":"#u","state":"#s","postcode":"#p","phone":"#h","url":"#w","email":"#e"}]',
+    "kia": '{"dataInfo":[{"dealerNm":"#n","addr":"#u","area":"#s","addrSC":"#a, #p","phone":"#h","homepage":"#w","email":"#e,x@b.test"}]}',
+    "ford": '[{"name":"Ford #n","text":"#a #u #s #p #h"}]',
+    "audi": '[{"name":"Audi #n","text":"#a #u #s #p #h"},{"name":"Other","text":""}]',
+    "volvo": '[{"name":"Volvo #n","text":"#a #u #s #p #h"},{"name":"Volvo #n","text":""}]',
+    "mazda": '[{"name":"#n","address":"#a","suburb":"#u","state":"#s","postCode":"#p","website":"#w","departments":[{"phone":""},{"phone":"#h","email":"#e"}]}]',
+    "nissan": '{"dealers":[{"name":"#n","address":{"addressLine1":"#a","city":"#u","stateCode":"#s","postalCode":"#p"},"contact":{"phones":[{"value":"#h"}],"websites":[{"url":"#w"}]},"departments":[{"contact":{}},{"contact":{"email":"#e"}}]}]}',
+    "isuzu": '{"Dealers":[{"Name":"#n","IsActive":true,"Sales":{"IsActive":false,"Contact":{"Phone":"1"}},"Parts":{"IsActive":true,"Address":{"Street":"#a","Suburb":"#u","State":"#s","PostCode":"#p"},"Contact":{"Phone":"#h","Website":{"Url":"#w"},"Email2":"#e"}}}]}',
+    "honda": '[{"Name":"#n","State":"#s","Website":"#w","Locations":[{"AddressSuburb":"no"},{"isPrimary":true,"AddressLine1":"#a","AddressSuburb":"#u","AddressPostcode":"#p","Phone":"#h"}]}]',
+    "subaru": '[{"name":"#n","state":"#s","isActive":true,"dealerDetails":[{"address":"#a","suburb":"#u","postCode":"#p","phone":"#h","url":"#w","email":"#e"}]},{"name":"off","isActive":false}]',
+    "bmw": '{"data":{"pois":[{"name":"#n","street":"#a","city":"#u","state":"#s","postalCode":"#p","attributes":{"phone":"#h","homepage":"#w","mail":"#e"}}]}}',
+    "mercedes": '{"dealers":[{"legalName":"#n","url":"#w","address":{"addressLine1":"#a","city":"#u","stateProvince":"","region":"#s","postalCode":"#p"},"contact":{"phone":"#h"}}]}',
+    "ldv": '{"result":{"data":{"allCmsBrandDealer":{"nodes":[{"name":"#n","address":"#a","suburb":"#u","state":"#s","postcode":"#p","phone":"#h","contactUrl":"#w","email":"#e"}]}}}}',
+    "volkswagen": '{"dealers":[{"dealer":{"dealerCode":"#i","dealerName":"#n","dealerState":"#s","SalesSuberbCode":"#u","dealerAddress":"#a","dealerPostcode":"#p","phone":"#h","dealerWebsite":"#w","FinanceEmail":"#e"}}]}',
+    "jeep": '{"dealers":[{"id":"#i","name":"#n","phone":"#h","web_site":"#w","address":{"line1":"#a","city":"#u","state":"#s","postal_code":"#p"}}]}',
+    "mg": '{"#s":{"code":3000,"result":{"Dealer_List":[{"Name":"#n","Showroom_Address":"#a, #u #s #p","Phone_Number":"#h","MG_Website":"#w"}]}},"XX":{"code":2955,"result":{"Dealer_List":[{"Name":"no"}]}}}',
+    "byd": '[{"name":"#n","website":"#w","rawText":"Store Megastore Closest #a,Town #s #p Visit"}]',
+    "gwm": '[{"name":"#n","address":"#a, #u, #s, #p","phone":"#h","email":"#e"}]',
+}
+_PAYLOAD = "CASE s_suppkey % 20 " + " ".join(f"WHEN {k} THEN '{text}'" for k, text in enumerate(PAYLOADS.values())) + " END"
+for _mark, _value in {"#n": "name", "#a": "address", "#u": "suburb", "#s": "state", "#p": "postcode", "#h": "phone", "#w": "website_url", "#e": "api_email", "#i": "CAST(seq AS STRING)"}.items():
+    _PAYLOAD = f"replace({_PAYLOAD}, '{_mark}', {_value})"
+
 TABLES = {
+    "team_facts": f"""
+        SELECT s_suppkey AS page_id, {_pick(FIRST, "s_suppkey")} AS f1, {_pick(LAST, "s_suppkey")} AS l1, {_pick(FIRST, "s_suppkey + 7")} AS f2, {_pick(LAST, "s_suppkey + 11")} AS l2,
+          'https://www.site' || CAST(s_suppkey AS STRING) || '.test/' AS url, s_suppkey % 3 AS kind
+        FROM supplier""",
+    # pages of three kinds: cards, structured data beside a heading with a role, and plain text
+    "team_pages": """
+        SELECT page_id, url, '<html><head><script>var x = "no@script.test";</script></head><body><a href="/our-team/">Meet the team</a><a href="/about">About</a><a href="https://other.test/our-team">x</a><a href="mailto:' || f1 || '@a.test">mail</a>' ||
+          CASE kind WHEN 0 THEN '<div class="team-card"><h3>' || upper(substr(f1, 1, 1)) || substr(f1, 2) || ' ' || upper(substr(l1, 1, 1)) || substr(l1, 2) || '</h3><p>Sales Manager</p></div><div class="team-card"><h3>Toyota Corolla</h3><p>From 9</p></div><div class="team-card"><h3>Sales Manager</h3></div>'
+            WHEN 1 THEN '<script type="application/ld+json">{"@type":"Person","name":"' || f1 || ' ' || l1 || '","jobTitle":"Director","email":"' || upper(f1) || '@A.test"}</script><h2>' || upper(substr(f2, 1, 1)) || substr(f2, 2) || ' Head</h2><p>Service Advisor</p><h2>Our Team</h2><p>Manager</p>'
+            ELSE '<p>' || upper(substr(f2, 1, 1)) || substr(f2, 2) || ' ' || upper(substr(l2, 1, 1)) || substr(l2, 2) || ' - Parts Manager</p>' END ||
+          '</body></html>' AS html
+        FROM team_facts""",
+    "releases_made": """
+        SELECT release_id, content_html FROM (VALUES
+          (1, '<table><tr><th>For further information</th></tr><tr><td>Ann Example</td><td>Bo Example</td></tr><tr><td>Director</td><td></td></tr><tr><td><a href="mailto:Ann.X@a.test">mail</a></td><td>bo9@a.test</td></tr></table>'),
+          (2, '<p>Our sales manager is Jane Doe jdoe@b.test or media@b.test</p><script>x.y@c.test</script>'),
+          (3, '<p>kim.lee@c.test and caa.marketing@c.test and a1234567@c.test</p>'),
+          (4, NULL), (5, '<p>Jo Ray jo@gmail.com</p>')) AS v(release_id, content_html)""",
+    "locator_facts": f"""
+        SELECT s_suppkey, s_suppkey AS seq, {_pick(list(PAYLOADS), "s_suppkey")} AS brand_slug, 'Motors ' || CAST(s_suppkey AS STRING) AS name, CAST(s_suppkey AS STRING) || ' Long Road' AS address, 'Town' AS suburb,
+          {_pick(["NSW", "VIC", "QLD", "WA"], "s_suppkey")} AS state, CAST(3000 + s_suppkey % 900 AS STRING) AS postcode, '(03) 5550 ' || CAST(1000 + s_suppkey % 9000 AS STRING) AS phone,
+          'https://www.d' || CAST(s_suppkey AS STRING) || '.test' AS website_url, 'D' || CAST(s_suppkey AS STRING) || '@A.test' AS api_email
+        FROM supplier""",
+    "locator_payloads": f"SELECT brand_slug, seq, {_PAYLOAD} AS payload_json FROM locator_facts",
     "dealerships": """
         SELECT s_suppkey AS id, 'brand_' || CAST(s_suppkey % 20 AS STRING) AS brand_slug, s_name AS name,
           CASE WHEN s_suppkey % 17 = 0 THEN NULL ELSE n_name END AS suburb, r_name AS state,

@@ -87,6 +87,13 @@ def split_first_rest(name: Column) -> tuple[Column, Column]:
     return F.get(words, F.lit(0)), rest
 
 
+def split_at_first(name: Column) -> tuple[Column, Column]:
+    """What stands before and behind the first blank; null where nothing does."""
+    at = F.instr(name, " ")
+    first = F.when(at > 0, F.substring(name, F.lit(1), at - 1)).otherwise(name)
+    return F.nullif(first, F.lit("")), F.when(at > 0, F.nullif(F.substring(name, at + 1, F.length(name)), F.lit("")))
+
+
 def split_first_last(name: Column) -> tuple[Column, Column]:
     words = F.split(F.trim(name), r"\s+")
     return F.get(words, F.lit(0)), F.when(F.size(words) > 1, F.element_at(words, -1))

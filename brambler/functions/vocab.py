@@ -183,3 +183,40 @@ FAILED = r"(?i)(?:Final-Recipient|Original-Recipient|X-Failed-Recipients)\s*:\s*
 AWAY_SUBJECT = r"(?i)automatic reply|out of office|auto[\s\-]?reply|autoreply|on leave|away from the office|annual leave|currently out"
 ADDRESS = r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+"
 EMAIL = r"[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"
+
+# Names that are none, of two words or more (one word is never a name).
+SKIP_NAMES = [
+    "our team", "meet the team", "meet our team", "about us", "hatch & sedans", "electric & hybrids", "suvs & crossovers",
+    "book a service", "take a test drive", "trading hours", "quick enquiry", "get a quote", "find a dealer", "request a quote",
+    "build and price", "peace of mind", "customer care", "roadside assist", "genuine parts", "genuine accessories",
+]
+# Models of two words or more that don't start with a digit.
+MODEL_NAMES = ["grand cherokee", "ioniq 5", "ioniq 5 n", "ioniq 5 n line", "ioniq 6", "ioniq 9", "santa fe", "sonata n line", "i30 n"]
+# Makes at the start of a vehicle's name, and at the end of a dealer's.
+MAKES_FIRST = [
+    "mazda", "toyota", "hyundai", "nissan", "subaru", "kia", "ford", "isuzu", "bmw", "mercedes", "volkswagen", "audi", "volvo", "jeep",
+    "honda", "mitsubishi", "ldv", "mg", "byd", "gwm", "mini", "renault", "suzuki", "omoda", "jaecoo",
+]
+MAKES_LAST = [
+    "jeep", "bmw", "audi", "volvo", "ford", "kia", "mazda", "nissan", "toyota", "hyundai", "honda", "subaru", "isuzu", "mitsubishi",
+    "volkswagen", "mercedes", "ldv", "mg", "byd", "gwm", "mini", "renault", "suzuki",
+]
+# Other words of vehicles, as patterns.
+VEHICLE_WORDS = [
+    r"^all[- ]new\b", r"^new\s+\w+\s+(mx|cx|bt|cr|hr|rav|hilux|ranger)", r"\b(suv|sedan|hatch|hatchback|ute|utes|van|vans|wagon|coupe|cab|convertible)\b",
+    r"\b(suvs|sedans|hatches|coupes|wagons|convertibles)\b", r"\b(cx-\d|mx-\d|bt-\d|cr-v|hr-v|rav4|corolla|camry|hilux|ranger)\b", r"\bseats?\b", r"\bcab\b",
+    r"\bhybrid\b", r"\belectric\b", r"\bev\b", r"\bphev\b", r"^(new|used|demo)\s+(car|vehicle)",
+]
+# Words of a client's name that don't tell whose it is, and ends of domains.
+CLIENT_STOPS = [
+    "australia", "australian", "pty", "ltd", "limited", "group", "motors", "motor", "automotive", "cars", "car", "company", "co", "inc",
+    "corp", "corporation", "holdings", "the", "and", "of", "new", "zealand", "anz",
+]
+DOMAIN_ENDS = ["com", "au", "net", "org", "co", "nz"]
+# Shared inboxes of press offices, beside those of mail.
+PRESS_ROLES = [
+    "media", "pr", "press", "comms", "communications", "communication", "newsroom", "publicrelations", "mediarelations",
+    "corporateaffairs", "prteam", "mediateam", "pressoffice", "media.relations",
+]
+# Fixed value: what heads a table of contacts.
+CONTACT_HEADER = r"(?i)\b(contacts?|media enqu|media contact|further information|press (?:contact|office))\b"

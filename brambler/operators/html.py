@@ -178,10 +178,14 @@ NAME_AND_ROLE = r"([A-Z][a-z]+ [A-Z][a-z]+)\s*[-–|]\s*(.{5,40})"
 
 
 def name_plausible(name: Column) -> Column:
-    """Two to five words, a capital first, no label and not mostly words of titles."""
-    words = F.split(F.trim(name), r"\s+")
+    """Two to five words, a capital first; no label, vehicle or dealer, and not more than half of it words of titles."""
+    name = F.trim(name)
+    lower, words = F.lower(name), F.split(name, r"\s+")
     titles = F.filter(words, lambda w: F.regexp_replace(F.lower(w), "[s,]+$", "").isin(vocab.TITLE_WORDS))
-    return F.length(F.trim(name)).between(3, 50) & F.size(words).between(2, 5) & F.trim(name).rlike("^[A-Z]") & ~name.rlike(r"[0-9@/|:!?]") & ~F.lower(F.trim(name)).isin(vocab.LABELS) & (F.size(titles) * 2 < F.size(words))
+    vehicle = lower.isin(vocab.MODEL_NAMES) | lower.rlike("|".join([rf"^({'|'.join(vocab.MAKES_FIRST)})\b", *vocab.VEHICLE_WORDS]))
+    shouted = (F.upper(name) == name) & (F.length(name) > 10)
+    shape = F.length(name).between(3, 50) & F.size(words).between(2, 5) & name.rlike(r"^\p{Lu}") & ~name.rlike(r"[@()$%!?#+]") & ~name.rlike(r":(\s|$)")
+    return shape & ~shouted & ~vehicle & ~lower.isin([*vocab.SKIP_NAMES, *vocab.LABELS]) & ~F.lower(F.element_at(words, -1)).isin(vocab.MAKES_LAST) & (F.size(titles) * 2 <= F.size(words))
 
 
 def fuse_people(jsonld: DataFrame, cards: DataFrame, key: str = "page_id") -> DataFrame:

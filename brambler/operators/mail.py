@@ -85,19 +85,24 @@ def name_of_local(local: Column) -> Column:
 NAME_NEAR = r"\b([A-Z][a-z]+(?:['\-][A-Z][a-z]+)?(?: [A-Z][a-z]+){1,2})\b"
 
 
+def context_of(body: Column, email: Column) -> tuple[Column, Column]:
+    """The name next before an address's first place in a text, else the first one in its line; and the text around it in
+    which a role may stand. An address that isn't in the text has none."""
+    at = F.nullif(F.instr(F.lower(body), email), F.lit(0))
+    start = F.greatest(at - 220, F.lit(1))
+    near = F.regexp_extract_all(F.substring(body, start, at - start), F.lit(NAME_NEAR), F.lit(1))
+    line = F.concat(F.substring_index(F.substring(body, F.lit(1), at - 1), "\n", -1), F.substring_index(F.substring(body, at, F.length(body)), "\n", 1))
+    name = F.when(F.size(near) > 0, F.element_at(near, -1)).otherwise(F.nullif(F.regexp_extract(line, NAME_NEAR, 1), F.lit("")))
+    return name, F.substring(body, start, at + 60 - start)
+
+
 def harvest_replies(parsed: DataFrame, self_domains: tuple[str, ...] = ()) -> DataFrame:
     """People named in replies: address, name and role nearby. The sender is never one; the first capture of an address
     counts unless it has no role and a later one has."""
     text = F.concat_ws(" ", F.coalesce("reply_to", F.lit("")), "body")
     hits = parsed.select("msg_id", "sender", "body", text.alias("text")).select("msg_id", "sender", "body", F.posexplode(F.regexp_extract_all("text", F.lit(r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}"), F.lit(0))).alias("pos", "raw"))
     rows = hits.withColumn("email", clean_address(F.col("raw"))).filter("email is not null").filter(~F.contains(F.lower("sender"), F.col("email")))
-    # where the address first stands in the body; one that only Reply-To names has no context
-    at = F.nullif(F.instr(F.lower("body"), F.col("email")), F.lit(0))
-    start = F.greatest(at - 220, F.lit(1))
-    near = F.regexp_extract_all(F.substring("body", start, at - start), F.lit(NAME_NEAR), F.lit(1))
-    line = F.concat(F.substring_index(F.substring("body", F.lit(1), at - 1), "\n", -1), F.substring_index(F.substring("body", at, F.length("body")), "\n", 1))
-    context = F.when(F.size(near) > 0, F.element_at(near, -1)).otherwise(F.nullif(F.regexp_extract(line, NAME_NEAR, 1), F.lit("")))
-    window = F.substring("body", start, at + 60 - start)
+    context, window = context_of(F.col("body"), F.col("email"))
     own = name_of_local(local_part(F.col("email")))
     rows = rows.withColumns({"role": role_normalised(window), "full_name": F.coalesce(F.when(person_name(own), own), F.when(person_name(context), context)), "reason": reject_reason(local_part(F.col("email")), domain_part(F.col("email")), self_domains)})
     first = Window.partitionBy("email").orderBy(F.col("role").isNull(), "msg_id", "pos")
@@ -154,11 +159,14 @@ def appointments(releases: DataFrame) -> DataFrame:
 
 
 def in_house(client: Column, domain: Column, agencies: list[str] = vocab.AGENCIES) -> Column:
-    """Whether a domain is the client's own: a word in common, or one of four letters or more inside a label."""
-    words = F.regexp_extract_all(F.lower(client), F.lit("[a-z0-9]+"), F.lit(0))
-    labels = F.regexp_extract_all(F.lower(domain), F.lit("[a-z0-9]+"), F.lit(0))
-    inside = F.exists(words, lambda w: (F.length(w) >= 4) & F.contains(F.lower(domain), w))
-    return ~F.arrays_overlap(labels, F.array(*map(F.lit, agencies))) & (F.arrays_overlap(words, labels) | inside)
+    """Whether a domain is the client's own: one of its labels is a telling word of the client's name, or one of both, the
+    word of four letters or more, is part of the other. An agency's never is."""
+    words = F.transform(F.split(F.lower(client), r"\s+"), lambda w: F.regexp_replace(w, "[^a-z0-9]", ""))
+    words = F.filter(words, lambda w: (F.length(w) >= 3) & ~w.isin(vocab.CLIENT_STOPS))
+    labels = F.array_except(F.split(F.lower(domain), r"\."), F.array(*map(F.lit, vocab.DOMAIN_ENDS)))
+    meets = lambda w, x: (w == x) | ((F.length(w) >= 4) & (F.contains(x, w) | ((x != "") & F.contains(w, x))))
+    own = F.exists(words, lambda w: F.exists(labels, lambda x: meets(w, x)))
+    return F.coalesce(~F.arrays_overlap(labels, F.array(*map(F.lit, agencies))) & own, F.lit(False))
 
 
 def extrapolate(appointees: DataFrame, formats: DataFrame) -> DataFrame:

@@ -96,3 +96,23 @@ def reject_reason(local: Column, domain: Column, self_domains: tuple[str, ...] =
     """Why an address of a mail isn't kept: one's own, free mail, a shared inbox, a token; null if it is kept."""
     opaque = local.rlike("(?i)^[0-9a-f]{16,}$") | local.rlike("[0-9]{6,}")
     return F.when(domain.isin(list(self_domains)), "self").when(domain.isin(vocab.FREEMAIL), "freemail").when(local.isin(vocab.MAIL_ROLES), "role").when(opaque, "opaque")
+
+
+def press_reject_reason(local: Column, domain: Column, self_domains: tuple[str, ...] = ()) -> Column:
+    """As reject_reason() for addresses in releases: shared inboxes of press offices too, also by the first token or as a
+    prefix, and names of over 40 characters."""
+    roles = [*vocab.MAIL_ROLES, *vocab.PRESS_ROLES]
+    role = local.isin(roles) | F.get(F.split(local, r"[._\-]"), F.lit(0)).isin(roles) | local.rlike("^(noreply|no-reply|mailer)")
+    opaque = local.rlike("(?i)^[0-9a-f]{16,}$") | local.rlike("[0-9]{6,}") | (F.length(local) > 40)
+    return F.when(domain.isin(list(self_domains)), "self").when(domain.isin(vocab.FREEMAIL), "freemail").when(role, "role").when(opaque, "opaque")
+
+
+def fill_addresses(people: DataFrame, emails: DataFrame, patterns: DataFrame, key: str) -> DataFrame:
+    """id, email and confidence of people: an address they already have, else one of the organisation's that a prefix of
+    their name makes (direct), else what its pattern gives (inferred). patterns: key, pattern and domain."""
+    lacking = people.filter("email is null")
+    direct = match_known(lacking, emails, key).withColumnRenamed("email", "match")
+    guess = generate_addresses(lacking.join(patterns, key)).select("id", F.col("email").alias("guess"))
+    rows = people.select("id", "email").join(direct, "id", "left").join(guess, "id", "left")
+    email = F.coalesce("email", "match", "guess")
+    return rows.select("id", email.alias("email"), F.when(F.coalesce("email", "match").isNotNull(), "direct").when(email.isNotNull(), "inferred").alias("confidence"))

@@ -145,3 +145,54 @@ def batch_composition(contacts: DataFrame) -> DataFrame:
     rows = contacts.filter("export_batch is not null").withColumn("same", F.count("*").over(per)).withColumn("role", is_role_inbox(F.col("email")))
     counts = [F.count_if(F.col("proximity_tier") == t).alias(f"n_{t.lower()}") for t in ("dealer", "T1", "T2", "T3")]
     return rows.groupBy("export_batch").agg(F.count("*").alias("n"), *counts, F.count_if("role").alias("n_role"), F.countDistinct("email_domain").alias("domains"), F.max("same").alias("most_of_a_domain"))
+
+
+def members_by_source(contacts: DataFrame) -> DataFrame:
+    return contacts.filter("ruled_out_stage = 'wp-member'").groupBy("source").agg(F.count("*").alias("n"))
+
+
+def suppressed_by_status(contacts: DataFrame) -> DataFrame:
+    """Suppressed contacts by verification status, each beside the total of all."""
+    n = contacts.filter("suppressed").groupBy(F.coalesce("verify_status", F.lit("none")).alias("status")).agg(F.count("*").alias("n"))
+    return n.crossJoin(contacts.filter("suppressed").agg(F.count("*").alias("total"))).select("status", "n", "total")  # one row
+
+
+def tier_emailable(contacts: DataFrame) -> DataFrame:
+    """Contacts in play by tier, and those with an address."""
+    rows = contacts.filter("disposition = 'in_play'")
+    return rows.groupBy(F.coalesce("proximity_tier", F.lit("none")).alias("tier")).agg(F.count("*").alias("n"), F.count("email").alias("emailable"))
+
+
+def disposition_companies(contacts: DataFrame) -> DataFrame:
+    return contacts.groupBy("disposition").agg(F.count("*").alias("n"), F.count_if(F.coalesce(F.col("company") != "", F.lit(False))).alias("with_company"))
+
+
+def stage_selection(dealerships: DataFrame, stage: str, brand: str | None = None, limit: int | None = None, having: str = "website_url") -> DataFrame:
+    """Organisations in a stage of the scrape that have what its next step needs, in order of their ids."""
+    rows = dealerships.filter((F.col("scrape_state") == stage) & F.col(having).isNotNull())
+    rows = (rows if brand is None else rows.filter(F.col("brand_slug") == brand)).select("id", "name", having).orderBy("id")
+    return rows.limit(limit) if limit else rows
+
+
+def export_order() -> list[Column]:
+    """By brand and organisation, both as exported (empty if there is none), and name."""
+    return [F.coalesce("brand_slug", F.lit("")), F.coalesce("dealership", F.lit("")), F.col("full_name").asc_nulls_last(), F.col("id")]
+
+
+def recent_order() -> list[Column]:
+    return [F.col("source_date").desc_nulls_last(), F.col("email").asc_nulls_last(), F.col("id")]
+
+
+def sample(rows: DataFrame, n: int, *order: Column) -> DataFrame:
+    return rows.orderBy(*order).limit(n)
+
+
+def ranked(page: DataFrame, name: str, *order: Column) -> DataFrame:
+    """A page (a bounded number of rows) with each row's place in an order."""
+    return page.withColumn(name, F.row_number().over(Window.orderBy(*order)))
+
+
+def page_with_total(contacts: DataFrame, by: str, limit: int, offset: int) -> DataFrame:
+    """total, the number of all, beside the id of each row of a page; limits from 1 to 1000, offsets from 0."""
+    page = contacts.orderBy(*page_order(by)).offset(max(0, offset)).limit(min(1000, max(1, limit))).select("id")
+    return page.crossJoin(contacts.agg(F.count("*").alias("total")))  # one row

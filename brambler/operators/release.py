@@ -11,11 +11,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import vocab
-from ..functions.scalars import site_domain
+from ..functions.scalars import clean_address, domain_part, local_part, role_normalised, site_domain
 from . import people, read
-
-HEADER = re.compile(r"(?i)contact|media|press|enquir")
-
+from .mail import context_of, name_of_local, person_name, release_name
 
 def until_older(rows: DataFrame, key: str, cutoff: Column, date: str = "release_date", pos: str = "list_pos") -> DataFrame:
     """Rows of each newest-first list before its first one older than the cut-off; a plain filter would differ where the
@@ -37,12 +35,13 @@ def latest_captures(rows: DataFrame) -> DataFrame:
 
 
 class _Tables(HTMLParser):
-    """Cells of a page's tables, row by row."""
+    """Cells of a page's tables, row by row, each with the target of its first mailto link; and the page's text."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.tables: list[list[list[str]]] = []
-        self.cell = False
+        self.tables: list[list[list[list]]] = []
+        self.cell, self.hidden = False, 0
+        self.text: list[str] = []
 
     def handle_starttag(self, tag, attrs):
         if tag == "table":
@@ -50,34 +49,58 @@ class _Tables(HTMLParser):
         elif tag == "tr" and self.tables:
             self.tables[-1].append([])
         elif tag in ("td", "th") and self.tables and self.tables[-1]:
-            self.tables[-1][-1].append("")
+            self.tables[-1][-1].append([[], None])
             self.cell = True
+        elif tag in ("script", "style"):
+            self.hidden += 1
+        elif tag == "a" and self.cell:
+            href = dict(attrs).get("href") or ""
+            own = self.tables[-1][-1][-1]
+            if own[1] is None and href.lower().startswith("mailto:"):
+                own[1] = href[7:]
 
     def handle_endtag(self, tag):
         if tag in ("td", "th", "tr", "table"):
             self.cell = False
+        elif tag in ("script", "style"):
+            self.hidden = max(0, self.hidden - 1)
 
     def handle_data(self, data):
-        if self.cell:
-            self.tables[-1][-1][-1] += data
+        if not self.hidden:
+            self.text.append(data)
+            if self.cell and data.strip():
+                self.tables[-1][-1][-1][0].append(data.strip())
+
 
+def cell_name(text: str) -> bool:
+    """Two or three capitalised words, none of a role, label or company."""
+    words = text.split()
+    return 2 <= len(words) <= 3 and all(re.fullmatch(r"[A-Z][a-zA-Z'\-]+", w) for w in words) and not any(w.lower().strip(".,'") in vocab.RELEASE_NOT_NAMES for w in words)
 
-def table_contacts(rows: list[list[str]]) -> list[tuple[str | None, str]]:
-    """(name, address) of a table with a header about contacts: the row above addresses holds the names, by column."""
-    if not rows or not HEADER.search(" ".join(rows[0])):
+
+def table_contacts(rows: list[list[list]]) -> list[tuple[str | None, str]]:
+    """(name, address) of a table of contacts, by column: the first row with addresses, behind the row that heads contacts
+    if there is one, and the first row above it that holds a name. A cell's mailto target goes before its text."""
+    rows = [[(target or " ".join(text), " ".join(text)) for text, target in row] for row in rows]
+    if not any("@" in c for row in rows for pair in row for c in pair):
+        return []
+    head = next((i for i, row in enumerate(rows) if re.search(vocab.CONTACT_HEADER, " ".join(c for c, _ in row))), -1)
+    rows = rows[head + 1 :]
+    at = next((i for i, row in enumerate(rows) if any("@" in c for c, _ in row)), None)
+    if at is None:
         return []
+    names = next((row for row in rows[:at] if any(cell_name(c) for c, _ in row)), [])
     out = []
-    for above, row in zip(rows, rows[1:]):  # noqa: B905
-        for i, cell in enumerate(row):
-            m = re.search(vocab.EMAIL, cell)
-            if m:
-                name = above[i].strip() if i < len(above) else ""
-                out.append((name if name and "@" not in name else None, m[0].lower()))
+    for i, (cell, _) in enumerate(rows[at]):
+        m = re.search(vocab.EMAIL, cell)
+        if m:
+            name = names[i][0] if i < len(names) and cell_name(names[i][0]) else None
+            out.append((name, m[0].lower()))
     return out
 
 
-def contact_tables(releases: DataFrame) -> DataFrame:
-    """release_id, seq, name and email of contact tables in a release's HTML."""
+def read_releases(releases: DataFrame) -> DataFrame:
+    """release_id, text and contacts (name and email, in tables) of each release's HTML."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -85,11 +108,37 @@ def contact_tables(releases: DataFrame) -> DataFrame:
             for k, html in zip(batch["release_id"], batch["content_html"], strict=True):
                 page = _Tables()
                 page.feed(html or "")
-                pairs = [p for t in page.tables for p in table_contacts(t)]
-                found += [(k, i, name, email) for i, (name, email) in enumerate(pairs)]
-            yield pd.DataFrame(found, columns=["release_id", "seq", "name", "email"])
+                page.close()
+                found.append((k, " ".join(page.text), [{"name": n, "email": e} for t in page.tables for n, e in table_contacts(t)]))
+            yield pd.DataFrame(found, columns=["release_id", "text", "contacts"])
+
+    kind = dict(releases.dtypes)["release_id"]
+    return releases.select("release_id", "content_html").mapInPandas(run, f"release_id {kind}, text string, contacts array<struct<name:string,email:string>>")
+
+
+def contact_tables(releases: DataFrame) -> DataFrame:
+    """release_id, seq, name and email of contact tables in a release's HTML."""
+    return read_releases(releases).select("release_id", F.posexplode("contacts").alias("seq", "c")).select("release_id", "seq", "c.name", "c.email")
+
 
-    return releases.select("release_id", "content_html").mapInPandas(run, f"release_id {dict(releases.dtypes)['release_id']}, seq int, name string, email string")
+def release_people(releases: DataFrame, self_domains: tuple[str, ...] = ()) -> DataFrame:
+    """release_id, email, full_name and role of the people whose addresses stand in a release.
+
+    A name is the table's, else two words of the address, else the nearest name before it in the text; without one, or
+    with a word of a role, label or company in it, an address is dropped, as are shared inboxes, free mail and tokens.
+    """
+    rows = read_releases(releases)
+    written = F.transform(F.regexp_extract_all("text", F.lit(vocab.EMAIL), F.lit(0)), clean_address)
+    every = F.array_distinct(F.filter(F.concat(F.transform("contacts", lambda c: c["email"]), written), lambda e: e.isNotNull()))
+    rows = rows.select("release_id", "text", "contacts", F.explode(every).alias("email"))
+    local, domain = local_part(F.col("email")), domain_part(F.col("email"))
+    rows = rows.filter(people.press_reject_reason(local, domain, self_domains).isNull())
+    table_name = F.get(F.filter("contacts", lambda c: (c["email"] == F.col("email")) & c["name"].isNotNull()), F.lit(0))["name"]
+    near, window = context_of(F.col("text"), F.col("email"))
+    own = name_of_local(local)
+    name = F.coalesce(table_name, F.when(person_name(own), own), F.when(person_name(near), near))
+    rows = rows.select("release_id", "email", name.alias("full_name"), role_normalised(window).alias("role"))
+    return rows.filter(release_name(F.col("full_name")))
 
 
 def release_contacts(releases: DataFrame, tables: DataFrame) -> DataFrame:
@@ -118,6 +167,24 @@ def pattern_pass(contacts: DataFrame, dealerships: DataFrame) -> DataFrame:
     return made.join(contacts.select("email").filter("email is not null").distinct(), "email", "left_anti").select("id", "email", "confidence", "pattern")
 
 
+def pattern_pass_levels(contacts: DataFrame, dealerships: DataFrame) -> DataFrame:
+    """As pattern_pass(), by three levels: addresses of the organisation itself, of all whose site has its domain, and at
+    that domain. The first level with any address decides, even if no pattern comes out of it."""
+    site = dealerships.select(F.col("id").alias("dealership_id"), F.lower(site_domain(F.col("website_url"))).alias("site"))
+    known = contacts.filter("email is not null and dealership_id is not null").select("dealership_id", "email", "email_domain", F.col("id").alias("seq")).join(site, "dealership_id", "left")
+    levels = []
+    for n, (key, grp) in enumerate((("dealership_id", F.col("dealership_id")), ("site", F.col("site")), ("site", F.lower("email_domain")))):
+        found = people.infer_patterns(known.filter(grp.isNotNull()).select(grp.alias("grp"), "email", "seq"), "grp")
+        levels.append((key, found.select(F.col("grp").alias(key), F.struct("pattern", "domain").alias(f"level{n}"))))
+    rows = contacts.filter("email is null and dealership_id is not null and first_name is not null and last_name is not null").select("id", "dealership_id", "first_name", "last_name").join(site, "dealership_id", "left")
+    for key, found in levels:
+        rows = rows.join(found, key, "left")
+    best = F.coalesce("level0", "level1", "level2")
+    made = people.generate_addresses(rows.withColumns({"pattern": best["pattern"], "domain": best["domain"]})).filter("email is not null")
+    made = made.withColumn("n", F.row_number().over(Window.partitionBy("email").orderBy("id"))).filter("n = 1")
+    return made.join(contacts.select("email").filter("email is not null").distinct(), "email", "left_anti").select("id", "email", "confidence", "pattern")
+
+
 def cockpit(contacts: DataFrame, dealerships: DataFrame, events: DataFrame) -> dict[str, DataFrame]:
     """The three parts of the overview: totals, days of sending, first page by batch."""
     return {"summary": read.summary_totals(contacts, dealerships), "sends": read.sends_by_day(events).orderBy(F.desc("day")).limit(30), "contacts": read.contacts_page(read.with_dealership(contacts, dealerships), "batch", 600)}

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import vocab
-from ..functions.scalars import local_part, proximity_tier, release_company
+from ..functions.scalars import local_part, name_key, proximity_tier, release_company, split_at_first
 
 DERIVED = ["suppressed", "cm-active", "cm-unsubscribed", "cm-deleted"]
 CM_REASONS = {"active": "already an active CM subscriber", "unsubscribed": "opted out in CM", "deleted": "deleted / hard-bounced in CM"}
@@ -125,11 +125,16 @@ def flag_stale(contacts: DataFrame, chosen: Column, undo: bool = False) -> DataF
     return contacts.withColumns({"suppressed": F.col("suppressed") | hit, "suppress_reason": F.when(hit, left).otherwise(F.col("suppress_reason"))})
 
 
-def cross_domain_duplicates(contacts: DataFrame) -> DataFrame:
-    """id and keep of people found under one local part in two to four domains and one name; one row of each is kept."""
+def duplicate_candidates(contacts: DataFrame) -> DataFrame:
+    """Contacts whose local part is two words and no shared inbox and whose name is a person's; lp is the local part."""
     own = local_part(F.col("email"))
     rows = contacts.filter(F.col("email").isNotNull() & ~F.col("suppressed") & own.rlike("^[a-z]+[._][a-z]+$") & ~own.rlike(vocab.SHARED_WORDS) & F.coalesce("full_name", F.lit("")).rlike("^[A-Za-z]+ +[A-Za-z]"))
-    rows = rows.select("id", F.lower(own).alias("local"), F.lower("email_domain").alias("domain"), F.lower("full_name").alias("name"), "export_batch")
+    return rows.withColumn("lp", F.lower(own))
+
+
+def cross_domain_duplicates(contacts: DataFrame) -> DataFrame:
+    """id and keep of people found under one local part in two to four domains and one name; one row of each is kept."""
+    rows = duplicate_candidates(contacts).select("id", F.col("lp").alias("local"), F.lower("email_domain").alias("domain"), F.lower("full_name").alias("name"), "export_batch")
     groups = rows.groupBy("local").agg(F.countDistinct("domain").alias("domains"), F.countDistinct("name").alias("names")).filter("domains between 2 and 4 and names = 1")
     order = Window.partitionBy("local").orderBy(F.when(F.col("domain").endswith(".au"), 0).otherwise(1), F.when(F.contains("domain", F.lit("marketing")), 1).otherwise(0), F.col("export_batch").asc_nulls_last(), "id")
     return rows.join(groups, "local").select("id", "local", "domain", (F.row_number().over(order) == 1).alias("keep"))
@@ -161,3 +166,17 @@ def cleanup_labels(contacts: DataFrame, labels: list[str] = vocab.LABELS, patter
     """Rows without an address whose name is a label of a department or page go."""
     name = F.lower(F.trim(F.coalesce("full_name", F.lit(""))))
     return contacts.filter(~(F.col("email").isNull() & (name.isin(labels) | name.rlike("|".join(f"({p})" for p in patterns)))))
+
+
+def duplicate_groups(contacts: DataFrame) -> DataFrame:
+    """Local parts that one person has at two to four domains: domains, names, people, and how many are redundant."""
+    rows = duplicate_candidates(contacts)
+    groups = rows.groupBy("lp").agg(F.count_distinct("email_domain").alias("domains"), F.count_distinct(F.lower("full_name")).alias("names"), F.count("*").alias("people"))
+    return groups.filter("domains between 2 and 4 and names = 1").withColumn("redundant", F.col("people") - 1)
+
+
+def active_subscribers(states: DataFrame) -> DataFrame:
+    """Active subscribers, one row for each address, as the table that is written anew holds them."""
+    rows = states.filter("state = 'active'").groupBy(F.lower("email").alias("email")).agg(F.max_by(F.trim("name"), "name").alias("nm"))
+    first, rest = split_at_first(F.col("nm"))
+    return rows.select("email", first.alias("first_name"), rest.alias("last_name"), F.nullif(name_key(F.col("nm")), F.lit("")).alias("name_key"))

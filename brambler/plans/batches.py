@@ -1,12 +1,14 @@
 """The batch planner: a warm-up schedule under a cap for each domain.
 
 Rows are ranked in their domain's queue by a window. What follows needs only each domain's length, so one small group
-for each (role, band, tier), 30 at most, simulates counts and queue positions; wide rows never pass through it. A
-group's input is a row for each domain, not for each contact.
+for each (role, band, tier), 30 at most, works out how many contacts each batch takes of each domain. A group's input is
+a row for each domain, its output one for each domain and batch; runs of places become places, and meet contacts, on
+Spark.
 """
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,42 +24,46 @@ def target(i: int, ramp: list[int] | None) -> int:
     return (ramp[i] if i < len(ramp) else ramp[-1]) if ramp else min((i + 1) * STEP, CAP)
 
 
-def simulate(lengths: list[tuple[str, int]], ramp: list[int] | None = None, strict: int = STRICT) -> list[list[tuple[str, int]]]:
-    """Batches of (domain, position in its queue) for domains in their order."""
-    taken, batches = {d: 0 for d, _ in lengths}, []
+def schedule(lengths: list[int], ramp: list[int] | None = None, strict: int = STRICT) -> list[dict[int, int]]:
+    """Batches as contacts taken of each domain (its number in `lengths`); a domain's contacts go in order of its queue.
+
+    A batch goes round the domains in their order, one contact of each a round, until it is full. As every domain that
+    has contacts left gives at least one, only the first `goal` of these matter; they are filled as levels rise.
+    """
+    left, head, behind, batches = list(lengths), [], 0, []
     while True:
         goal, cap = target(len(batches), ramp), strict if len(batches) < WARM else 2 * strict
-        batch, used = [], dict.fromkeys(taken, 0)
-        moved = True
-        while moved and len(batch) < goal:
-            moved = False
-            for d, n in lengths:
-                if len(batch) >= goal:
-                    break
-                if used[d] < cap and taken[d] < n:
-                    batch.append((d, taken[d]))
-                    taken[d] += 1
-                    used[d] += 1
-                    moved = True
+        while len(head) < goal and behind < len(left):
+            if left[behind] > 0:
+                head.append(behind)
+            behind += 1
+        first = head[:goal]
+        room = np.minimum(cap, np.array([left[d] for d in first], np.int64))
+        level = max((r for r in range(cap + 1) if np.minimum(room, r).sum() <= goal), default=0)
+        taken = np.minimum(room, level)
+        more = np.flatnonzero(room > level)[: goal - int(taken.sum())]
+        taken[more] += 1
+        batch = {d: int(n) for d, n in zip(first, taken, strict=True) if n}
         if not batch:
             break
+        for d, n in batch.items():
+            left[d] -= n
+        head = [d for d in head if left[d]]
         batches.append(batch)
-    while len(batches) > 1 and len(batches[-1]) < FLOOR:  # fold a short tail, as far as domains allow
-        last, count, rest = batches.pop(), {}, []
-        for d, _ in batches[-1]:
-            count[d] = count.get(d, 0) + 1
-        for d, p in last:
-            if count.get(d, 0) < CEILING:
-                batches[-1].append((d, p))
-                count[d] = count.get(d, 0) + 1
-            else:
-                rest.append((d, p))
+    while len(batches) > 1 and sum(batches[-1].values()) < FLOOR:  # fold a short tail, as far as domains allow
+        last, rest = batches.pop(), {}
+        for d, n in last.items():
+            moved = min(n, max(0, CEILING - batches[-1].get(d, 0)))
+            if moved:
+                batches[-1][d] = batches[-1].get(d, 0) + moved
+            if n > moved:
+                rest[d] = n - moved
         if rest:
             batches.append(rest)
             break
-    while len(batches) > 1 and len(batches[-1]) < SWALLOW:
-        last = batches.pop()
-        batches[-1] += last
+    while len(batches) > 1 and sum(batches[-1].values()) < SWALLOW:
+        for d, n in batches.pop().items():
+            batches[-1][d] = batches[-1].get(d, 0) + n
     return batches
 
 
@@ -74,14 +80,19 @@ def plan_batches(contacts: DataFrame, include_inferred: bool = False, ramp: list
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["n", "first"], ascending=[False, True])
-        found = simulate(list(zip(rows["domain"], rows["n"].astype(int), strict=True)), ramp, strict)
-        flat = [(int(rows["grp"].iloc[0]), d, p, k + 1) for k, b in enumerate(found) for d, p in b]
-        return pd.DataFrame(flat, columns=["grp", "domain", "pos", "k"])
+        names, grp, taken, runs = rows["domain"].tolist(), int(rows["grp"].iloc[0]), [0] * len(rows), []
+        for k, batch in enumerate(schedule(rows["n"].astype(int).tolist(), ramp, strict)):
+            for d, n in batch.items():
+                runs.append((grp, names[d], taken[d], taken[d] + n - 1, k + 1))
+                taken[d] += n
+        return pd.DataFrame(runs, columns=["grp", "domain", "a", "b", "k"])
 
-    placed = pool.join(domains.groupBy("grp").applyInPandas(run, "grp int, domain string, pos int, k int"), ["grp", "domain", "pos"])
-    # batches are numbered over all groups; there are few, so their list is what one task ranks
-    numbers = placed.select("grp", "k").distinct().withColumn("export_batch", F.row_number().over(Window.orderBy("grp", "k")))
+    runs = domains.groupBy("grp").applyInPandas(run, "grp int, domain string, a int, b int, k int")
+    placed = pool.join(runs.select("grp", "domain", "k", F.explode(F.sequence("a", "b")).alias("pos")), ["grp", "domain", "pos"])
+    # batches are numbered over all groups: a group's come behind those of the groups before it, 30 at most
+    sizes = placed.groupBy("grp").agg(F.max("k").alias("batches"))
+    numbers = sizes.select("grp", (F.sum("batches").over(Window.orderBy("grp")) - F.col("batches")).alias("earlier"))
     label = F.create_map(*[F.lit(x) for kv in vocab.TIER_LABELS.items() for x in kv])
     group = F.concat(F.when(F.col("role"), "ROLE-").otherwise(""), "band", F.lit("-"), F.element_at(label, F.col("tier")), F.lit("-B"), F.lpad(F.col("k").cast("string"), 2, "0"))
-    new = placed.join(numbers, ["grp", "k"]).select("id", F.col("export_batch").cast("int").alias("export_batch"), group.alias("send_group"))
+    new = placed.join(F.broadcast(numbers), "grp").select("id", (F.col("earlier") + F.col("k")).cast("int").alias("export_batch"), group.alias("send_group"))
     return contacts.drop("export_batch", "send_group").join(new, "id", "left").select(*contacts.columns)

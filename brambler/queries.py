@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bindings import AS_OF, domain, oracle
+from .bindings import AS_OF, PAYLOADS, domain, oracle
 from .functions import scalars as S
 from .functions import vocab
 from .operators import html, mail, people, read, release, state
@@ -539,6 +541,20 @@ def appointments(documents):
 
 # ---- locators
 
+_CARDS, _SILENT = "brand_slug IN ('ford', 'audi', 'volvo')", "'mitsubishi', 'honda', 'mercedes', 'jeep', 'mg', 'byd'"
+
+
+@query(f"""SELECT brand_slug, seq, CASE WHEN {_CARDS} THEN upper(substr(brand_slug, 1, 1)) || substr(brand_slug, 2) || ' ' || name ELSE name END AS name,
+  CASE WHEN {_CARDS} THEN NULL WHEN brand_slug = 'kia' THEN address || ', ' || postcode WHEN brand_slug = 'mg' THEN address || ', ' || suburb || ' ' || state || ' ' || postcode ELSE address END AS address,
+  CASE WHEN NOT {_CARDS} THEN suburb END AS suburb, state, CASE WHEN ({_CARDS} OR brand_slug = 'kia') AND s_suppkey BETWEEN 1000 AND 9999 THEN CAST(s_suppkey AS STRING) ELSE postcode END AS postcode,
+  CASE WHEN brand_slug <> 'byd' THEN phone END AS phone,
+  CASE WHEN NOT {_CARDS} AND brand_slug <> 'gwm' THEN website_url END AS website_url,
+  CASE WHEN NOT {_CARDS} AND brand_slug NOT IN ({_SILENT}) THEN lower(api_email) END AS api_email FROM locator_facts""".replace("AS STRING", "AS VARCHAR"))
+def locator_projects(locator_payloads):
+    """All brands, each by its own mapping."""
+    return functools.reduce(DataFrame.unionByName, [locators.project(locator_payloads, brand) for brand in PAYLOADS])
+
+
 _SCHEMA = "dealer struct<code:string,name:string,state:string>, departments array<struct<phone:string,email:string>>, address string"
 
 
@@ -637,3 +653,6 @@ def batch_plan(contacts):
 @query()
 def batch_plan_composition(contacts):
     return read.batch_composition(batches.plan_batches(contacts))
+
+
+from . import queries_more  # noqa: E402, F401  registers further queries

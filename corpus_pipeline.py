@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brambler.llm.bpe import default_path, encode
-from brambler.llm.common import counted, read, saved
+from brambler.llm.common import counted, read, saved, scratch
 from brambler.llm.line_dedup import dedup_lines
 from brambler.llm.mixing import mixed_documents
 from brambler.llm.setsketch import drop_near_duplicates
@@ -51,7 +51,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents. Rows that share a doc_id, or have none, are rows of their own in every stage; tables that
+    a stage writes for itself are removed once its result is written."""
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = saved(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+        with scratch(spark):
+            found = stage(spark, docs, sf_dir)
+            docs = saved(found, f"pipeline-{name.replace(' ', '-')}", keep=True)
     return docs

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from brambler.bindings import domain
 from brambler.functions import scalars as S
 from brambler.operators import html, mail, people, read, release, state
-from brambler.plans.batches import CEILING, plan_batches, simulate
+from brambler.plans.batches import CEILING, FLOOR, STRICT, SWALLOW, WARM, plan_batches, schedule, target
 from brambler.sources import files, locators
 from brambler.streaming.monitor import sends_by_day_stream
 
@@ -29,6 +29,7 @@ def test_scalars(spark):
     assert each(spark, ["Doe, Jane", "Jane Doe", "J Doe", None], S.name_key) == ["doe jane", "doe jane", "", ""]
     assert each(spark, ["a.com.au", "a.de", "a.com", "?", "b.au; x", None], S.geo_band) == ["AU", "INTL", "COM", "COM", "AU", "COM"]
     assert each(spark, ["sales@a.test", "jo.sales-x@a.test", "salesman@a.test", None], S.is_role_inbox) == [True, True, False, False]
+    assert each(spark, ["australianmotoring.com.au", "mazda.com.au", "mazdausa.com", "maz.com", ""], lambda c: mail.in_house(F.lit("Mazda Australia"), c)) == [False, True, True, True, False]
     assert each(spark, ["https://www.A.test:81/x", "a.test", None], S.site_domain) == ["A.test:81", None, None]
     assert each(spark, [" .Jo@a.test,", "x@logo.png", "-._@a.test", "none"], S.clean_address) == ["jo@a.test", None, None, None]
     assert each(spark, ["newspress: Client — New", "newspress:  — x", "newspress: c", None], S.release_company) == ["Client", None, None, None]
@@ -169,6 +170,8 @@ def test_page(spark):
     assert {(r.href, r.score, r["rank"]) for r in html.link_scores(parsed).collect()} == {("https://site.test/our-team/", 23, 1), ("https://site.test/about", 2, 2)}
     assert each(spark, ["info@a.test", "jo@mail.google.com", "jo@a.test", "salesford@a.test"], html.email_kind) == ["generic", None, "person", "generic"]
     assert each(spark, ["Ann Example", "Sales Manager", "ann example", "Ann", "Meet The Team"], html.name_plausible) == [True, False, False, False, False]
+    assert each(spark, ["Jane Head", "Toyota Corolla", "Darwin Jeep", "Jane Doe (x)", "JANE EXAMPLE", "JO DOE", "Élise Ray", "Big Utes", "Ioniq 5 N", "A B C D E F", "Role: Jane", None], html.name_plausible) == [True, False, False, False, False, True, True, False, False, False, False, None]
+    assert [r.x for r in spark.createDataFrame([("a b  c",), ("a",), ("",), (None,)], "v string").select(F.array(*S.split_at_first(F.col("v"))).alias("x")).collect()] == [["a", "b  c"], ["a", None], [None, None], [None, None]]
 
 
 def test_mail(spark):
@@ -223,18 +226,55 @@ def test_locators(spark):
         raw = spark.createDataFrame([(brand, i, json.dumps(p)) for i, p in enumerate(payloads)], "brand_slug string, seq long, payload_json string")
         return locators.project(raw, brand).orderBy("seq").collect()
 
+    def one(brand, payload):
+        return [tuple(r[2:]) for r in rows(brand, payload)]
+
     assert len(locators.BRANDS) == 20
-    toyota = rows("toyota", {"dealers": [{"dealerCode": "1", "name": " A "}, {"dealerCode": "2", "name": " "}]}, {"dealers": [{"dealerCode": "1", "name": "B"}]})
-    assert [r.name for r in toyota] == ["A"]
-    assert rows("mazda", {"dealers": [{"name": "M", "departments": [{"phone": "", "email": None}, {"phone": "5", "email": "m@a.test"}]}]})[0].phone == "5"
-    assert [(r.name, r.state) for r in rows("mg", {"states": {"VIC": [{"code": "1", "name": "G"}, {"code": "2955", "name": "H"}]}})] == [("G", "VIC")]
-    assert rows("bmw", {"data": {"pois": [{"name": "P", "state": "Victoria"}]}})[0].state == "VIC"
-    gwm = rows("gwm", {"stores": [{"code": "1", "name": "S", "address": "1 Long Road, Town, VIC 3000"}]})[0]
-    assert (gwm.address, gwm.suburb, gwm.state, gwm.postcode) == ("1 Long Road", "Town", "VIC", "3000")
-    assert rows("ford", {"cards": [{"name": "F", "text": "2 High St, QLD 4000 (07) 5555 0000"}]})[0].postcode == "4000"
-    assert rows("honda", {"dealers": [{"name": "H", "website": "/h", "locations": [{"primary": False, "suburb": "A"}, {"primary": True, "suburb": "B"}]}]})[0].suburb == "B"
-    assert rows("isuzu", {"dealers": [{"active": True, "name": "I", "Sales": {"phone": "", "Email2": "i@a.test"}, "Service": {"phone": "9"}}, {"active": False, "name": "J"}]})[0].phone == "9"
-    assert rows("mercedes", {"dealers": [{"name": "M", "region": "NSW", "contact": "plain"}]})[0].state == "NSW"
+    full = (" A ", "1 B St", "Town", "VIC", "3000", "03 1", "https://a.test", "Jo@A.test")
+    want = ("A", *full[1:7], "jo@a.test")
+    silent = (*want[:7], None)
+    name, address, suburb, state_, postcode, phone, site, mail_ = full
+    toyota = {"dealerCode": "1", "name": name, "address": address, "city": suburb, "state": state_, "postCode": postcode, "telephone": phone, "webSite": site, "email": mail_}
+    assert one("toyota", {"results": [toyota, {"dealerCode": "2", "name": " "}, {"name": "without a code"}]}) == [want]
+    assert [r.name for r in rows("toyota", {"results": [toyota]}, {"results": [toyota | {"name": "B"}]})] == ["A"]
+    assert one("mitsubishi", {"data": {"stockists": {"locations": [{"identifier": "x", "name": name, "website": site, "address": {"street": address, "city": suburb, "region": state_, "postcode": postcode, "phone": phone}}]}}}) == [silent]
+    hyundai = {"tradingName": name, "streetName": address, "suburb": suburb, "state": state_, "postcode": postcode, "phone": phone, "webAddress": "", "url": site, "email": mail_}
+    assert one("hyundai", [hyundai, {"name": "no"}]) == [want] and one("hyundai", [hyundai | {"webAddress": " "}])[0][6] is None
+    kia = {"dealerNm": name, "addr": suburb, "area": state_, "addrSC": "9 Long Road 3000", "phone": phone, "homepage": site, "email": "Jo@A.test , x@b.test"}
+    assert one("kia", {"dataInfo": [kia]}) == [("A", "9 Long Road 3000", *want[2:])]
+    assert one("kia", {"dataInfo": [kia | {"addrSC": ""}]})[0][1:5] == ("Town", "Town", "VIC", None)
+    for brand in ("ford", "audi", "volvo"):
+        cards = [{"name": f" {brand.title()} X", "text": "2 High St, QLD 4000 (07) 5555 0000"}, {"name": f"{brand.title()} X", "text": "later"}, {"name": "Other", "text": "VIC"}]
+        assert one(brand, cards) == [(f"{brand.title()} X", None, None, "QLD", "4000", "(07) 5555 0000", None, None)]
+    assert one("mazda", [{"name": name, "address": address, "suburb": suburb, "state": state_, "postCode": postcode, "website": site, "departments": [{"phone": "", "email": None}, {"phone": phone, "email": mail_}, {"phone": "9"}]}]) == [want]
+    nissan = {"name": name, "address": {"addressLine1": address, "city": suburb, "stateCode": state_, "postalCode": postcode}, "contact": {"phones": [{"value": phone}, {"value": "9"}], "websites": [{"url": site}]}, "departments": [{"contact": {"email": "none"}}, {"contact": {"email": mail_}}]}
+    assert one("nissan", {"dealers": [nissan]}) == [want]
+    assert one("nissan", {"dealers": [{"name": name}]}) == [("A", *[None] * 7)]
+    sales = {"IsActive": False, "Address": {"Suburb": "No"}, "Contact": {"Phone": "no", "Email1": "no@a.test"}}
+    service = {"IsActive": True, "Address": {"Suburb": "", "State": "No"}, "Contact": {"Website": {"Url": site}, "Email1": "none", "Email2": mail_}}
+    parts = {"IsActive": True, "Address": {"Suburb": suburb, "State": "Victoria", "Street": address, "PostCode": 3000}, "Contact": {"Website": "https://later.test", "Phone": phone}}
+    assert one("isuzu", {"Dealers": [{"Name": name, "IsActive": True, "Sales": sales, "Service": service, "Parts": parts}, {"Name": "J", "IsActive": False}]}) == [want]
+    location = {"isPrimary": True, "AddressLine1": address, "AddressSuburb": suburb, "AddressPostcode": postcode, "Phone": phone}
+    honda = {"Name": name, "State": state_, "Website": "/h", "Locations": [{"isPrimary": False, "AddressSuburb": "Other"}, location]}
+    assert one("honda", [honda]) == [(*want[:6], locators.HONDA_SITE + "/h", None)]
+    assert one("honda", [honda | {"Website": site, "Locations": [location | {"isPrimary": None}]}]) == [silent] and one("honda", [{"Name": name}]) == [("A", *[None] * 7)]
+    detail = {"suburb": suburb, "url": site, "address": address, "postCode": postcode, "phone": phone, "email": mail_}
+    assert one("subaru", [{"name": name, "state": state_, "isActive": True, "dealerDetails": [detail, {"suburb": "later"}]}, {"name": "off", "isActive": False}]) == [want]
+    assert one("bmw", {"data": {"pois": [{"name": name, "street": address, "city": suburb, "state": "Victoria", "postalCode": postcode, "attributes": {"phone": phone, "homepage": site, "mail": mail_}}]}}) == [want]
+    mercedes = {"legalName": name, "url": site, "address": {"addressLine1": address, "city": suburb, "region": state_, "postalCode": postcode}, "contact": {"phone": phone}}
+    assert one("mercedes", {"dealers": [mercedes, mercedes | {"contact": "plain"}]}) == [silent, (*want[:5], None, want[6], None)]
+    assert one("ldv", {"result": {"data": {"allCmsBrandDealer": {"nodes": [{"name": name, "address": address, "suburb": suburb, "state": state_, "postcode": postcode, "phone": phone, "contactUrl": None, "url": site, "email": mail_}]}}}}) == [want]
+    dealer = {"dealerCode": "7", "dealerName": name, "dealerState": state_, "SalesSuberbCode": suburb, "SalesStreetCode": "", "dealerAddress": address, "SalesPostCode": postcode, "SalesPhoneCode": None, "phone": phone, "dealerWebsite": site, "SalesEmailCode": " ", "FinanceEmail": mail_}
+    assert one("volkswagen", {"dealers": [{"dealer": dealer}]}) == [want] == one("volkswagen", [{"dealers": [{"dealer": dealer}]}, {"errorCode": 1}])
+    assert one("jeep", {"dealers": [{"id": 5, "name": name, "phone": phone, "web_site": site, "address": {"line1": address, "city": suburb, "state": state_, "postal_code": postcode}}]}) == [silent]
+    mg = {"Dealer_Name": name, "Showroom_Address": "1 B St, Town VIC 3000", "Phone_Number": phone, "MG_Website": site}
+    assert one("mg", {"VIC": {"code": 3000, "result": {"Dealer_List": [mg]}}, "NSW": {"code": 2955, "result": {"Dealer_List": [mg]}}}) == [("A", "1 B St, Town VIC 3000", *silent[2:])]
+    byd = lambda raw: one("byd", [{"name": "BYD X", "website": site, "rawText": raw}])
+    assert byd("BYD XExperience Centre Closest 54 aberdeen st,Albany WA 6330 Visit") == [("BYD X", "54 aberdeen st", "Albany", "WA", "6330", None, site, None)]
+    assert byd("BYD XMegastore Closest Shop 4,Albany WA 6330") == [("BYD X", "Shop 4", "Albany", "WA", "6330", None, site, None)]
+    assert byd("nothing") == [("BYD X", None, None, None, None, None, site, None)]
+    gwm = lambda whole: one("gwm", [{"name": name, "address": whole, "phone": phone, "email": mail_}, {"name": name}])[0][1:5]
+    assert gwm("1 B St, Town, VIC, 3000") == gwm("1 B St, Town, VIC 3000") == ("1 B St", "Town", "VIC", "3000") and gwm("1 B St, Town") == ("1 B St, Town", None, None, None)
     assert rows("nobody", {}) == []
     for brand in locators.BRANDS:
         assert rows(brand, {}) == []
@@ -254,13 +294,18 @@ def test_releases(spark):
     body = "<table><tr><th>Media contacts</th><th></th></tr><tr><td>Ann Example</td><td>Bo Example</td></tr><tr><td>Ann@a.test</td><td>bo@a.test</td></tr></table><p>c@a.test</p><table><tr><td>x@other.test</td></tr></table>"
     rows = spark.createDataFrame([(1, body), (2, None)], "release_id int, content_html string")
     tables = release.contact_tables(rows)
-    assert [(r.name, r.email) for r in tables.orderBy("seq").collect()] == [("Ann Example", "ann@a.test"), ("Bo Example", "bo@a.test")]
+    assert [(r.name, r.email) for r in tables.orderBy("seq").collect()] == [("Ann Example", "ann@a.test"), ("Bo Example", "bo@a.test"), (None, "x@other.test")]
     assert {(r.email, r.name) for r in release.release_contacts(rows, tables).collect()} == {("ann@a.test", "Ann Example"), ("bo@a.test", "Bo Example"), ("c@a.test", None), ("x@other.test", None)}
+    assert {(r.email, r.full_name) for r in release.release_people(rows).collect()} == {("ann@a.test", "Ann Example"), ("bo@a.test", "Bo Example"), ("c@a.test", "Example Ann"), ("x@other.test", "Example Ann")}  # the last name before
+    cells = lambda *rows: [[[[c] if c else [], t] for c, t in row] for row in rows]
+    assert release.table_contacts(cells([("Press office", None)], [("Al Ray", None), ("Sales Team", None)], [("Head", None), ("", None)], [("write", "al@a.test?subject=x"), ("b@a.test", None)], [("c@a.test", None)])) == [("Al Ray", "al@a.test"), (None, "b@a.test")]
+    assert release.table_contacts(cells([("no", None)])) == [] and release.table_contacts(cells([("x@a.test", None)], [("Media contact", None)])) == []
     named = spark.createDataFrame([(1, "Jane Doe named", "Acme today said Jane Doe has been appointed as General Manager of Acme."), (2, "x", "nothing")], "release_id int, title string, body string")
     assert [(r.name, r.role) for r in mail.appointments(named).collect()] == [("Jane Doe", "General Manager")]
     formats = spark.createDataFrame([(1, "a.test", "first.last"), (1, "b.test", "flast"), (1, "b.test", "first")], "release_id int, domain string, pattern string")
     assert [(r.email, r.confidence) for r in mail.extrapolate(spark.createDataFrame([(1, "Jane Doe")], "release_id int, name string"), formats).collect()] == [("jane.doe@a.test", "inferred")]
     assert each(spark, ["acme.test", "acmecars.test", "havas.test", "other.test"], lambda c: mail.in_house(F.lit("Acme Motors"), c)) == [True, True, False, False]
+    assert each(spark, ["australianmotoring.com.au", "mazda.com.au", "mazdausa.com", "maz.com", ""], lambda c: mail.in_house(F.lit("Mazda Australia"), c)) == [False, True, True, True, False]
     assert each(spark, ["2024-01-02", "03/02/2024", "soon"], lambda c: mail.release_date([F.lit(None).cast("string"), c]).cast("string")) == ["2024-01-02", "2024-02-03", None]
 
 
@@ -275,3 +320,54 @@ def test_edition():
 def test_cockpit(spark):
     parts = release.cockpit(domain(spark, SF, "contacts"), domain(spark, SF, "dealerships"), domain(spark, SF, "send_events"))
     assert parts["summary"].count() == 1 and 0 < parts["sends"].count() <= 30 and 0 < parts["contacts"].count() <= 600
+
+
+def simulate(lengths: list[tuple[str, int]], ramp: list[int] | None = None, strict: int = STRICT) -> list[list[tuple[str, int]]]:
+    """The plan contact by contact: batches of (domain, position in its queue) for domains in their order."""
+    taken, batches = {d: 0 for d, _ in lengths}, []
+    while True:
+        goal, cap = target(len(batches), ramp), strict if len(batches) < WARM else 2 * strict
+        batch, used = [], dict.fromkeys(taken, 0)
+        moved = True
+        while moved and len(batch) < goal:
+            moved = False
+            for d, n in lengths:
+                if len(batch) >= goal:
+                    break
+                if used[d] < cap and taken[d] < n:
+                    batch.append((d, taken[d]))
+                    taken[d] += 1
+                    used[d] += 1
+                    moved = True
+        if not batch:
+            break
+        batches.append(batch)
+    while len(batches) > 1 and len(batches[-1]) < FLOOR:  # fold a short tail, as far as domains allow
+        last, count, rest = batches.pop(), {}, []
+        for d, _ in batches[-1]:
+            count[d] = count.get(d, 0) + 1
+        for d, p in last:
+            if count.get(d, 0) < CEILING:
+                batches[-1].append((d, p))
+                count[d] = count.get(d, 0) + 1
+            else:
+                rest.append((d, p))
+        if rest:
+            batches.append(rest)
+            break
+    while len(batches) > 1 and len(batches[-1]) < SWALLOW:
+        last = batches.pop()
+        batches[-1] += last
+    return batches
+
+
+@given(st.lists(st.integers(0, 400), max_size=12), st.sampled_from([None, [3], [20, 7], [60]]), st.integers(1, 6))
+def test_schedule_is_the_plan_by_contact(sizes, ramp, strict):
+    want = simulate([(f"d{i}", n) for i, n in enumerate(sizes)], ramp, strict)
+    got = schedule(sizes, ramp, strict)
+    assert [{f"d{d}": n for d, n in b.items()} for b in got] == [dict(Counter(d for d, _ in b)) for b in want]
+    place: Counter = Counter()
+    for batch in want:  # a domain's contacts go in order of its queue
+        for d, positions in {d: sorted(p for x, p in batch if x == d) for d, _ in batch}.items():
+            assert positions == list(range(place[d], place[d] + len(positions)))
+            place[d] += len(positions)

@@ -34,7 +34,8 @@ def test_oracle(spark, duck, name):
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_runs(spark, name):
-    assert QUERIES[name](spark, SF).columns
+    rows = QUERIES[name](spark, SF).collect()
+    assert rows or name in ("link_scores", "people_cards", "jsonld_people", "appointments")  # the driver's pages and documents hold no people
 
 
 @pytest.mark.parametrize("name", ["batch_plan", "ledger_refresh", "cross_domain_dupes"])
