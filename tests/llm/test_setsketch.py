@@ -97,7 +97,7 @@ def test_work_grows_with_a_chain(spark):
         shared = setsketch.shared_bands(classes)
         pairs = setsketch.first_partners(shared)
         alone = spark.createDataFrame([(i, i) for i in range(n)], "node long, component long")
-        figures.append((shared.count(), pairs.count(), setsketch.other_pairs(shared, alone, classes).count()))
+        figures.append((shared.count(), pairs.count(), setsketch.open_members(shared, alone, classes).count()))
     small, large = figures
     assert all(0 < b <= 4.6 * a for a, b in zip(small, large, strict=True)) and large[1] <= 2 * 200
 
