@@ -16,9 +16,14 @@ in it. Buckets are ranges of the sampled strings' hashes; a task sorts one bucke
 3. Each sample position gets a mask that tells for which windows through it another document with a smaller id has
    the same bytes, and documents drop what these windows cover.
 
+A bucket of a string that stands before and behind much else would hold a context for each place. Packs tell how many
+positions they have in a bucket, and where that comes to more than HOT the contexts are dealt out to parts, twice: by the
+bytes that all windows with few bytes before the sample position share, and by those of all other windows. Equal windows
+meet in one part, so nothing is lost.
+
 Documents are packed once, compressed, into the shared folder, and only such packs are sent where they meet the
 answers. Copies of a context in one pack are sent once, so a passage of any number of documents is at most one row for
-each pack. Memory is bounded by a pack and by a bucket, whose number grows with the input.
+each pack. Memory is bounded by a pack, by HOT contexts or a part of a bucket, and by one row of a bucket for each pack.
 
 Odd input: a null or empty text has 0 bytes; a null doc_id counts as the largest; rows that share a doc_id are one
 document, so they remove nothing from each other; other columns are not looked at; a table without rows gives none.
@@ -46,28 +51,35 @@ CONTEXT = BEFORE + WINDOW
 PACK_BYTES = 512 << 10
 #: Sampled hashes that a bucket holds on average.
 BUCKET = 500_000
+#: Positions in a bucket beyond which its contexts are dealt out to parts of about BUCKET.
+HOT = 4 * BUCKET
+#: Windows that start at most this far before the sample position are looked at in parts by what follows it.
+TURN = PLACES // 2
 PRINT = 5  # bytes of a hash that are sent; the bucket adds to them
 
 PACK = pa.schema([("pack", pa.int64()), ("docs", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("bytes", pa.int64()), ("data", pa.binary())])
 
 
-@tidy
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    base, k, docs, parts, size = TaskContext.get().partitionId() << 32, 0, [], [], 0
-
-    def packed() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(([base + k], [docs], [[len(p) for p in parts]], [size], [zlib.compress(b"".join(parts), 6)]), PACK, strict=True)], schema=PACK)
+def _pack(limit: int):
+    @tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base, k, docs, parts, size = TaskContext.get().partitionId() << 32, 0, [], [], 0
+
+        def packed() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(([base + k], [docs], [[len(p) for p in parts]], [size], [zlib.compress(b"".join(parts), 6)]), PACK, strict=True)], schema=PACK)
+
+        for batch in batches:
+            for doc, text in zip(batch["doc"].to_pylist(), texts(batch["text"]), strict=True):
+                if docs and size + len(text) > limit:
+                    yield packed()
+                    k, docs, parts, size = k + 1, [], [], 0
+                docs.append(doc)
+                parts.append(text)
+                size += len(text)
+        if docs:
+            yield packed()
 
-    for batch in batches:
-        for doc, text in zip(batch["doc"].to_pylist(), texts(batch["text"]), strict=True):
-            if docs and size + len(text) > PACK_BYTES:
-                yield packed()
-                k, docs, parts, size = k + 1, [], [], 0
-            docs.append(doc)
-            parts.append(text)
-            size += len(text)
-    if docs:
-        yield packed()
+    return run
 
 
 def _sliding(x: np.ndarray, width: int, best) -> np.ndarray:
@@ -156,6 +168,14 @@ class Sample:
         return bucket[top], rows[top], before[top], behind[top], ids[top], group
 
 
+def parts_of(rows: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """For contexts of a bucket in so many parts: the odd part of each for windows that start up to TURN bytes before the
+    sample position, and the even one for those that start further before it."""
+    behind, before = rows[:, BEFORE : BEFORE + WINDOW - TURN], rows[:, BEFORE - TURN - 1 : BEFORE + GRAM]
+    odd, even = ((mix_rows(np.ascontiguousarray(x))[0] % np.uint64(parts)).astype(np.int64) for x in (behind, before))
+    return 2 * odd + 1, 2 * even + 2
+
+
 def mix_rows(rows: np.ndarray) -> list[np.ndarray]:
     """Two hashes of each row, to sort equal rows together."""
     out = []
@@ -169,7 +189,8 @@ def mix_rows(rows: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-SENT = pa.schema([("bucket", pa.int64()), ("pack", pa.int64()), ("data", pa.binary())])
+SENT = pa.schema([("bucket", pa.int64()), ("pack", pa.int64()), ("n", pa.int64()), ("data", pa.binary())])
+ASKED = pa.schema([("bucket", pa.int64()), ("part", pa.int64()), ("pack", pa.int64()), ("data", pa.binary())])
 
 
 def _send_prints(n: int):
@@ -177,36 +198,42 @@ def _send_prints(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in (r for b in batches for r in b.to_pylist()):
             sample = Sample(row)
-            names, _, many = sample.groups(n)
+            names, group, many = sample.groups(n)
             bucket = (names >> np.uint64(40)).astype(np.int64)
             ids, starts = np.unique(bucket, return_index=True)
+            places = np.add.reduceat(np.bincount(group, minlength=len(names)), starts) if len(ids) else []
             data = []
             for part, flag in zip(np.split(names, starts[1:]), np.split(many, starts[1:]), strict=True):
                 data.append(part.view(np.uint8).reshape(-1, 8)[:, :PRINT].tobytes() + np.packbits(flag).tobytes())
             if len(ids):
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array([row["pack"]] * len(ids), pa.int64()), pa.array(data, pa.binary())], schema=SENT)
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array([row["pack"]] * len(ids), pa.int64()), pa.array(places, pa.int64()), pa.array(data, pa.binary())], schema=SENT)
 
     return run
 
 
-def _answer(group: pa.Table, data: list[bytes]) -> pa.Table:
-    return pa.Table.from_arrays([group["pack"].combine_chunks(), group["bucket"].combine_chunks(), pa.array(data, pa.binary())], names=["pack", "bucket", "data"])
+def _answer(group: pa.Table, part: pa.Array, data: list[bytes]) -> pa.Table:
+    return pa.Table.from_arrays([group["pack"].combine_chunks(), group["bucket"].combine_chunks(), part, pa.array(data, pa.binary())], names=["pack", "bucket", "part", "data"])
 
 
-@tidy
-def _repeated(group: pa.Table) -> pa.Table:
-    """One bucket: which of each pack's prints occur in another document."""
-    prints, many, sizes = [], [], []
-    for data in group["data"].to_pylist():
-        n = len(data) * 8 // (8 * PRINT + 1)
-        wide = np.zeros((n, 8), np.uint8)
-        wide[:, :PRINT] = np.frombuffer(data, np.uint8, n * PRINT).reshape(n, PRINT)
-        prints.append(wide.view(np.uint64)[:, 0])
-        many.append(np.unpackbits(np.frombuffer(data, np.uint8, offset=n * PRINT))[:n].astype(bool))
-        sizes.append(n)
-    _, own, count = np.unique(np.concatenate(prints), return_inverse=True, return_counts=True)
-    flags = (count[own] > 1) | np.concatenate(many)
-    return _answer(group, [np.packbits(f).tobytes() for f in np.split(flags, np.cumsum(sizes)[:-1])])
+def _repeated(bucket: int, hot: int):
+    @tidy
+    def run(group: pa.Table) -> pa.Table:
+        """One bucket: which of each pack's prints occur in another document; part is the number of its parts."""
+        prints, many, sizes = [], [], []
+        places = sum(group["n"].to_pylist())
+        parts = -(-places // bucket) if places > hot else 1
+        for data in group["data"].to_pylist():
+            n = len(data) * 8 // (8 * PRINT + 1)
+            wide = np.zeros((n, 8), np.uint8)
+            wide[:, :PRINT] = np.frombuffer(data, np.uint8, n * PRINT).reshape(n, PRINT)
+            prints.append(wide.view(np.uint64)[:, 0])
+            many.append(np.unpackbits(np.frombuffer(data, np.uint8, offset=n * PRINT))[:n].astype(bool))
+            sizes.append(n)
+        _, own, count = np.unique(np.concatenate(prints), return_inverse=True, return_counts=True)
+        flags = (count[own] > 1) | np.concatenate(many)
+        return _answer(group, pa.array([parts] * len(sizes), pa.int64()), [np.packbits(f).tobytes() for f in np.split(flags, np.cumsum(sizes)[:-1])])
+
+    return run
 
 
 def _flagged(row: dict, sample: Sample, n: int) -> np.ndarray:
@@ -220,6 +247,19 @@ def _flagged(row: dict, sample: Sample, n: int) -> np.ndarray:
     return flags[group] if len(group) else np.zeros(0, bool)
 
 
+def _in_parts(row: dict, bucket: np.ndarray, rows: np.ndarray) -> dict[tuple[int, int], np.ndarray]:
+    """Which of a pack's contexts (sorted by bucket) go to each bucket and part; part 0 is a bucket that is whole."""
+    out, parts = {}, {a["bucket"]: a["part"] for a in row["flags"] or ()}
+    names, starts = np.unique(bucket, return_index=True)
+    for name, own in zip(names.tolist(), np.split(np.arange(len(bucket)), starts[1:]), strict=True) if len(names) else ():
+        if parts[name] == 1:
+            out[name, 0] = own
+        else:
+            for side in parts_of(rows[own], parts[name]):
+                out.update(((name, p), own[side == p]) for p in np.unique(side).tolist())
+    return out
+
+
 def _send_contexts(n: int):
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,10 +267,11 @@ def _send_contexts(n: int):
             sample = Sample(row)
             bucket, rows, before, behind, ids, _ = sample.contexts(_flagged(row, sample, n), n)
             if len(bucket):
-                names, starts = np.unique(bucket, return_index=True)
                 full = np.concatenate([rows, before[:, None].astype(np.uint8), behind[:, None].astype(np.uint8), ids.view(np.uint8).reshape(-1, 8)], 1)
-                data = [zlib.compress(x.tobytes(), 1) for x in np.split(full, starts[1:])]
-                yield pa.RecordBatch.from_arrays([pa.array(names), pa.array([row["pack"]] * len(names), pa.int64()), pa.array(data, pa.binary())], schema=SENT)
+                dealt = _in_parts(row, bucket, rows)
+                data = [zlib.compress(full[own].tobytes(), 1) for own in dealt.values()]
+                names, parts = zip(*dealt, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(parts, pa.int64()), pa.array([row["pack"]] * len(names), pa.int64()), pa.array(data, pa.binary())], schema=ASKED)
 
     return run
 
@@ -247,14 +288,14 @@ def sorted_names(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.concatenate([[0], common])
 
 
-def owners_of_windows(rows: np.ndarray, before: np.ndarray, behind: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """For each context a mask: bit s is set if the window that starts s bytes before the sample position lies in its
-    document and stands in another context with a smaller id."""
+def owners_of_windows(rows: np.ndarray, before: np.ndarray, behind: np.ndarray, ids: np.ndarray, places: range = range(PLACES)) -> np.ndarray:
+    """For each context a mask: bit s (of places) is set if the window that starts s bytes before the sample position lies
+    in its document and stands in another context with a smaller id."""
     masks = np.zeros(len(rows), np.uint64)
     right_order, right_common = sorted_names(rows[:, BEFORE:])
     left_order, left_common = sorted_names(rows[:, :BEFORE][:, ::-1])
     left, right = np.empty(len(rows), np.int64), np.empty(len(rows), np.int64)
-    for s in range(PLACES):
+    for s in places:
         left[left_order] = np.cumsum(left_common < s) if s else 0
         right[right_order] = np.cumsum(right_common < WINDOW - s)
         own = np.flatnonzero((before >= s) & (behind >= WINDOW - s))
@@ -270,11 +311,13 @@ def owners_of_windows(rows: np.ndarray, before: np.ndarray, behind: np.ndarray,
 
 @tidy
 def _compared(group: pa.Table) -> pa.Table:
-    """One bucket: the mask of each pack's contexts."""
+    """One bucket or a part of it: the mask of each pack's contexts."""
+    part = group["part"][0].as_py()
+    places = range(PLACES) if not part else range(TURN + 1) if part % 2 else range(TURN + 1, PLACES)
     parts = [np.frombuffer(zlib.decompress(d), np.uint8).reshape(-1, CONTEXT + 10) for d in group["data"].to_pylist()]
     full = np.concatenate(parts)
-    masks = owners_of_windows(full[:, :CONTEXT], full[:, CONTEXT].astype(np.int64), full[:, CONTEXT + 1].astype(np.int64), full[:, CONTEXT + 2 :].copy().view(np.int64)[:, 0])
-    return _answer(group, [zlib.compress(m.tobytes(), 1) for m in np.split(masks, np.cumsum([len(p) for p in parts])[:-1])])
+    masks = owners_of_windows(full[:, :CONTEXT], full[:, CONTEXT].astype(np.int64), full[:, CONTEXT + 1].astype(np.int64), full[:, CONTEXT + 2 :].copy().view(np.int64)[:, 0], places)
+    return _answer(group, group["part"].combine_chunks(), [zlib.compress(m.tobytes(), 1) for m in np.split(masks, np.cumsum([len(p) for p in parts])[:-1])])
 
 
 CUT = pa.schema([("doc", pa.int64()), ("text", pa.binary()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64())])
@@ -286,11 +329,11 @@ def _cut(n: int, whole: bool):
         for row in (r for b in batches for r in b.to_pylist()):
             sample = Sample(row)
             flagged = _flagged(row, sample, n)
-            bucket, _, _, _, ids, group = sample.contexts(flagged, n)
+            bucket, rows, _, _, ids, group = sample.contexts(flagged, n)
             masks = np.zeros(len(bucket), np.uint64)
+            dealt = _in_parts(row, bucket, rows)
             for a in row["masks"] or ():
-                own = slice(*np.searchsorted(bucket, [a["bucket"], a["bucket"] + 1]))
-                masks[own] = np.frombuffer(zlib.decompress(a["data"]), np.uint64)
+                masks[dealt[a["bucket"], a["part"]]] |= np.frombuffer(zlib.decompress(a["data"]), np.uint64)
             at, doc = sample.at[flagged], sample.doc[flagged]
             mine = masks[group]
             # a copy in this pack of a context whose smallest id is another one's: all its windows are repeated
@@ -322,15 +365,15 @@ def remove_repeats(docs: DataFrame, whole: bool = True) -> DataFrame:
     """doc, n_bytes, n_removed and n_spans of each row of docs, and text: its remaining bytes (or their SHA-256 in hex)."""
     small_batches(docs.sparkSession, 16)
     rows = docs.select(doc_key().alias("doc"), F.col("text").cast("string").alias("text"))
-    packs = saved(rows.mapInArrow(_pack, "pack long, docs array<long>, sizes array<long>, bytes long, data binary"), "packs", "uncompressed")
+    packs = saved(rows.mapInArrow(_pack(PACK_BYTES), "pack long, docs array<long>, sizes array<long>, bytes long, data binary"), "packs", "uncompressed")
     total = packs.agg(F.sum("bytes")).first()[0] or 0
     n = max(1, -(-total * 2 // (PLACES + 1) // BUCKET))
-    sent = "bucket long, pack long, data binary"
-    answer = "pack long, bucket long, data binary"
-    told = lambda name, df: df.groupBy("pack").agg(F.collect_list(F.struct("bucket", "data")).alias(name))
-    flags = saved(told("flags", packs.mapInArrow(_send_prints(n), sent).groupBy("bucket").applyInArrow(_repeated, answer)), "flags")
-    asked = packs.join(flags, "pack", "left").mapInArrow(_send_contexts(n), sent)
-    masks = saved(told("masks", asked.groupBy("bucket").applyInArrow(_compared, answer)), "masks")
+    sent = "bucket long, pack long, n long, data binary"
+    answer = "pack long, bucket long, part long, data binary"
+    told = lambda name, df: df.groupBy("pack").agg(F.collect_list(F.struct("bucket", "part", "data")).alias(name))
+    flags = saved(told("flags", packs.mapInArrow(_send_prints(n), sent).groupBy("bucket").applyInArrow(_repeated(BUCKET, HOT), answer)), "flags")
+    asked = packs.join(flags, "pack", "left").mapInArrow(_send_contexts(n), "bucket long, part long, pack long, data binary")
+    masks = saved(told("masks", asked.groupBy("bucket", "part").applyInArrow(_compared, answer)), "masks")
     return packs.join(flags, "pack", "left").join(masks, "pack", "left").mapInArrow(_cut(n, whole), "doc long, text binary, n_bytes long, n_removed long, n_spans long")
 
 

@@ -1,8 +1,10 @@
 import hashlib
 import random
 
+import numpy as np
+
 from brambler.llm import suffix_dedup
-from brambler.llm.suffix_dedup import op1_suffix_dedup, remove_repeats
+from brambler.llm.suffix_dedup import BEFORE, CONTEXT, PLACES, TURN, WINDOW, op1_suffix_dedup, owners_of_windows, parts_of, remove_repeats
 
 
 def brute(rows):
@@ -54,6 +56,31 @@ def test_small_packs_and_buckets(spark, monkeypatch):
     check(spark, corpus(9), 2)
 
 
+def test_hot_buckets_are_split(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "PACK_BYTES", 2000)
+    monkeypatch.setattr(suffix_dedup, "BUCKET", 60)
+    for hot, seed in ((0, 11), (90, 12)):
+        monkeypatch.setattr(suffix_dedup, "HOT", hot)
+        check(spark, corpus(seed), 3)
+    # one phrase before and behind much else, now and then the same
+    rng = random.Random(4)
+    sides = ["".join(rng.choices("abcde ", k=rng.choice([5, 13, 14, 26, 40]))) for _ in range(60)]
+    check(spark, [(i, rng.choice(sides) + " a phrase that all these texts hold " + rng.choice(sides)) for i in range(400)], 2)
+
+
+def test_windows_of_parts():
+    rng = np.random.default_rng(1)
+    rows = rng.integers(0, 3, (300, CONTEXT)).astype(np.uint8)
+    rows[:, 10:70] = rows[rng.integers(0, 4, 300), 10:70]
+    before, behind, ids = rng.integers(0, BEFORE + 1, 300), rng.integers(0, WINDOW + 1, 300), rng.integers(0, 99, 300)
+    whole, parted = owners_of_windows(rows, before, behind, ids), np.zeros(300, np.uint64)
+    for side, places in zip(parts_of(rows, 7), (range(TURN + 1), range(TURN + 1, PLACES)), strict=True):
+        for part in np.unique(side):
+            own = side == part
+            parted[own] |= owners_of_windows(rows[own], before[own], behind[own], ids[own], places)
+    assert whole.any() and (whole == parted).all()
+
+
 def test_query(spark, tmp_path):
     rows = corpus(5)
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
