@@ -68,12 +68,40 @@ TABLES = {
             ELSE '<p>' || upper(substr(f2, 1, 1)) || substr(f2, 2) || ' ' || upper(substr(l2, 1, 1)) || substr(l2, 2) || ' - Parts Manager</p>' END ||
           '</body></html>' AS html
         FROM team_facts""",
-    "releases_made": """
-        SELECT release_id, content_html FROM (VALUES
-          (1, '<table><tr><th>For further information</th></tr><tr><td>Ann Example</td><td>Bo Example</td></tr><tr><td>Director</td><td></td></tr><tr><td><a href="mailto:Ann.X@a.test">mail</a></td><td>bo9@a.test</td></tr></table>'),
-          (2, '<p>Our sales manager is Jane Doe jdoe@b.test or media@b.test</p><script>x.y@c.test</script>'),
-          (3, '<p>kim.lee@c.test and caa.marketing@c.test and a1234567@c.test</p>'),
-          (4, NULL), (5, '<p>Jo Ray jo@gmail.com</p>')) AS v(release_id, content_html)""",
+    # organisations of eight kinds by what their page and listing tell: see dealer_people
+    "dealer_names": f"""
+        SELECT s_suppkey AS id, s_suppkey % 8 AS kind, {_pick(FIRST, "s_suppkey")} AS f1, {_pick(LAST, "s_suppkey")} AS l1, {_pick(FIRST, "s_suppkey * 3 + 7")} AS f2, {_pick(LAST, "s_suppkey * 3 + 11")} AS l2,
+          {_pick(FIRST, "s_suppkey * 7 + 3")} AS f3, {_pick(LAST, "s_suppkey * 7 + 5")} AS l3, {_pick(FIRST, "s_suppkey * 11 + 1")} AS f4, {_pick(LAST, "s_suppkey * 11 + 2")} AS l4,
+          'site' || CAST(s_suppkey AS STRING) || '.test' AS own, 'group' || CAST(s_suppkey % 9 AS STRING) || '.test' AS wide FROM supplier""",
+    "dealer_facts": """
+        SELECT id, kind, f1, l1, f2, l2, own, wide, CASE kind WHEN 6 THEN NULL ELSE 'https://www.' || own || '/home?x=1' END AS website_url,
+          CASE kind WHEN 3 THEN ' Office@' || wide WHEN 7 THEN 'depot@gmail.com' WHEN 0 THEN 'office.x@' || wide ELSE NULL END AS api_email,
+          CASE kind WHEN 2 THEN f1 || '.' || l1 || '@' || own ELSE NULL END AS e0,
+          CASE kind WHEN 0 THEN f3 || '.' || l3 || '@' || own WHEN 1 THEN f3 || '_' || l3 || '@' || wide WHEN 2 THEN f3 || '.' || l3 || '@yahoo.com' WHEN 5 THEN f3 || '@' || own WHEN 6 THEN f3 || '.' || l3 || '@' || wide ELSE NULL END AS e1,
+          CASE kind WHEN 0 THEN f4 || '.' || l4 || '@' || own WHEN 1 THEN f2 || '_' || l2 || '@' || wide WHEN 5 THEN substr(f4, 1, 1) || l4 || '@' || own WHEN 6 THEN f4 || l4 || '@' || own ELSE NULL END AS e2,
+          CASE kind WHEN 1 THEN f4 || '_' || l4 || '@' || wide WHEN 6 THEN f2 || '.' || l2 || '@' || wide WHEN 0 THEN 'sales@' || own ELSE NULL END AS e3
+        FROM dealer_names""",
+    "dealer_pages": """
+        SELECT id, 'https://www.' || own || '/team' AS url, '<html><body><script type="application/ld+json">{"@type":"Person","name":"' || upper(substr(f1, 1, 1)) || substr(f1, 2) || ' ' || upper(substr(l1, 1, 1)) || substr(l1, 2) || '","jobTitle":"Parts Manager"' || coalesce(',"email":"' || upper(e0) || '"', '') || '}</script><div class="team-card"><h3>' ||
+          upper(substr(f2, 1, 1)) || substr(f2, 2) || ' ' || upper(substr(l2, 1, 1)) || substr(l2, 2) || '</h3>Welcome<p>Sales Manager</p></div><div class="staff"><h4>' || upper(substr(f1, 1, 1)) || substr(f1, 2) || ' ' || upper(substr(l1, 1, 1)) || substr(l1, 2) || '</h4></div>' ||
+          coalesce('<p>' || e1, '') || coalesce('<p><a href="mailto:' || upper(e2) || '?subject=x">mail</a>', '') || coalesce('<p>' || e3 || '</p>', '') || '</body></html>' AS html
+        FROM dealer_facts""",
+    # releases of customers: contacts in a table or in the text, at the client's domain or an agency's, with or without an appointment
+    "release_facts": f"""
+        SELECT o_orderkey AS release_id, o_orderkey AS list_pos, o_custkey, o_orderkey % 6 AS kind, CAST(o_orderdate AS DATE) AS release_date, 'acme' || chr(CAST(97 + o_custkey % 20 AS INT)) AS word,
+          {_pick(FIRST, "o_orderkey")} AS f1, {_pick(LAST, "o_orderkey")} AS l1, {_pick(FIRST, "o_orderkey * 3 + 7")} AS f2, {_pick(LAST, "o_orderkey * 3 + 11")} AS l2, {_pick(FIRST, "o_custkey * 7 + 3")} AS f3, {_pick(LAST, "o_orderkey * 7 + 5")} AS l3 FROM orders""",
+    "release_shown": """
+        SELECT *, CASE WHEN kind = 4 THEN 'msl.test' WHEN kind = 5 THEN 'other' || CAST(o_custkey % 7 AS STRING) || '.test' ELSE word || 'cars.test' END AS dom,
+          upper(substr(f1, 1, 1)) || substr(f1, 2) || ' ' || upper(substr(l1, 1, 1)) || substr(l1, 2) AS n1, upper(substr(f2, 1, 1)) || substr(f2, 2) || ' ' || upper(substr(l2, 1, 1)) || substr(l2, 2) AS n2, upper(substr(f3, 1, 1)) || substr(f3, 2) || ' ' || upper(substr(l3, 1, 1)) || substr(l3, 2) AS n3
+        FROM release_facts""",
+    "release_mails": """
+        SELECT *, CASE WHEN kind IN (0, 3) THEN substr(f1, 1, 1) || l1 ELSE f1 || '.' || l1 END || '@' || dom AS e1, CASE WHEN kind = 0 THEN substr(f2, 1, 1) || l2 ELSE f2 || '.' || l2 END || '@' || dom AS e2 FROM release_shown""",
+    "releases": """
+        SELECT release_id, list_pos, 'Acme' || substr(word, 5) || ' Motors' AS client_name, CASE WHEN kind = 2 THEN 'New model' ELSE ' Changes ' END AS title, release_date,
+          CASE WHEN kind = 2 THEN '<p>The new model is out.</p>' ELSE '<p>The board has appointed ' || n3 || ' as Sales Manager from March.</p>' END ||
+          CASE WHEN kind IN (0, 3) THEN '<table><tr><th>For further information<table><tr><td>logo</td></tr></table></th></tr><tr><td>' || n1 || '</td><td>' || n2 || '</td></tr><tr><td>1234</td></tr><tr><td><a href="mailto:' || upper(e1) || '">mail</a></td><td>' || e2 || '</td></tr></table>'
+            ELSE '<p>Write to our parts manager at ' || e1 || ' or at media@' || dom || ', x@yahoo.com; ' || e2 || '</p>' END AS content_html
+        FROM release_mails""",
     "locator_facts": f"""
         SELECT s_suppkey, s_suppkey AS seq, {_pick(list(PAYLOADS), "s_suppkey")} AS brand_slug, 'Motors ' || CAST(s_suppkey AS STRING) AS name, CAST(s_suppkey AS STRING) || ' Long Road' AS address, 'Town' AS suburb,
           {_pick(["NSW", "VIC", "QLD", "WA"], "s_suppkey")} AS state, CAST(3000 + s_suppkey % 900 AS STRING) AS postcode, '(03) 5550 ' || CAST(1000 + s_suppkey % 9000 AS STRING) AS phone,

@@ -21,10 +21,20 @@ def role_normalised(raw: Column, roles: dict[str, str] = vocab.ROLES) -> Column:
     return first_contained(F.lower(F.trim(raw)), roles)
 
 
+def role_found(text: Column, roles: dict[str, str] = vocab.ROLES) -> Column:
+    """The first of the known titles that a text contains, as it is listed."""
+    return first_contained(F.lower(text), {k: k for k in roles})
+
+
 def role_plausible(raw: Column, words: list[str] = vocab.ROLE_KEYWORDS) -> Column:
-    """A keyword at the start, or right behind one of - / & and a comma."""
-    either = "|".join(w.replace("-", r"\-") for w in words)
-    return F.coalesce(F.lower(F.trim(raw)).rlike(rf"^({either})|[-/&,]\s*({either})"), F.lit(False))
+    """4 to 60 characters, and a keyword that stands, where it first does, at the start or behind one of - / & and a comma."""
+    text = F.lower(F.trim(raw))
+
+    def fits(word: Column) -> Column:
+        at = F.instr(text, word)
+        return (at > 0) & F.rtrim(F.substring(text, F.lit(1), at - 1)).rlike("^$|[-/&,]$")
+
+    return F.coalesce(F.length(text).between(4, 60) & F.exists(F.array(*map(F.lit, words)), fits), F.lit(False))
 
 
 def name_key(*parts: Column) -> Column:

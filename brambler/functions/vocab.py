@@ -79,6 +79,14 @@ AGENCIES = [
     "professionalpublicrelations", "ppr", "keepleft", "sequel", "herd", "articulate", "playpr", "thrive", "liquidideas", "hausmann", "n2n",
     "res", "engagemedia", "sensis", "carat", "zenith", "starcom", "omd", "phd", "um", "iprospect", "merkle", "isobar", "vmlyr", "mpsa",
 ]
+# Words of agencies' domains, whose address formats tell nothing of a client's.
+HOUSE_AGENCIES = [
+    "ogilvy", "havas", "havasmedia", "omnicom", "omc", "sparkfoundry", "sparkfoundryww", "starcom", "publicis", "wpp", "vmlyr", "mccann",
+    "edelman", "webershandwick", "weber", "hillandknowlton", "hkstrategies", "fleishman", "fleishmanhillard", "bcw", "burson", "golin",
+    "ketchum", "porternovelli", "cannings", "sefiani", "prcomms", "poemgroup", "thecampaignpalace", "clemenger", "initiative", "mediacom",
+    "essencemediacom", "wavemaker", "zenithmedia", "carat", "dentsu", "iprospect", "mindshare", "pitchpr", "keepleft", "haystac", "herdmsl",
+    "msl", "n2n", "poem", "connectedcontent",
+]
 # publishers' domains whose people are never written to.
 MEDIA_DOMAINS = [
     "drive.com.au", "carsales.com.au", "carexpert.com.au", "carsauce.com", "carsauce.com.au", "evcentral.com.au", "wheelsmedia.com.au",
@@ -220,3 +228,19 @@ PRESS_ROLES = [
 ]
 # Fixed value: what heads a table of contacts.
 CONTACT_HEADER = r"(?i)\b(contacts?|media enqu|media contact|further information|press (?:contact|office))\b"
+# Fixed value: a name and a role in running text.
+NAME_AND_ROLE = r"([A-Z][a-z]+ [A-Z][a-z]+)\s*[-–|]\s*(.{5,40})"
+# Fixed value: a name before an address.
+NAME_NEAR = r"\b([A-Z][a-z]+(?:['\-][A-Z][a-z]+)?(?: [A-Z][a-z]+){1,2})\b"
+# What tells of an appointment, and the sentences that name who is appointed (group 1) and as what (group 2), in order.
+APPOINTING = r"(?iU)\b(appoint\w*|joins|joining|named|welcomes|welcomed|promot\w*|new (?:chief|head|director|manager|general manager|ceo|md|managing director)|steps? (?:up|into)|takes? (?:up|over|the reins)|succeeds?)\b"
+APPOINTED = [
+    r"(?U)(?:has |have )?appointed\s+([A-Z][a-zA-Z'\-]+(?: [A-Z][a-zA-Z'\-]+){1,2})(?:\s+(?:as|to)\s+(?:its |the |a |an )?([^.,;()\n]{3,60}))?",
+    r"(?U)([A-Z][a-zA-Z'\-]+(?: [A-Z][a-zA-Z'\-]+){1,2})\s+has been appointed(?:\s+(?:as|to)\s+)?(?:its |the |a |an )?([^.,;()\n]{3,60})?",
+    r"(?U)([A-Z][a-zA-Z'\-]+(?: [A-Z][a-zA-Z'\-]+){1,2})\s+(?:has |will )?join(?:s|ed|ing)?\b[^.,;\n]{0,40}?\s+as\s+(?:its |the |a |an )?([^.,;()\n]{3,60})",
+    r"(?U)(?:the )?appointment of\s+([A-Z][a-zA-Z'\-]+(?: [A-Z][a-zA-Z'\-]+){1,2})(?:\s+(?:as|to)\s+(?:its |the |a |an )?([^.,;()\n]{3,60}))?",
+    r"(?U)([A-Z][a-zA-Z'\-]+(?: [A-Z][a-zA-Z'\-]+){1,2})\s+has been named(?:\s+(?:as|to)\s+)?(?:its |the |a |an )?([^.,;()\n]{3,60})?",
+    r"(?U)(?:welcomes?|welcomed)\s+([A-Z][a-zA-Z'\-]+(?: [A-Z][a-zA-Z'\-]+){1,2})(?:\s+(?:as|to)\s+(?:its |the |a |an )?([^.,;()\n]{3,60}))?",
+]
+# Fields of a release in which its date may stand, in order.
+DATE_FIELDS = ["published_at", "publishedAt", "release_date", "releaseDate", "date", "created_at", "createdAt", "publish_date", "live_date"]

@@ -1,12 +1,11 @@
-"""What pages hold: addresses, people and links. Only the walk over a page's tags is Python; rules are columns."""
+"""What pages hold: addresses, people and links. Only the walk over a page's tree is Python; rules are columns."""
 
 from __future__ import annotations
 
 import json
 import re
 from collections.abc import Iterator
-from html.parser import HTMLParser
-from urllib.parse import urljoin, urlparse
+from urllib.parse import urljoin
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -14,70 +13,13 @@ from pyspark.sql import functions as F
 
 from ..functions import vocab
 from ..functions.scalars import domain_part, local_part, role_plausible
+from .tree import FRAME, SILENT, Element, tree
 
-VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
-SILENT = {"script", "style", "noscript", "iframe"}
-#: Tags whose text tells of no people.
-FRAME = {"nav", "header", "footer"}
-#: Tags that end an open one of their kind.
-SELF_CLOSING = {"p", "li", "td", "th", "tr"}
-
-
-class _Page(HTMLParser):
-    """Text, mailto targets, links, JSON-LD blocks and cards of a page, tags repaired as they come."""
-
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.stack: list[str] = []
-        self.text: list[str] = []
-        self.content: list[str] = []  # text outside FRAME
-        self.mailtos: list[str] = []
-        self.links: list[list[str]] = []
-        self.blocks: list[str] = []
-        self.nodes: list[dict] = []  # text of elements, with class and depth, in page order
-        self.open_link = False
-        self.ld = False
-
-    def handle_starttag(self, tag, attrs):
-        own = dict(attrs)
-        if tag in SELF_CLOSING and tag in self.stack:
-            while self.stack and self.stack.pop() != tag:
-                pass
-        href = (own.get("href") or "").strip()
-        if tag == "a" and href:
-            if href.lower().startswith("mailto:"):
-                self.mailtos.append(href[7:].split("?")[0])
-            self.links.append([href, ""])
-            self.open_link = True
-        self.ld = tag == "script" and (own.get("type") or "").lower() == "application/ld+json"
-        if self.ld:
-            self.blocks.append("")
-        if tag in ("h1", "h2", "h3", "h4", "h5", "h6", "p", "span", "div", "li", "section", "article"):
-            self.nodes.append({"tag": tag, "cls": (own.get("class") or "").lower(), "depth": len(self.stack), "text": ""})
-        if tag not in VOID:
-            self.stack.append(tag)
-
-    def handle_endtag(self, tag):
-        if tag == "a":
-            self.open_link = False
-        if tag == "script":
-            self.ld = False
-        if tag in self.stack:
-            while self.stack.pop() != tag:
-                pass
-
-    def handle_data(self, data):
-        if self.ld:
-            self.blocks[-1] += data
-        if SILENT & set(self.stack):
-            return
-        self.text.append(data)
-        if not FRAME & set(self.stack):
-            self.content.append(data)
-        if self.open_link and self.links:
-            self.links[-1][1] += data
-        if self.nodes and data.strip():
-            self.nodes[-1]["text"] = f"{self.nodes[-1]['text']} {data.strip()}".strip()
+#: Elements that may hold a person, and headings that may be a name: in a card, and anywhere.
+CARDS = {"div", "li", "article", "section"}
+NAMES_IN_CARDS, NAMES = {"h2", "h3", "h4", "h5", "strong", "b"}, {"h2", "h3", "h4", "h5"}
+#: What may hold a role, and how many of these behind a name are looked at.
+ROLES, NEAR = {"p", "span", "div"}, 3
 
 
 def _people(blocks: list[str]) -> list[dict]:
@@ -98,44 +40,62 @@ def _people(blocks: list[str]) -> list[dict]:
     return out
 
 
-def _cards(nodes: list[dict]) -> list[dict]:
-    """A heading and the next three elements in a card (by its class), or anywhere if one of these is a role."""
-    out = []
-    card = re.compile("|".join(vocab.CARD_CLASSES))
-    role = re.compile("|".join(map(re.escape, vocab.ROLE_KEYWORDS)), re.IGNORECASE)
-    inside: dict | None = None
-    for i, n in enumerate(nodes):
-        if inside and n["depth"] <= inside["depth"]:
-            inside = None
-        if n["cls"] and card.search(n["cls"]) and not inside:
-            inside = n
-        if n["tag"][0] == "h" and n["tag"] != "html" and n["text"]:
-            near = [x["text"] for x in nodes[i + 1 : i + 4] if x["tag"] in ("p", "span", "div")]
-            title = next((t for t in near if role.match(t.strip())), None)
-            if inside or title:
-                out.append({"name": n["text"], "role": title, "in_card": inside is not None})
+def _headings(root: Element) -> list[dict]:
+    """Headings with the texts of the next elements beside them, in page order, and whether they stand in a card."""
+    card, out = re.compile("|".join(map(re.escape, vocab.CARD_CLASSES))), []
+    skip = SILENT | FRAME
+    inside: set[int] = set()  # elements in a card, by identity: their parents come first
+    for x in root.walk(skip):
+        if id(x.parent) in inside or (x.parent.tag in CARDS and card.search(x.parent.attrs.get("class", "").lower())):
+            inside.add(id(x))
+        within = id(x) in inside
+        if x.tag in NAMES or (within and x.tag in NAMES_IN_CARDS):
+            near = [y.text(strip=True, leave=skip) for y in x.following(ROLES, NEAR)]
+            out.append({"name": x.text(strip=True, leave=skip), "near": near, "in_card": within, "heading": x.tag in NAMES})
     return out
 
 
-PARSED = "text string, content string, mailtos array<string>, links array<struct<href:string,text:string>>, people array<struct<name:string,role:string,email:string,phone:string>>, cards array<struct<name:string,role:string,in_card:boolean>>"
+def _links(root: Element, url: str) -> tuple[list[str], list[dict]]:
+    """Targets of mailto links, and all other links with their texts; targets are made absolute."""
+    mailtos, links = [], []
+    for x in root.walk():
+        href = x.attrs.get("href", "").strip() if x.tag == "a" else ""
+        if href.lower().startswith("mailto:"):
+            mailtos.append(href[7:].split("?")[0])
+        elif href and not href.lower().startswith(("#", "tel:")):
+            links.append({"href": urljoin(url or "", href), "text": x.text().strip()})
+    return mailtos, links
 
 
-def parse_pages(pages: DataFrame, key: str = "page_id", base: str = "url") -> DataFrame:
-    """key and url of each page with its visible text, mailto targets, links (absolute) and people."""
+def _blocks(root: Element) -> list[str]:
+    return ["".join(t for t in x.items if isinstance(t, str)) for x in root.walk() if x.tag == "script" and x.attrs.get("type", "").lower() == "application/ld+json"]
+
+
+#: What parse_pages() can give, and how each is got from a page's tree and address.
+PARTS = {
+    "text": ("string", lambda root, url: root.text(" ")),
+    "content": ("string", lambda root, url: root.text(leave=SILENT | FRAME)),
+    "mailtos": ("array<string>", lambda root, url: _links(root, url)[0]),
+    "links": ("array<struct<href:string,text:string>>", lambda root, url: _links(root, url)[1]),
+    "people": ("array<struct<name:string,role:string,email:string,phone:string>>", lambda root, url: _people(_blocks(root))),
+    "headings": ("array<struct<name:string,near:array<string>,in_card:boolean,heading:boolean>>", lambda root, url: _headings(root)),
+}
+
+
+def parse_pages(pages: DataFrame, key: str = "page_id", base: str = "url", parts: tuple[str, ...] = tuple(PARTS)) -> DataFrame:
+    """key and url of each page with parts of it: visible text, content outside frames, mailto targets, links (absolute),
+    people of structured data, headings. Null pages are empty ones."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for k, url, html in zip(batch[key], batch[base], batch["html"], strict=True):
-                page = _Page()
-                page.feed(html or "")
-                page.close()
-                links = [{"href": urljoin(url or "", h), "text": t.strip()} for h, t in page.links if not h.lower().startswith(("#", "mailto:", "tel:"))]
-                rows.append((k, url, " ".join(page.text), " ".join(page.content), page.mailtos, links, _people(page.blocks), _cards(page.nodes)))
-            yield pd.DataFrame(rows, columns=[key, base, "text", "content", "mailtos", "links", "people", "cards"])
+                root = tree(html)
+                rows.append((k, url, *[PARTS[p][1](root, url) for p in parts]))
+            yield pd.DataFrame(rows, columns=[key, base, *parts])
 
     kind = dict(pages.dtypes)
-    return pages.select(key, base, "html").mapInPandas(run, f"{key} {kind[key]}, {base} {kind[base]}, {PARSED}")
+    return pages.select(key, base, "html").mapInPandas(run, ", ".join([f"{key} {kind[key]}", f"{base} {kind[base]}", *(f"{p} {PARTS[p][0]}" for p in parts)]))
 
 
 def emails_in_text(rows: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -162,19 +122,21 @@ def jsonld_people(parsed: DataFrame, key: str = "page_id") -> DataFrame:
 
 
 def card_people(parsed: DataFrame, key: str = "page_id") -> DataFrame:
-    """People in cards; on pages without any, headings that a role follows; without these, 'Name - Role' in the text."""
-    cards = F.filter(F.transform("cards", lambda c, i: F.struct(i.alias("seq"), c["name"].alias("name"), c["role"].alias("role"), c["in_card"].alias("in_card"))), lambda c: name_plausible(c["name"]))
-    pair = [F.regexp_extract_all("content", F.lit(NAME_AND_ROLE), F.lit(k)) for k in (1, 2)]
+    """key, seq, name and role of a page's people: names in cards, with a role if one is near; if there are none, headings
+    that a role follows; without these, 'Name - Role' in the text. A name counts once, where it first stands."""
+    role = lambda h: F.get(F.filter(h["near"], lambda t: role_plausible(t)), F.lit(0))
+    named = F.filter(F.transform("headings", lambda h, i: F.struct(i.alias("seq"), h["name"].alias("name"), role(h).alias("role"), h["in_card"].alias("in_card"), h["heading"].alias("heading"))), lambda h: F.coalesce(name_plausible(h["name"]), F.lit(False)))
+    pair = [F.regexp_extract_all("content", F.lit(vocab.NAME_AND_ROLE), F.lit(k)) for k in (1, 2)]
     told = F.filter(F.zip_with(*pair, lambda n, r: F.struct(n.alias("name"), F.trim(r).alias("role"))), lambda p: name_plausible(p["name"]) & role_plausible(p["role"]))
-    rows = parsed.select(key, cards.alias("cards"), told.alias("told"))
-    names = F.transform("told", lambda p: F.lower(p["name"]))
-    first = F.filter(F.transform("told", lambda p, i: F.struct(i.alias("seq"), p["name"].alias("name"), p["role"].alias("role"), F.lit(False).alias("in_card"))), lambda p: F.array_position(names, F.lower(p["name"])) == p["seq"] + 1)
-    inside = F.filter("cards", lambda c: c["in_card"])
-    found = F.when(F.size(inside) > 0, inside).when(F.size("cards") > 0, F.col("cards")).otherwise(first)
-    return rows.select(key, F.explode(found).alias("c")).select(key, "c.seq", "c.name", "c.role")
-
-
-NAME_AND_ROLE = r"([A-Z][a-z]+ [A-Z][a-z]+)\s*[-–|]\s*(.{5,40})"
+    told = F.transform(told, lambda p, i: F.struct(i.alias("seq"), p["name"].alias("name"), p["role"].alias("role")))
+    rows = parsed.select(key, named.alias("named"), told.alias("told"))
+    plain = lambda c: F.transform(c, lambda h: F.struct(h["seq"].alias("seq"), h["name"].alias("name"), h["role"].alias("role")))
+    rows = rows.select(key, "told", plain(F.filter("named", lambda h: h["in_card"])).alias("cards"), plain(F.filter("named", lambda h: h["heading"] & h["role"].isNotNull())).alias("headings"))
+    found = F.when(F.size("cards") > 0, F.col("cards")).when(F.size("headings") > 0, F.col("headings")).otherwise(F.col("told"))
+    rows = rows.select(key, found.alias("found"))
+    names = F.transform("found", lambda p: F.lower(p["name"]))
+    rows = rows.select(key, "found", F.posexplode("found").alias("place", "c"))
+    return rows.filter(F.array_position(names, F.lower("c.name")) == F.col("place") + 1).select(key, "c.seq", "c.name", "c.role")
 
 
 def name_plausible(name: Column) -> Column:
@@ -212,12 +174,5 @@ def link_scores(parsed: DataFrame, key: str = "page_id") -> DataFrame:
 
 
 def needs_render(html: Column) -> Column:
-    return html.rlike("(?i)href=[\"']mailto:[\"']")
-
-
-def is_site_link(url: str, base: str) -> bool:
-    return urlparse(url).netloc == urlparse(base).netloc
-
-
-def roles_of(cards: DataFrame) -> DataFrame:
-    return cards.filter(role_plausible(F.col("role")))
+    """Whether a page writes its addresses by script: a mailto link without a target."""
+    return F.coalesce(html.rlike("(?i)href=[\"']mailto:[\"']"), F.lit(False))

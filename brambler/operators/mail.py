@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import vocab
-from ..functions.scalars import clean_address, domain_part, local_part, role_normalised
+from ..functions.scalars import clean_address, domain_part, generated_local, local_part, role_found, role_normalised, slug, split_first_last
 from .people import reject_reason
 
 
@@ -82,17 +82,14 @@ def name_of_local(local: Column) -> Column:
     return F.when((F.size(parts) == 2) & F.forall(parts, lambda p: p.rlike("^[A-Za-z]{2,}$")), F.initcap(F.array_join(parts, " ")))
 
 
-NAME_NEAR = r"\b([A-Z][a-z]+(?:['\-][A-Z][a-z]+)?(?: [A-Z][a-z]+){1,2})\b"
-
-
 def context_of(body: Column, email: Column) -> tuple[Column, Column]:
     """The name next before an address's first place in a text, else the first one in its line; and the text around it in
     which a role may stand. An address that isn't in the text has none."""
     at = F.nullif(F.instr(F.lower(body), email), F.lit(0))
     start = F.greatest(at - 220, F.lit(1))
-    near = F.regexp_extract_all(F.substring(body, start, at - start), F.lit(NAME_NEAR), F.lit(1))
+    near = F.regexp_extract_all(F.substring(body, start, at - start), F.lit(vocab.NAME_NEAR), F.lit(1))
     line = F.concat(F.substring_index(F.substring(body, F.lit(1), at - 1), "\n", -1), F.substring_index(F.substring(body, at, F.length(body)), "\n", 1))
-    name = F.when(F.size(near) > 0, F.element_at(near, -1)).otherwise(F.nullif(F.regexp_extract(line, NAME_NEAR, 1), F.lit("")))
+    name = F.when(F.size(near) > 0, F.element_at(near, -1)).otherwise(F.nullif(F.regexp_extract(line, vocab.NAME_NEAR, 1), F.lit("")))
     return name, F.substring(body, start, at + 60 - start)
 
 
@@ -104,9 +101,9 @@ def harvest_replies(parsed: DataFrame, self_domains: tuple[str, ...] = ()) -> Da
     rows = hits.withColumn("email", clean_address(F.col("raw"))).filter("email is not null").filter(~F.contains(F.lower("sender"), F.col("email")))
     context, window = context_of(F.col("body"), F.col("email"))
     own = name_of_local(local_part(F.col("email")))
-    rows = rows.withColumns({"role": role_normalised(window), "full_name": F.coalesce(F.when(person_name(own), own), F.when(person_name(context), context)), "reason": reject_reason(local_part(F.col("email")), domain_part(F.col("email")), self_domains)})
+    rows = rows.withColumns({"role_raw": role_found(window), "role": role_normalised(window), "full_name": F.coalesce(F.when(person_name(own), own), F.when(person_name(context), context)), "reason": reject_reason(local_part(F.col("email")), domain_part(F.col("email")), self_domains)})
     first = Window.partitionBy("email").orderBy(F.col("role").isNull(), "msg_id", "pos")
-    return rows.withColumn("n", F.row_number().over(first)).filter("n = 1").select("email", "full_name", "role", "reason", "msg_id")
+    return rows.withColumn("n", F.row_number().over(first)).filter("n = 1").select("email", "full_name", "role_raw", "role", "reason", "msg_id")
 
 
 def release_date(fields: list[Column]) -> Column:
@@ -114,19 +111,6 @@ def release_date(fields: list[Column]) -> Column:
     return F.coalesce(*[F.coalesce(F.try_to_date(f, "yyyy-MM-dd"), F.try_to_date(f, "dd/MM/yyyy")) for f in fields])
 
 
-APPOINTING = r"(?iU)\b(appoint\w*|joins|joining|named|welcomes|welcomed|promot\w*|new (?:chief|head|director|manager|general manager|ceo|md|managing director)|steps? (?:up|into)|takes? (?:up|over|the reins)|succeeds?)\b"
-_NAME, _ROLE = r"([A-Z][a-zA-Z'\-]+(?: [A-Z][a-zA-Z'\-]+){1,2})", r"(?:its |the |a |an )?([^.,;()\n]{3,60})"
-#: In order; group 1 is the name and group 2 the role, if the sentence gives it.
-APPOINTED = [
-    rf"(?U)(?:has |have )?appointed\s+{_NAME}(?:\s+(?:as|to)\s+{_ROLE})?",
-    rf"(?U){_NAME}\s+has been appointed(?:\s+(?:as|to)\s+)?{_ROLE}?",
-    rf"(?U){_NAME}\s+(?:has |will )?join(?:s|ed|ing)?\b[^.,;\n]{{0,40}}?\s+as\s+{_ROLE}",
-    rf"(?U)(?:the )?appointment of\s+{_NAME}(?:\s+(?:as|to)\s+{_ROLE})?",
-    rf"(?U){_NAME}\s+has been named(?:\s+(?:as|to)\s+)?{_ROLE}?",
-    rf"(?U)(?:welcomes?|welcomed)\s+{_NAME}(?:\s+(?:as|to)\s+{_ROLE})?",
-]
-
-
 def release_name(name: Column) -> Column:
     """Two or three words, none of a role, label or company."""
     words = F.split(F.trim(name), r"\s+")
@@ -149,16 +133,16 @@ def appointments(releases: DataFrame) -> DataFrame:
     Each pattern's every match in title and text counts, a name once for a release, with the first role that it has.
     """
     blob = F.concat(F.coalesce("title", F.lit("")), F.lit(". "))
-    rows = releases.filter("body <> ''").filter(F.concat(blob, F.substring("body", 1, 1500)).rlike(APPOINTING))
+    rows = releases.filter("body <> ''").filter(F.concat(blob, F.substring("body", 1, 1500)).rlike(vocab.APPOINTING))
     rows = rows.select("release_id", F.substring(F.concat(blob, F.col("body")), 1, 1800).alias("head"))
-    matches = [F.arrays_zip(F.regexp_extract_all("head", F.lit(p), F.lit(1)).alias("name"), F.regexp_extract_all("head", F.lit(p), F.lit(2)).alias("role")) for p in APPOINTED]
+    matches = [F.arrays_zip(F.regexp_extract_all("head", F.lit(p), F.lit(1)).alias("name"), F.regexp_extract_all("head", F.lit(p), F.lit(2)).alias("role")) for p in vocab.APPOINTED]
     found = F.filter(F.concat(*matches), lambda m: release_name(m["name"]))
     rows = rows.select("release_id", F.transform(found, lambda m: F.struct(m["name"].alias("name"), appointed_role(m["role"]).alias("role"))).alias("found"))
     rows = rows.select("release_id", "found", F.explode(F.array_distinct(F.transform("found", lambda m: m["name"]))).alias("name"))
     return rows.select("release_id", "name", F.get(F.filter("found", lambda m: (m["name"] == F.col("name")) & m["role"].isNotNull()), F.lit(0))["role"].alias("role"))
 
 
-def in_house(client: Column, domain: Column, agencies: list[str] = vocab.AGENCIES) -> Column:
+def in_house(client: Column, domain: Column, agencies: list[str] = vocab.HOUSE_AGENCIES) -> Column:
     """Whether a domain is the client's own: one of its labels is a telling word of the client's name, or one of both, the
     word of four letters or more, is part of the other. An agency's never is."""
     words = F.transform(F.split(F.lower(client), r"\s+"), lambda w: F.regexp_replace(w, "[^a-z0-9]", ""))
@@ -170,10 +154,13 @@ def in_house(client: Column, domain: Column, agencies: list[str] = vocab.AGENCIE
 
 
 def extrapolate(appointees: DataFrame, formats: DataFrame) -> DataFrame:
-    """Addresses for appointees of a release from its in-house formats, where a domain has exactly one."""
-    from ..functions.scalars import generated_local, split_first_last
+    """Addresses for appointees of a release from its in-house formats, where a domain has exactly one.
 
-    one = formats.groupBy("release_id", "domain").agg(F.collect_set("pattern").alias("p")).filter("size(p) = 1").select("release_id", "domain", F.get("p", F.lit(0)).alias("pattern"))
-    first, last = split_first_last(F.col("name"))
-    rows = appointees.join(one, "release_id").withColumn("email", F.concat(generated_local(F.col("pattern"), first, last), F.lit("@"), "domain"))
+    The least and the greatest format of a domain are all that is kept of its formats: they are equal if there is one.
+    """
+    one = formats.groupBy("release_id", "domain").agg(F.min("pattern").alias("pattern"), F.max("pattern").alias("other"))
+    one = one.filter(F.col("pattern") == F.col("other")).drop("other")
+    first, last = (slug(c) for c in split_first_last(F.col("name")))
+    local = F.when((first != "") & (last != ""), generated_local(F.col("pattern"), first, last))
+    rows = appointees.join(one, "release_id").withColumn("email", F.concat(local, F.lit("@"), "domain"))
     return rows.filter("email is not null").withColumn("confidence", F.lit("inferred"))

@@ -9,10 +9,12 @@ from ..functions import vocab
 from ..functions.scalars import detected_format, domain_part, generated_local, is_gateway, known_prefixes, local_part, mx_provider, rcpt_verdict, split_first_last
 
 
-def infer_patterns(emails: DataFrame, key: str) -> DataFrame:
+def infer_patterns(emails: DataFrame, key: str, business_only: bool = True) -> DataFrame:
     """key, pattern and domain from known addresses (key, email, seq): the most common domain (first seen first), then
-    the form that most of its local parts have."""
-    rows = emails.withColumn("domain", domain_part(F.col("email"))).filter(~F.col("domain").isin(vocab.FREEMAIL) & (F.col("domain") != ""))
+    the form that most of its local parts have. Free mail doesn't count, unless all addresses are to."""
+    rows = emails.withColumn("domain", domain_part(F.col("email"))).filter("domain <> ''")
+    if business_only:
+        rows = rows.filter(~F.col("domain").isin(vocab.FREEMAIL))
     counts = rows.groupBy(key, "domain").agg(F.count("*").alias("n"), F.min("seq").alias("first"))
     top = counts.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("n"), "first"))).filter("rank = 1").select(key, "domain")
     own = local_part(F.col("email"))
@@ -40,10 +42,14 @@ def match_known(people: DataFrame, emails: DataFrame, key: str) -> DataFrame:
 
 def orphan_addresses(emails: DataFrame, matched: DataFrame, key: str) -> DataFrame:
     """Addresses nobody was matched to whose local part is two words become people."""
-    rest = emails.join(matched.select(key, "email"), [key, "email"], "left_anti")
+    return orphan_names(emails.join(matched.select(key, "email"), [key, "email"], "left_anti")).select(key, "email", "first_name", "last_name")
+
+
+def orphan_names(rest: DataFrame) -> DataFrame:
+    """Rows whose address is two words of letters, with these as a name."""
     parts = F.split(local_part(F.col("email")), F.when(F.contains(local_part(F.col("email")), F.lit(".")), r"\.").otherwise("_"))
     ok = (F.size(parts) == 2) & F.forall(parts, lambda p: p.rlike("^[A-Za-z]{2,}$"))
-    return rest.filter(ok).select(key, "email", F.initcap(F.get(parts, F.lit(0))).alias("first_name"), F.initcap(F.get(parts, F.lit(1))).alias("last_name"))
+    return rest.filter(ok).withColumns({"first_name": F.initcap(F.get(parts, F.lit(0))), "last_name": F.initcap(F.get(parts, F.lit(1)))})
 
 
 def domain_formats(senders: DataFrame, self_domains: tuple[str, ...] = ()) -> DataFrame:

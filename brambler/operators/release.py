@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-from html.parser import HTMLParser
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import vocab
-from ..functions.scalars import clean_address, domain_part, local_part, role_normalised, site_domain
+from ..functions.scalars import clean_address, detected_format, domain_part, local_part, role_found, role_normalised, site_domain, split_first_last
 from . import people, read
-from .mail import context_of, name_of_local, person_name, release_name
+from .mail import appointments, context_of, extrapolate, in_house, name_of_local, person_name, release_name
+from .tree import Element, tree
+
 
 def until_older(rows: DataFrame, key: str, cutoff: Column, date: str = "release_date", pos: str = "list_pos") -> DataFrame:
     """Rows of each newest-first list before its first one older than the cut-off; a plain filter would differ where the
@@ -34,113 +35,115 @@ def latest_captures(rows: DataFrame) -> DataFrame:
     return rows.groupBy("email").agg(first, F.max("source_date").alias("source_date")).select("email", "source_date", "first.*")
 
 
-class _Tables(HTMLParser):
-    """Cells of a page's tables, row by row, each with the target of its first mailto link; and the page's text."""
-
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.tables: list[list[list[list]]] = []
-        self.cell, self.hidden = False, 0
-        self.text: list[str] = []
-
-    def handle_starttag(self, tag, attrs):
-        if tag == "table":
-            self.tables.append([])
-        elif tag == "tr" and self.tables:
-            self.tables[-1].append([])
-        elif tag in ("td", "th") and self.tables and self.tables[-1]:
-            self.tables[-1][-1].append([[], None])
-            self.cell = True
-        elif tag in ("script", "style"):
-            self.hidden += 1
-        elif tag == "a" and self.cell:
-            href = dict(attrs).get("href") or ""
-            own = self.tables[-1][-1][-1]
-            if own[1] is None and href.lower().startswith("mailto:"):
-                own[1] = href[7:]
-
-    def handle_endtag(self, tag):
-        if tag in ("td", "th", "tr", "table"):
-            self.cell = False
-        elif tag in ("script", "style"):
-            self.hidden = max(0, self.hidden - 1)
-
-    def handle_data(self, data):
-        if not self.hidden:
-            self.text.append(data)
-            if self.cell and data.strip():
-                self.tables[-1][-1][-1][0].append(data.strip())
-
-
-def cell_name(text: str) -> bool:
-    """Two or three capitalised words, none of a role, label or company."""
-    words = text.split()
-    return 2 <= len(words) <= 3 and all(re.fullmatch(r"[A-Z][a-zA-Z'\-]+", w) for w in words) and not any(w.lower().strip(".,'") in vocab.RELEASE_NOT_NAMES for w in words)
-
-
-def table_contacts(rows: list[list[list]]) -> list[tuple[str | None, str]]:
-    """(name, address) of a table of contacts, by column: the first row with addresses, behind the row that heads contacts
-    if there is one, and the first row above it that holds a name. A cell's mailto target goes before its text."""
-    rows = [[(target or " ".join(text), " ".join(text)) for text, target in row] for row in rows]
-    if not any("@" in c for row in rows for pair in row for c in pair):
-        return []
-    head = next((i for i, row in enumerate(rows) if re.search(vocab.CONTACT_HEADER, " ".join(c for c, _ in row))), -1)
-    rows = rows[head + 1 :]
-    at = next((i for i, row in enumerate(rows) if any("@" in c for c, _ in row)), None)
-    if at is None:
-        return []
-    names = next((row for row in rows[:at] if any(cell_name(c) for c, _ in row)), [])
+def _tables(root: Element) -> list[list[list[dict]]]:
+    """Cells of all tables, row by row, those of tables in a cell among them: a mailto target if a cell has one, else its text."""
     out = []
-    for i, (cell, _) in enumerate(rows[at]):
-        m = re.search(vocab.EMAIL, cell)
-        if m:
-            name = names[i][0] if i < len(names) and cell_name(names[i][0]) else None
-            out.append((name, m[0].lower()))
+    for table in (x for x in root.walk() if x.tag == "table"):
+        rows = []
+        for row in (x for x in table.walk() if x.tag == "tr"):
+            cells = []
+            for cell in (x for x in row.walk() if x.tag in ("td", "th")):
+                target = next((x.attrs["href"][7:] for x in cell.walk() if x.tag == "a" and x.attrs.get("href", "").lower().startswith("mailto:")), None)
+                cells.append({"mail": target is not None, "value": cell.text(" ", strip=True) if target is None else target})
+            rows.append(cells)
+        out.append(rows)
     return out
 
 
 def read_releases(releases: DataFrame) -> DataFrame:
-    """release_id, text and contacts (name and email, in tables) of each release's HTML."""
+    """release_id, text and tables (rows of cells) of each release's HTML; null is an empty release."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = []
-            for k, html in zip(batch["release_id"], batch["content_html"], strict=True):
-                page = _Tables()
-                page.feed(html or "")
-                page.close()
-                found.append((k, " ".join(page.text), [{"name": n, "email": e} for t in page.tables for n, e in table_contacts(t)]))
-            yield pd.DataFrame(found, columns=["release_id", "text", "contacts"])
+            roots = [tree(html) for html in batch["content_html"]]
+            yield pd.DataFrame({"release_id": batch["release_id"], "text": [r.text(" ") for r in roots], "tables": [_tables(r) for r in roots]})
 
     kind = dict(releases.dtypes)["release_id"]
-    return releases.select("release_id", "content_html").mapInPandas(run, f"release_id {kind}, text string, contacts array<struct<name:string,email:string>>")
+    return releases.select("release_id", "content_html").mapInPandas(run, f"release_id {kind}, text string, tables array<array<array<struct<mail:boolean,value:string>>>>")
+
+
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), worked out once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def cell_name(text: Column) -> Column:
+    """Two or three capitalised words, none of a role, label or company."""
+    return text.rlike(r"^[A-Z][a-zA-Z'\-]+(\s+[A-Z][a-zA-Z'\-]+){1,2}$") & release_name(text)
+
+
+def table_contacts(table: Column) -> Column:
+    """Names and addresses of a table of contacts, by column: an address below a name belongs to it. The row of addresses is
+    the first behind the heading of contacts, if there is one, and that of names the first between these two."""
+    first = lambda rows, test: F.array_position(F.transform(rows, test), F.lit(True))  # noqa: E731  1 for the first, 0 for none
+    told = lambda row: F.array_join(F.transform(row, lambda c: c["value"]), " ")
+    holds = lambda row: F.exists(row, lambda c: F.contains(c["value"], F.lit("@")))
+    names = lambda row: F.exists(row, lambda c: cell_name(c["value"]))
+    written = lambda c: F.when(c["mail"], c["value"]).otherwise(F.regexp_extract(c["value"], vocab.EMAIL, 0))
+
+    def of_rows(rows: Column, at: Column) -> Column:
+        above = F.get(F.filter(F.slice(rows, F.lit(1), at - 1), names), F.lit(0))
+        over = lambda i: F.get(above, i)["value"]
+        return F.transform(F.get(rows, at - 1), lambda c, i: F.struct(F.when(cell_name(over(i)), over(i)).alias("name"), clean_address(written(c)).alias("email")))
+
+    body = F.slice(table, first(table, lambda row: told(row).rlike(vocab.CONTACT_HEADER)) + 1, F.size(table) + 1)
+    found = _with(body, lambda rows: _with(first(rows, holds), lambda at: F.when(at > 0, of_rows(rows, at))))
+    return F.filter(F.coalesce(found, F.array().cast("array<struct<name:string,email:string>>")), lambda c: c["email"].isNotNull())
+
+
+def contacts_of(tables: Column) -> Column:
+    return F.flatten(F.transform(tables, table_contacts))
 
 
 def contact_tables(releases: DataFrame) -> DataFrame:
     """release_id, seq, name and email of contact tables in a release's HTML."""
-    return read_releases(releases).select("release_id", F.posexplode("contacts").alias("seq", "c")).select("release_id", "seq", "c.name", "c.email")
+    return read_releases(releases).select("release_id", F.posexplode(contacts_of(F.col("tables"))).alias("seq", "c")).select("release_id", "seq", "c.name", "c.email")
 
 
 def release_people(releases: DataFrame, self_domains: tuple[str, ...] = ()) -> DataFrame:
-    """release_id, email, full_name and role of the people whose addresses stand in a release.
+    """release_id, email, full_name, role_raw (the words found) and role of the people whose addresses stand in a release.
 
     A name is the table's, else two words of the address, else the nearest name before it in the text; without one, or
     with a word of a role, label or company in it, an address is dropped, as are shared inboxes, free mail and tokens.
     """
-    rows = read_releases(releases)
+    rows = read_releases(releases).select("release_id", "text", contacts_of(F.col("tables")).alias("contacts"))
     written = F.transform(F.regexp_extract_all("text", F.lit(vocab.EMAIL), F.lit(0)), clean_address)
     every = F.array_distinct(F.filter(F.concat(F.transform("contacts", lambda c: c["email"]), written), lambda e: e.isNotNull()))
     rows = rows.select("release_id", "text", "contacts", F.explode(every).alias("email"))
     local, domain = local_part(F.col("email")), domain_part(F.col("email"))
     rows = rows.filter(people.press_reject_reason(local, domain, self_domains).isNull())
-    table_name = F.get(F.filter("contacts", lambda c: (c["email"] == F.col("email")) & c["name"].isNotNull()), F.lit(0))["name"]
+    table_name = F.get(F.filter("contacts", lambda c: c["email"] == F.col("email")), F.lit(0))["name"]  # of its first place, named or not
     near, window = context_of(F.col("text"), F.col("email"))
     own = name_of_local(local)
     name = F.coalesce(table_name, F.when(person_name(own), own), F.when(person_name(near), near))
-    rows = rows.select("release_id", "email", name.alias("full_name"), role_normalised(window).alias("role"))
+    rows = rows.select("release_id", "email", name.alias("full_name"), role_found(window).alias("role_raw"), role_normalised(window).alias("role"))
     return rows.filter(release_name(F.col("full_name")))
 
 
+def appointee_addresses(releases: DataFrame, self_domains: tuple[str, ...] = ()) -> DataFrame:
+    """What releases that appoint somebody let one guess: email, name, role_raw, role, pattern and release_date.
+
+    releases: release_id, client_name, title, content_html, release_date. The people whose addresses a release shows, if
+    these are at the client's own domain, tell the format of addresses there; where all of them at a domain have the same,
+    it gives the appointees' addresses. An address once found stays with the release found first (list_pos), with the
+    latest date of all; one that any release shows is no guess.
+    """
+    shown = release_people(releases, self_domains)
+    client = releases.select("release_id", "client_name")
+    form = lambda own: _with(F.col("full_name"), lambda name: detected_format(*split_first_last(name), own))
+    formats = shown.join(client, "release_id").filter(in_house(F.col("client_name"), domain_part(F.col("email"))))
+    formats = formats.select("release_id", domain_part(F.col("email")).alias("domain"), form(local_part(F.col("email"))).alias("pattern")).filter("pattern is not null")
+    text = read_releases(releases).select("release_id", F.col("text").alias("body"))
+    appointed = appointments(releases.select("release_id", F.trim("title").alias("title")).join(text, "release_id"))
+    made = extrapolate(appointed.withColumnRenamed("role", "role_raw"), formats)
+    local = local_part(F.col("email"))
+    made = made.filter(people.press_reject_reason(local, domain_part(F.col("email")), self_domains).isNull())
+    made = made.join(releases.select("release_id", "list_pos", "release_date"), "release_id")
+    one = made.groupBy("email").agg(F.min_by(F.struct("name", "role_raw", "pattern"), F.struct("list_pos", "release_id", "name")).alias("own"), F.max("release_date").alias("release_date"))
+    one = one.select("email", "own.*", "release_date").withColumn("role", role_normalised(F.col("role_raw")))
+    return one.join(shown.select("email").distinct(), "email", "left_anti")
+
+
 def release_contacts(releases: DataFrame, tables: DataFrame) -> DataFrame:
     """Addresses of a release: those of its tables with their names, then all others in its text."""
     text = F.regexp_replace("content_html", "<[^>]+>", " ")

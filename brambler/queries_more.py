@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .bindings import AS_OF
 from .functions import scalars as S
 from .functions import vocab
-from .operators import html, people, read, release, state
+from .operators import fusion, html, people, read, release, state
 from .queries import _SITE_SQL, _patterns_sql, query, among
 from .sources import schemas
 
@@ -165,13 +165,55 @@ def team_page_emails(team_pages):
     return html.emails_of_pages(html.parse_pages(team_pages))
 
 
+_TITLES = "CASE role_raw WHEN 'sales manager' THEN 'Sales Manager' WHEN 'parts manager' THEN 'Parts Manager' WHEN 'dp' THEN 'Dealer Principal' WHEN 'gm' THEN 'General Manager' END"
+
+
+@query(
+    f"""SELECT release_id, email, full_name, role_raw, {_TITLES} AS role FROM (
+      SELECT release_id, e1 AS email, n1 AS full_name, CASE WHEN kind = 2 THEN 'parts manager' WHEN kind IN (1, 4, 5) THEN 'sales manager' WHEN e1 = e2 THEN CASE WHEN e2 LIKE 'dp%' THEN 'dp' WHEN e2 LIKE 'gm%' THEN 'gm' ELSE 'sales manager' END END AS role_raw FROM release_mails
+      UNION ALL
+      SELECT release_id, e2, n2, CASE WHEN kind = 2 THEN 'parts manager' WHEN kind = 0 AND e2 LIKE 'dp%' THEN 'dp' WHEN kind = 0 AND e2 LIKE 'gm%' THEN 'gm' ELSE 'sales manager' END FROM release_mails WHERE e2 <> e1) AS r"""
+)
+def release_people(releases):
+    """People of releases by tables (one in a heading's cell) and by text; links hide an address from its context."""
+    return release.release_people(releases)
+
+
+@query(
+    """WITH made AS (SELECT list_pos, release_date, n3, CASE kind WHEN 0 THEN substr(f3, 1, 1) || l3 ELSE f3 || '.' || l3 END || '@' || dom AS email, CASE kind WHEN 0 THEN 'flast' ELSE 'first.last' END AS form FROM release_mails WHERE kind IN (0, 1))
+    SELECT email, arg_min(n3, list_pos) AS name, 'Sales Manager' AS role_raw, 'Sales Manager' AS role, arg_min(form, list_pos) AS pattern, max(release_date) AS release_date FROM made
+    WHERE email NOT IN (SELECT e1 FROM release_mails UNION ALL SELECT e2 FROM release_mails) GROUP BY email"""
+)
+def appointee_addresses(releases):
+    """Guesses for the appointed: the formats of the client's own domain, where a release shows just one; agencies tell none."""
+    return release.appointee_addresses(releases)
+
+
 @query(
-    """SELECT * FROM (VALUES (1, 'ann.x@a.test', 'Ann Example', NULL), (1, 'bo9@a.test', 'Bo Example', NULL), (2, 'jdoe@b.test', 'Jane Doe', 'Sales Manager'),
-    (3, 'kim.lee@c.test', 'Kim Lee', NULL)) AS v(release_id, email, full_name, role)"""
+    f"""WITH mails AS (SELECT id, unnest([e1, e2, e3]) AS email FROM dealer_facts),
+    page AS (SELECT id, email, row_number() OVER (PARTITION BY id ORDER BY email) AS seq FROM (SELECT DISTINCT id, email FROM mails WHERE email IS NOT NULL AND email NOT LIKE '%@yahoo.com' AND email NOT LIKE 'sales@%') AS x),
+    api AS (SELECT id, lower(trim(api_email)) AS api FROM dealer_facts WHERE api_email IS NOT NULL),
+    cand AS (SELECT id, 1 AS rank, seq, email FROM page JOIN dealer_facts USING (id) WHERE website_url IS NULL OR split_part(email, '@', 2) = own
+      UNION ALL SELECT id, 2, seq, email FROM page UNION ALL SELECT id, 2, 1000, api FROM api WHERE api NOT LIKE '%@gmail.com' UNION ALL SELECT id, 3, 0, e0 FROM dealer_facts WHERE e0 IS NOT NULL),
+    pat AS ({_patterns_sql('SELECT id * 10 + rank AS grp, email, seq FROM cand')}),
+    best AS (SELECT grp // 10 AS id, arg_min(pattern, grp) AS pattern, arg_min(domain, grp) AS domain FROM pat WHERE pattern IS NOT NULL GROUP BY 1),
+    g AS (SELECT f.id, best.pattern, coalesce(best.pattern, CASE WHEN api IS NOT NULL THEN 'first.last' END) AS form, coalesce(best.domain, split_part(api, '@', 2)) AS domain FROM dealer_facts AS f LEFT JOIN best USING (id) LEFT JOIN api USING (id)),
+    known AS (SELECT id, split_part(email, '@', 1) AS lp, arg_max(email, rank * 10000 + seq) AS hit FROM cand WHERE rank > 1 GROUP BY 1, 2),
+    folk AS (SELECT id, 'jsonld' AS found_in, f1 AS f, l1 AS l, e0 AS email, 'Parts Manager' AS role_raw FROM dealer_facts UNION ALL SELECT id, 'page', f2, l2, NULL, 'Sales Manager' FROM dealer_facts),
+    tried AS (SELECT id, found_in, unnest([f || '.' || l, substr(f, 1, 1) || l, f, f || substr(l, 1, 1), l || '.' || f, l || substr(f, 1, 1), f || '_' || l, f || l]) AS lp, unnest([1, 2, 3, 4, 5, 6, 7, 8]) AS turn FROM folk JOIN g USING (id) WHERE email IS NULL AND (found_in = 'page' OR form IS NOT NULL)),
+    hits AS (SELECT id, found_in, arg_min(hit, turn) AS match FROM tried JOIN known USING (id, lp) GROUP BY 1, 2),
+    done AS (SELECT id, found_in, f, l, role_raw, pattern, form, coalesce(email, match) AS had, coalesce(email, match, CASE form WHEN 'first.last' THEN f || '.' || l WHEN 'first_last' THEN f || '_' || l WHEN 'flast' THEN substr(f, 1, 1) || l WHEN 'first' THEN f END || '@' || domain) AS address
+      FROM folk JOIN g USING (id) LEFT JOIN hits USING (id, found_in)),
+    orphan AS (SELECT DISTINCT id, email, regexp_replace(split_part(email, '@', 1), '[._].*', '') AS f, regexp_replace(split_part(email, '@', 1), '.*[._]', '') AS l FROM cand WHERE rank > 1 AND regexp_matches(split_part(email, '@', 1), '^([a-z]{{2,}}[.][a-z]{{2,}}|[a-z]{{2,}}_[a-z]{{2,}})$')
+      AND NOT EXISTS (SELECT 1 FROM done WHERE done.id = cand.id AND done.address = cand.email))
+    SELECT id, {_CAP.format('f')} || ' ' || {_CAP.format('l')} AS full_name, role_raw, address AS email, CASE WHEN found_in = 'page' THEN pattern WHEN had IS NULL AND address IS NOT NULL THEN form END AS email_pattern, CASE WHEN had IS NULL AND address IS NOT NULL THEN 'inferred' ELSE 'direct' END AS confidence, found_in FROM done
+    UNION ALL SELECT id, {_CAP.format('f')} || ' ' || {_CAP.format('l')}, NULL, email, NULL, 'direct', 'address' FROM orphan"""
 )
-def release_people(releases_made):
-    """Expected rows are written by hand."""
-    return release.release_people(releases_made)
+def dealer_people(dealer_pages, dealer_facts):
+    """Organisations whose pattern comes from addresses at the site, from others of the page, from structured data, from
+    the locator's domain or from nowhere; people with an address of their own, one matched, one guessed or none; and
+    addresses nobody got."""
+    return fusion.fuse_people(dealer_pages, dealer_facts).select("id", "full_name", "role_raw", "email", "email_pattern", "confidence", "found_in")
 
 
 @query("SELECT id, full_name, email, CAST(NULL AS VARCHAR) AS phone, source_date FROM contacts WHERE email IS NOT NULL")

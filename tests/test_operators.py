@@ -297,9 +297,11 @@ def test_releases(spark):
     assert [(r.name, r.email) for r in tables.orderBy("seq").collect()] == [("Ann Example", "ann@a.test"), ("Bo Example", "bo@a.test"), (None, "x@other.test")]
     assert {(r.email, r.name) for r in release.release_contacts(rows, tables).collect()} == {("ann@a.test", "Ann Example"), ("bo@a.test", "Bo Example"), ("c@a.test", None), ("x@other.test", None)}
     assert {(r.email, r.full_name) for r in release.release_people(rows).collect()} == {("ann@a.test", "Ann Example"), ("bo@a.test", "Bo Example"), ("c@a.test", "Example Ann"), ("x@other.test", "Example Ann")}  # the last name before
-    cells = lambda *rows: [[[[c] if c else [], t] for c, t in row] for row in rows]
-    assert release.table_contacts(cells([("Press office", None)], [("Al Ray", None), ("Sales Team", None)], [("Head", None), ("", None)], [("write", "al@a.test?subject=x"), ("b@a.test", None)], [("c@a.test", None)])) == [("Al Ray", "al@a.test"), (None, "b@a.test")]
-    assert release.table_contacts(cells([("no", None)])) == [] and release.table_contacts(cells([("x@a.test", None)], [("Media contact", None)])) == []
+    cell = lambda c, t: f"<td><a href='mailto:{t}'>{c}</a></td>" if t else f"<td>{c or ''}</td>"
+    table = lambda *rows: "<table>" + "".join("<tr>" + "".join(cell(*c) for c in row) + "</tr>" for row in rows) + "</table>"
+    read_table = lambda html: [(r.name, r.email) for r in release.contact_tables(spark.createDataFrame([(1, html)], "release_id int, content_html string")).orderBy("seq").collect()]
+    assert read_table(table([("Press office", None)], [("Al Ray", None), ("Sales Team", None)], [("Head", None), ("", None)], [("write", "al@a.test"), ("b@a.test", None)], [("c@a.test", None)])) == [("Al Ray", "al@a.test"), (None, "b@a.test")]
+    assert read_table(table([("no", None)])) == [] and read_table(table([("x@a.test", None)], [("Media contact", None)])) == []
     named = spark.createDataFrame([(1, "Jane Doe named", "Acme today said Jane Doe has been appointed as General Manager of Acme."), (2, "x", "nothing")], "release_id int, title string, body string")
     assert [(r.name, r.role) for r in mail.appointments(named).collect()] == [("Jane Doe", "General Manager")]
     formats = spark.createDataFrame([(1, "a.test", "first.last"), (1, "b.test", "flast"), (1, "b.test", "first")], "release_id int, domain string, pattern string")
@@ -371,3 +373,59 @@ def test_schedule_is_the_plan_by_contact(sizes, ramp, strict):
         for d, positions in {d: sorted(p for x, p in batch if x == d) for d, _ in batch}.items():
             assert positions == list(range(place[d], place[d] + len(positions)))
             place[d] += len(positions)
+
+
+def test_tree():
+    from brambler.operators.tree import tree
+
+    root = tree("<p>a<p>b<div>c<br>d</div><ul><li>1<ul><li>1.1</ul><li>2</ul><table><tr><td>x<td><table><tr><td>in</table>y<tr><td>z</p></table>e</b>&amp;<script>no</p></script>")
+    shape = [(x.tag, x.parent.tag) for x in root.walk()]
+    assert shape == [("p", ""), ("p", ""), ("div", ""), ("br", "div"), ("ul", ""), ("li", "ul"), ("ul", "li"), ("li", "ul"), ("li", "ul"), ("table", ""), ("tr", "table"), ("td", "tr"), ("td", "tr"), ("table", "td"), ("tr", "table"), ("td", "tr"), ("tr", "table"), ("td", "tr"), ("script", "")]
+    assert root.text() == "abcd11.12xinyze&" and root.text("|", strip=True) == "a|b|c|d|1|1.1|2|x|in|y|z|e|&"
+    assert [y.text() for x in root.walk() if x.tag == "p" for y in x.following({"p", "div"}, 2)] == ["b", "cd", "cd"]
+    deep = tree("<div>" * 20_000 + "x")
+    assert deep.text() == "x" and sum(1 for _ in deep.walk()) == 20_000 and tree(None).text() == ""
+
+
+def test_people_of_cards(spark):
+    def names(page):
+        parsed = html.parse_pages(spark.createDataFrame([(1, "https://site.test/", page)], "page_id int, url string, html string"), parts=("content", "headings"))
+        return [(r.name, r.role) for r in html.card_people(parsed).orderBy("seq").collect()]
+
+    # text behind an element is its parent's; a role is looked for beside the name, not in the next card
+    page = '<div class="team-member"><h3>Jane Doe</h3>Sales Manager</div><div class="team-member"><h3>Bob Ray</h3><p>Parts Manager</p></div><table><tr><td>in</td></tr></table>'
+    assert names(page) == [("Jane Doe", None), ("Bob Ray", "Parts Manager")]
+    assert names('<li class="x PROFILE-box"><b>Jane Doe</b><span>since 2001</span><div>Head</div><p>Sales <i>Manager</i></p><p>Director</p></li>') == [("Jane Doe", None)]
+    assert names('<section class="crew"><div><strong>Jane Doe</strong><em>x</em><p>a</p><p>b</p><p>Director</p><p>Manager</p></div><h2>jane doe</h2><h2>Jane DOE</h2><h1>Al Head</h1></section>') == [("Jane Doe", "Director")]
+    assert names("<h2>Jane <br>Doe</h2><p>Manager</p><h3>Al Ray</h3><div><p>Manager</p></div><h4>Bo Lee</h4><ul><li>Manager</li></ul>") == [("Al Ray", "Manager")]
+    assert names('<nav class="team"><h3>No One</h3><p>Manager</p></nav><div class="card"><footer><h3>No Two</h3></footer></div><h2>Al Ray</h2><footer>x</footer><p>Technician, senior</p>') == [("Al Ray", "Technician, senior")]
+    assert each(spark, ["md", "dp, director", "x director director", "manager" * 9, "Parts - Interpreter", "a/b & director", "exdirector / director", " Analyst "], S.role_plausible) == [False, True, False, False, True, True, False, True]
+    assert each(spark, ['<a href="mailto:">', "<A HREF='mailto:'>", '<a href="mailto:x@a.test">', None], html.needs_render) == [True, True, False, False]
+
+
+def test_tables_in_cells(spark):
+    inner = "<table><tr><td>Bo Example</td></tr><tr><td>bo@a.test</td></tr></table>"
+    body = f"<table><tr><th>Contacts</th></tr><tr><td>Ann Example</td><td>{inner}</td></tr><tr><td><a href='MAILTO:Ann.X@a.test'>mail</a></td><td>cy@a.test</td></tr></table>"
+    found = release.contact_tables(spark.createDataFrame([(1, body), (2, None), (3, "<table><tr><td>Al Ray</td></tr>")], "release_id int, content_html string")).orderBy("seq").collect()
+    # the outer table's first row with an address is the one that holds the inner table; its cells come before the inner table's own
+    assert [(r.name, r.email) for r in found] == [(None, "bo@a.test"), (None, "bo@a.test"), ("Bo Example", "bo@a.test")]
+    head = f"<table><tr><th>Contacts {inner.replace('bo@a.test', 'logo')}</th></tr><tr><td>Ann Example</td></tr><tr><td>ann@a.test</td></tr></table>"
+    found = release.contact_tables(spark.createDataFrame([(1, head)], "release_id int, content_html string")).collect()
+    assert [(r.name, r.email) for r in found] == [("Ann Example", "ann@a.test")]
+    tail = f"<table><tr><td>{inner}</td></tr><tr><td>Ann Example</td></tr><tr><td>ann@a.test</td></tr></table>"
+    assert [len(t) for t in release.read_releases(spark.createDataFrame([(1, tail)], "release_id int, content_html string")).first().tables] == [5, 2]
+
+
+def test_appointees(spark):
+    rows = [
+        (1, "Acme Cars", " Jane Doe joins ", "<p>Acme said Jane Doe has been appointed as Head of Sales at Acme. Ann Example ann.example@acme.test, Bo Ray bo.ray@acme.test</p>", "2024-01-01", 1),
+        (2, "Acme Cars", "new md", "<p>welcomed Jane Doe as Managing Director of Acme. Cy Fox cfox@acme.test Di Ash di.ash@acme.test</p>", "2024-02-01", 2),
+        (3, "Acme Cars", "named", "<p>appointed Jane Doe to Sales Manager. Ann Example ann.example@acme.test</p>", "2024-03-01", 3),
+        (4, "Acme Cars", "named", "<p>appointed Al Oak to Parts Manager. Ann Example ann.example@msl.test</p>", "2024-03-01", 4),
+        (5, "Bolt", "named", "<p>appointed Bo Ray to Parts Manager. Ed Elm eelm@boltcars.test, Bo Ray bray@boltcars.test</p>", None, 5),
+        (6, None, "named", None, None, 6),
+    ]
+    table = spark.createDataFrame(rows, "release_id int, client_name string, title string, content_html string, release_date string, list_pos int")
+    found = release.appointee_addresses(table).collect()
+    assert [(r.email, r.name, r.role_raw, r.role, r.pattern, r.release_date) for r in found] == [("jane.doe@acme.test", "Jane Doe", "Head of Sales", None, "first.last", "2024-03-01")]
+    assert each(spark, ["havasmedia.test", "acme.msl.test", "acme.bosch.test"], lambda c: mail.in_house(F.lit("Acme"), c)) == [False, False, True]
