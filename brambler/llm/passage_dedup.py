@@ -30,10 +30,11 @@ from .common import in_slices, read, saved, small_batches, texts, tidy
 from .words import MASK, WordHashes, mix
 
 WINDOW, RUN = 35, 8
-#: Words of a shard's passages; about 100 MB as an automaton.
-SHARD_WORDS = 100_000
-#: Words of passages of one anchor from which they are cut into single windows.
-HOT_WORDS = 50_000
+#: Words of a shard's passages. An anchor's automaton takes about 1 KB a word, so HOT_WORDS bound it by 50 MB.
+SHARD_WORDS = 200_000
+#: Words of passages of one anchor from which they are cut into parts, and how many places of the anchor a part takes
+#: together, step by step; the last step must be 1.
+HOT_WORDS, STEPS = 50_000, (7, 1)
 #: Texts and passages that a task remembers, to send each once.
 SEEN = 200_000
 
@@ -111,22 +112,31 @@ class SuffixAutomaton:
         return [(a, b) for a, b in out]
 
 
-def anchors(hashes: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """From words' hashes: first and last window that share an anchor (windows are named by their first word), and its hash."""
-    n, run = len(hashes) - window + 1, min(RUN, window)
-    if n <= 0:
+def leftmost_minima(values: np.ndarray, width: int) -> np.ndarray:
+    """Index of the first least value in each run of `width` values, from runs of 1, 2, 4 and so on."""
+    at, span = np.arange(len(values)), 1
+    while span < width:
+        step = min(span, width - span)
+        left, right = at[:-step], at[step:]
+        at = np.where(values[left] <= values[right], left, right)
+        span += step
+    return at
+
+
+def anchors(hashes: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """From words' hashes: first and last window that share an anchor (windows are named by their first word), where it
+    stands, and its hash."""
+    run = min(RUN, window)
+    if len(hashes) < window:
         none = np.zeros(0, np.int64)
-        return none, none, none
+        return none, none, none, none
     runs = np.full(len(hashes) - run + 1, np.uint64(run), np.uint64)
     for j in range(run):
         runs += hashes[j : j + len(runs)] * np.uint64((0x9E3779B97F4A7C15 * (2 * j + 1)) & MASK)
     runs = mix(runs)
-    at, width = np.empty(n, np.int64), window - run + 1
-    for low in range(0, n, 1 << 16):
-        part = runs[low : min(low + (1 << 16), n) + width - 1]
-        at[low : low + (1 << 16)] = low + np.arange(len(part) - width + 1) + np.lib.stride_tricks.sliding_window_view(part, width).argmin(axis=1)
+    at = leftmost_minima(runs, window - run + 1)
     first = np.flatnonzero(np.diff(at, prepend=-1))
-    return first, np.append(first[1:], n) - 1, runs[at[first]].view(np.int64)
+    return first, np.append(first[1:], len(at)) - 1, at[first], runs[at[first]].view(np.int64)
 
 
 def _pair(data: bytes) -> tuple[int, int]:
@@ -149,7 +159,7 @@ def _anchors(window: int):
                 if seen.get(name, 0) < 2:
                     words = text.split()  # of bytes: [^\x20\x09-\x0D]+
                     if len(words) >= window:
-                        _, _, hashes = anchors(np.fromiter(map(cache.__getitem__, words), np.uint64, len(words)), window)
+                        *_, hashes = anchors(np.fromiter(map(cache.__getitem__, words), np.uint64, len(words)), window)
                         own, times = np.unique(hashes, return_counts=True)
                         out.append((*name, np.concatenate([own, own[times > 1]]).tolist()))  # twice is enough to know
                     if len(seen) >= SEEN:
@@ -193,7 +203,7 @@ def _passages(window: int):
             out = []
             for t1, t2, text, wanted in zip(batch["t1"].to_pylist(), batch["t2"].to_pylist(), texts(batch["text"]), batch["anchors"].to_pylist(), strict=True):
                 words = text.split()
-                first, last, hashes = anchors(np.fromiter(map(cache.__getitem__, words), np.uint64, len(words)), window)
+                first, last, _, hashes = anchors(np.fromiter(map(cache.__getitem__, words), np.uint64, len(words)), window)
                 own = np.isin(hashes, np.array(wanted, np.int64))
                 for a, b, h in zip(first[own].tolist(), last[own].tolist(), hashes[own].tolist(), strict=True):
                     passage = b" ".join(words[a : b + window])
@@ -220,44 +230,91 @@ SPANS_SQL = "k1 long, k2 long, start int, end int"
 def _shard(window: int):
     @tidy
     def run(group: pa.Table) -> pa.Table:
-        """Repeated spans of a shard's passages: its automaton is made, then they stream through it."""
-        automaton, ids = SuffixAutomaton(), {}
-        rows = [[ids.setdefault(w, len(ids)) for w in p.split(b" ")] for p in texts(group["passage"].combine_chunks())]
-        for words, twice in zip(rows, group["twice"].to_pylist(), strict=True):
-            automaton.add(words, 2 if twice else 1)
-        automaton.finish()
-        out = [(k1, k2, a, b) for k1, k2, words in zip(group["k1"].to_pylist(), group["k2"].to_pylist(), rows, strict=True) for a, b in automaton.repeats(words, window)]
+        """Repeated spans of a shard's passages. Those of one anchor make an automaton, then they stream through it; an
+        anchor's only passage is repeated as a whole or not at all."""
+        of: dict[int, list[int]] = {}
+        for i, anchor in enumerate(group["anchor"].to_pylist()):
+            of.setdefault(anchor, []).append(i)
+        k1, k2, twice, size, passage = (group[c].to_pylist() for c in ("k1", "k2", "twice", "n", "passage"))
+        out = []
+        for rows in of.values():
+            if len(rows) == 1:
+                out += [(k1[i], k2[i], 0, size[i]) for i in rows if twice[i]]
+                continue
+            automaton = SuffixAutomaton()
+            words = [passage[i].split(b" ") for i in rows]
+            for i, w in zip(rows, words, strict=True):
+                automaton.add(w, 2 if twice[i] else 1)
+            automaton.finish()
+            out += [(k1[i], k2[i], *span) for i, w in zip(rows, words, strict=True) for span in automaton.repeats(w, window)]
         return pa.Table.from_arrays([pa.array([r[k] for r in out], f.type) for k, f in enumerate(SPANS)], schema=SPANS)
 
     return run
 
 
-WINDOWS_SQL = "k1 long, k2 long, start int, w1 long, w2 long, twice boolean"
+PARTS = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("start", pa.int32()), ("anchor", pa.int64()), ("w1", pa.int64()), ("w2", pa.int64()), ("n", pa.int32()), ("twice", pa.bool_()), ("part", pa.binary())])
+PARTS_SQL = "k1 long, k2 long, start int, anchor long, w1 long, w2 long, n int, twice boolean, part binary"
 
 
-def _windows(window: int):
+def _parts(window: int, step: int):
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each window of a hot anchor's passages as a passage of its own."""
+        """A hot anchor's passages in parts: windows that have the anchor at about the same place, `step` places as one.
+        These share all but step - 1 of their words, which are a part's own anchor."""
+        cache = WordHashes()
         for batch in in_slices(batches, 200):
             out = []
             for k1, k2, passage, twice in zip(batch["k1"].to_pylist(), batch["k2"].to_pylist(), texts(batch["passage"]), batch["twice"].to_pylist(), strict=True):
                 words = passage.split(b" ")
-                out += [(k1, k2, i, *_pair(b" ".join(words[i : i + window])), twice) for i in range(len(words) - window + 1)]
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.bool_())
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)], names=["k1", "k2", "start", "w1", "w2", "twice"])
+                _, _, stands, _ = anchors(np.fromiter(map(cache.__getitem__, words), np.uint64, len(words)), window)
+                at, last = int(stands[0]), len(words) - window
+                for kind in range(max(0, at - last) // step, at // step + 1):
+                    a, b = max(0, at - kind * step - step + 1), min(last, at - kind * step)
+                    if a <= b:
+                        part = b" ".join(words[a : b + window])
+                        shared = b" ".join(words[at - kind * step : at - kind * step - step + 1 + window])
+                        out.append((k1, k2, a, xxhash.xxh3_64_intdigest(shared) - 2**63, *_pair(part), b - a + window, twice, part))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], f.type) for k, f in enumerate(PARTS)], schema=PARTS)
 
     return run
 
 
+def spans_of(distinct: DataFrame, window: int, shard_words: int, hot_words: int, steps: tuple[int, ...] = STEPS) -> DataFrame:
+    """k1, k2, start and end of repeated spans of distinct passages (anchor, k1, k2, n, twice, passage).
+
+    An anchor with more than hot_words of passages has them cut into parts, by finer anchors; in the last step a part is
+    one window, so all that is left to know of it is whether it was met twice.
+    """
+    distinct = saved(distinct, "passages-distinct")
+    total = distinct.agg(F.sum("n")).first()[0] or 0
+    shard = F.pmod(F.xxhash64("anchor"), F.lit(max(1, -(-total // shard_words)))).cast("int")
+    hot = distinct.groupBy("anchor").agg(F.sum("n").alias("words")).filter(F.col("words") > hot_words).select("anchor")
+    usual = distinct.join(hot, "anchor", "left_anti").withColumn("shard", shard).select("shard", "anchor", "k1", "k2", "n", "twice", "passage")
+    spans = usual.groupBy("shard").applyInArrow(_shard(window), SPANS_SQL)
+    hot = saved(hot, "passages-hot")
+    if hot.isEmpty():
+        return spans
+    parts = distinct.join(hot, "anchor", "left_semi").select("k1", "k2", "twice", "passage").mapInArrow(_parts(window, steps[0]), PARTS_SQL)
+    parts = saved(parts, "passages-parts")
+    place = F.xxhash64("k1", "k2", "start")
+    finer = parts.groupBy("anchor", F.col("w1").alias("k1"), F.col("w2").alias("k2")).agg(F.max("n").alias("n"), ((F.min(place) != F.max(place)) | F.max("twice")).alias("twice"), F.first("part").alias("passage"))
+    if steps[0] == 1:
+        found = finer.filter("twice").select("k1", "k2", F.lit(0).alias("from"), F.col("n").alias("to"))
+    else:
+        found = spans_of(finer, window, shard_words, hot_words, steps[1:]).withColumnsRenamed({"start": "from", "end": "to"})
+    found = parts.select("k1", "k2", "start", "w1", "w2").join(found.withColumnsRenamed({"k1": "w1", "k2": "w2"}), ["w1", "w2"])
+    return spans.union(found.select("k1", "k2", (F.col("start") + F.col("from")).alias("start"), (F.col("start") + F.col("to")).alias("end")))
+
+
 def repeated_spans(docs: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS, hot_words: int = HOT_WORDS) -> tuple[DataFrame, DataFrame]:
     """(t1, t2, spans) of texts with repeated passages, by word numbers, and (t1, t2) of texts that several rows have."""
     text = docs.select(F.col("text").cast("string").cast("binary").alias("text"))
     found = saved(text.mapInArrow(_anchors(window), ANCHORS_SQL), "passage-anchors")
     copies = found.groupBy("t1", "t2").agg(F.count("*").alias("rows")).filter("rows > 1").select("t1", "t2")
-    each = found.select("t1", "t2", F.explode("anchors").alias("anchor"))
-    many = each.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
-    wanted = each.distinct().join(many, "anchor").groupBy("t1", "t2").agg(F.collect_list("anchor").alias("anchors"))  # of one text
+    # a text that several rows have is there more than once, which does no harm
+    many = found.select(F.explode("anchors").alias("anchor")).groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
+    each = found.select("t1", "t2", F.explode(F.array_distinct("anchors")).alias("anchor"))
+    wanted = each.join(many, "anchor").groupBy("t1", "t2").agg(F.collect_set("anchor").alias("anchors"))  # of one text
     rows = text.mapInArrow(_once, NAMED_SQL).join(wanted, ["t1", "t2"])
     passages = saved(rows.mapInArrow(_passages(window), PASSAGES_SQL), "passages")
 
@@ -265,18 +322,11 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, shard_words: int = SHA
     place = F.xxhash64("t1", "t2", "at")
     one = passages.join(copies.withColumn("copied", F.lit(True)), ["t1", "t2"], "left")
     distinct = one.groupBy("anchor", "k1", "k2").agg(F.max("n").alias("n"), ((F.min(place) != F.max(place)) | F.coalesce(F.max("copied"), F.lit(False))).alias("twice"), F.first("passage", True).alias("passage"))
-    distinct = saved(distinct, "passages-distinct")
-    hot = distinct.groupBy("anchor").agg(F.sum("n").alias("words")).filter(F.col("words") > hot_words).select("anchor")
-    total = distinct.agg(F.sum("n")).first()[0] or 0
-    shard = F.pmod(F.xxhash64("anchor"), F.lit(max(1, -(-total // shard_words)))).cast("int")
-    usual = distinct.join(hot, "anchor", "left_anti").withColumn("shard", shard).select("shard", "k1", "k2", "twice", "passage")
-    spans = usual.groupBy("shard").applyInArrow(_shard(window), SPANS_SQL)
-    single = distinct.join(hot, "anchor", "left_semi").select("k1", "k2", "twice", "passage").mapInArrow(_windows(window), WINDOWS_SQL)
-    again = single.groupBy("w1", "w2").agg(F.sum(F.when(F.col("twice"), 2).otherwise(1)).alias("n")).filter("n > 1").select("w1", "w2")
-    spans = spans.union(single.join(again, ["w1", "w2"]).select("k1", "k2", "start", (F.col("start") + window).alias("end")))
-    spans = spans.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "end")).alias("own"))  # a passage's: under 2 * window
-    met = passages.select("t1", "t2", "at", "k1", "k2").join(spans, ["k1", "k2"]).select("t1", "t2", F.transform("own", lambda s: F.struct((F.col("at") + s["start"]).alias("a"), (F.col("at") + s["end"]).alias("b"))).alias("own"))
-    return met.groupBy("t1", "t2").agg(F.flatten(F.collect_set("own")).alias("spans")), copies
+    # written, so that a passage that very many documents have is a skewed join of two tables, which Spark splits
+    spans = saved(spans_of(distinct, window, shard_words, hot_words), "passage-spans")
+    met = passages.select("t1", "t2", "at", "k1", "k2").join(spans, ["k1", "k2"])
+    met = met.select("t1", "t2", F.struct((F.col("at") + F.col("start")).alias("a"), (F.col("at") + F.col("end")).alias("b")).alias("span"))
+    return met.groupBy("t1", "t2").agg(F.collect_set("span").alias("spans")), copies
 
 
 def covered(n: int, spans: list[dict] | None, whole: bool) -> np.ndarray:
@@ -291,12 +341,13 @@ def covered(n: int, spans: list[dict] | None, whole: bool) -> np.ndarray:
 
 
 def drop_repeated_passages(docs: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS, hot_words: int = HOT_WORDS) -> DataFrame:
-    """doc_id, n_words, n_removed, text (the words that stay, joined by one blank) and row (docs' columns)."""
+    """doc_id, n_words, n_removed, text (the words that stay, joined by one blank) and row (docs' columns but for text)."""
     small_batches(docs.sparkSession)
     spans, copies = repeated_spans(docs, window, shard_words, hot_words)
     marks = spans.join(copies, ["t1", "t2"], "left_anti").select("t1", "t2", "spans", F.lit(False).alias("whole"))
+    # copies go whole; all others by their spans
     marks = marks.unionByName(copies.select("t1", "t2", F.lit(None).cast("array<struct<a:long,b:long>>").alias("spans"), F.lit(True).alias("whole")))
-    rows = docs.select("doc_id", F.struct("*").alias("row"), F.col("text").cast("string").cast("binary").alias("text"))
+    rows = docs.select("doc_id", F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"), F.col("text").cast("string").cast("binary").alias("text"))
     kept = {f.name: f.dataType.simpleString() for f in rows.select("doc_id", "row").schema}
 
     @tidy

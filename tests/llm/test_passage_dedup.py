@@ -8,7 +8,7 @@ import pandas as pd
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from brambler.llm.passage_dedup import OP13_SQL, SuffixAutomaton, anchors, drop_repeated_passages, op13_passage_dedup
+from brambler.llm.passage_dedup import OP13_SQL, SuffixAutomaton, anchors, drop_repeated_passages, leftmost_minima, op13_passage_dedup
 
 
 def brute(rows, window=35):
@@ -82,8 +82,16 @@ def test_anchors_of_equal_windows_are_equal():
     rng = np.random.default_rng(2)
     hashes = rng.integers(0, 2**63, 400).astype(np.uint64)
     hashes[300:370] = hashes[50:120]
-    first, last, anchor = anchors(hashes)
+    first, last, at, anchor = anchors(hashes)
+    assert (first <= at).all() and (at <= first + 27).all()
     assert first[0] == 0 and last[-1] == 400 - 35 and (first[1:] == last[:-1] + 1).all()
     of = np.repeat(anchor, last - first + 1)
     assert (of[300:336] == of[50:86]).all()
-    assert [len(x) for x in anchors(hashes[:34])] == [0, 0, 0]
+    assert [len(x) for x in anchors(hashes[:34])] == [0, 0, 0, 0]
+
+
+@given(st.lists(st.integers(0, 4), min_size=1, max_size=40), st.integers(1, 40))
+def test_leftmost_minima(values, width):
+    width = min(width, len(values))
+    want = [min(range(i, i + width), key=lambda j: (values[j], j)) for i in range(len(values) - width + 1)]
+    assert leftmost_minima(np.array(values, np.uint64), width).tolist() == want
