@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import read, saved, small_batches, tidy
@@ -120,13 +120,15 @@ def pattern_behind(text: str, end: int) -> str | None:
     while True:
         after = text[end : end + size]
         words = after.lower().split()
+        if any(map(SIGN.search, words[:WORDS])):
+            return None  # a sign rules the words out, however long they are
         if end + size < len(text) and words and not after[-1].isspace():
             words = words[:-1]  # may be cut in the middle
         if len(words) >= WORDS or end + size >= len(text):
             break
         size *= 4
     words = words[:WORDS]
-    return " ".join(words) if len(words) == WORDS and not any(map(SIGN.search, words)) else None
+    return " ".join(words) if len(words) == WORDS else None
 
 
 COUNTRY = re.compile(r"^\+[0-9]{1,3}[ .-]*(?=[(0-9])")
@@ -276,8 +278,12 @@ def find_pii(docs: DataFrame, hide: bool = False) -> DataFrame:
     seen = rows.select("row", F.explode("seen").alias("o")).select("row", "o.*").withColumn("pattern", F.explode("patterns")).drop("patterns")
     trusted = trusted_patterns(seen.filter("instance is not null").select("pattern", "instance", "seed"))
     new = seen.filter("seed is null and kinds > 0").join(trusted, "pattern").filter("(shiftright(kinds, kind) & 1) = 1")
-    # a span gets the kind of its best pattern
-    new = new.groupBy("row", "start", "end").agg(F.max_by("kind", F.struct("score", -F.col("kind"))).alias("kind"))
+    # of the spans that start at one place the one with the best pattern stays, then the longest; what overlaps a span
+    # that starts before it goes
+    best = F.max_by(F.struct("kind", "end"), F.struct("score", "end", -F.col("kind"))).alias("best")
+    new = new.groupBy("row", "start").agg(best).select("row", "start", "best.*")
+    before = Window.partitionBy("row").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    new = new.withColumn("past", F.max("end").over(before)).filter("past is null or past <= start")
     more = new.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("kind", "start", "end"))).alias("more"))
     return rows.drop("seen").join(more, "row", "left").select("doc_id", "base", F.coalesce("more", F.array().cast(SPAN)).alias("more"))
 

@@ -4,7 +4,7 @@ import re
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from brambler.llm.pii import KINDS, base_sha256, form, hidden_seeds, pattern_behind, base_spans, luhn, op5_pii, pattern_before
+from brambler.llm.pii import find_pii, KINDS, base_sha256, form, hidden_seeds, pattern_behind, base_spans, luhn, op5_pii, pattern_before
 
 
 def plain(text):
@@ -108,3 +108,26 @@ def test_unseen_by_form_and_behind(spark, tmp_path):
     spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     rows = {r.doc_id: r.spans for r in op5_pii(spark, f"file://{tmp_path}").collect()}
     assert (rows[100], rows[101], rows[102], rows[103]) == ("phone:6:20", "email:6:18", "", "")
+
+
+def test_a_long_run_without_blanks_is_linear():
+    import time
+
+    from brambler.llm.pii import base_spans, occurrences, pattern_behind
+
+    text = ",".join(f"user{i}@mail{i % 7}.example" for i in range(100_000))
+    start = time.perf_counter()
+    assert len(occurrences(text, base_spans(text))) == 100_000 and time.perf_counter() - start < 20
+    assert pattern_behind("x@y.zz one two three", 6) == "one two" and pattern_behind("x@y.zz one 2 three", 6) is None and pattern_behind("x@y.zz one", 6) is None
+    assert pattern_behind("x@y.zz " + "a" * 500 + " bc d", 6) == "a" * 500 + " bc"
+
+
+def test_added_spans_do_not_overlap(spark):
+    """One start may give a card and a phone; one of them is kept, and nothing that begins inside it."""
+    rows = [(i, f"pay card: 41111111111111{i % 10}{i % 7} now please") for i in range(40)] + [(100 + i, f"call phone: ({i:03d}) 555-{1000 + i} at once") for i in range(40)]
+    rows += [(200, "card: 4111 1111 1111 1112 555 1234 now"), (201, "phone: 4111 1111 1111 1113"), (202, "phone: (555) 555-1234 card: 1234 5678 9012 345")]
+    found = find_pii(spark.createDataFrame(rows, "doc_id long, text string"))
+    for r in found.collect():
+        spans = sorted([(s.start, s.end) for s in r.base] + [(s.start, s.end) for s in r.more if all(s.end <= b.start or s.start >= b.end for b in r.base)])
+        assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:], strict=False))
+        assert len({s.start for s in r.more}) == len(r.more)
