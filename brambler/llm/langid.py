@@ -19,12 +19,12 @@ table without rows gives none.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,7 +44,8 @@ CHUNK = 256
 CACHE = 150_000
 #: Numbers that the look ahead over chunks may hold at a time.
 AHEAD = 1 << 22
-RUN = re.compile(r"[^\W\d_]+")
+#: A letter, then letters and the marks that combine with them (categories L, then L and M).
+RUN = regex.compile(r"\p{L}[\p{L}\p{M}]*+")
 #: First code points of ranges of scripts; a range ends where the next one starts.
 SCRIPTS = [
     (0x0000, "latin"), (0x0370, "greek"), (0x0400, "cyrillic"), (0x0530, "armenian"), (0x0590, "hebrew"), (0x0600, "arabic"),

@@ -66,3 +66,11 @@ def test_held_out(spark, tmp_path):
     assert [(s.lang, s["from"], s.to) for s in label(mixed, model).first().spans] == [("aa", 0, 20), ("cc", 20, 32)]
     assert label(frame.limit(0), model).count() == 0
     assert {r.lang_pred for r in label(frame, train(frame.limit(0))).collect()} == {"und"}
+
+
+def test_marks_stay_in_words():
+    from brambler.llm.langid import RUN
+
+    assert RUN.findall("नमस्ते दुनिया!") == ["नमस्ते", "दुनिया"]
+    assert RUN.findall("مَرْحَبًا x1y") == ["مَرْحَبًا", "x", "y"]
+    assert RUN.findall("cafe\u0301 \u0301a _b-c2") == ["cafe\u0301", "a", "b", "c"]
