@@ -91,6 +91,18 @@ def held_out(name: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
+def own_names(docs: DataFrame, *more: str) -> tuple[DataFrame, dict[str, str]]:
+    """docs with other names for the columns that an operator's own could meet (those that start with two underscores, and
+    more, in any case), and the way back for withColumnsRenamed()."""
+    taken, away = {c.lower() for c in docs.columns}, {}
+    for c in docs.columns:
+        if c.startswith("__") or c.lower() in more:
+            n = next(n for k in range(len(docs.columns) + 1) if (n := f"own{k}_{c.strip('_')}").lower() not in taken)
+            taken.add(n.lower())
+            away[c] = n
+    return docs.withColumnsRenamed(away), {v: k for k, v in away.items()}
+
+
 def table(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t.type) if not isinstance(c, pa.Array) else c.cast(t.type) for c, t in zip(columns, schema, strict=True)], schema=schema)
 

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import NO_ID, doc_key, new_path, open_fs, read, saved, small_batches, texts, tidy
+from .common import NO_ID, doc_key, new_path, open_fs, own_names, read, saved, small_batches, texts, tidy
 
 MIN_CHARS = 10
 SPACE = b" \t\n\v\f\r"
@@ -214,9 +214,14 @@ def _routed(uri: str, shards: int):
 def dedup_lines(docs: DataFrame, resident_keys: int = RESIDENT_KEYS) -> DataFrame:
     """docs with each repeated line left only in the smallest doc_id that holds it, and n_lines, n_dropped beside.
 
-    Columns of docs of these two names are replaced; all others stay.
+    Columns of docs of these two names are replaced; all others stay, whatever they are called.
     """
     small_batches(docs.sparkSession)
+    docs, back = own_names(docs)
+    return _dropped(docs, resident_keys).withColumnsRenamed(back)
+
+
+def _dropped(docs: DataFrame, resident_keys: int) -> DataFrame:
     uri, shards, n = build_index(docs)
     docs = docs.withColumn("text", F.col("text").cast("string"))
     kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name not in ("n_lines", "n_dropped")]

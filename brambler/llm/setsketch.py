@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import NO_ID, doc_key, read, saved, small_batches, texts, tidy
+from .common import NO_ID, doc_key, own_names, read, saved, small_batches, texts, tidy
 from .graph import components
 from .words import WordHashes, hashed, mix, shingles
 
@@ -417,7 +417,8 @@ def _grouped(docs: DataFrame) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """Rows of docs, without those whose group has one with a smaller doc_id."""
     kept = _grouped(docs).filter("doc = component_id").select(F.col("doc").alias("__doc"), F.col("own").alias("__own")).distinct()
-    return docs.withColumns({"__doc": doc_key(), "__own": text_key()}).join(kept, ["__doc", "__own"], "left_semi").drop("__doc", "__own")
+    docs, back = own_names(docs)
+    return docs.withColumns({"__doc": doc_key(), "__own": text_key()}).join(kept, ["__doc", "__own"], "left_semi").drop("__doc", "__own").withColumnsRenamed(back)
 
 
 def op10_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:

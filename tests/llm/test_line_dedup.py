@@ -67,3 +67,13 @@ def test_equal_hashes_stay_apart():
     group = pa.table({"shard": pa.array([0, 0], pa.int32()), "h": [5, 5], "f": [1, 2], "n": [2, 3], "doc": [7, 8]})
     rows = _build(group).to_pylist()
     assert [np.frombuffer(r["owners"], np.int64).tolist() for r in rows] == [[7], [8]]
+
+
+def test_clashing_names(spark):
+    rows = corpus()
+    docs = spark.createDataFrame([(i, t, 1, "b", 2.5) for i, t in rows], "doc_id long, text string, __doc int, __x string, __ROW double").repartition(2)
+    for resident in (10**6, 0):
+        got = dedup_lines(docs, resident)
+        assert got.columns == ["doc_id", "text", "__doc", "__x", "__ROW", "n_lines", "n_dropped"]
+        assert sorted((2**63 - 1 if r.doc_id is None else r.doc_id, r.n_lines, r.n_dropped, r.text) for r in got.collect()) == brute(rows)
+        assert {(r["__doc"], r["__x"], r["__ROW"]) for r in got.collect()} == {(1, "b", 2.5)}

@@ -5,6 +5,7 @@ import numpy as np
 from hypothesis import given
 from hypothesis import strategies as st
 
+from brambler.llm import mixing
 from brambler.llm.mixing import mix, mixed_documents, op4_sainte_lague, permuted, sainte_lague, targets
 
 
@@ -99,3 +100,21 @@ def test_documents_that_share_an_id(spark):
         assert count == {i: n for i, n in taken.items() if n}
         runs.append(sorted(map(str, got)))
     assert runs[0] == runs[1]
+
+
+def test_small_sources_and_clashing_names(spark):
+    """Sources of a few words come within a word of their target; names like the operator's own do no harm."""
+    sizes = {"a": 5, "b": 9, "c": 14, "d": 20, "e": 26, "f": 30, "g": 1000}
+    rows = [(i, " ".join(["w"] * k), s, "x", 1.5, i) for s, n in sizes.items() for i, k in enumerate([n // 3, n - n // 3])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, __row string, __s double, __TIE int").repartition(3)
+    found = mixing.mix(docs).collect()
+    # a null text has size 0
+    taken = {}
+    for r in found:
+        taken.setdefault((r.source_size, r.target), []).append(r.taken)
+        assert r.taken <= 2 * r.size
+    assert len(taken) == 7 and all(abs(sum(t) - target) <= max(1.01, target / 64 + 16) for (n, target), t in taken.items())
+    assert all(abs(sum(t) - target) <= 1.01 for (n, target), t in taken.items() if n <= 64)
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == docs.columns and {(r.doc_id, r.source, r["__row"], r["__s"], r["__TIE"]) for r in mixed.collect()} <= {(r[0], r[2], r[3], r[4], r[5]) for r in rows}
+    assert sum(len(r.text.split()) for r in mixed.collect()) == sum(map(sum, taken.values()))

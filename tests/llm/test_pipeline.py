@@ -38,7 +38,7 @@ def test_stages(spark):
 
 def test_odd_rows_and_extra_columns(spark):
     """Nulls in every column, repeated rows, a long text, and columns named like the operators' own."""
-    names = ["n_lines", "n_dropped", "score", "size", "target", "taken", "rounds", "pieces", "ids", "n_tokens", "doc", "rep", "key", "held_out", "component_id"]
+    names = ["n_lines", "n_dropped", "score", "size", "target", "taken", "rounds", "pieces", "ids", "n_tokens", "doc", "rep", "key", "held_out", "component_id", "__row", "__x", "__doc", "__own", "__score", "__shard", "__s", "__order", "__block", "own0_row", "__TIE", "own_n_lines"]
     extra = {n: i for i, n in enumerate(names)}
     line = "the same line of words here"
     rows = [(1, f"{line}\nown words one two three", "en", "a", 5), (2, line, "en", "a", 5), (2, line, "en", "a", 5), (None, None, None, None, None), (None, "x", None, None, None), (3, "", "en", None, 0), (4, "long " * 40_000, None, "b", 1), (5, " \n\t", "de", "b", 3), (6, f"{line}\r\nmore of it", None, None, None)]
