@@ -102,6 +102,11 @@ TABLES = {
           CASE WHEN kind IN (0, 3) THEN '<table><tr><th>For further information<table><tr><td>logo</td></tr></table></th></tr><tr><td>' || n1 || '</td><td>' || n2 || '</td></tr><tr><td>1234</td></tr><tr><td><a href="mailto:' || upper(e1) || '">mail</a></td><td>' || e2 || '</td></tr></table>'
             ELSE '<p>Write to our parts manager at ' || e1 || ' or at media@' || dom || ', x@yahoo.com; ' || e2 || '</p>' END AS content_html
         FROM release_mails""",
+    # pages of lists of releases: ids come again on later pages, some pages are empty, some lists tell their last page
+    "release_pages": """
+        SELECT o_custkey AS list_name, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS INT) AS page, CASE WHEN o_custkey % 5 = 0 THEN 3 END AS last_page,
+          CASE WHEN o_orderkey % 11 = 0 THEN '' ELSE CAST(o_orderkey - o_orderkey % 4 AS STRING) || ',' || CAST(o_custkey AS STRING) || ',,' || CAST(o_orderkey AS STRING) END AS ids_text
+        FROM orders""",
     "locator_facts": f"""
         SELECT s_suppkey, s_suppkey AS seq, {_pick(list(PAYLOADS), "s_suppkey")} AS brand_slug, 'Motors ' || CAST(s_suppkey AS STRING) AS name, CAST(s_suppkey AS STRING) || ' Long Road' AS address, 'Town' AS suburb,
           {_pick(["NSW", "VIC", "QLD", "WA"], "s_suppkey")} AS state, CAST(3000 + s_suppkey % 900 AS STRING) AS postcode, '(03) 5550 ' || CAST(1000 + s_suppkey % 9000 AS STRING) AS phone,
@@ -172,18 +177,24 @@ TABLES = {
         WHERE n % 7 <> 0
         UNION ALL
         SELECT DISTINCT email_domain AS domain, 50 AS preference, 'backup.' || email_domain AS host FROM contacts WHERE email_domain IS NOT NULL AND length(email_domain) % 3 = 0""",
+    "lookups": """
+        SELECT domain, preference, host, CAST(NULL AS STRING) AS error FROM mx_records
+        UNION ALL
+        SELECT email_domain AS domain, CAST(NULL AS INT) AS preference, CAST(NULL AS STRING) AS host, CASE length(email_domain) % 5 WHEN 0 THEN 'NXDOMAIN' WHEN 1 THEN 'NoAnswer' WHEN 2 THEN 'NoNameservers' WHEN 3 THEN 'Timeout' ELSE NULL END AS error
+        FROM (SELECT DISTINCT email_domain FROM contacts WHERE email_domain IS NOT NULL) AS d""",
     "rcpt_results": """
         SELECT email AS address, CASE WHEN length(email_domain) % 5 = 0 THEN 250 ELSE 550 END AS catchall_code,
           CASE id % 6 WHEN 0 THEN 250 WHEN 1 THEN 251 WHEN 2 THEN 550 WHEN 3 THEN 553 WHEN 4 THEN 451 ELSE 521 END AS code
         FROM contacts WHERE email IS NOT NULL""",
-    "archive": """
-        SELECT o_orderkey AS mail_id, '"' || c.full_name || '" <' || upper(c.email) || '>' AS to_header, o_orderkey % 3 <> 0 AS is_outgoing,
-          CAST(o_orderdate AS DATE) AS sent_on, CASE WHEN o_orderkey % 4 = 0 THEN 'read THE MARKER here' ELSE 'plain' END AS body
-        FROM orders JOIN contacts AS c ON c.id = o_custkey WHERE c.email IS NOT NULL AND o_orderkey % 50 = 0""",
     "archive_whole": """
         SELECT o_orderkey AS mail_id, '"' || c.full_name || '" <' || upper(c.email) || '>' AS to_header, o_orderkey % 3 <> 0 AS is_outgoing,
           CAST(o_orderdate AS DATE) AS sent_on, CASE WHEN o_orderkey % 4 = 0 THEN 'read THE MARKER here' ELSE 'plain' END AS body
         FROM orders JOIN contacts AS c ON c.id = o_custkey WHERE c.email IS NOT NULL""",
+    "archive_accounts": """
+        SELECT o_orderkey AS mail_id, CASE o_orderkey % 3 WHEN 0 THEN 'Desk@a.test' WHEN 1 THEN 'second@a.test' ELSE NULL END AS account_email, c.full_name || ' <x' || upper(c.email) || '.au>, ' || 'Somebody@other.test' AS to_header, o_orderkey % 4 <> 0 AS is_outgoing,
+          CAST(o_orderdate AS DATE) AS sent_on, CASE WHEN o_orderkey % 5 = 0 THEN 'read THE MARKER here' ELSE 'plain' END AS body, CASE WHEN o_orderkey % 7 = 0 THEN '<p>the marker</p>' ELSE NULL END AS html_body
+        FROM orders JOIN contacts AS c ON c.id = o_custkey WHERE c.email IS NOT NULL""",
+    "sender_accounts": "SELECT DISTINCT CASE n_regionkey WHEN 0 THEN ' DESK@a.test' WHEN 1 THEN '' WHEN 2 THEN NULL ELSE 'none@a.test' END AS email FROM nation",
     "sweep": """
         SELECT email, CASE WHEN id % 2 = 0 THEN 'bounce' ELSE 'ooo' END AS kind, CASE WHEN id % 3 = 0 THEN NULL ELSE DATE '2024-01-01' + CAST(id % 20 AS INT) END AS evdate
         FROM contacts WHERE email IS NOT NULL AND id % 17 = 3""",
@@ -216,10 +227,12 @@ def needed(text: str) -> list[str]:
 def oracle(sql: str) -> str:
     """DuckDB SQL with the domain tables it needs before it."""
     first = [f"{n} AS ({TABLES[n].replace('AS STRING', 'AS VARCHAR')})" for n in needed(sql)]
-    body = sql.strip()
+    body, word = sql.strip(), "WITH "
+    if body.upper().startswith("WITH RECURSIVE "):
+        body, word = "WITH " + body[15:], "WITH RECURSIVE "
     if body.upper().startswith("WITH "):
         first, body = [*first, body[5:]], ""
-    return ("WITH " + ",\n".join(first) + "\n" + body) if first else body
+    return (word + ",\n".join(first) + "\n" + body) if first else body
 
 
 def domain(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import operator
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -11,6 +12,11 @@ from pyspark.sql import functions as F
 from . import vocab
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), worked out once: for long expressions that a rule needs many times."""
+    return F.get(F.transform(F.array(value), lambda v: use(v)), F.lit(0))  # of one argument: a second one would be taken for the place
+
+
 def first_contained(text: Column, table: dict[str, str]) -> Column:
     """The value of the first key that a text contains."""
     hits = [F.when(F.contains(text, F.lit(k)), F.lit(v)) for k, v in table.items()]

@@ -3,18 +3,18 @@
 from __future__ import annotations
 
 import email
-import re
 from collections.abc import Iterator
 from email.header import decode_header, make_header
-from email.utils import parseaddr, parsedate_to_datetime
+from email.utils import getaddresses, parseaddr, parsedate_to_datetime
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import vocab
-from ..functions.scalars import clean_address, domain_part, generated_local, local_part, role_found, role_normalised, slug, split_first_last
+from ..functions.scalars import clean_address, domain_part, generated_local, let, local_part, role_found, role_normalised, slug, split_first_last
 from .people import reject_reason
+from .tree import tree
 
 
 def _header(message, name: str) -> str:
@@ -35,11 +35,11 @@ def _body(message) -> str:
                     text = raw.decode(p.get_content_charset() or "utf-8", "replace")
                 except LookupError:
                     text = raw.decode("utf-8", "replace")
-                return text if kind == "text/plain" else re.sub(r"\s*\n\s*", "\n", re.sub(r"<[^>]+>", "\n", re.sub(r"(?is)<(script|style).*?</\1>", "", text))).strip()
+                return text if kind == "text/plain" else tree(text).text("\n")  # entities are read, each text on a line
     return ""
 
 
-PARSED = "subject string, sender string, sender_name string, reply_to string, auto boolean, sent_on string, body string"
+PARSED = "subject string, sender string, sender_name string, sender_address string, reply_to string, auto boolean, sent_on string, body string"
 
 
 def parse_messages(messages: DataFrame) -> DataFrame:
@@ -55,9 +55,10 @@ def parse_messages(messages: DataFrame) -> DataFrame:
                     day = parsedate_to_datetime(m.get("Date")).date().isoformat()
                 except (TypeError, ValueError, AttributeError):
                     day = None
-                name, _ = parseaddr(_header(m, "From"))
-                rows.append((k, raw, _header(m, "Subject"), _header(m, "From"), name, parseaddr(_header(m, "Reply-To"))[1], bool((auto and auto != "no") or m.get("X-Autoreply") or m.get("X-Autorespond")), day, _body(m)))
-            yield pd.DataFrame(rows, columns=["msg_id", "raw", "subject", "sender", "sender_name", "reply_to", "auto", "sent_on", "body"])
+                name, address = parseaddr(_header(m, "From"))
+                replies = " ".join(a for _, a in getaddresses([_header(m, "Reply-To")]) if a)
+                rows.append((k, raw, _header(m, "Subject"), _header(m, "From"), name, address.strip().lower(), replies, bool((auto and auto != "no") or m.get("X-Autoreply") or m.get("X-Autorespond")), day, _body(m)))
+            yield pd.DataFrame(rows, columns=["msg_id", "raw", "subject", "sender", "sender_name", "sender_address", "reply_to", "auto", "sent_on", "body"])
 
     return messages.select("msg_id", "raw").mapInPandas(run, f"msg_id {dict(messages.dtypes)['msg_id']}, raw string, {PARSED}")
 
@@ -97,11 +98,11 @@ def harvest_replies(parsed: DataFrame, self_domains: tuple[str, ...] = ()) -> Da
     """People named in replies: address, name and role nearby. The sender is never one; the first capture of an address
     counts unless it has no role and a later one has."""
     text = F.concat_ws(" ", F.coalesce("reply_to", F.lit("")), "body")
-    hits = parsed.select("msg_id", "sender", "body", text.alias("text")).select("msg_id", "sender", "body", F.posexplode(F.regexp_extract_all("text", F.lit(r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}"), F.lit(0))).alias("pos", "raw"))
-    rows = hits.withColumn("email", clean_address(F.col("raw"))).filter("email is not null").filter(~F.contains(F.lower("sender"), F.col("email")))
+    hits = parsed.select("msg_id", "sender_address", "body", text.alias("text")).select("msg_id", "sender_address", "body", F.posexplode(F.regexp_extract_all("text", F.lit(r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}"), F.lit(0))).alias("pos", "raw"))
+    rows = hits.withColumn("email", clean_address(F.col("raw"))).filter("email is not null").filter(~F.col("email").eqNullSafe(F.col("sender_address")))
     context, window = context_of(F.col("body"), F.col("email"))
     own = name_of_local(local_part(F.col("email")))
-    rows = rows.withColumns({"role_raw": role_found(window), "role": role_normalised(window), "full_name": F.coalesce(F.when(person_name(own), own), F.when(person_name(context), context)), "reason": reject_reason(local_part(F.col("email")), domain_part(F.col("email")), self_domains)})
+    rows = rows.withColumns({"role_raw": let(window, role_found), "role": let(window, role_normalised), "full_name": F.coalesce(F.when(person_name(own), own), F.when(person_name(context), context)), "reason": reject_reason(local_part(F.col("email")), domain_part(F.col("email")), self_domains)})
     first = Window.partitionBy("email").orderBy(F.col("role").isNull(), "msg_id", "pos")
     return rows.withColumn("n", F.row_number().over(first)).filter("n = 1").select("email", "full_name", "role_raw", "role", "reason", "msg_id")
 
@@ -111,6 +112,11 @@ def release_date(fields: list[Column]) -> Column:
     return F.coalesce(*[F.coalesce(F.try_to_date(f, "yyyy-MM-dd"), F.try_to_date(f, "dd/MM/yyyy")) for f in fields])
 
 
+def release_date_of(payload: Column) -> Column:
+    """The date of a release given as JSON: the first of the fields in which one may stand that is a date or a time."""
+    return release_date([F.left(F.get_json_object(payload, f"$.{f}"), F.lit(10)) for f in vocab.DATE_FIELDS])
+
+
 def release_name(name: Column) -> Column:
     """Two or three words, none of a role, label or company."""
     words = F.split(F.trim(name), r"\s+")

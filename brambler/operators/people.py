@@ -73,6 +73,16 @@ def mx_hosts(records: DataFrame) -> DataFrame:
     return records.filter("host is not null").groupBy("domain").agg(F.transform(ordered, lambda x: x["host"]).alias("hosts"))
 
 
+def lookup_status(records: DataFrame) -> DataFrame:
+    """domain and what its lookup came to: empty with an exchanger, else nxdomain, no_mx or dns_error with its class.
+
+    records: domain, preference, host and error (the class of an answer that is none).
+    """
+    error = F.max("error")
+    status = F.when(F.count("host") > 0, "").when(error == "NXDOMAIN", "nxdomain").when(error.isNull() | error.isin("NoAnswer", "NoNameservers"), "no_mx").otherwise(F.concat(F.lit("dns_error:"), error))
+    return records.groupBy("domain").agg(status.alias("lookup"))
+
+
 def verify_by_dns(contacts: DataFrame, records: DataFrame, self_domains: tuple[str, ...] = ()) -> DataFrame:
     """id with status, provider and exchanger: syntax, then a dead domain, a shared inbox, a gateway, else unknown."""
     hosts = mx_hosts(records)
@@ -93,11 +103,17 @@ def verify_by_probe(contacts: DataFrame, results: DataFrame) -> DataFrame:
 
 
 def probe_groups(verified: DataFrame) -> DataFrame:
-    """Addresses to probe, one group for each exchanger and domain."""
+    """Addresses to probe, one row with all of them for each exchanger and domain. Superseded by probe_order(), whose rows stay small."""
     pairs = F.array_sort(F.collect_list(F.struct("id", "email")))
     return verified.groupBy("email_domain", "verify_mx").agg(F.transform(pairs, lambda x: x["id"]).alias("ids"), F.transform(pairs, lambda x: x["email"]).alias("emails"))
 
 
+def probe_order(verified: DataFrame) -> DataFrame:
+    """Addresses to probe, a row each, with their turn at their exchanger and domain (the first may be probed at once)."""
+    turn = F.row_number().over(Window.partitionBy("email_domain", "verify_mx").orderBy("id"))
+    return verified.select("email_domain", "verify_mx", turn.alias("turn"), "id", "email")
+
+
 def reject_reason(local: Column, domain: Column, self_domains: tuple[str, ...] = ()) -> Column:
     """Why an address of a mail isn't kept: one's own, free mail, a shared inbox, a token; null if it is kept."""
     opaque = local.rlike("(?i)^[0-9a-f]{16,}$") | local.rlike("[0-9]{6,}")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import is_role_inbox, local_day, name_key
+from .preflight import contained, earlier_mail
 
 HEALTH_EXCLUDED = ["dead_domain", "undeliverable", "bad_syntax"]
 #: Shares of sent mail from which the monitor warns or stops.
@@ -109,6 +110,11 @@ def sends_status(events: DataFrame) -> DataFrame:
     return t.withColumn("status", status)
 
 
+def sends_health(events: DataFrame) -> DataFrame:
+    """sends_status() as it is shown: rates to five places (half up), what they mean judged on whole ones."""
+    return sends_status(events).withColumns({c: F.round(c, 5) for c in ("bounce_rate", "complaint_rate")})
+
+
 def recent_batch(contacts: DataFrame, active_names: DataFrame, as_of: Column, months: int = 12, dated_only: bool = True) -> DataFrame:
     """Recent, healthy people of releases whose name no active subscriber has; names without a key always stay."""
     recent = F.col("source_date") >= F.add_months(as_of, -months)
@@ -119,25 +125,14 @@ def recent_batch(contacts: DataFrame, active_names: DataFrame, as_of: Column, mo
     return rows.withColumn("name_key", own).join(keys, "name_key", "left_anti")
 
 
-def preflight_matches(candidates: DataFrame, archive: DataFrame, marker: str) -> DataFrame:
-    """Candidates whose address is part of a recipient header of an earlier mail with the marker.
+def preflight_matches(candidates: DataFrame, archive: DataFrame, marker: str, accounts: DataFrame | None = None) -> DataFrame:
+    """Candidates whose address is part of a recipient header of an earlier mail with the marker, and that mail.
 
-    The test is any substring. An address with one @ is part of a header if the header has, around one of its @, a
-    suffix of what stands before and a prefix of what comes after that make up the address; both end at the next @.
-    These strings are the key of the join, each taken once for a header, where it first stands. Candidates without just
-    one @ are no addresses and rare; for them alone each header is searched.
+    The test is any substring. With accounts (email), only mail that these sent counts (account_email of the archive).
     """
-    mail = archive.filter(F.col("is_outgoing") & F.col("body").ilike(f"%{marker}%")).select("mail_id", "sent_on", F.lower("to_header").alias("to_lower"))
-    candidates = candidates.select("id", "email")
-    address = F.length("email") - F.length(F.replace("email", F.lit("@"))) == 1
-    parts = mail.withColumn("parts", F.split("to_lower", "@", -1))
-    sides = parts.filter("size(parts) > 1").select("*", F.explode(F.expr("sequence(1, size(parts) - 1)")).alias("k"))
-    sides = sides.select("mail_id", "sent_on", "to_lower", F.expr("parts[k - 1]").alias("before"), F.expr("parts[k]").alias("after"), F.length(F.array_join(F.slice("parts", 1, F.col("k")), "@")).alias("end"))
-    heads = sides.select("*", F.explode(F.expr("sequence(0, length(before))")).alias("n"))
-    found = heads.select("mail_id", "sent_on", "to_lower", "end", "n", F.explode(F.expr("transform(sequence(0, length(after)), m -> concat(right(before, n), '@', left(after, m)))")).alias("email"))
-    found = found.filter("instr(to_lower, email) = end - n + 1").select("mail_id", "sent_on", "email")
-    others = mail.join(candidates.filter(~address), F.expr("instr(to_lower, email) > 0"))
-    return found.join(candidates.filter(address), "email").select("id", "email", "mail_id", "sent_on").union(others.select("id", "email", "mail_id", "sent_on"))
+    mail = earlier_mail(archive, marker, accounts).select("mail_id", "sent_on", F.lower("to_header").alias("to_lower"))
+    found = contained(candidates, mail, "mail_id", "to_lower")
+    return found.join(mail.select("mail_id", "sent_on"), "mail_id").select("id", "email", "mail_id", "sent_on")
 
 
 def batch_composition(contacts: DataFrame) -> DataFrame:

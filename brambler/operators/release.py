@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import functools
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import vocab
-from ..functions.scalars import clean_address, detected_format, domain_part, local_part, role_found, role_normalised, site_domain, split_first_last
+from ..functions.scalars import clean_address, detected_format, domain_part, let, local_part, role_found, role_normalised, site_domain, split_first_last
 from . import people, read
 from .mail import appointments, context_of, extrapolate, in_house, name_of_local, person_name, release_name
 from .tree import Element, tree
@@ -23,6 +24,21 @@ def until_older(rows: DataFrame, key: str, cutoff: Column, date: str = "release_
     return rows.withColumn("__old", seen).filter("__old = 0").drop("__old")
 
 
+def release_list(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
+    """list_name, list_pos and release_id of lists read page by page (list_name, page, last_page, ids), newest first.
+
+    Reading stops behind the first page without ids, at the last page that a page tells of (null: unknown) and at max_pages;
+    a missing page ends a list too. Null ids are none. An id that comes again, on whatever page, keeps its first place.
+    """
+    pages = pages.filter("page >= 1") if max_pages is None else pages.filter(F.col("page").between(1, max_pages))
+    so_far = Window.partitionBy("list_name").orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
+    ends = (F.coalesce(F.size("ids"), F.lit(0)) <= 0) | F.coalesce(F.col("page") >= F.col("last_page"), F.lit(False))
+    read_on = pages.withColumn("__ended", F.coalesce(F.max(ends).over(so_far), F.lit(False))).withColumn("__n", F.count("*").over(so_far))
+    rows = read_on.filter(~F.col("__ended") & (F.col("page") == F.col("__n") + 1)).select("list_name", "page", F.posexplode("ids").alias("place", "release_id")).filter("release_id is not null")
+    first = rows.groupBy("list_name", "release_id").agg(F.min(F.struct("page", "place")).alias("first"))
+    return first.select("list_name", F.row_number().over(Window.partitionBy("list_name").orderBy("first")).alias("list_pos"), "release_id")
+
+
 def months_before(as_of: Column, months: float) -> Column:
     """A cut-off by days, 30.44 for each month."""
     return F.date_sub(as_of, F.floor(F.lit(months * 30.44)).cast("int"))
@@ -62,11 +78,6 @@ def read_releases(releases: DataFrame) -> DataFrame:
     return releases.select("release_id", "content_html").mapInPandas(run, f"release_id {kind}, text string, tables array<array<array<struct<mail:boolean,value:string>>>>")
 
 
-def _with(value: Column, use: Callable[[Column], Column]) -> Column:
-    """use(value), worked out once."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def cell_name(text: Column) -> Column:
     """Two or three capitalised words, none of a role, label or company."""
     return text.rlike(r"^[A-Z][a-zA-Z'\-]+(\s+[A-Z][a-zA-Z'\-]+){1,2}$") & release_name(text)
@@ -87,7 +98,7 @@ def table_contacts(table: Column) -> Column:
         return F.transform(F.get(rows, at - 1), lambda c, i: F.struct(F.when(cell_name(over(i)), over(i)).alias("name"), clean_address(written(c)).alias("email")))
 
     body = F.slice(table, first(table, lambda row: told(row).rlike(vocab.CONTACT_HEADER)) + 1, F.size(table) + 1)
-    found = _with(body, lambda rows: _with(first(rows, holds), lambda at: F.when(at > 0, of_rows(rows, at))))
+    found = let(body, lambda rows: let(first(rows, holds), lambda at: F.when(at > 0, of_rows(rows, at))))
     return F.filter(F.coalesce(found, F.array().cast("array<struct<name:string,email:string>>")), lambda c: c["email"].isNotNull())
 
 
@@ -116,7 +127,7 @@ def release_people(releases: DataFrame, self_domains: tuple[str, ...] = ()) -> D
     near, window = context_of(F.col("text"), F.col("email"))
     own = name_of_local(local)
     name = F.coalesce(table_name, F.when(person_name(own), own), F.when(person_name(near), near))
-    rows = rows.select("release_id", "email", name.alias("full_name"), role_found(window).alias("role_raw"), role_normalised(window).alias("role"))
+    rows = rows.select("release_id", "email", name.alias("full_name"), let(window, role_found).alias("role_raw"), let(window, role_normalised).alias("role"))
     return rows.filter(release_name(F.col("full_name")))
 
 
@@ -130,7 +141,7 @@ def appointee_addresses(releases: DataFrame, self_domains: tuple[str, ...] = ())
     """
     shown = release_people(releases, self_domains)
     client = releases.select("release_id", "client_name")
-    form = lambda own: _with(F.col("full_name"), lambda name: detected_format(*split_first_last(name), own))
+    form = lambda own: let(F.col("full_name"), lambda name: detected_format(*split_first_last(name), own))
     formats = shown.join(client, "release_id").filter(in_house(F.col("client_name"), domain_part(F.col("email"))))
     formats = formats.select("release_id", domain_part(F.col("email")).alias("domain"), form(local_part(F.col("email"))).alias("pattern")).filter("pattern is not null")
     text = read_releases(releases).select("release_id", F.col("text").alias("body"))
@@ -144,6 +155,22 @@ def appointee_addresses(releases: DataFrame, self_domains: tuple[str, ...] = ())
     return one.join(shown.select("email").distinct(), "email", "left_anti")
 
 
+def release_counts(releases: DataFrame, self_domains: tuple[str, ...] = ()) -> DataFrame:
+    """One row of counters of a run over releases: releases, missing, candidates, contacts, releases that appoint, people
+    appointed, guesses and those among all that were made that some release shows."""
+    there = releases.filter("content_html is not null")
+    shown = release_people(there, self_domains)
+    text = read_releases(there).select("release_id", F.col("text").alias("body"))
+    named = appointments(there.select("release_id", F.trim("title").alias("title")).join(text, "release_id"))
+    counts = [
+        releases.agg(F.count("content_html").alias("releases"), F.count_if(F.col("content_html").isNull()).alias("missing")),
+        shown.agg(F.count("*").alias("candidates"), F.count_distinct("email").alias("contacts")),
+        named.agg(F.count_distinct("release_id").alias("appointment_releases"), F.count("*").alias("appointees_named")),
+        appointee_addresses(there, self_domains).agg(F.count("*").alias("extrapolated")),
+    ]
+    return functools.reduce(DataFrame.crossJoin, counts)  # one row each
+
+
 def release_contacts(releases: DataFrame, tables: DataFrame) -> DataFrame:
     """Addresses of a release: those of its tables with their names, then all others in its text."""
     text = F.regexp_replace("content_html", "<[^>]+>", " ")
@@ -193,7 +220,7 @@ def cockpit(contacts: DataFrame, dealerships: DataFrame, events: DataFrame) -> d
     return {"summary": read.summary_totals(contacts, dealerships), "sends": read.sends_by_day(events).orderBy(F.desc("day")).limit(30), "contacts": read.contacts_page(read.with_dealership(contacts, dealerships), "batch", 600)}
 
 
-# ---- editions: one HTML file, on the driver
+# ---- editions
 
 
 def resolve_tags(html: str) -> str:
@@ -229,3 +256,20 @@ def edition(html: str, intro: str, place: str, trims: list[str], limit: int = 10
         raise ValueError("the place of the intro is not unique")
     html = html.replace(place, place + intro)
     return html, len(html.encode()) < limit
+
+
+def editions(files: DataFrame, intro: str, place: str, trims: list[str], limit: int = 102_400) -> DataFrame:
+    """name, html, fits (under the size from which mail is clipped) and error of files (name, html), an edition each; a
+    file that can't be one has its reason in error, and no html."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for name, html in zip(batch["name"], batch["html"], strict=True):
+                try:
+                    rows.append((name, *edition(html or "", intro, place, trims, limit), None))
+                except ValueError as e:
+                    rows.append((name, None, None, str(e)))
+            yield pd.DataFrame(rows, columns=["name", "html", "fits", "error"])
+
+    return files.select("name", "html").mapInPandas(run, "name string, html string, fits boolean, error string")

@@ -180,3 +180,29 @@ def active_subscribers(states: DataFrame) -> DataFrame:
     rows = states.filter("state = 'active'").groupBy(F.lower("email").alias("email")).agg(F.max_by(F.trim("name"), "name").alias("nm"))
     first, rest = split_at_first(F.col("nm"))
     return rows.select("email", first.alias("first_name"), rest.alias("last_name"), F.nullif(name_key(F.col("nm")), F.lit("")).alias("name_key"))
+
+
+def scrape_transition(dealerships: DataFrame, having: str = "website_url") -> DataFrame:
+    """dealerships after a look for their page about people: those just found have one, or none."""
+    found = F.when(F.col(having).isNull(), "no_team_page").otherwise("team_found")
+    return dealerships.withColumn("scrape_state", F.when(F.col("scrape_state") == "discovered", found).otherwise(F.col("scrape_state")))
+
+
+def toggle_stale(contacts: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """contacts after the flag "left employer" of some ids is turned, and what became of each id: flagged, cleared or
+    not_found. A cleared contact is in play again, whatever ruled it out."""
+    left = "left_employer"
+    asked = ids.select("id").filter("id is not null").distinct()
+    rows = contacts.join(asked.withColumn("__asked", F.lit(True)), "id", "left")
+    hit = F.coalesce("__asked", F.lit(False))
+    clear = hit & F.col("suppress_reason").eqNullSafe(left)
+    to = lambda c, on, off: F.when(clear, off).when(hit, on).otherwise(F.col(c))
+    changed = {"suppressed": to("suppressed", F.lit(True), F.lit(False)), "suppress_reason": to("suppress_reason", left, F.lit(None)), "disposition": to("disposition", "ruled_out", "in_play"), "ruled_out_stage": to("ruled_out_stage", left, F.lit(None)), "ruled_out_reason": to("ruled_out_reason", "flagged in cockpit — left employer / outdated", F.lit(None))}
+    known = contacts.select("id", F.when(F.col("suppress_reason").eqNullSafe(left), "cleared").otherwise("flagged").alias("outcome"))
+    outcome = asked.join(known, "id", "left").select("id", F.coalesce("outcome", F.lit("not_found")).alias("outcome"))
+    return rows.withColumns(changed).select(*contacts.columns), outcome
+
+
+def stamp_group(contacts: DataFrame, batch: DataFrame, label: str = "NP-B01") -> DataFrame:
+    """contacts with a label as the send_group of a batch's ids."""
+    return update_by_id(contacts, batch.select("id").distinct().withColumn("send_group", F.lit(label)), "send_group")

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bindings import AS_OF, PAYLOADS, domain, oracle
+from .bindings import AS_OF, domain, oracle
 from .functions import scalars as S
 from .functions import vocab
 from .operators import html, mail, people, read, release, state
@@ -285,22 +283,19 @@ def cross_domain_dupes(contacts):
     return state.cross_domain_duplicates(contacts)
 
 
-@query(
+_RECENT_BATCH = (
     f"SELECT id FROM (SELECT *, array_to_string(list_sort(list_filter(regexp_split_to_array(regexp_replace(lower(first_name || ' ' || last_name), '[^a-z ]', ' ', 'g'), ' +'), lambda w: length(w) > 1)), ' ') AS k FROM contacts) AS r "
     f"WHERE source = 'newspress' AND NOT suppressed AND disposition = 'in_play' AND cm_status = 'not_found' AND (verify_status IS NULL OR NOT {among('verify_status', read.HEALTH_EXCLUDED)}) AND source_date >= {AS_OF} - INTERVAL 12 MONTH "
     "AND k NOT IN (SELECT array_to_string(list_sort(list_filter(regexp_split_to_array(regexp_replace(lower(name), '[^a-z ]', ' ', 'g'), ' +'), lambda w: length(w) > 1)), ' ') FROM subscriber_states WHERE state = 'active')"
 )
+
+
+@query(_RECENT_BATCH)
 def recent_batch_antijoin(contacts, subscriber_states):
     names = subscriber_states.filter("state = 'active'").select(S.name_key(F.col("name")).alias("name_key"))
     return read.recent_batch(contacts, names, F.expr(AS_OF)).select("id")
 
 
-@query("SELECT c.id, c.email, mail_id, sent_on FROM (SELECT id, email FROM contacts WHERE id < 200 AND email IS NOT NULL) AS c JOIN archive AS a ON contains(lower(to_header), c.email) WHERE is_outgoing AND body ILIKE '%the marker%'")
-def preflight_matches(contacts, archive):
-    # a day's batch: the ids that its file would name
-    return read.preflight_matches(contacts.filter("id < 200 and email is not null"), archive, "the marker")
-
-
 @query("SELECT c.id, c.email, mail_id, sent_on FROM (SELECT id, email FROM contacts WHERE email IS NOT NULL) AS c JOIN archive_whole AS a ON contains(lower(to_header), c.email) WHERE is_outgoing AND body ILIKE '%the marker%'")
 def preflight_matches_whole(contacts, archive_whole):
     return read.preflight_matches(contacts.filter("email is not null"), archive_whole, "the marker")
@@ -378,8 +373,7 @@ def bulk_update_by_id(contacts):
 
 @query("SELECT id, CASE scrape_state WHEN 'discovered' THEN CASE WHEN website_url IS NULL THEN 'no_team_page' ELSE 'team_found' END ELSE scrape_state END AS scrape_state FROM dealerships")
 def scrape_transition(dealerships):
-    found = F.when(F.col("website_url").isNull(), "no_team_page").otherwise("team_found")
-    return dealerships.select("id", F.when(F.col("scrape_state") == "discovered", found).otherwise(F.col("scrape_state")).alias("scrape_state"))
+    return state.scrape_transition(dealerships).select("id", "scrape_state")
 
 
 # ---- verification
@@ -456,11 +450,6 @@ def domain_format_profile(senders):
     return people.domain_formats(senders)
 
 
-@query("SELECT email, 'direct' AS confidence FROM contacts WHERE email IS NOT NULL AND id % 3 = 0 UNION ALL SELECT address AS email, 'inferred' AS confidence FROM senders WHERE NOT EXISTS (SELECT 1 FROM contacts WHERE id % 3 = 0 AND email = address)")
-def published_over_derived(contacts, senders):
-    return people.published_over_derived(contacts.filter("email is not null and id % 3 = 0").select("email"), senders.select(F.col("address").alias("email")))
-
-
 @query("SELECT email, 'direct' AS confidence FROM contacts WHERE email IS NOT NULL UNION ALL SELECT address AS email, 'inferred' AS confidence FROM senders WHERE NOT EXISTS (SELECT 1 FROM contacts WHERE email = address)")
 def published_over_derived_whole(contacts, senders):
     return people.published_over_derived(contacts.filter("email is not null").select("email"), senders.select(F.col("address").alias("email")))
@@ -534,9 +523,10 @@ def mime_body(documents):
     return mail.parse_messages(_as_mail(documents)).select("msg_id", F.length("body").alias("n"), F.sha2("body", 256).alias("sha256"))
 
 
-@query()
-def appointments(documents):
-    return mail.appointments(documents.select(F.col("doc_id").alias("release_id"), F.lit(None).cast("string").alias("title"), F.col("text").alias("body")))
+@query("SELECT release_id, n3 AS name, 'Sales Manager' AS role FROM release_mails WHERE kind <> 2")
+def appointments(releases):
+    text = release.read_releases(releases).select("release_id", F.col("text").alias("body"))
+    return mail.appointments(releases.select("release_id", "title").join(text, "release_id"))
 
 
 # ---- locators
@@ -552,7 +542,7 @@ _CARDS, _SILENT = "brand_slug IN ('ford', 'audi', 'volvo')", "'mitsubishi', 'hon
   CASE WHEN NOT {_CARDS} AND brand_slug NOT IN ({_SILENT}) THEN lower(api_email) END AS api_email FROM locator_facts""".replace("AS STRING", "AS VARCHAR"))
 def locator_projects(locator_payloads):
     """All brands, each by its own mapping."""
-    return functools.reduce(DataFrame.unionByName, [locators.project(locator_payloads, brand) for brand in PAYLOADS])
+    return locators.project_all(locator_payloads)
 
 
 _SCHEMA = "dealer struct<code:string,name:string,state:string>, departments array<struct<phone:string,email:string>>, address string"
@@ -644,13 +634,55 @@ def release_contacts(pages):
 
 # ---- plans
 
-
-@query()
+_PLACE = "CASE " + " ".join(f"WHEN band = '{b}' AND tier = '{t}' THEN {i}" for i, (b, t) in enumerate(vocab.BAND_TIERS)) + " END"
+_TIER_LABEL = "CASE tier " + " ".join(f"WHEN '{t}' THEN '{label}'" for t, label in vocab.TIER_LABELS.items()) + " END"
+#: The plan as levels of recursion: a batch is a list of how many contacts it takes of each domain, in the domains' order.
+#: Then a short tail is folded as far as domains allow, and a very short one swallowed.
+_PLAN_SQL = f"""
+WITH RECURSIVE banded AS (
+  SELECT id, confidence, coalesce(email_domain, '?') AS domain, coalesce(proximity_tier, 'T4') AS tier, regexp_matches(lower(split_part(email, '@', 1)), '{vocab.ROLE_INBOX}') AS role,
+    CASE WHEN lower(coalesce(email_domain, '?')) LIKE '%.au' THEN 'AU' WHEN length(regexp_replace(lower(coalesce(email_domain, '?')), '.*[.]', '')) = 2 THEN 'INTL' ELSE 'COM' END AS band
+  FROM contacts WHERE email IS NOT NULL AND disposition = 'in_play' AND sent_at IS NULL AND confidence = 'direct' AND {FREE}),
+pool AS (SELECT *, row_number() OVER (PARTITION BY grp, domain ORDER BY id) - 1 AS pos FROM (SELECT *, {_PLACE} + CASE WHEN role THEN 15 ELSE 0 END AS grp FROM banded) AS p WHERE grp IS NOT NULL),
+dom AS (SELECT grp, domain, count(*) AS n, row_number() OVER (PARTITION BY grp ORDER BY count(*) DESC, min(id)) AS d FROM pool GROUP BY grp, domain),
+step AS (
+  SELECT grp, 0 AS i, list(n ORDER BY d) AS lft, CAST([] AS BIGINT[]) AS taken FROM dom GROUP BY grp
+  UNION ALL
+  SELECT grp, i + 1, list_transform(lft, lambda x, j: x - t[j]), t FROM (
+    SELECT grp, i, lft, list_transform(room, lambda x, j: least(x, level) + CASE WHEN x > level AND len(list_filter(room[1:j], lambda y: y > level)) <= goal - list_sum(list_transform(room, lambda y: least(y, level))) THEN 1 ELSE 0 END) AS t FROM (
+      SELECT *, list_max(list_filter(range(0, cap + 1), lambda r: list_sum(list_transform(room, lambda y: least(y, r))) <= goal)) AS level FROM (
+        SELECT *, list_transform(lft, lambda x, j: CASE WHEN x > 0 AND len(list_filter(lft[1:j], lambda y: y > 0)) <= goal THEN least(cap, x) ELSE 0 END) AS room FROM (
+          SELECT *, CAST(least((i + 1) * 50, 250) AS BIGINT) AS goal, CAST(CASE WHEN i < 3 THEN 5 ELSE 10 END AS BIGINT) AS cap FROM step) AS g) AS r) AS l) AS x
+  WHERE list_sum(t) > 0),
+fold AS (
+  SELECT grp, 0 AS s, false AS done, list(taken ORDER BY i) AS b FROM step WHERE i > 0 GROUP BY grp
+  UNION ALL
+  SELECT grp, s + 1, list_sum(rest) > 0, b[1:len(b) - 2] || [list_transform(b[-2], lambda x, j: x + moved[j])] || CASE WHEN list_sum(rest) > 0 THEN [rest] ELSE [] END FROM (
+    SELECT *, list_transform(b[-1], lambda x, j: x - moved[j]) AS rest FROM (
+      SELECT *, list_transform(b[-1], lambda x, j: least(x, greatest(0, 12 - b[-2][j]))) AS moved FROM fold WHERE NOT done AND len(b) > 1 AND list_sum(b[-1]) < 50) AS m) AS r),
+swallow AS (
+  SELECT grp, 0 AS s, arg_max(b, s) AS b FROM fold GROUP BY grp
+  UNION ALL
+  SELECT grp, s + 1, b[1:len(b) - 2] || [list_transform(b[-2], lambda x, j: x + b[-1][j])] FROM swallow WHERE len(b) > 1 AND list_sum(b[-1]) < 10),
+batches AS (SELECT grp, unnest(b) AS taken, generate_subscripts(b, 1) AS k FROM (SELECT grp, arg_max(b, s) AS b FROM swallow GROUP BY grp) AS f),
+runs AS (SELECT grp, k, d, n, sum(n) OVER (PARTITION BY grp, d ORDER BY k) AS past FROM (SELECT grp, k, unnest(taken) AS n, generate_subscripts(taken, 1) AS d FROM batches) AS r),
+earlier AS (SELECT grp, sum(ks) OVER (ORDER BY grp) - ks AS before FROM (SELECT grp, max(k) AS ks FROM batches GROUP BY grp) AS e),
+planned AS (SELECT id, CAST(before + k AS INTEGER) AS export_batch, CASE WHEN role THEN 'ROLE-' ELSE '' END || band || '-' || {_TIER_LABEL} || '-B' || lpad(CAST(k AS VARCHAR), 2, '0') AS send_group
+  FROM pool JOIN dom USING (grp, domain) JOIN runs USING (grp, d) JOIN earlier USING (grp) WHERE pos >= past - runs.n AND pos < past)
+"""
+
+
+@query(_PLAN_SQL + "SELECT * FROM planned")
 def batch_plan(contacts):
     return batches.plan_batches(contacts).filter("export_batch is not null").select("id", "export_batch", "send_group")
 
 
-@query()
+@query(
+    _PLAN_SQL
+    + f"""SELECT export_batch, count(*) AS n, count(*) FILTER (proximity_tier = 'dealer') AS n_dealer, count(*) FILTER (proximity_tier = 'T1') AS n_t1, count(*) FILTER (proximity_tier = 'T2') AS n_t2, count(*) FILTER (proximity_tier = 'T3') AS n_t3,
+      count(*) FILTER (regexp_matches(lower(split_part(email, '@', 1)), '{vocab.ROLE_INBOX}')) AS n_role, count(DISTINCT email_domain) AS domains, max(same) AS most_of_a_domain
+    FROM (SELECT p.export_batch, c.email, c.email_domain, c.proximity_tier, count(*) OVER (PARTITION BY p.export_batch, c.email_domain) AS same FROM planned AS p JOIN (SELECT id, email, email_domain, proximity_tier FROM contacts) AS c USING (id)) AS x GROUP BY export_batch"""
+)
 def batch_plan_composition(contacts):
     return read.batch_composition(batches.plan_batches(contacts))
 

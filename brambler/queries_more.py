@@ -9,8 +9,8 @@ from .bindings import AS_OF
 from .functions import scalars as S
 from .functions import vocab
 from .operators import fusion, html, people, read, release, state
-from .queries import _SITE_SQL, _patterns_sql, query, among
-from .sources import schemas
+from .queries import _RECENT_BATCH, _SITE_SQL, _patterns_sql, among, query
+from .sources import schemas, tables
 
 # ---- counts
 
@@ -85,6 +85,23 @@ def page_with_total(contacts):
     return read.page_with_total(contacts.filter("not suppressed"), "newest", 25, 50)
 
 
+@query(
+    """SELECT c.id, c.email, mail_id, sent_on FROM contacts AS c JOIN archive_accounts ON contains(lower(to_header), c.email)
+    WHERE c.email IS NOT NULL AND lower(account_email) IN (SELECT lower(trim(email)) FROM sender_accounts) AND is_outgoing AND (body ILIKE '%the marker%' OR html_body ILIKE '%the marker%')"""
+)
+def preflight_by_account(contacts, archive_accounts, sender_accounts):
+    """Whoever an account has written to: their address is part of another's in the header."""
+    return read.preflight_matches(contacts, archive_accounts, "the marker", sender_accounts)
+
+
+@query(
+    """WITH t AS (SELECT count(*) FILTER (event = 'sent') AS sent, count(*) FILTER (event = 'bounced') AS bounced, count(*) FILTER (event = 'complained') AS complained FROM send_events)
+    SELECT sent, bounced, complained, round(bounced / sent, 5) AS bounce_rate, round(complained / sent, 5) AS complaint_rate, CASE WHEN sent = 0 THEN 'no-sends' WHEN complained / sent >= 0.0005 OR bounced / sent >= 0.03 THEN 'stop' WHEN bounced / sent >= 0.02 THEN 'warn' ELSE 'ok' END AS status FROM t"""
+)
+def sends_health(send_events):
+    return read.sends_health(send_events)
+
+
 # ---- people and addresses
 
 
@@ -220,3 +237,87 @@ def dealer_people(dealer_pages, dealer_facts):
 def contacts_schema(contacts):
     """Contacts in the columns of the third version of their table, some of them."""
     return schemas.migrated(contacts.filter("email is not null"), "contacts", 3).select("id", "full_name", "email", "phone", "source_date")
+
+
+# ---- lists and stored tables
+
+
+@query(
+    """WITH p AS (SELECT *, min(CASE WHEN ids_text = '' OR page >= last_page THEN page END) OVER (PARTITION BY list_name) AS stop FROM release_pages WHERE page <= 6),
+    ids AS (SELECT list_name, page, unnest(string_split(ids_text, ',')) AS id, generate_subscripts(string_split(ids_text, ','), 1) AS place FROM p WHERE stop IS NULL OR page <= stop),
+    firsts AS (SELECT list_name, CAST(id AS BIGINT) AS release_id, min(page * 100 + place) AS place FROM ids WHERE id <> '' GROUP BY ALL)
+    SELECT list_name, CAST(row_number() OVER (PARTITION BY list_name ORDER BY place) AS INTEGER) AS list_pos, release_id FROM firsts"""
+)
+def release_lists(release_pages):
+    """Ids of lists as far as they are read, six pages at most, each at its first place."""
+    ids = F.when(F.col("ids_text") != "", F.transform(F.split("ids_text", ","), lambda x: x.try_cast("long"))).otherwise(F.array().cast("array<long>"))
+    return release.release_list(release_pages.withColumn("ids", ids), 6)
+
+
+@query(
+    """WITH o AS (SELECT id, email, full_name FROM contacts WHERE email IS NOT NULL AND id % 3 <> 1), n AS (SELECT id + 100000 AS id, email, full_name || '!' AS full_name FROM contacts WHERE email IS NOT NULL AND id % 4 = 0)
+    SELECT coalesce(o.id, n.id) AS id, email, coalesce(n.full_name, o.full_name) AS full_name FROM o FULL JOIN n USING (email)"""
+)
+def stored_upsert(contacts):
+    """A stored table after a day's changes: known addresses get the new name, others are added."""
+    spark, rows = contacts.sparkSession, contacts.filter("email is not null").select("id", "email", "full_name")
+    path = tables.shared_path(spark, "contacts-store")
+    tables.create(rows.filter("id % 3 <> 1"), path, ["email"], 16)
+    changes = rows.filter("id % 4 = 0").select((F.col("id") + 100000).alias("id"), "email", F.concat("full_name", F.lit("!")).alias("full_name"))
+    tables.apply(spark, path, changes, ["email"], 16, [F.col("id")], lambda c, old, new: new if c == "full_name" else old)
+    return tables.load(spark, path)
+
+
+@query("SELECT id, full_name, email, CASE WHEN id % 3 = 2 THEN suppressed END AS suppressed, CASE WHEN id % 3 = 2 THEN source_date END AS source_date, CASE id % 3 WHEN 0 THEN 1 WHEN 1 THEN 1 ELSE 3 END AS version FROM contacts")
+def stored_versions(contacts):
+    """Files of the first and the third version of a table, of which one kept numbers as text, read as the third."""
+    spark, paths = contacts.sparkSession, [tables.shared_path(contacts.sparkSession, f"contacts-{k}") for k in range(3)]
+    old = contacts.select("id", "full_name", "email")
+    for path, rows in zip(paths, (old.filter("id % 3 = 0"), old.filter("id % 3 = 1").withColumn("id", F.col("id").cast("string")), contacts.filter("id % 3 = 2").select("id", "full_name", "email", "suppressed", "source_date", "export_batch")), strict=True):
+        rows.write.parquet(path)
+    return schemas.stored(spark, paths, "contacts", 3).select("id", "full_name", "email", "suppressed", "source_date", "version")
+
+
+# ---- lookups, probes, flags and stamps
+
+
+@query(
+    """SELECT domain, CASE WHEN hosts > 0 THEN '' WHEN n = 0 THEN 'nxdomain' WHEN n IN (1, 2, 4) THEN 'no_mx' ELSE 'dns_error:Timeout' END AS lookup
+    FROM (SELECT domain, count(host) AS hosts, length(domain) % 5 AS n FROM lookups GROUP BY domain) AS x"""
+)
+def lookup_status(lookups):
+    return people.lookup_status(lookups)
+
+
+@query("SELECT email_domain, arg_min(host, preference * 1000 + k) AS verify_mx, CAST(turn AS INTEGER) AS turn, id, email FROM (SELECT c.*, row_number() OVER (PARTITION BY email_domain ORDER BY id) AS turn FROM contacts AS c WHERE email IS NOT NULL) AS c JOIN (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY host) AS k FROM mx_records) AS m ON m.domain = email_domain GROUP BY email_domain, turn, id, email")
+def probe_order(contacts, mx_records):
+    hosts = people.mx_hosts(mx_records).select(F.col("domain").alias("email_domain"), F.get("hosts", F.lit(0)).alias("verify_mx"))
+    return people.probe_order(contacts.filter("email is not null").join(hosts, "email_domain"))
+
+
+@query(
+    """WITH asked AS (SELECT DISTINCT o_custkey + CASE WHEN o_orderkey % 9 = 0 THEN 10000000 ELSE 0 END AS id FROM orders WHERE o_orderkey % 7 = 0 OR o_custkey % 29 = 0)
+    SELECT a.id, CASE WHEN c.id IS NULL THEN 'not_found' WHEN suppress_reason = 'left_employer' THEN 'cleared' ELSE 'flagged' END AS outcome, CASE WHEN c.id IS NULL THEN NULL WHEN suppress_reason = 'left_employer' THEN 'in_play' ELSE 'ruled_out' END AS disposition
+    FROM asked AS a LEFT JOIN contacts AS c ON c.id = a.id"""
+)
+def stale_toggle(contacts, orders):
+    """What turning the flag of some ids gives: some have it, some get it, some are nobody's."""
+    asked = orders.filter("o_orderkey % 7 = 0 or o_custkey % 29 = 0").select((F.col("o_custkey") + F.when(F.col("o_orderkey") % 9 == 0, 10_000_000).otherwise(0)).alias("id"))
+    rows, outcome = state.toggle_stale(contacts, asked)
+    return outcome.join(rows.select("id", "disposition"), "id", "left")
+
+
+@query(f"SELECT id, CASE WHEN id IN ({_RECENT_BATCH}) THEN 'NP-B01' ELSE send_group END AS send_group FROM contacts")
+def recent_batch_stamp(contacts, subscriber_states):
+    names = subscriber_states.filter("state = 'active'").select(S.name_key(F.col("name")).alias("name_key"))
+    return state.stamp_group(contacts, read.recent_batch(contacts, names, F.expr(AS_OF))).select("id", "send_group")
+
+
+@query(
+    """WITH shown AS (SELECT release_id, e1 AS email FROM release_mails UNION SELECT release_id, e2 FROM release_mails),
+    made AS (SELECT CASE kind WHEN 0 THEN substr(f3, 1, 1) || l3 ELSE f3 || '.' || l3 END || '@' || dom AS email FROM release_mails WHERE kind IN (0, 1))
+    SELECT (SELECT count(*) FROM releases) AS releases, 0 AS missing, (SELECT count(*) FROM shown) AS candidates, (SELECT count(DISTINCT email) FROM shown) AS contacts,
+      (SELECT count(*) FROM release_mails WHERE kind <> 2) AS appointment_releases, (SELECT count(*) FROM release_mails WHERE kind <> 2) AS appointees_named, (SELECT count(DISTINCT email) FROM made WHERE email NOT IN (SELECT email FROM shown)) AS extrapolated"""
+)
+def release_counts(releases):
+    return release.release_counts(releases)

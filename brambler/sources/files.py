@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+log = logging.getLogger(__name__)
+
 
 def address_list(spark: SparkSession, path: str) -> DataFrame:
     """Distinct addresses of a text file's lines that hold an @; a file without any is an error."""
@@ -25,22 +29,20 @@ def batch_file(spark: SparkSession, path: str) -> DataFrame:
     return rows
 
 
-def preflight(spark: SparkSession, path: str, archive: DataFrame, marker: str) -> tuple[int, DataFrame | None]:
+def preflight(spark: SparkSession, path: str, archive: DataFrame, marker: str, accounts: DataFrame | None = None) -> tuple[int, DataFrame | None]:
     """(0, matches) if nobody in a batch was written to, (1, matches) if somebody was, (2, None) on any error."""
     from ..operators.read import preflight_matches
 
     try:
-        matches = preflight_matches(batch_file(spark, path), archive, marker)
+        matches = preflight_matches(batch_file(spark, path), archive, marker, accounts)
         return (0 if matches.isEmpty() else 1), matches
     except Exception:  # noqa: BLE001  whatever it is, nothing may be sent
+        log.exception("preflight of %s failed", path)
         return 2, None
 
 
 def export_csv(rows: DataFrame, path: str) -> None:
-    rows.write.mode("overwrite").option("header", True).csv(path)
-
+    """Contacts with their organisation as CSV files with headers, in the order of an export from file to file."""
+    from ..operators.read import export_order
 
-def latest_messages(spark: SparkSession, path: str, n: int | None = None) -> DataFrame:
-    """Mail files of a folder, the newest n if asked."""
-    rows = spark.read.format("binaryFile").load(path).select(F.col("path").alias("msg_id"), F.decode("content", "utf-8").alias("raw"), "modificationTime")
-    return rows.orderBy(F.desc("modificationTime"), "msg_id").limit(n) if n else rows
+    rows.orderBy(*export_order()).write.mode("overwrite").option("header", True).csv(path)

@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .tables import shared_path
+
 COLUMNS = ["name", "address", "suburb", "state", "postcode", "phone", "website_url", "api_email"]
 # States by name.
 STATES = {
@@ -145,6 +147,14 @@ def project(raw: DataFrame, brand: str, limit: int | None = None) -> DataFrame:
     return out.orderBy("seq").limit(limit) if limit else out
 
 
+def project_all(raw: DataFrame) -> DataFrame:
+    """Organisations of all brands. The payloads are read once and laid down by brand, so each mapping reads its own only."""
+    path = shared_path(raw.sparkSession, "locator-payloads")
+    raw.select("brand_slug", "seq", "payload_json").withColumn("brand", F.col("brand_slug")).write.partitionBy("brand").parquet(path)
+    laid = raw.sparkSession.read.schema(f"brand_slug string, seq {dict(raw.dtypes)['seq']}, payload_json string, brand string").parquet(path)
+    return functools.reduce(DataFrame.unionByName, [project(laid.filter(F.col("brand") == b).drop("brand"), b) for b in BRANDS])
+
+
 def true_of(path: str) -> Column:
     return F.coalesce(F.lower(F.col(path)) == "true", F.lit(False))
 

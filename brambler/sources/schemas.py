@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import functools
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructType
 
 #: Changes of each version: table -> columns that it adds, as DDL.
 VERSIONS: list[dict[str, str]] = [
@@ -29,3 +31,35 @@ def schema(table: str, version: int | None = None) -> StructType:
 def migrated(rows: DataFrame, table: str, version: int | None = None) -> DataFrame:
     """Rows in a table's columns: those it lacks are null, others go."""
     return rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema(table, version)])
+
+
+def _checked(rows: DataFrame, name: str, kind: DataType) -> Column:
+    """A column in another type; a value that is none of it is an error, not a null."""
+    value = F.col(f"`{name}`").try_cast(kind)
+    wrong = F.raise_error(F.concat(F.lit(f"{name}: no {kind.simpleString()}: "), F.col(f"`{name}`").cast("string")))
+    return F.when(F.col(f"`{name}`").isNotNull() & value.isNull(), wrong).otherwise(value)
+
+
+def version_of(rows: DataFrame, table: str) -> int:
+    """The first version of a table that has all the columns of some rows."""
+    for v in range(1, len(VERSIONS) + 1):
+        if any(table in older for older in VERSIONS[:v]) and set(rows.columns) <= set(schema(table, v).names):
+            return v
+    raise ValueError(f"{table}: no version has {sorted(set(rows.columns) - set(schema(table).names))}")
+
+
+def stored(spark: SparkSession, paths: list[str], table: str, version: int | None = None) -> DataFrame:
+    """Files of any earlier versions of a table as rows of one version: columns that came later are null, those of other
+    types are cast, value by value. A folder with a column that no version knows, or knows only later, is an error.
+
+    Each folder is read by its own columns; nothing is written. `version` of the rows is that of their folder.
+    """
+    parts, names = [], schema(table, version)
+    for path in paths:
+        rows = spark.read.parquet(path)
+        own = version_of(rows, table)
+        if version is not None and own > version:
+            raise ValueError(f"{path} is of version {own}, later than {version}")
+        kept = [(_checked(rows, f.name, f.dataType) if rows.schema[f.name].dataType != f.dataType else F.col(f"`{f.name}`")) if f.name in rows.columns else F.lit(None).cast(f.dataType) for f in names]
+        parts.append(rows.select(*[c.alias(f.name) for c, f in zip(kept, names, strict=True)], F.lit(own).alias("version")))
+    return functools.reduce(DataFrame.unionByName, parts)

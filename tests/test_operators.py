@@ -1,6 +1,7 @@
 """Hand-written cases: what the rules say, operator by operator. All names and addresses are invented."""
 
 import json
+import os
 from collections import Counter
 
 import pytest
@@ -11,8 +12,9 @@ from pyspark.sql import functions as F
 from brambler.bindings import domain
 from brambler.functions import scalars as S
 from brambler.operators import html, mail, people, read, release, state
+from brambler.operators.preflight import contained
 from brambler.plans.batches import CEILING, FLOOR, STRICT, SWALLOW, WARM, plan_batches, schedule, target
-from brambler.sources import files, locators
+from brambler.sources import files, locators, messages, schemas, tables
 from brambler.streaming.monitor import sends_by_day_stream
 
 SF = "/root/testdata/sf0.001"
@@ -139,14 +141,24 @@ def test_preflight_is_any_substring_and_no_nested_loop(spark):
     assert got == sorted((i, m) for i, e in enumerate(emails) for m, h in enumerate(headers) if e is not None and h is not None and e in h.lower())
     addresses = people_.filter("email like '%@%'").withColumn("email", F.concat(F.lit("u"), "id", F.lit("@b.test")))
     plan = read.preflight_matches(addresses, archive, "the marker")._jdf.queryExecution().optimizedPlan().toString()
-    assert "Join Inner, (email" in plan
+    assert "FlatMapCoGroupsInArrow" in plan and "Join Inner, (key" in plan
+    dealt = contained(people_, archive.withColumn("low", F.lower("to_header")), "mail_id", "low", 1, 2)  # an address an automaton, two headers a task
+    assert sorted((r.id, r.mail_id) for r in dealt.filter("mail_id < 90").collect()) == got
+    assert contained(people_.limit(0), archive, "mail_id", "to_header").count() == contained(people_, archive.limit(0), "mail_id", "to_header").count() == 0
+
+
+def test_preflight_by_account(spark):
+    rows = [(1, "Desk@a.test", "p@b.test", True, "x", "<p>The Marker"), (2, "other@a.test", "p@b.test", True, "the marker", None), (3, None, "p@b.test", True, "the marker", None), (4, " desk@a.test", "p@b.test", True, None, None), (5, "desk@A.test", "p@b.test", False, "the marker", None)]
+    archive = spark.createDataFrame([(*r, "d") for r in rows], "mail_id int, account_email string, to_header string, is_outgoing boolean, body string, html_body string, sent_on string")
+    accounts, who = spark.createDataFrame([(" DESK@a.test ",), ("desk@a.test",), (None,), ("",)], "email string"), spark.createDataFrame([(7, "p@b.test")], "id int, email string")
+    assert [r.mail_id for r in read.preflight_matches(who, archive, "the marker", accounts).collect()] == [1]
+    assert sorted(r.mail_id for r in read.preflight_matches(who, archive, "the marker").collect()) == [1, 2, 3]
 
 
 def test_whole_tables_are_tested(spark):
     from brambler.queries import QUERIES
 
     contacts, all_ = domain(spark, SF, "contacts"), domain(spark, SF, "archive_whole")
-    assert all_.count() > 40 * domain(spark, SF, "archive").count() > 0
     matched = {r.id for r in QUERIES["preflight_matches_whole"](spark, SF).select("id").distinct().collect()}
     own = all_.filter("is_outgoing and body like '%MARKER%'").select(F.regexp_extract(F.lower("to_header"), "<(.*)>", 1).alias("email")).distinct()
     assert {r.id for r in contacts.join(own, "email").select("id").collect()} <= matched
@@ -429,3 +441,89 @@ def test_appointees(spark):
     found = release.appointee_addresses(table).collect()
     assert [(r.email, r.name, r.role_raw, r.role, r.pattern, r.release_date) for r in found] == [("jane.doe@acme.test", "Jane Doe", "Head of Sales", None, "first.last", "2024-03-01")]
     assert each(spark, ["havasmedia.test", "acme.msl.test", "acme.bosch.test"], lambda c: mail.in_house(F.lit("Acme"), c)) == [False, False, True]
+
+
+def test_messages(spark, tmp_path):
+    for k, text in enumerate(["Subject: one\n\nFrom here on", "  \n", "Subject: two\n\nb\xff"]):
+        (tmp_path / "cur" / f"{k}.eml").parent.mkdir(exist_ok=True)
+        (tmp_path / "cur" / f"{k}.eml").write_bytes(text.encode("latin-1"))
+        os.utime(tmp_path / "cur" / f"{k}.eml", (1_700_000_000 + 10 * (k == 0), 1_700_000_000 + 10 * (k == 0)))
+    where = f"file://{tmp_path}/cur"
+    assert {r.msg_id.rsplit("/", 1)[1]: r.raw for r in messages.message_files(spark, where).collect()} == {"0.eml": "Subject: one\n\nFrom here on", "2.eml": "Subject: two\n\nb\ufffd"}
+    assert [r.msg_id.rsplit("/", 1)[1] for r in messages.message_files(spark, where, 1).collect()] == ["0.eml"]
+    assert messages.message_files(spark, where, 0).count() == 0
+    with pytest.raises(ValueError):
+        messages.message_files(spark, where, -1)
+    (tmp_path / "box").mkdir()
+    (tmp_path / "box" / "a.mbox").write_text("From x@a.test Mon\nSubject: out of office\nAuto-Submitted: auto-replied\nFrom: jo@b.test\n\nhi\n\nFrom y@a.test Tue\nSubject: Undeliverable\n\nX-Failed-Recipients: gone@a.test\n\nFrom \n\n")
+    box = messages.messages_in(spark, f"file://{tmp_path}/box")
+    assert sorted((r.kind, r.email) for r in mail.classify(mail.parse_messages(box)).collect()) == [("bounce", "gone@a.test"), ("ooo", "jo@b.test")]
+    (tmp_path / "box" / "a.mbox").write_text("\n==SEP==\none\n==SEP==\n \n==SEP==\ntwo\nlines\n==SEP==\none")
+    parts = messages.messages_in(spark, f"file://{tmp_path}/box", "\n==SEP==\n").collect()
+    assert sorted(r.raw for r in parts) == ["one", "one", "two\nlines"] and len({r.msg_id for r in parts}) == 2
+
+
+def test_stored_tables(spark, tmp_path):
+    def files_of(path):
+        return {str(f): (f.stat().st_mtime_ns, f.stat().st_size) for f in path.rglob("*.parquet")}
+
+    path, schema = tmp_path / "store", "k string, a int, b int"
+    first = spark.createDataFrame([(f"k{i}", i, None) for i in range(60)] + [(None, 1, 1)], schema)
+    tables.create(first, f"file://{path}", ["k"], 8)
+    before = files_of(path)
+    changes = spark.createDataFrame([("k3", 1, 2), ("k3", 0, 9), ("new", 5, 5), (None, 1, 1)], schema)
+    n = tables.apply(spark, f"file://{path}", changes, ["k"], 8, [F.col("a")], state.fill_null("b"))
+    after = files_of(path)
+    same = {f for f in before if after.get(f) == before[f]}
+    assert 0 < n <= 3 and len(before) == 8 and len(same) == 8 - n  # untouched buckets keep their files
+    rows = {r.k: (r.a, r.b) for r in tables.load(spark, f"file://{path}").collect()}
+    assert rows["k3"] == (3, 9) and rows["new"] == (5, 5) and rows["k4"] == (4, None) and tables.load(spark, f"file://{path}").filter("k is null").count() == 2
+    assert tables.load(spark, f"file://{path}").columns == ["k", "a", "b"] and tables.load(spark, f"file://{path}").count() == 63
+    assert tables.apply(spark, f"file://{path}", changes.limit(0), ["k"], 8, [F.col("a")], state.fill_null("b")) == 0 and files_of(path) == after
+
+
+def test_stored_versions(spark, tmp_path):
+    at = lambda k: f"file://{tmp_path}/{k}"
+    spark.createDataFrame([(1, "A")], "id long, full_name string").write.parquet(at(1))
+    spark.createDataFrame([("2", "B", True)], "id string, full_name string, suppressed boolean").write.parquet(at(2))
+    spark.createDataFrame([("x", "C")], "id string, full_name string").write.parquet(at(3))
+    spark.createDataFrame([(1, 2)], "id long, unknown int").write.parquet(at(4))
+    rows = schemas.stored(spark, [at(1), at(2)], "contacts")
+    assert rows.columns == [*schemas.schema("contacts").names, "version"] and rows.schema["id"].dataType.simpleString() == "bigint"
+    assert sorted((r.id, r.full_name, r.suppressed, r.sent_at, r.version) for r in rows.collect()) == [(1, "A", None, None, 1), (2, "B", True, None, 2)]
+    with pytest.raises(Exception, match="id: no bigint: x"):
+        schemas.stored(spark, [at(3)], "contacts").collect()
+    for paths, version in (([at(4)], None), ([at(2)], 1)):
+        with pytest.raises(ValueError):
+            schemas.stored(spark, paths, "contacts", version)
+
+
+def test_release_list(spark):
+    rows = [("a", 1, 9, [5, 3, None, 5]), ("a", 2, 9, [3, 7]), ("a", 3, 9, []), ("a", 4, 9, [8]), ("b", 1, 1, [1]), ("b", 2, 1, [2]), ("c", 1, None, [4]), ("c", 3, None, [6]), ("d", 1, None, None), ("d", 2, None, [1])]
+    pages = spark.createDataFrame(rows, "list_name string, page int, last_page int, ids array<long>")
+    got = lambda n=None: sorted((r.list_name, r.list_pos, r.release_id) for r in release.release_list(pages, n).collect())
+    assert got() == [("a", 1, 5), ("a", 2, 3), ("a", 3, 7), ("b", 1, 1), ("c", 1, 4)]
+    assert got(1) == [("a", 1, 5), ("a", 2, 3), ("b", 1, 1), ("c", 1, 4)] and release.release_list(pages.limit(0)).count() == 0
+
+
+def test_small_rests(spark, tmp_path):
+    html_mail = "From: Jo <Jo@b.test>\nReply-To: A <a.b@c.test>, d.e@c.test\nContent-Type: text/html\n\n<style>x</style><p>Ask A&amp;B &lt;ann.example@c.test&gt;, Parts&nbsp;Manager<script>no</script> jo@b.test.au"
+    parsed = mail.parse_messages(spark.createDataFrame([(1, html_mail)], "msg_id int, raw string"))
+    row = parsed.first()
+    assert (row.body, row.sender_address, row.reply_to) == ("Ask A&B <ann.example@c.test>, Parts\xa0Manager\n jo@b.test.au", "jo@b.test", "a.b@c.test d.e@c.test")
+    found = {r.email: r for r in mail.harvest_replies(parsed).collect()}
+    assert set(found) == {"ann.example@c.test", "jo@b.test.au", "a.b@c.test", "d.e@c.test"}  # the sender's address within another is no sender
+    assert each(spark, ['{"date":"2024-02-03T10:00:00Z","published_at":""}', '{"live_date":"04/05/2024","createdAt":"soon"}', "{}", None], lambda c: mail.release_date_of(c).cast("string")) == ["2024-02-03", "2024-05-04", None, None]
+    lookups = spark.createDataFrame([("a", "h", None), ("a", None, "NXDOMAIN"), ("b", None, "NXDOMAIN"), ("c", None, "NoNameservers"), ("d", None, None), ("e", None, "Timeout")], "domain string, host string, error string")
+    assert {r.domain: r.lookup for r in people.lookup_status(lookups).collect()} == {"a": "", "b": "nxdomain", "c": "no_mx", "d": "no_mx", "e": "dns_error:Timeout"}
+    files_ = spark.createDataFrame([("a", "[if:x]1[else]2[endif]<body>"), ("b", "none"), ("c", None)], "name string, html string")
+    assert [(r.name, r.html, r.fits, r.error is None) for r in release.editions(files_, "HI", "<body>", []).orderBy("name").collect()] == [("a", "2<body>HI", True, True), ("b", None, None, False), ("c", None, None, False)]
+    contacts = spark.createDataFrame([(1, "b", None, "Z"), (2, "a", "D", "Y"), (3, "a", "D", "X"), (4, None, None, "Q")], "id int, brand_slug string, dealership string, full_name string")
+    files.export_csv(contacts, f"file://{tmp_path}/out")
+    assert [line.split(",")[0] for f in sorted((tmp_path / "out").glob("*.csv")) for line in f.read_text().splitlines()[1:]] == ["4", "3", "2", "1"]
+    assert [r.x for r in spark.createDataFrame([("Jane van Doe",), ("Jane",), (" ",)], "v string").select(F.array(*S.split_first_rest(F.col("v"))).alias("x")).collect()] == [["Jane", "van Doe"], ["Jane", None], ["", None]]
+    assert str(spark.range(1).select(release.months_before(F.lit("2024-03-01").cast("date"), 2).alias("d")).first().d) == "2024-01-01"
+    flags = spark.createDataFrame([(1, True, "left_employer", "ruled_out", "x", "y"), (2, False, None, "in_play", None, None), (3, True, "other", "sent", "s", "r")], "id int, suppressed boolean, suppress_reason string, disposition string, ruled_out_stage string, ruled_out_reason string")
+    rows, outcome = state.toggle_stale(flags, spark.createDataFrame([(1,), (3,), (3,), (9,), (None,)], "id int"))
+    assert sorted(map(tuple, outcome.collect())) == [(1, "cleared"), (3, "flagged"), (9, "not_found")]
+    assert [tuple(r)[:5] for r in rows.orderBy("id").collect()] == [(1, False, None, "in_play", None), (2, False, None, "in_play", None), (3, True, "left_employer", "ruled_out", "left_employer")]
