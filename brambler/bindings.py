@@ -60,6 +60,16 @@ TABLES = {
         SELECT s_suppkey AS page_id, {_pick(FIRST, "s_suppkey")} AS f1, {_pick(LAST, "s_suppkey")} AS l1, {_pick(FIRST, "s_suppkey + 7")} AS f2, {_pick(LAST, "s_suppkey + 11")} AS l2,
           'https://www.site' || CAST(s_suppkey AS STRING) || '.test/' AS url, s_suppkey % 3 AS kind
         FROM supplier""",
+    "link_facts": f"""
+        SELECT s_suppkey AS page_id, 'https://www.site' || CAST(s_suppkey AS STRING) || '.test/x/' AS url,
+          'https://www.site' || CAST(s_suppkey AS STRING) || '.test' || {_pick(["/our-team", "/meet-the-team", "/the-team", "/team", "/staff", "/people", "/about-us/team", "/about/staff", "/cars", "/about-us"], "s_suppkey * 3")} || {_pick(["", "/", "/sales?x=1", ".pdf", "#top"], "s_suppkey")} AS h1,
+          {_pick(["Our Team", "About us", "Contact", "MEET THE TEAM today", "Our people"], "s_suppkey * 7 + 1")} AS t1,
+          'https://www.site' || CAST(s_suppkey AS STRING) || '.test/x/' || {_pick(["Staff", "about", "about.png?v=2", "cars/team", "new"], "s_suppkey * 2 + 1")} AS h2, {_pick(["about", "Team Members", "more", "our staff"], "s_suppkey + 2")} AS t2,
+          'https://www.site' || CAST(s_suppkey AS STRING) || '.test/team' AS h3, {_pick(["x", "the team"], "s_suppkey")} AS t3
+        FROM supplier""",
+    "link_pages": """
+        SELECT page_id, url, '<body><a href="' || h1 || '">' || t1 || '</a><a href="https://other.test/team">Our Team</a><a href="' || substr(h2, length(url) + 1) || '"><b>' || t2 || '</b></a><a href="#team">team</a><a href="/team"> ' || t3 || '</a>' AS html
+        FROM link_facts""",
     # pages of three kinds: cards, structured data beside a heading with a role, and plain text
     "team_pages": """
         SELECT page_id, url, '<html><head><script>var x = "no@script.test";</script></head><body><a href="/our-team/">Meet the team</a><a href="/about">About</a><a href="https://other.test/our-team">x</a><a href="mailto:' || f1 || '@a.test">mail</a>' ||

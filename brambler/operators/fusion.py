@@ -11,24 +11,27 @@ from pyspark.sql import functions as F
 
 from ..functions import vocab
 from ..functions.scalars import domain_part, generated_local, known_prefixes, local_part, role_normalised, site_domain, split_first_rest
+from ..sources.tables import kept
 from . import html
 from .people import infer_patterns, orphan_names
 
 #: Where a pattern may come from, in this order: addresses at the site's own domain, all of the page but free mail and with
 #: the locator's, and those of structured data.
 SITE, BUSINESS, STRUCTURED = 1, 2, 3
-PARTS = ("text", "content", "mailtos", "people", "headings")
 
 
 def _api(dealers: DataFrame) -> Column:
     return F.nullif(F.lower(F.trim("api_email")), F.lit(""))
 
 
-def ranked_addresses(parsed: DataFrame, dealers: DataFrame) -> DataFrame:
-    """id, rank, seq and email of all addresses that may tell a pattern."""
+def ranked_addresses(pages: DataFrame, dealers: DataFrame) -> DataFrame:
+    """id, rank, seq and email of all addresses that may tell a pattern. Pages are read once."""
+    parsed = html.parse_pages(pages, "id", "url", ("text", "mailtos"))
     page = html.emails_of_pages(parsed, "id")
     page = page.filter((html.email_kind(F.col("email")) == "person") & ~domain_part(F.col("email")).isin(vocab.FREEMAIL))
     page = page.withColumn("seq", F.row_number().over(Window.partitionBy("id").orderBy("email")))  # of one page
+    page = kept(page, "page-addresses")
+    parsed = html.parse_pages(pages, "id", "url", ("people",))
     site = dealers.select("id", site_domain(F.col("website_url")).alias("site"))
     own = page.join(site, "id").filter(F.col("site").isNull() | (domain_part(F.col("email")) == F.col("site")))
     api = dealers.select("id", _api(dealers).alias("email")).filter(F.contains("email", F.lit("@")))
@@ -50,9 +53,10 @@ def guesses(addresses: DataFrame, dealers: DataFrame) -> DataFrame:
     return rows.select("id", F.col("best.pattern").alias("pattern"), chosen["pattern"].alias("form"), chosen["domain"].alias("domain"))
 
 
-def named_people(parsed: DataFrame) -> DataFrame:
+def named_people(pages: DataFrame) -> DataFrame:
     """id, seq, full_name, role_raw, email and where a person is from (jsonld, else page); page people whose name
     structured data has are left out."""
+    parsed = kept(html.parse_pages(pages, "id", "url", ("content", "people", "headings")), "page-people")
     first = parsed.select("id", F.posexplode("people").alias("seq", "p")).select("id", "seq", F.col("p.name").alias("full_name"), F.nullif(F.trim("p.role"), F.lit("")).alias("role_raw"), F.col("p.email").alias("email"), F.lit("jsonld").alias("found_in"))
     rest = html.card_people(parsed, "id").select("id", "seq", F.col("name").alias("full_name"), F.col("role").alias("role_raw"), F.lit(None).cast("string").alias("email"), F.lit("page").alias("found_in"))
     known = first.select("id", F.lower("full_name").alias("name")).distinct()
@@ -69,8 +73,7 @@ def fuse_people(pages: DataFrame, dealers: DataFrame) -> DataFrame:
     and found_in (jsonld, page or address). A person has the address structured data gives, else the organisation's that a
     prefix of the name makes (both direct), else the one guessed (inferred); without any, none (direct).
     """
-    parsed = html.parse_pages(pages, "id", "url", PARTS)
-    addresses, people = ranked_addresses(parsed, dealers), named_people(parsed)
+    addresses, people = kept(ranked_addresses(pages, dealers), "ranked-addresses"), kept(named_people(pages), "named-people")
     usable = addresses.filter(F.col("rank") > SITE)
     # of addresses with one local part the last one counts: structured data's, else the locator's, else the page's
     known = usable.groupBy("id", F.lower(local_part(F.col("email"))).alias("local")).agg(F.max_by("email", F.struct("rank", "seq")).alias("known"))

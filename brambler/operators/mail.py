@@ -166,7 +166,8 @@ def extrapolate(appointees: DataFrame, formats: DataFrame) -> DataFrame:
     """
     one = formats.groupBy("release_id", "domain").agg(F.min("pattern").alias("pattern"), F.max("pattern").alias("other"))
     one = one.filter(F.col("pattern") == F.col("other")).drop("other")
-    first, last = (slug(c) for c in split_first_last(F.col("name")))
-    local = F.when((first != "") & (last != ""), generated_local(F.col("pattern"), first, last))
+    parts = lambda name: F.struct(*[slug(c).alias(n) for c, n in zip(split_first_last(name), ("f", "l"), strict=True)])
+    made = lambda p: F.when((p["f"] != "") & (p["l"] != ""), generated_local(F.col("pattern"), p["f"], p["l"]))
+    local = let(let(F.col("name"), parts), made)
     rows = appointees.join(one, "release_id").withColumn("email", F.concat(local, F.lit("@"), "domain"))
     return rows.filter("email is not null").withColumn("confidence", F.lit("inferred"))

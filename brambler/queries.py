@@ -471,7 +471,7 @@ def email_extract_documents(documents):
 
 @query()
 def email_extract_pages(pages):
-    return html.emails_of_pages(html.parse_pages(pages))
+    return html.emails_of_pages(html.parse_pages(pages, parts=("text", "mailtos")))
 
 
 _PLUMBING = "|".join(d.replace(".", r"\.") for d in vocab.INFRASTRUCTURE)
@@ -487,17 +487,17 @@ def email_generic_split(contacts):
 
 @query()
 def link_scores(pages):
-    return html.link_scores(html.parse_pages(pages))
+    return html.link_scores(html.parse_pages(pages, parts=("links",)))
 
 
 @query()
 def people_cards(pages):
-    return html.card_people(html.parse_pages(pages))
+    return html.card_people(html.parse_pages(pages, parts=("content", "headings")))
 
 
 @query()
 def jsonld_people(pages):
-    return html.jsonld_people(html.parse_pages(pages))
+    return html.jsonld_people(html.parse_pages(pages, parts=("people",)))
 
 
 def _as_mail(documents):

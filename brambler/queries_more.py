@@ -168,18 +168,32 @@ _CAP = "upper(substr({0}, 1, 1)) || substr({0}, 2)"
 )
 def team_page_people(team_pages):
     """People of pages by cards, by headings with a role, by text and from structured data."""
-    parsed = html.parse_pages(team_pages)
+    parsed = html.parse_pages(team_pages, parts=("content", "people", "headings"))
     return html.fuse_people(html.jsonld_people(parsed), html.card_people(parsed))
 
 
 @query("SELECT page_id, url || 'our-team/' AS href, 23 AS score, 1 AS rank FROM team_facts UNION ALL SELECT page_id, url || 'about', 2, 2 FROM team_facts")
 def team_page_links(team_pages):
-    return html.link_scores(html.parse_pages(team_pages))
+    return html.link_scores(html.parse_pages(team_pages, parts=("links",)))
+
+
+_PATH_SCORE = "coalesce(" + ", ".join(f"CASE WHEN contains(href, '{p}') THEN CASE WHEN href LIKE '%{p}' OR href LIKE '%{p}/' THEN 15 ELSE 10 END END" for p in vocab.TEAM_PATHS) + ", 0)"
+
+
+@query(
+    f"""WITH links AS (SELECT page_id, 1 AS pos, lower(h1) AS href, lower(t1) AS text FROM link_facts UNION ALL SELECT page_id, 2, lower(h2), lower(t2) FROM link_facts UNION ALL SELECT page_id, 3, lower(h3), lower(t3) FROM link_facts),
+    scored AS (SELECT page_id, pos, href, text, {_PATH_SCORE} + CASE WHEN regexp_matches(text, '{'|'.join(vocab.TEAM_WORDS)}') THEN 8 ELSE 0 END AS score FROM links),
+    rated AS (SELECT page_id, pos, href, CASE WHEN regexp_matches(href, '^[^?#]*[.](pdf|jpg|png)([?#].*)?$') THEN 0 WHEN score = 0 AND contains(href, 'about') AND contains(text, 'about') THEN 2 ELSE score END AS score FROM scored)
+    SELECT page_id, href, score, CAST(row_number() OVER (PARTITION BY page_id ORDER BY score DESC, pos) AS INTEGER) AS rank FROM rated WHERE score > 0"""
+)
+def page_link_ranks(link_pages):
+    """Links of pages by all paths and words that speak for people, at an end or within, and of files that are no pages."""
+    return html.link_scores(html.parse_pages(link_pages, parts=("links",)))
 
 
 @query("SELECT page_id, f1 || '@a.test' AS email FROM team_facts UNION SELECT page_id, f1 || '@a.test' FROM team_facts")
 def team_page_emails(team_pages):
-    return html.emails_of_pages(html.parse_pages(team_pages))
+    return html.emails_of_pages(html.parse_pages(team_pages, parts=("text", "mailtos")))
 
 
 _TITLES = "CASE role_raw WHEN 'sales manager' THEN 'Sales Manager' WHEN 'parts manager' THEN 'Parts Manager' WHEN 'dp' THEN 'Dealer Principal' WHEN 'gm' THEN 'General Manager' END"

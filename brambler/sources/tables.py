@@ -27,6 +27,13 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{found.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def kept(rows: DataFrame, name: str) -> DataFrame:
+    """rows written to the shared folder and read again: what they rest on is worked out once, and their size is known."""
+    path = shared_path(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def _bucket(keys: list[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from brambler.bindings import domain
 from brambler.functions import scalars as S
-from brambler.operators import html, mail, people, read, release, state
+from brambler.operators import fusion, html, mail, people, read, release, state
 from brambler.operators.preflight import contained
 from brambler.plans.batches import CEILING, FLOOR, STRICT, SWALLOW, WARM, plan_batches, schedule, target
 from brambler.sources import files, locators, messages, schemas, tables
@@ -527,3 +527,34 @@ def test_small_rests(spark, tmp_path):
     rows, outcome = state.toggle_stale(flags, spark.createDataFrame([(1,), (3,), (3,), (9,), (None,)], "id int"))
     assert sorted(map(tuple, outcome.collect())) == [(1, "cleared"), (3, "flagged"), (9, "not_found")]
     assert [tuple(r)[:5] for r in rows.orderBy("id").collect()] == [(1, False, None, "in_play", None), (2, False, None, "in_play", None), (3, True, "left_employer", "ruled_out", "left_employer")]
+
+
+def test_fused_people(spark):
+    """Hand cases of each rank; a page may be null, a listing may tell nothing."""
+    ld = lambda **x: '<script type="application/ld+json">' + json.dumps({"@type": "Person", **x}) + "</script>"
+    card = lambda name, role="Manager": f'<div class="team"><h3>{name}</h3><p>{role}</p></div>'
+    pages = {
+        1: ld(name="Ann Lee", jobTitle=" ") + card("Bo Ray") + card("ann LEE") + "<p>ab.one@site.test cd.two@site.test sales@site.test",  # the site's own
+        2: ld(name="Ann Lee") + card("Bo de Ray") + "<p>ab_one@wide.test bo@gmail.com",  # all business addresses
+        3: ld(name="Ann Lee", email="Ann.Lee@gmail.com") + card("Bo Ray"),  # structured data, free mail among it
+        4: ld(name="Cher") + card("Bo Ray"),  # the listing's domain, even free mail's
+        5: ld(name="Ann Lee") + card("Bo Ray"),  # nothing
+        6: card("Bo Ray") + card("Di Elm") + "<p>bray@site.test d.elm@site.test diel@site.test",  # one matched, one guessed
+        7: None,
+    }
+    listing = [(1, "https://www.site.test/x", None), (2, "https://site.test", None), (3, None, ""), (4, "site.test", " Hello@Gmail.com"), (5, None, "no address"), (6, "http://site.test", "x@site.test"), (7, "https://a.test", "jo.fox@a.test"), (8, None, None)]
+    dealers = spark.createDataFrame(listing, "id long, website_url string, api_email string")
+    got = fusion.fuse_people(spark.createDataFrame([(i, "https://s.test/", h) for i, h in pages.items()], "id long, url string, html string"), dealers)
+    assert {(r.id, r.full_name): (r.email, r.email_pattern, r.confidence, r.found_in) for r in got.collect()} == {
+        (1, "Ann Lee"): ("ann.lee@site.test", "first.last", "inferred", "jsonld"), (1, "Bo Ray"): ("bo.ray@site.test", "first.last", "inferred", "page"),
+        (1, "Ab One"): ("ab.one@site.test", None, "direct", "address"), (1, "Cd Two"): ("cd.two@site.test", None, "direct", "address"),
+        (2, "Ann Lee"): ("ann_lee@wide.test", "first_last", "inferred", "jsonld"), (2, "Bo de Ray"): ("bo_deray@wide.test", "first_last", "inferred", "page"),
+        (2, "Ab One"): ("ab_one@wide.test", None, "direct", "address"),
+        (3, "Ann Lee"): ("ann.lee@gmail.com", None, "direct", "jsonld"), (3, "Bo Ray"): ("bo.ray@gmail.com", "first.last", "inferred", "page"),
+        (4, "Cher"): (None, None, "direct", "jsonld"), (4, "Bo Ray"): ("bo.ray@gmail.com", None, "inferred", "page"),
+        (5, "Ann Lee"): (None, None, "direct", "jsonld"), (5, "Bo Ray"): (None, None, "direct", "page"),
+        (6, "Bo Ray"): ("bray@site.test", "first", "direct", "page"), (6, "Di Elm"): ("di@site.test", "first", "inferred", "page"),
+        (7, "Jo Fox"): ("jo.fox@a.test", None, "direct", "address"),
+    }
+    none = fusion.fuse_people(spark.createDataFrame([], "id long, url string, html string"), dealers)
+    assert [r.email for r in none.collect()] == ["x@site.test", "jo.fox@a.test"][1:]
