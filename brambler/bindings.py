@@ -205,6 +205,17 @@ TABLES = {
           CAST(o_orderdate AS DATE) AS sent_on, CASE WHEN o_orderkey % 5 = 0 THEN 'read THE MARKER here' ELSE 'plain' END AS body, CASE WHEN o_orderkey % 7 = 0 THEN '<p>the marker</p>' ELSE NULL END AS html_body
         FROM orders JOIN contacts AS c ON c.id = o_custkey WHERE c.email IS NOT NULL""",
     "sender_accounts": "SELECT DISTINCT CASE n_regionkey WHEN 0 THEN ' DESK@a.test' WHEN 1 THEN '' WHEN 2 THEN NULL ELSE 'none@a.test' END AS email FROM nation",
+    # replies that name people by address, by words near one, in a header, or none that count
+    "reply_facts": f"""
+        SELECT c_custkey AS msg_id, c_custkey % 6 AS kind, {_pick(FIRST, "c_custkey")} AS f1, {_pick(LAST, "c_custkey")} AS l1, {_pick(FIRST, "c_custkey * 3 + 7")} AS f2, {_pick(LAST, "c_custkey * 3 + 11")} AS l2, 'c' || CAST(c_custkey AS STRING) || '.test' AS dom FROM customer""",
+    "reply_names": """
+        SELECT *, upper(substr(f1, 1, 1)) || substr(f1, 2) || ' ' || upper(substr(l1, 1, 1)) || substr(l1, 2) AS n1, upper(substr(f2, 1, 1)) || substr(f2, 2) || ' ' || upper(substr(l2, 1, 1)) || substr(l2, 2) AS n2,
+          f1 || '.' || l1 || '@' || dom AS e1, substr(f2, 1, 1) || l2 || '@' || dom AS e2 FROM reply_facts""",
+    "reply_mails": """
+        SELECT msg_id, 'From: "Sam Sender" <Sam.Sender@' || dom || '>' || chr(10) || 'Subject: Automatic reply: hello' || chr(10) || 'Auto-Submitted: auto-replied' || chr(10) || CASE WHEN kind = 2 THEN 'Reply-To: "' || n1 || '" <' || upper(e1) || '>' || chr(10) ELSE '' END || chr(10) ||
+          CASE kind WHEN 0 THEN 'I am away.' || chr(10) || 'Please contact our Service Manager ' || n1 || ' at ' || e1 || '.' WHEN 1 THEN 'You may ask for ' || n2 || ', our parts interpreter, at <' || e2 || '>' WHEN 2 THEN 'Back soon.'
+            WHEN 3 THEN 'Write to info@' || dom || ', ' || f1 || CAST(msg_id AS STRING) || '@yahoo.com or sam.sender@' || dom WHEN 4 THEN 'Your ticket is 99000000' || CAST(msg_id AS STRING) || '@' || dom ELSE 'No one.' END AS raw
+        FROM reply_names""",
     "sweep": """
         SELECT email, CASE WHEN id % 2 = 0 THEN 'bounce' ELSE 'ooo' END AS kind, CASE WHEN id % 3 = 0 THEN NULL ELSE DATE '2024-01-01' + CAST(id % 20 AS INT) END AS evdate
         FROM contacts WHERE email IS NOT NULL AND id % 17 = 3""",

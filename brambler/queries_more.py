@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .bindings import AS_OF
 from .functions import scalars as S
 from .functions import vocab
-from .operators import fusion, html, people, read, release, state
+from .operators import fusion, html, mail, people, read, release, state
 from .queries import _RECENT_BATCH, _SITE_SQL, _patterns_sql, among, query
 from .sources import schemas, tables
 
@@ -253,6 +253,28 @@ def contacts_schema(contacts):
     return schemas.migrated(contacts.filter("email is not null"), "contacts", 3).select("id", "full_name", "email", "phone", "source_date")
 
 
+@query(
+    f"""WITH r AS (
+      SELECT msg_id, e1 AS email, n1 AS full_name, 'service manager' AS role_raw, NULL AS reason FROM reply_names WHERE kind = 0
+      UNION ALL SELECT msg_id, e2, n2, CASE WHEN e2 LIKE 'dp%' THEN 'dp' WHEN e2 LIKE 'gm%' THEN 'gm' ELSE 'parts interpreter' END, NULL FROM reply_names WHERE kind = 1
+      UNION ALL SELECT msg_id, e1, n1, NULL, NULL FROM reply_names WHERE kind = 2
+      UNION ALL SELECT msg_id, 'info@' || dom, NULL, NULL, 'role' FROM reply_names WHERE kind = 3
+      UNION ALL SELECT msg_id, f1 || CAST(msg_id AS VARCHAR) || '@yahoo.com', NULL, NULL, 'freemail' FROM reply_names WHERE kind = 3
+      UNION ALL SELECT msg_id, '99000000' || CAST(msg_id AS VARCHAR) || '@' || dom, NULL, NULL, 'opaque' FROM reply_names WHERE kind = 4)
+    SELECT msg_id, email, full_name, role_raw, CASE role_raw WHEN 'service manager' THEN 'Service Manager' WHEN 'parts interpreter' THEN 'Parts Interpreter' WHEN 'dp' THEN 'Dealer Principal' WHEN 'gm' THEN 'General Manager' END AS role, reason FROM r"""
+)
+def reply_people(reply_mails):
+    """People that replies name, by their address, by the words before it, or in a header; the sender is none of them."""
+    return mail.harvest_replies(mail.parse_messages(reply_mails))
+
+
+@query(
+    """SELECT msg_id, 'ooo' AS kind, 'sam.sender@' || dom AS email FROM reply_facts"""
+)
+def reply_kinds(reply_mails):
+    return mail.classify(mail.parse_messages(reply_mails)).select("msg_id", "kind", "email")
+
+
 # ---- lists and stored tables
 
 

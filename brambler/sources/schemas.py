@@ -17,6 +17,13 @@ VERSIONS: list[dict[str, str]] = [
     {"dealerships": "api_email string", "contacts": "cm_status string, suppressed boolean, suppress_reason string"},
     {"contacts": "source_detail string, source_date date, export_batch int, disposition string, ruled_out_stage string, proximity_tier string, verify_status string, verify_mx string, sent_at date, ooo_at date"},
     {"active_subscribers": "email string, first_name string, last_name string, name_key string"},
+    {
+        "dealerships": "dealer_group_id bigint, team_page_url string, team_page_html string, discovered_at timestamp, scraped_at timestamp",
+        "contacts": "exported_at timestamp, created_at timestamp, company string, details string, ruled_out_reason string, send_group string, verify_provider string, verify_catchall boolean, verify_detail string, verify_checked_at timestamp",
+        "active_subscribers": "captured_at timestamp",
+        "send_events": "id bigint, contact_id bigint, email string, campaign string, event string, bounce_type string, occurred_at timestamp, detail string, created_at timestamp",
+        "ooo_domain_formats": "domain string, pattern string, sample_email string, sender_count int, pattern_count int, first_seen_at timestamp, updated_at timestamp",
+    },
 ]
 
 

@@ -493,6 +493,9 @@ def test_stored_versions(spark, tmp_path):
     assert sorted((r.id, r.full_name, r.suppressed, r.sent_at, r.version) for r in rows.collect()) == [(1, "A", None, None, 1), (2, "B", True, None, 2)]
     with pytest.raises(Exception, match="id: no bigint: x"):
         schemas.stored(spark, [at(3)], "contacts").collect()
+    assert len(schemas.schema("contacts").names) == 36 and len(schemas.schema("dealerships").names) == 16 and {len(schemas.schema(t).names) for t in ("send_events", "ooo_domain_formats", "active_subscribers")} == {9, 7, 5}
+    with pytest.raises(KeyError):
+        schemas.schema("send_events", 4)
     for paths, version in (([at(4)], None), ([at(2)], 1)):
         with pytest.raises(ValueError):
             schemas.stored(spark, paths, "contacts", version)
