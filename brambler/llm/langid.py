@@ -84,11 +84,8 @@ def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def words_of(text: str) -> list[str]:
-    """Runs of letters, in lower case. The expression also takes numerals that are no digits; they end a word."""
-    found = RUN.findall(text.lower())
-    if all(map(str.isalpha, found)):
-        return found
-    return [x for w in found for x in ([w] if w.isalpha() else "".join(c if c.isalpha() else " " for c in w).split())]
+    """Runs of letters with their marks, in lower case; numerals end a word."""
+    return RUN.findall(text.lower())
 
 
 COUNTED = pa.schema([("lang", pa.string()), ("feature", pa.int64()), ("n", pa.int64())])

@@ -69,8 +69,34 @@ def test_held_out(spark, tmp_path):
 
 
 def test_marks_stay_in_words():
-    from brambler.llm.langid import RUN
-
-    assert RUN.findall("नमस्ते दुनिया!") == ["नमस्ते", "दुनिया"]
-    assert RUN.findall("مَرْحَبًا x1y") == ["مَرْحَبًا", "x", "y"]
-    assert RUN.findall("cafe\u0301 \u0301a _b-c2") == ["cafe\u0301", "a", "b", "c"]
+    assert words_of("नमस्ते दुनिया!") == ["नमस्ते", "दुनिया"]
+    assert words_of("مَرْحَبًا x1y") == ["مَرْحَبًا", "x", "y"]
+    assert words_of("cafe\u0301 \u0301a _b-c2 É") == ["cafe\u0301", "a", "b", "c", "é"]
+
+
+def test_whole_labels_against_brute_force(spark):
+    """Each text's labels are worth as much as the best of all ways, and the language is the one with most letters."""
+    rng = random.Random(6)
+    rows = [(i, " ".join(text(rng, rng.choice(list(LETTERS)), rng.randint(1, 9)) for _ in range(rng.randint(0, 5))), rng.choice([*LETTERS, None])) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    model = train(docs)
+    own, found = langid.Model(*model), {r.doc_id: r for r in label(docs, model).collect()}
+    learned = [(t, x) for i, t, x in rows if x and zlib.crc32(str(i).encode()) % 5]
+    assert model[0] == sorted({x for _, x in learned})
+    for k, lang in enumerate(model[0]):
+        features, _, scripts = grams([w for t, x in learned if x == lang for w in words_of(t)])
+        assert (np.bincount(features, minlength=langid.FEATURES) == model[1][:, k]).all() and (np.bincount(scripts, minlength=len(langid.NAMES)) == model[2][:, k]).all()
+    for i, t, _ in rows:
+        words, r = words_of(t), found[i]
+        if not words:
+            assert (r.lang_pred, r.score, r.spans) == ("und", 0.0, [])
+            continue
+        scores = own.look_up(words)
+        best = scores[0].astype(float).tolist()
+        for row in scores[1:]:
+            best = [max(b if j == k else b - SWITCH for j, b in enumerate(best)) + float(row[k]) for k in range(len(best))]
+        labels = [own.langs.index(s.lang) for s in r.spans for _ in range(s["from"], s.to)]
+        value = sum(float(scores[j, x]) for j, x in enumerate(labels)) - SWITCH * sum(a != b for a, b in itertools.pairwise(labels))
+        assert len(labels) == len(words) and abs(value - max(best)) < 1e-3
+        letters = [sum(len(w) for w, x in zip(words, labels, strict=True) if x == k) for k in range(len(own.langs))]
+        assert r.lang_pred == own.langs[letters.index(max(letters))] and abs(r.score - max(letters) / sum(letters)) < 1e-9
