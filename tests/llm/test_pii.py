@@ -131,3 +131,74 @@ def test_added_spans_do_not_overlap(spark):
         spans = sorted([(s.start, s.end) for s in r.base] + [(s.start, s.end) for s in r.more if all(s.end <= b.start or s.start >= b.end for b in r.base)])
         assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:], strict=False))
         assert len({s.start for s in r.more}) == len(r.more)
+
+
+def test_whole_extraction_against_brute_force(spark):
+    """Patterns and instances scored with plain dictionaries; the same spans are added."""
+    import math
+    import random
+
+    from brambler.llm.pii import ROUNDS, SEEDS, TRUST, base_spans, occurrences
+
+    rng = random.Random(3)
+    card = lambda good: next(f"4111 1111 {n % 10_000:04d} {n // 10_000:04d}" for n in iter(lambda: rng.randrange(10**8), None) if luhn(f"41111111{n % 10_000:04d}{n // 10_000:04d}") == good)
+    kinds = {
+        "mail to": [lambda: f"user{rng.randrange(90)}@mail.example"] * 9 + [lambda: f"user{rng.randrange(9)}@mailhost"],
+        "card no.": [lambda: card(True)] * 9 + [lambda: card(False)],
+        "phone:": [lambda: f"+1 555 0{rng.randrange(100, 999)} 1{rng.randrange(100, 999)}"] * 9 + [lambda: f"(555) 555-{rng.randrange(1000, 9999)}"],
+        "host is": [lambda: f"10.0.{rng.randrange(9)}.{rng.randrange(256)}"] * 9 + [lambda: f"10.0.0.{rng.randrange(256, 999)}"],
+        "see the": [lambda: str(rng.randrange(10**6)), lambda: f"user{rng.randrange(9)}@mailhost", lambda: "word"],
+    }
+    told = lambda cue: f"{cue} {rng.choice(kinds[cue])()}{rng.choice(['', ' at once', ', please do'])}"
+    rows = [(i, " ".join(told(rng.choice(list(kinds))) for _ in range(rng.randint(0, 12)))) for i in range(300)]
+    rows += [(900, None), (901, ""), (902, rows[5][1]), (902, rows[5][1])]
+    look = [(base_spans(t or ""), occurrences(t or "", base_spans(t or ""))) for _, t in rows]
+    edges: dict = {}
+    for _, seen in look:
+        for o in seen:
+            for p in o["patterns"] if o["instance"] is not None else ():
+                n, seed = edges.get((p, o["instance"]), (0, None))
+                edges[p, o["instance"]] = (n + 1, o["seed"] if seed is None or (o["seed"] is not None and o["seed"] > seed) else seed)
+    seeds: dict = {}
+    for (_, instance), (_, seed) in edges.items():
+        if seed is not None:
+            seeds[instance] = max(seed, seeds.get(instance, seed))
+    scores, size, trusted = {(i, k): 1.0 for i, k in seeds.items()}, {}, {}
+    for (p, _), (n, _) in edges.items():
+        size[p] = size.get(p, 0) + n
+    for _ in range(ROUNDS):
+        filled: dict = {}
+        for (p, i), (n, _) in edges.items():
+            for k in range(4):
+                if (i, k) in scores:
+                    s, many = filled.get((p, k), (0.0, 0))
+                    filled[p, k] = (s + n * scores[i, k], many + (scores[i, k] >= 1))
+        score_of = {(p, k): (s / (size[p] + 0.5), many) for (p, k), (s, many) in filled.items()}
+        good = {pk: s for pk, (s, many) in score_of.items() if many >= SEEDS}
+        trusted = {pk: s for pk, s in good.items() if s >= TRUST}
+        doubt: dict = {}
+        for (p, i), (_, seed) in edges.items():
+            for k in range(4):
+                if seed is None and i not in seeds and (p, k) in good:
+                    doubt[i, k] = doubt.get((i, k), 0.0) + math.log1p(-min(good[p, k], 0.999))
+        scores = {(i, k): 1.0 for i, k in seeds.items()} | {ik: min(1 - math.exp(x), 0.99) for ik, x in doubt.items()}
+    want = []
+    for (doc, _), (base, seen) in zip(rows, look, strict=True):
+        best: dict = {}
+        for o in seen:
+            if o["seed"] is None and o["kinds"]:
+                for p in o["patterns"]:
+                    for k in range(4):
+                        if o["kinds"] >> k & 1 and (p, k) in trusted:
+                            best[o["start"]] = max(best.get(o["start"], (0.0, 0, 0)), (trusted[p, k], o["end"], -k))
+        more, past = [], -1
+        for a in sorted(best):
+            _, b, k = best[a]
+            if a >= past:
+                more.append((-k, a, b))
+            past = max(past, b)
+        want.append((doc, sorted(base), sorted(more)))
+    got = find_pii(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    spans = lambda ss: sorted((s.kind, s.start, s.end) for s in ss)
+    assert sorted((r.doc_id, spans(r.base), spans(r.more)) for r in got) == sorted(want)
+    assert sum(len(m) for _, _, m in want) > 20
