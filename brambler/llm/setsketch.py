@@ -425,3 +425,19 @@ def op10_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(read(spark, sf_dir, "documents"))
     ids = [F.when(F.col(c) != NO_ID, F.col(c)).alias(n) for c, n in (("doc", "doc_id"), ("component_id", "component_id"))]
     return found.select(ids[0], "n_shingles", ids[1], (F.col("doc") == F.col("component_id")).alias("kept"))
+
+
+#: Whole-table SQL for the same rows.
+OP10_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + 4], ' ') END AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles AS a JOIN shingles AS b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM pairs JOIN sizes AS x ON x.doc_id = a JOIN sizes AS y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+ties AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id AS doc, doc_id AS met FROM documents UNION SELECT reach.doc, ties.b FROM reach JOIN ties ON ties.a = reach.met)
+SELECT doc AS doc_id, coalesce(max(n), 0) AS n_shingles, min(met) AS component_id, doc = min(met) AS kept FROM reach LEFT JOIN sizes ON sizes.doc_id = doc GROUP BY doc
+"""

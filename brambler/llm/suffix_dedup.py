@@ -380,3 +380,18 @@ def remove_repeats(docs: DataFrame, whole: bool = True) -> DataFrame:
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_repeats(read(spark, sf_dir, "documents"), whole=False)
     return found.select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.col("text").cast("string").alias("kept_sha256"))
+
+
+#: Whole-table SQL for the same rows.
+OP1_SQL = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+places AS (SELECT doc_id, unnest(range(0, n)) AS i FROM d),
+windows AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM places JOIN d USING (doc_id) WHERE i <= n - 50),
+owner AS (SELECT s, min(doc_id) AS own FROM windows GROUP BY s HAVING count(*) > 1),
+later AS (SELECT doc_id, i FROM windows JOIN owner USING (s) WHERE own < doc_id),
+marked AS (SELECT doc_id, i, coalesce(max(CASE WHEN later.i IS NOT NULL THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), 0) AS gone FROM places LEFT JOIN later USING (doc_id, i)),
+runs AS (SELECT doc_id, i, gone, gone - coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), 0) = 1 AS begins FROM marked)
+SELECT doc_id, any_value(n) AS n_bytes, count(*) FILTER (gone = 1) AS n_removed, count(*) FILTER (begins) AS n_spans,
+  sha256(from_hex(coalesce(string_agg(substr(h, 2 * i + 1, 2), '' ORDER BY i) FILTER (gone = 0), ''))) AS kept_sha256
+FROM d LEFT JOIN runs USING (doc_id) GROUP BY doc_id
+"""

@@ -43,6 +43,13 @@ def hashed(text: bytes, cache: WordHashes) -> np.ndarray:
     return np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
 
 
+def multiplier(place: int) -> np.uint64:
+    """An odd number for each place of a run. They must not be in proportion: with 1, 3, 5, 7, 9 times one number, a a a b b
+    and b b b b a are one run, as 9 + 16 = 25."""
+    with np.errstate(over="ignore"):
+        return mix(np.uint64(0x9E3779B97F4A7C15) * np.uint64(place + 1)) | np.uint64(1)
+
+
 def shingles(words: np.ndarray, width: int = 5) -> np.ndarray:
     """Distinct hashes of all runs of `width` words, sorted; of all words as one run if there are fewer."""
     if not len(words):
@@ -51,5 +58,5 @@ def shingles(words: np.ndarray, width: int = 5) -> np.ndarray:
     n = len(words) - width + 1
     out = np.full(n, np.uint64(width), np.uint64)
     for j in range(width):
-        out += words[j : j + n] * np.uint64((0x9E3779B97F4A7C15 * (2 * j + 1)) & MASK)
+        out += words[j : j + n] * multiplier(j)
     return np.unique(mix(out))

@@ -118,3 +118,53 @@ def test_small_sources_and_clashing_names(spark):
     mixed = mixing.mixed_documents(docs)
     assert mixed.columns == docs.columns and {(r.doc_id, r.source, r["__row"], r["__s"], r["__TIE"]) for r in mixed.collect()} <= {(r[0], r[2], r[3], r[4], r[5]) for r in rows}
     assert sum(len(r.text.split()) for r in mixed.collect()) == sum(map(sum, taken.values()))
+
+
+def test_whole_mix_against_brute_force(spark, monkeypatch):
+    """Sources, shards, lines of documents, blocks and quotients with plain loops; every document's rounds and pieces agree."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(mixing, "SHARD", 400)
+    rng = random.Random(11)
+    rows = [(i, " ".join(["w"] * rng.choice([0, 1, 3, 20, 90, 300])), rng.choice(["a", "b", "ä", "z", None])) for i in range(150)]
+    rows += [(7, "x y", "a"), (7, "x y z", "a"), (None, "n n n", "b"), (200, None, "a"), (201, "only", "tiny")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    order = F.xxhash64(F.col("doc_id").cast("string"), F.lit(mixing.SEED), F.when(F.col("doc_id").isNull(), F.col("text")))
+    known = docs.select("doc_id", "text", "source", order.alias("o")).withColumn("h", F.xxhash64("o", F.lit(mixing.SEED + 1))).withColumn("tie", F.xxhash64(F.when(F.col("doc_id").isNull(), F.col("text")))).collect()
+    size = lambda t: len((t or "").encode().split())
+    total = {s: sum(size(r.text) for r in known if r.source == s) for s in {r.source for r in known}}
+    names = sorted((s for s in total if s is not None)) + [None] * (None in total)
+    goal = targets([total[s] for s in names])
+
+    def quotients(weights, limits, seats):
+        q = [0] * len(weights)
+        for _ in range(min(seats, sum(n for n, w in zip(limits, weights, strict=True) if w > 0))):
+            k = max((k for k in range(len(q)) if q[k] < limits[k] and weights[k] > 0), key=lambda k: (weights[k] / (2 * q[k] + 1), -k))
+            q[k] += 1
+        return q
+
+    lines, block = {}, {s: mixing.block_of(total[s]) for s in names}
+    for k, s in enumerate(names):
+        shards = max(1, -(-total[s] // 400))
+        for r in known:
+            if r.source == s:
+                lines.setdefault((k, r.h % shards), []).append(r)
+    words = {at: sum(size(r.text) for r in rs) for at, rs in lines.items()}
+    blocks = {at: -(-n // block[names[at[0]]]) for at, n in words.items()}
+    own = [sum(n for (k, _), n in blocks.items() if k == j) for j in range(len(names))]
+    goals = [goal[j] * own[j] / max(total[s], 1) for j, s in enumerate(names)]
+    seats = quotients(goals, [2 * n for n in own], round(sum(goals)))
+    want = []
+    for j, s in enumerate(names):
+        shards = sorted(at for at in lines if at[0] == j)
+        for at, quota in zip(shards, quotients([words[a] for a in shards], [2 * blocks[a] for a in shards], seats[j]), strict=True):
+            rounds, rest = divmod(quota, blocks[at]) if blocks[at] else (0, 0)
+            chosen = {b for b in range(blocks[at]) if mixing.permuted(j, at[1], blocks[at], np.array([b]))[0] < rest}
+            start = 0
+            for r in sorted(lines[at], key=lambda r: (r.o, r.doc_id is not None, r.doc_id or 0, size(r.text))):
+                n = size(r.text)
+                more = sum((start + i) // block[s] in chosen for i in range(n))
+                want.append((-1 if r.doc_id is None else r.doc_id, n, total[s], round(goal[j], 6), rounds * n + more, rounds if n else rounds))
+                start += n
+    got = sorted((-1 if r.doc_id is None else r.doc_id, r.size, r.source_size, round(r.target, 6), r.taken, r.rounds) for r in mixing.mix(docs).collect())
+    assert [g[:5] for g in got] == [w[:5] for w in sorted(want)]

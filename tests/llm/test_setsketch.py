@@ -107,3 +107,16 @@ def test_other_pairs_are_whole(spark, monkeypatch):
     monkeypatch.setattr(setsketch, "first_partners", lambda shared: shared.select("band", "head", "rep").toDF("block", "a", "b").limit(0))
     monkeypatch.setattr(setsketch, "BLOCK", 16)
     check(spark, corpus())
+
+
+def test_runs_of_two_words_are_told_apart():
+    """Sets of texts made of runs of few words are as large as their distinct shingles."""
+    import itertools
+
+    from brambler.llm.words import WordHashes, hashed, shingles
+
+    texts_ = [" ".join(w for w, n in zip(ws, ns, strict=True) for _ in range(n)) for ws in itertools.permutations(["to", "of", "in"], 3) for ns in ((9, 9, 9), (3, 2, 4), (1, 5, 2))]
+    texts_ += ["to " * 20 + "of " * 20 + "to " * 20, " ".join(random.Random(4).choices(["a", "b"], k=400))]
+    for text in texts_:
+        w = text.split()
+        assert len(shingles(hashed(text.encode(), WordHashes()))) == len({tuple(w[i : i + 5]) for i in range(len(w) - 4)})
