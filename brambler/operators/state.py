@@ -55,6 +55,11 @@ def replace_if(column: str, condition):
     return lambda c, o, n: F.when(condition(o), n).otherwise(o) if c == column else o
 
 
+def site_unknown(site: Column) -> Column:
+    """Whether a site is none of its organisation's: missing, or a map's."""
+    return site.isNull() | F.contains(site, F.lit("google.com/maps"))
+
+
 def prefer_new(c: str, o: Column, n: Column) -> Column:
     return n
 

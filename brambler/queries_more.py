@@ -314,6 +314,18 @@ def stored_versions(contacts):
     return schemas.stored(spark, paths, "contacts", 3).select("id", "full_name", "email", "suppressed", "source_date", "version")
 
 
+@query(
+    """WITH o AS (SELECT id, CASE id % 4 WHEN 0 THEN NULL WHEN 1 THEN 'https://www.google.com/maps/place/' || CAST(id AS VARCHAR) ELSE website_url END AS site FROM dealerships WHERE id % 7 <> 0), n AS (SELECT id, CASE WHEN id % 10 = 0 THEN NULL ELSE 'https://new' || CAST(id AS VARCHAR) || '.test' END AS site FROM dealerships WHERE id % 3 <> 0)
+    SELECT id, CASE WHEN o.id IS NULL THEN n.site WHEN n.id IS NOT NULL AND (o.site IS NULL OR contains(o.site, 'google.com/maps')) THEN n.site ELSE o.site END AS site, o.id IS NULL AS inserted FROM o FULL JOIN n USING (id)"""
+)
+def upsert_site(dealerships):
+    """A site gives way to a new one only where it is missing or a map's."""
+    at = F.col("id") % 4
+    old = dealerships.filter("id % 7 <> 0").select("id", F.when(at == 0, None).when(at == 1, F.concat(F.lit("https://www.google.com/maps/place/"), "id")).otherwise(F.col("website_url")).alias("site"))
+    new = dealerships.filter("id % 3 <> 0").select("id", F.when(F.col("id") % 10 != 0, F.concat(F.lit("https://new"), "id", F.lit(".test"))).alias("site"))
+    return state.upsert(old, new, ["id"], [F.col("id")], state.replace_if("site", state.site_unknown))
+
+
 # ---- lookups, probes, flags and stamps
 
 
