@@ -98,6 +98,8 @@ def harvest_replies(parsed: DataFrame, self_domains: tuple[str, ...] = ()) -> Da
     """People named in replies: address, name and role nearby. The sender is never one; the first capture of an address
     counts unless it has no role and a later one has."""
     text = F.concat_ws(" ", F.coalesce("reply_to", F.lit("")), "body")
+    if "sender_address" not in parsed.columns:
+        parsed = parsed.withColumn("sender_address", F.lower(F.regexp_extract("sender", vocab.ADDRESS, 0)))
     hits = parsed.select("msg_id", "sender_address", "body", text.alias("text")).select("msg_id", "sender_address", "body", F.posexplode(F.regexp_extract_all("text", F.lit(r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}"), F.lit(0))).alias("pos", "raw"))
     rows = hits.withColumn("email", clean_address(F.col("raw"))).filter("email is not null").filter(~F.col("email").eqNullSafe(F.col("sender_address")))
     context, window = context_of(F.col("body"), F.col("email"))

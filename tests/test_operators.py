@@ -91,7 +91,8 @@ def test_planner_keeps_all(sizes, strict):
     flat = [x for b in found for x in b]
     assert sorted(flat) == sorted((d, p) for d, n in rows for p in range(n))
     if strict <= 5 and all(len(b) >= 50 for b in found):
-        assert all(max(Counter(d for d, _ in b).values()) <= CEILING for b in found)
+        # folding keeps to the ceiling; what is swallowed behind it, under SWALLOW contacts, does not
+        assert all(max(Counter(d for d, _ in b).values()) <= CEILING + SWALLOW - 1 for b in found)
 
 
 def test_planner_examples():
@@ -421,7 +422,7 @@ def test_tables_in_cells(spark):
     found = release.contact_tables(spark.createDataFrame([(1, body), (2, None), (3, "<table><tr><td>Al Ray</td></tr>")], "release_id int, content_html string")).orderBy("seq").collect()
     # the outer table's first row with an address is the one that holds the inner table; its cells come before the inner table's own
     assert [(r.name, r.email) for r in found] == [(None, "bo@a.test"), (None, "bo@a.test"), ("Bo Example", "bo@a.test")]
-    head = f"<table><tr><th>Contacts {inner.replace('bo@a.test', 'logo')}</th></tr><tr><td>Ann Example</td></tr><tr><td>ann@a.test</td></tr></table>"
+    head = f"<table><tr><th>Contacts <table><tr><td>logo</td></tr></table></th></tr><tr><td>Ann Example</td></tr><tr><td>ann@a.test</td></tr></table>"
     found = release.contact_tables(spark.createDataFrame([(1, head)], "release_id int, content_html string")).collect()
     assert [(r.name, r.email) for r in found] == [("Ann Example", "ann@a.test")]
     tail = f"<table><tr><td>{inner}</td></tr><tr><td>Ann Example</td></tr><tr><td>ann@a.test</td></tr></table>"
