@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "conversations")
 #: Queries never look at the clock.
 AS_OF = "DATE '2024-01-31'"
+#: Tables of texts that Python reads row by row, and the keys by which the rows they are made of are dealt out before.
+READ_BY_PYTHON = {"team_pages", "link_pages", "dealer_pages", "releases", "reply_mails"}
+DEALT_BY = {"supplier": "s_suppkey", "orders": "o_orderkey", "customer": "c_custkey"}
 
 
 def _pick(words: list[str], number: str) -> str:
@@ -262,6 +265,9 @@ def domain(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
     names = [*needed(f"FROM {name}")]
     text = " ".join(TABLES[n] for n in names)
-    base = [f"{t} AS (SELECT * FROM parquet.`{sf_dir}/{t}.parquet`)" for t in DRIVER_TABLES if re.search(rf"\b(?:FROM|JOIN)\s+{t}\b", text)]
+    # a file is read by as many tasks as it has row groups, of a million short rows: texts are made behind the shuffle, in all tasks
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    dealt = lambda t: f"/*+ REPARTITION({parts}, {DEALT_BY[t]}) */ " if name in READ_BY_PYTHON and t in DEALT_BY else ""
+    base = [f"{t} AS (SELECT {dealt(t)}* FROM parquet.`{sf_dir}/{t}.parquet`)" for t in DRIVER_TABLES if re.search(rf"\b(?:FROM|JOIN)\s+{t}\b", text)]
     # DATE + days is the same text in both; a timestamp without zone is an instant of UTC
     return spark.sql("WITH " + ",\n".join([*base, *(f"{n} AS ({TABLES[n]})" for n in names)]) + f"\nSELECT * FROM {name}")

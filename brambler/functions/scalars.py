@@ -167,9 +167,17 @@ def local_day(at: Column, zone: str = "Australia/Melbourne") -> Column:
     return F.date_format(F.convert_timezone(F.lit("UTC"), F.lit(zone), at.cast("timestamp_ntz")), "yyyy-MM-dd")
 
 
+#: Lower-case addresses that clean_address() leaves as they are: the usual form, no file's name.
+PLAIN_ADDRESS = r"^[a-z0-9%][a-z0-9._%+\-]*@[a-z0-9.\-]*\.(?!(?:png|jpe?g|gif|svg|webp|bmp|ico|css|js|woff2?|ttf)\z)[a-z]{2,}\z"
+
+
 def clean_address(raw: Column) -> Column:
     """A matched address without marks around it; null if it is none or a file's name."""
     text = F.regexp_replace(F.lower(F.trim(raw)), r"^[.,;:<>()\[\]\"']+|[.,;:<>()\[\]\"']+$", "")
-    local, domain = F.regexp_replace(local_part(text), r"^[\-._+]+", ""), F.regexp_extract(text, "@(.*)$", 1)
-    bad = (local == "") | ~F.contains(domain, F.lit(".")) | domain.rlike(r"(?i)\.(png|jpe?g|gif|svg|webp|bmp|ico|css|js|woff2?|ttf)$")
-    return F.when(~bad, F.concat(local, F.lit("@"), domain))
+    parts = let(text, lambda t: F.struct(F.regexp_replace(local_part(t), r"^[\-._+]+", "").alias("local"), F.regexp_extract(t, "@(.*)$", 1).alias("domain")))
+
+    def whole(p: Column) -> Column:
+        bad = (p["local"] == "") | ~F.contains(p["domain"], F.lit(".")) | p["domain"].rlike(r"(?i)\.(png|jpe?g|gif|svg|webp|bmp|ico|css|js|woff2?|ttf)$")
+        return F.when(~bad, F.concat(p["local"], F.lit("@"), p["domain"]))
+
+    return let(F.lower(F.trim(raw)), lambda t: F.when(t.rlike(PLAIN_ADDRESS), t).otherwise(let(parts, whole)))

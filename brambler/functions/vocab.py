@@ -242,5 +242,7 @@ APPOINTED = [
     r"(?U)([A-Z][a-zA-Z'\-]+(?: [A-Z][a-zA-Z'\-]+){1,2})\s+has been named(?:\s+(?:as|to)\s+)?(?:its |the |a |an )?([^.,;()\n]{3,60})?",
     r"(?U)(?:welcomes?|welcomed)\s+([A-Z][a-zA-Z'\-]+(?: [A-Z][a-zA-Z'\-]+){1,2})(?:\s+(?:as|to)\s+(?:its |the |a |an )?([^.,;()\n]{3,60}))?",
 ]
+#: What a text must hold for the sentence in the same place above to match.
+APPOINTED_WORDS = ["appointed", "has been appointed", "join", "appointment of", "has been named", "welcome"]
 # Fields of a release in which its date may stand, in order.
 DATE_FIELDS = ["published_at", "publishedAt", "release_date", "releaseDate", "date", "created_at", "createdAt", "publish_date", "live_date"]

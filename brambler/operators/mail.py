@@ -3,25 +3,27 @@
 from __future__ import annotations
 
 import email
-from collections.abc import Iterator
+import functools
 from email.header import decode_header, make_header
 from email.utils import getaddresses, parseaddr, parsedate_to_datetime
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import vocab
-from ..functions.scalars import clean_address, domain_part, generated_local, let, local_part, role_found, role_normalised, slug, split_first_last
+from ..functions.scalars import clean_address, domain_part, first_contained, generated_local, let, local_part, slug, split_first_last
 from .people import reject_reason
 from .tree import tree
 
 
 def _header(message, name: str) -> str:
+    own = message.get(name) or ""
+    if isinstance(own, str) and "=?" not in own:
+        return own  # no encoded word in it
     try:
-        return str(make_header(decode_header(message.get(name) or "")))
+        return str(make_header(decode_header(own)))
     except (ValueError, LookupError):
-        return message.get(name) or ""
+        return own
 
 
 def _body(message) -> str:
@@ -39,28 +41,31 @@ def _body(message) -> str:
     return ""
 
 
-PARSED = "subject string, sender string, sender_name string, sender_address string, reply_to string, auto boolean, sent_on string, body string"
+PARSED = "subject string, sender string, sender_name string, sender_address string, reply_to string, auto boolean, sent_on string"
 
 
-def parse_messages(messages: DataFrame) -> DataFrame:
-    """msg_id and raw with the headers that matter and the body."""
+def _parsed(raw: str | None, body: bool) -> tuple:
+    m = email.message_from_string((raw or "").lstrip("\r\n"))
+    auto = (m.get("Auto-Submitted") or "").strip().lower()
+    try:
+        day = parsedate_to_datetime(m.get("Date")).date().isoformat()
+    except (TypeError, ValueError, AttributeError):
+        day = None
+    sender = _header(m, "From")
+    name, address = parseaddr(sender)
+    replies = " ".join(a for _, a in getaddresses([_header(m, "Reply-To")]) if a)
+    own = (_header(m, "Subject"), sender, name, address.strip().lower(), replies, bool((auto and auto != "no") or m.get("X-Autoreply") or m.get("X-Autorespond")), day)
+    return (*own, _body(m)) if body else own
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for k, raw in zip(batch["msg_id"], batch["raw"], strict=True):
-                m = email.message_from_string((raw or "").lstrip("\r\n"))
-                auto = (m.get("Auto-Submitted") or "").strip().lower()
-                try:
-                    day = parsedate_to_datetime(m.get("Date")).date().isoformat()
-                except (TypeError, ValueError, AttributeError):
-                    day = None
-                name, address = parseaddr(_header(m, "From"))
-                replies = " ".join(a for _, a in getaddresses([_header(m, "Reply-To")]) if a)
-                rows.append((k, raw, _header(m, "Subject"), _header(m, "From"), name, address.strip().lower(), replies, bool((auto and auto != "no") or m.get("X-Autoreply") or m.get("X-Autorespond")), day, _body(m)))
-            yield pd.DataFrame(rows, columns=["msg_id", "raw", "subject", "sender", "sender_name", "sender_address", "reply_to", "auto", "sent_on", "body"])
 
-    return messages.select("msg_id", "raw").mapInPandas(run, f"msg_id {dict(messages.dtypes)['msg_id']}, raw string, {PARSED}")
+def parse_messages(messages: DataFrame, body: bool = True) -> DataFrame:
+    """msg_id and raw with the headers that matter and the body, if it is wanted.
+
+    Messages may be long: they go to Python a hundred at a time, not ten thousand as batches of Arrow do, and don't come back.
+    """
+    kind = f"{PARSED}, body string" if body else PARSED
+    read = F.udf(functools.partial(_parsed, body=body), kind, useArrow=False).asNondeterministic()  # so that it is never worked out twice
+    return messages.select("msg_id", "raw", read("raw").alias("parsed")).select("msg_id", "raw", "parsed.*")
 
 
 def classify(parsed: DataFrame) -> DataFrame:
@@ -74,24 +79,37 @@ def classify(parsed: DataFrame) -> DataFrame:
 
 def person_name(name: Column) -> Column:
     """Two or three words that are no words of titles or companies."""
-    words = F.split(F.trim(name), r"\s+")
-    return F.size(words).between(2, 3) & ~F.exists(words, lambda w: F.lower(w).isin(vocab.NOT_NAMES))
+    return let(F.split(F.trim(name), r"\s+"), lambda words: F.size(words).between(2, 3) & ~F.exists(words, lambda w: F.lower(w).isin(vocab.NOT_NAMES)))
 
 
 def name_of_local(local: Column) -> Column:
-    parts = F.split(local, "[._]")
-    return F.when((F.size(parts) == 2) & F.forall(parts, lambda p: p.rlike("^[A-Za-z]{2,}$")), F.initcap(F.array_join(parts, " ")))
+    return let(F.split(local, "[._]"), lambda parts: F.when((F.size(parts) == 2) & F.forall(parts, lambda p: p.rlike("^[A-Za-z]{2,}$")), F.initcap(F.array_join(parts, " "))))
+
 
+def place_of(email: Column, lower: Column) -> Column:
+    """An address's first place in a text in lower case; null if it isn't there."""
+    return let(F.instr(lower, email), lambda at: F.when(at > 0, at))
 
-def context_of(body: Column, email: Column) -> tuple[Column, Column]:
-    """The name next before an address's first place in a text, else the first one in its line; and the text around it in
-    which a role may stand. An address that isn't in the text has none."""
-    at = F.nullif(F.instr(F.lower(body), email), F.lit(0))
+
+def name_near(body: Column, at: Column) -> Column:
+    """The name next before a place in a text, else the first one in its line."""
     start = F.greatest(at - 220, F.lit(1))
     near = F.regexp_extract_all(F.substring(body, start, at - start), F.lit(vocab.NAME_NEAR), F.lit(1))
     line = F.concat(F.substring_index(F.substring(body, F.lit(1), at - 1), "\n", -1), F.substring_index(F.substring(body, at, F.length(body)), "\n", 1))
-    name = F.when(F.size(near) > 0, F.element_at(near, -1)).otherwise(F.nullif(F.regexp_extract(line, vocab.NAME_NEAR, 1), F.lit("")))
-    return name, F.substring(body, start, at + 60 - start)
+    return let(near, lambda names: F.when(F.size(names) > 0, F.element_at(names, -1)).otherwise(F.nullif(F.regexp_extract(line, vocab.NAME_NEAR, 1), F.lit(""))))
+
+
+def window_of(body: Column, at: Column) -> Column:
+    """The text around a place in which a role may stand."""
+    start = F.greatest(at - 220, F.lit(1))
+    return F.substring(body, start, at + 60 - start)
+
+
+def roles_in(window: Column) -> Column:
+    """The first title that a text contains, as it is listed (role_raw), and what it stands for (role)."""
+    found = let(F.lower(F.trim(window)), lambda text: first_contained(text, {k: k for k in vocab.ROLES}))
+    role = lambda raw: functools.reduce(lambda c, kv: c.when(raw == kv[0], F.lit(kv[1])), vocab.ROLES.items(), F.when(raw.isNull(), F.lit(None).cast("string")))
+    return let(found, lambda raw: F.struct(raw.alias("role_raw"), role(raw).alias("role")))
 
 
 def harvest_replies(parsed: DataFrame, self_domains: tuple[str, ...] = ()) -> DataFrame:
@@ -102,9 +120,11 @@ def harvest_replies(parsed: DataFrame, self_domains: tuple[str, ...] = ()) -> Da
         parsed = parsed.withColumn("sender_address", F.lower(F.regexp_extract("sender", vocab.ADDRESS, 0)))
     hits = parsed.select("msg_id", "sender_address", "body", text.alias("text")).select("msg_id", "sender_address", "body", F.posexplode(F.regexp_extract_all("text", F.lit(r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}"), F.lit(0))).alias("pos", "raw"))
     rows = hits.withColumn("email", clean_address(F.col("raw"))).filter("email is not null").filter(~F.col("email").eqNullSafe(F.col("sender_address")))
-    context, window = context_of(F.col("body"), F.col("email"))
-    own = name_of_local(local_part(F.col("email")))
-    rows = rows.withColumns({"role_raw": let(window, role_found), "role": let(window, role_normalised), "full_name": F.coalesce(F.when(person_name(own), own), F.when(person_name(context), context)), "reason": reject_reason(local_part(F.col("email")), domain_part(F.col("email")), self_domains)})
+    own, person = name_of_local(local_part(F.col("email"))), lambda name: F.when(person_name(name), name)
+    told = lambda at: F.struct(F.coalesce(let(own, person), let(name_near(F.col("body"), at), person)).alias("full_name"), let(window_of(F.col("body"), at), roles_in).alias("in"))
+    said = let(place_of(F.col("email"), F.lower("body")), told)
+    rows = rows.withColumn("said", said)
+    rows = rows.withColumns({"role_raw": F.col("said.in.role_raw"), "role": F.col("said.in.role"), "full_name": F.col("said.full_name"), "reason": reject_reason(local_part(F.col("email")), domain_part(F.col("email")), self_domains)})
     first = Window.partitionBy("email").orderBy(F.col("role").isNull(), "msg_id", "pos")
     return rows.withColumn("n", F.row_number().over(first)).filter("n = 1").select("email", "full_name", "role_raw", "role", "reason", "msg_id")
 
@@ -121,8 +141,8 @@ def release_date_of(payload: Column) -> Column:
 
 def release_name(name: Column) -> Column:
     """Two or three words, none of a role, label or company."""
-    words = F.split(F.trim(name), r"\s+")
-    return F.size(words).between(2, 3) & ~F.exists(words, lambda w: F.btrim(F.lower(w), F.lit(".,'")).isin(vocab.RELEASE_NOT_NAMES))
+    word = lambda w: F.btrim(F.lower(w), F.lit(".,'")).isin(vocab.RELEASE_NOT_NAMES)
+    return let(F.split(F.trim(name), r"\s+"), lambda words: F.size(words).between(2, 3) & ~F.exists(words, word))
 
 
 def appointed_role(raw: Column) -> Column:
@@ -132,22 +152,35 @@ def appointed_role(raw: Column) -> Column:
     role = F.regexp_replace(role, r"\s+(?:at|for|of the|with)\s+[A-Z].*", "")
     role = F.regexp_replace(role, rf"(?<!\b(?:[Hh]ead|[Cc]hief))\s+of\s+(?!(?i:{'|'.join(vocab.TITLE_WORDS)})\b)[A-Z].*", "")
     role = tidy(F.regexp_replace(role, r"(?i)\s+(?:from|effective|commencing|starting|beginning)\b.*", ""))
-    return F.when((role != "") & (F.size(F.split(role, " +")) <= 8), role)
+    return let(role, lambda own: F.when((own != "") & (F.size(F.split(own, " +")) <= 8), own))
 
 
-def appointments(releases: DataFrame) -> DataFrame:
-    """release_id, name and role of all people said to be appointed; a gate on title and start comes first.
+def appointees(title: Column, body: Column) -> Column:
+    """Names and roles of all people said to be appointed; a gate on title and start comes first.
 
-    Each pattern's every match in title and text counts, a name once for a release, with the first role that it has.
+    Each pattern's every match in title and text counts, a name once, with the first role that it has. A pattern is only
+    tried on texts that hold a word without which it can't match.
     """
-    blob = F.concat(F.coalesce("title", F.lit("")), F.lit(". "))
-    rows = releases.filter("body <> ''").filter(F.concat(blob, F.substring("body", 1, 1500)).rlike(vocab.APPOINTING))
-    rows = rows.select("release_id", F.substring(F.concat(blob, F.col("body")), 1, 1800).alias("head"))
-    matches = [F.arrays_zip(F.regexp_extract_all("head", F.lit(p), F.lit(1)).alias("name"), F.regexp_extract_all("head", F.lit(p), F.lit(2)).alias("role")) for p in vocab.APPOINTED]
-    found = F.filter(F.concat(*matches), lambda m: release_name(m["name"]))
-    rows = rows.select("release_id", F.transform(found, lambda m: F.struct(m["name"].alias("name"), appointed_role(m["role"]).alias("role"))).alias("found"))
-    rows = rows.select("release_id", "found", F.explode(F.array_distinct(F.transform("found", lambda m: m["name"]))).alias("name"))
-    return rows.select("release_id", "name", F.get(F.filter("found", lambda m: (m["name"] == F.col("name")) & m["role"].isNotNull()), F.lit(0))["role"].alias("role"))
+    none = F.array().cast("array<struct<name:string,role:string>>")
+
+    def matches(head: Column, pattern: str, word: str) -> Column:
+        every = F.zip_with(*[F.regexp_extract_all(head, F.lit(pattern), F.lit(k)) for k in (1, 2)], lambda name, role: F.struct(name.alias("name"), role.alias("role")))
+        return F.when(F.contains(head, F.lit(word)), every).otherwise(none)
+
+    def told(head: Column) -> Column:
+        every = F.concat(*[matches(head, p, w) for p, w in zip(vocab.APPOINTED, vocab.APPOINTED_WORDS, strict=True)])
+        found = F.transform(F.filter(every, lambda m: release_name(m["name"])), lambda m: F.struct(m["name"].alias("name"), appointed_role(m["role"]).alias("role")))
+        role = lambda all_, name: F.get(F.filter(all_, lambda m: (m["name"] == name) & m["role"].isNotNull()), F.lit(0))["role"]
+        return let(found, lambda all_: F.transform(F.array_distinct(F.transform(all_, lambda m: m["name"])), lambda name: F.struct(name.alias("name"), role(all_, name).alias("role"))))
+
+    blob = F.concat(F.coalesce(title, F.lit("")), F.lit(". "))
+    gate = (body != "") & F.concat(blob, F.substring(body, 1, 1500)).rlike(vocab.APPOINTING)
+    return F.when(gate, let(F.substring(F.concat(blob, body), 1, 1800), told)).otherwise(none)
+
+
+def appointments(releases: DataFrame) -> DataFrame:
+    """release_id, name and role of appointees() in title and body of each release."""
+    return releases.select("release_id", F.inline(appointees(F.col("title"), F.col("body"))))
 
 
 def in_house(client: Column, domain: Column, agencies: list[str] = vocab.HOUSE_AGENCIES) -> Column:
@@ -157,8 +190,15 @@ def in_house(client: Column, domain: Column, agencies: list[str] = vocab.HOUSE_A
     words = F.filter(words, lambda w: (F.length(w) >= 3) & ~w.isin(vocab.CLIENT_STOPS))
     labels = F.array_except(F.split(F.lower(domain), r"\."), F.array(*map(F.lit, vocab.DOMAIN_ENDS)))
     meets = lambda w, x: (w == x) | ((F.length(w) >= 4) & (F.contains(x, w) | ((x != "") & F.contains(w, x))))
-    own = F.exists(words, lambda w: F.exists(labels, lambda x: meets(w, x)))
-    return F.coalesce(~F.arrays_overlap(labels, F.array(*map(F.lit, agencies))) & own, F.lit(False))
+    own = lambda all_: F.exists(words, lambda w: F.exists(all_, lambda x: meets(w, x)))
+    return F.coalesce(let(labels, lambda all_: ~F.arrays_overlap(all_, F.array(*map(F.lit, agencies))) & own(all_)), F.lit(False))
+
+
+def made_local(name: Column, pattern: Column) -> Column:
+    """The local part that a pattern gives a name; null if a part of the name has no letters."""
+    parts = lambda whole: F.struct(*[slug(c).alias(n) for c, n in zip(split_first_last(whole), ("f", "l"), strict=True)])
+    made = lambda p: F.when((p["f"] != "") & (p["l"] != ""), generated_local(pattern, p["f"], p["l"]))
+    return let(let(name, parts), made)
 
 
 def extrapolate(appointees: DataFrame, formats: DataFrame) -> DataFrame:
@@ -168,8 +208,5 @@ def extrapolate(appointees: DataFrame, formats: DataFrame) -> DataFrame:
     """
     one = formats.groupBy("release_id", "domain").agg(F.min("pattern").alias("pattern"), F.max("pattern").alias("other"))
     one = one.filter(F.col("pattern") == F.col("other")).drop("other")
-    parts = lambda name: F.struct(*[slug(c).alias(n) for c, n in zip(split_first_last(name), ("f", "l"), strict=True)])
-    made = lambda p: F.when((p["f"] != "") & (p["l"] != ""), generated_local(F.col("pattern"), p["f"], p["l"]))
-    local = let(let(F.col("name"), parts), made)
-    rows = appointees.join(one, "release_id").withColumn("email", F.concat(local, F.lit("@"), "domain"))
+    rows = appointees.join(one, "release_id").withColumn("email", F.concat(made_local(F.col("name"), F.col("pattern")), F.lit("@"), "domain"))
     return rows.filter("email is not null").withColumn("confidence", F.lit("inferred"))

@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-import functools
 import re
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import vocab
-from ..functions.scalars import clean_address, detected_format, domain_part, let, local_part, role_found, role_normalised, site_domain, split_first_last
+from ..functions.scalars import clean_address, detected_format, domain_part, let, local_part, role_normalised, site_domain, split_first_last
 from . import people, read
-from .mail import appointments, context_of, extrapolate, in_house, name_of_local, person_name, release_name
+from .mail import appointees, in_house, made_local, name_near, name_of_local, person_name, place_of, release_name, roles_in, window_of
 from .tree import Element, tree
 
 
@@ -51,31 +51,59 @@ def latest_captures(rows: DataFrame) -> DataFrame:
     return rows.groupBy("email").agg(first, F.max("source_date").alias("source_date")).select("email", "source_date", "first.*")
 
 
-def _tables(root: Element) -> list[list[list[dict]]]:
+def _cell(cell: Element) -> tuple[bool, str]:
+    for x in cell.walk():
+        if x.tag == "a" and x.attrs.get("href", "").lower().startswith("mailto:"):
+            return True, x.attrs["href"][7:]
+    return False, cell.text(" ", strip=True)
+
+
+def _tables(root: Element) -> list[list[list[tuple[bool, str]]]]:
     """Cells of all tables, row by row, those of tables in a cell among them: a mailto target if a cell has one, else its text."""
-    out = []
-    for table in (x for x in root.walk() if x.tag == "table"):
-        rows = []
-        for row in (x for x in table.walk() if x.tag == "tr"):
-            cells = []
-            for cell in (x for x in row.walk() if x.tag in ("td", "th")):
-                target = next((x.attrs["href"][7:] for x in cell.walk() if x.tag == "a" and x.attrs.get("href", "").lower().startswith("mailto:")), None)
-                cells.append({"mail": target is not None, "value": cell.text(" ", strip=True) if target is None else target})
-            rows.append(cells)
-        out.append(rows)
+    out, tables, rows = [], [], []  # tables and rows that are open
+    todo = [(iter(root.items), None)]
+    while todo:
+        x = next(todo[-1][0], None)
+        if x is None:
+            among = todo.pop()[1]
+            if among is not None:
+                among.pop()
+        elif not isinstance(x, str):
+            among = tables if x.tag == "table" else rows if x.tag == "tr" else None
+            if x.tag in ("td", "th"):
+                cell = _cell(x) if rows else None
+                for row in rows:
+                    row.append(cell)
+            elif among is not None:
+                own = []
+                for table in [out] if x.tag == "table" else tables:
+                    table.append(own)
+                among.append(own)
+            todo.append((iter(x.items), among))
     return out
 
 
-def read_releases(releases: DataFrame) -> DataFrame:
-    """release_id, text and tables (rows of cells) of each release's HTML; null is an empty release."""
+#: Releases that are trees at a time.
+AT_ONCE = 256
+TABLES = pa.list_(pa.list_(pa.list_(pa.struct([("mail", pa.bool_()), ("value", pa.string())]))))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            roots = [tree(html) for html in batch["content_html"]]
-            yield pd.DataFrame({"release_id": batch["release_id"], "text": [r.text(" ") for r in roots], "tables": [_tables(r) for r in roots]})
 
-    kind = dict(releases.dtypes)["release_id"]
-    return releases.select("release_id", "content_html").mapInPandas(run, f"release_id {kind}, text string, tables array<array<array<struct<mail:boolean,value:string>>>>")
+def read_releases(releases: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """release_id, columns to keep, text and tables (rows of cells) of each release's HTML; null is an empty release."""
+    keep = ["release_id", *keep]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in (whole.slice(k, AT_ONCE) for k in range(0, whole.num_rows, AT_ONCE)):
+                texts, tables = [], []
+                for html in batch["content_html"].to_pylist():
+                    root = tree(html)
+                    texts.append(root.text(" "))
+                    tables.append(_tables(root) if "<table" in (html or "").lower() else [])
+                yield pa.RecordBatch.from_arrays([*(batch[c] for c in keep), pa.array(texts, pa.string()), pa.array(tables, TABLES)], [*keep, "text", "tables"])
+
+    kinds = dict(releases.dtypes)
+    return releases.select(*keep, "content_html").mapInArrow(run, ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "text string", "tables array<array<array<struct<mail:boolean,value:string>>>>"]))
 
 
 def cell_name(text: Column) -> Column:
@@ -94,10 +122,11 @@ def table_contacts(table: Column) -> Column:
 
     def of_rows(rows: Column, at: Column) -> Column:
         above = F.get(F.filter(F.slice(rows, F.lit(1), at - 1), names), F.lit(0))
-        over = lambda i: F.get(above, i)["value"]
-        return F.transform(F.get(rows, at - 1), lambda c, i: F.struct(F.when(cell_name(over(i)), over(i)).alias("name"), clean_address(written(c)).alias("email")))
+        named = lambda own: let(own, lambda name: F.when(cell_name(name), name))
+        return let(above, lambda row: F.transform(F.get(rows, at - 1), lambda c, i: F.struct(named(F.get(row, i)["value"]).alias("name"), clean_address(written(c)).alias("email"))))
 
-    body = F.slice(table, first(table, lambda row: told(row).rlike(vocab.CONTACT_HEADER)) + 1, F.size(table) + 1)
+    header = first(table, lambda row: told(row).rlike(vocab.CONTACT_HEADER))
+    body = let(header, lambda at: F.slice(table, at + 1, F.size(table) + 1))
     found = let(body, lambda rows: let(first(rows, holds), lambda at: F.when(at > 0, of_rows(rows, at))))
     return F.filter(F.coalesce(found, F.array().cast("array<struct<name:string,email:string>>")), lambda c: c["email"].isNotNull())
 
@@ -111,64 +140,98 @@ def contact_tables(releases: DataFrame) -> DataFrame:
     return read_releases(releases).select("release_id", F.posexplode(contacts_of(F.col("tables"))).alias("seq", "c")).select("release_id", "seq", "c.name", "c.email")
 
 
-def release_people(releases: DataFrame, self_domains: tuple[str, ...] = ()) -> DataFrame:
-    """release_id, email, full_name, role_raw (the words found) and role of the people whose addresses stand in a release.
+def people_of(text: Column, tables: Column, self_domains: tuple[str, ...] = ()) -> Column:
+    """email, full_name, role_raw (the words found) and role of the people whose addresses stand in a release.
 
     A name is the table's, else two words of the address, else the nearest name before it in the text; without one, or
     with a word of a role, label or company in it, an address is dropped, as are shared inboxes, free mail and tokens.
     """
-    rows = read_releases(releases).select("release_id", "text", contacts_of(F.col("tables")).alias("contacts"))
-    written = F.transform(F.regexp_extract_all("text", F.lit(vocab.EMAIL), F.lit(0)), clean_address)
-    every = F.array_distinct(F.filter(F.concat(F.transform("contacts", lambda c: c["email"]), written), lambda e: e.isNotNull()))
-    rows = rows.select("release_id", "text", "contacts", F.explode(every).alias("email"))
-    local, domain = local_part(F.col("email")), domain_part(F.col("email"))
-    rows = rows.filter(people.press_reject_reason(local, domain, self_domains).isNull())
-    table_name = F.get(F.filter("contacts", lambda c: c["email"] == F.col("email")), F.lit(0))["name"]  # of its first place, named or not
-    near, window = context_of(F.col("text"), F.col("email"))
-    own = name_of_local(local)
-    name = F.coalesce(table_name, F.when(person_name(own), own), F.when(person_name(near), near))
-    rows = rows.select("release_id", "email", name.alias("full_name"), let(window, role_found).alias("role_raw"), let(window, role_normalised).alias("role"))
-    return rows.filter(release_name(F.col("full_name")))
+    person = lambda name: F.when(person_name(name), name)
+
+    def allowed(email: Column) -> Column:
+        return let(F.struct(local_part(email).alias("local"), domain_part(email).alias("domain")), lambda p: people.press_reject_reason(p["local"], p["domain"], self_domains).isNull())
+
+    def one(email: Column, contacts: Column, lower: Column) -> Column:
+        in_table = F.get(F.filter(contacts, lambda c: c["email"] == email), F.lit(0))["name"]  # of its first place, named or not
+        name = lambda at: F.coalesce(in_table, let(name_of_local(local_part(email)), person), let(name_near(text, at), person))
+        full = lambda at: let(name(at), lambda own: F.when(release_name(own), own))
+        return let(place_of(email, lower), lambda at: F.struct(email.alias("email"), full(at).alias("full_name"), at.alias("at")))
+
+    def role(p: Column) -> Column:
+        return let(roles_in(window_of(text, p["at"])), lambda r: F.struct(p["email"].alias("email"), p["full_name"].alias("full_name"), r["role_raw"].alias("role_raw"), r["role"].alias("role")))
+
+    def every(contacts: Column) -> Column:
+        written = F.transform(F.regexp_extract_all(text, F.lit(vocab.EMAIL), F.lit(0)), clean_address)
+        emails = F.array_distinct(F.filter(F.concat(F.transform(contacts, lambda c: c["email"]), written), lambda e: e.isNotNull()))
+        found = let(F.lower(text), lambda lower: F.transform(F.filter(emails, allowed), lambda e: one(e, contacts, lower)))
+        return F.transform(F.filter(found, lambda p: p["full_name"].isNotNull()), role)
+
+    return let(contacts_of(tables), every)
+
+
+def release_people(releases: DataFrame, self_domains: tuple[str, ...] = ()) -> DataFrame:
+    """release_id and people_of() each release."""
+    return read_releases(releases).select("release_id", F.inline(people_of(F.col("text"), F.col("tables"), self_domains)))
+
+
+def guesses_of(client: Column, shown: Column, named: Column, self_domains: tuple[str, ...] = ()) -> Column:
+    """email, name, role_raw and pattern of what one release lets guess: the formats of its people's addresses at the client's
+    own domains, where a domain has exactly one, give the addresses of its appointees."""
+    form = lambda p: let(p["full_name"], lambda name: detected_format(*split_first_last(name), local_part(p["email"])))
+    formats = F.transform(F.filter(shown, lambda p: in_house(client, domain_part(p["email"]))), lambda p: F.struct(domain_part(p["email"]).alias("domain"), form(p).alias("pattern")))
+    formats = F.array_distinct(F.filter(formats, lambda f: f["pattern"].isNotNull()))
+    single = lambda all_: F.filter(all_, lambda f: F.size(F.filter(all_, lambda g: g["domain"] == f["domain"])) == 1)
+
+    def guess(a: Column, f: Column) -> Column:
+        local = made_local(a["name"], f["pattern"])
+        kept = lambda own: F.when(people.press_reject_reason(own, f["domain"], self_domains).isNull(), F.concat(own, F.lit("@"), f["domain"]))
+        return F.struct(let(local, kept).alias("email"), a["name"].alias("name"), a["role"].alias("role_raw"), f["pattern"].alias("pattern"))
+
+    made = let(let(formats, single), lambda fs: F.flatten(F.transform(named, lambda a: F.transform(fs, lambda f: guess(a, f)))))
+    return F.filter(made, lambda g: g["email"].isNotNull())
+
+
+def _told(releases: DataFrame, keep: tuple[str, ...], self_domains: tuple[str, ...]) -> DataFrame:
+    """keep, shown (people_of), named (appointees) and made (guesses_of) of each release, which is read once."""
+    rows = read_releases(releases, ("client_name", "title", *keep))
+    told = F.struct(people_of(F.col("text"), F.col("tables"), self_domains).alias("shown"), appointees(F.trim("title"), F.col("text")).alias("named"))
+    made = let(told, lambda t: F.struct(t["shown"].alias("shown"), t["named"].alias("named"), guesses_of(F.col("client_name"), t["shown"], t["named"], self_domains).alias("made")))
+    return rows.select("release_id", *keep, F.inline(F.array(made)))
 
 
 def appointee_addresses(releases: DataFrame, self_domains: tuple[str, ...] = ()) -> DataFrame:
     """What releases that appoint somebody let one guess: email, name, role_raw, role, pattern and release_date.
 
-    releases: release_id, client_name, title, content_html, release_date. The people whose addresses a release shows, if
-    these are at the client's own domain, tell the format of addresses there; where all of them at a domain have the same,
-    it gives the appointees' addresses. An address once found stays with the release found first (list_pos), with the
-    latest date of all; one that any release shows is no guess.
+    releases: release_id (one row each), client_name, title, content_html, release_date. The people whose addresses a
+    release shows, if these are at the client's own domain, tell the format of addresses there; where all of them at a
+    domain have the same, it gives the appointees' addresses. An address once found stays with the release found first
+    (list_pos), with the latest date of all; one that any release shows is no guess.
     """
-    shown = release_people(releases, self_domains)
-    client = releases.select("release_id", "client_name")
-    form = lambda own: let(F.col("full_name"), lambda name: detected_format(*split_first_last(name), own))
-    formats = shown.join(client, "release_id").filter(in_house(F.col("client_name"), domain_part(F.col("email"))))
-    formats = formats.select("release_id", domain_part(F.col("email")).alias("domain"), form(local_part(F.col("email"))).alias("pattern")).filter("pattern is not null")
-    text = read_releases(releases).select("release_id", F.col("text").alias("body"))
-    appointed = appointments(releases.select("release_id", F.trim("title").alias("title")).join(text, "release_id"))
-    made = extrapolate(appointed.withColumnRenamed("role", "role_raw"), formats)
-    local = local_part(F.col("email"))
-    made = made.filter(people.press_reject_reason(local, domain_part(F.col("email")), self_domains).isNull())
-    made = made.join(releases.select("release_id", "list_pos", "release_date"), "release_id")
-    one = made.groupBy("email").agg(F.min_by(F.struct("name", "role_raw", "pattern"), F.struct("list_pos", "release_id", "name")).alias("own"), F.max("release_date").alias("release_date"))
-    one = one.select("email", "own.*", "release_date").withColumn("role", role_normalised(F.col("role_raw")))
-    return one.join(shown.select("email").distinct(), "email", "left_anti")
+    rows = _told(releases, ("list_pos", "release_date"), self_domains)
+    made = F.transform("made", lambda g: F.struct(g["email"].alias("email"), g.alias("guess")))
+    shown = F.transform("shown", lambda p: F.struct(p["email"].alias("email"), F.lit(None).cast("struct<email:string,name:string,role_raw:string,pattern:string>").alias("guess")))
+    rows = rows.select("release_id", "list_pos", "release_date", F.inline(F.concat(made, shown)))
+    place = F.when(F.col("guess").isNotNull(), F.struct("list_pos", "release_id", F.col("guess.name").alias("name"), F.col("guess.pattern").alias("pattern")))
+    found = rows.groupBy("email").agg(F.min_by("guess", place).alias("own"), F.max("release_date").alias("release_date"), F.max(F.col("guess").isNull()).alias("shown"))
+    return found.filter("not shown").select("email", "own.name", "own.role_raw", "own.pattern", "release_date").withColumn("role", role_normalised(F.col("role_raw")))
 
 
 def release_counts(releases: DataFrame, self_domains: tuple[str, ...] = ()) -> DataFrame:
     """One row of counters of a run over releases: releases, missing, candidates, contacts, releases that appoint, people
     appointed, guesses and those among all that were made that some release shows."""
-    there = releases.filter("content_html is not null")
-    shown = release_people(there, self_domains)
-    text = read_releases(there).select("release_id", F.col("text").alias("body"))
-    named = appointments(there.select("release_id", F.trim("title").alias("title")).join(text, "release_id"))
-    counts = [
-        releases.agg(F.count("content_html").alias("releases"), F.count_if(F.col("content_html").isNull()).alias("missing")),
-        shown.agg(F.count("*").alias("candidates"), F.count_distinct("email").alias("contacts")),
-        named.agg(F.count_distinct("release_id").alias("appointment_releases"), F.count("*").alias("appointees_named")),
-        appointee_addresses(there, self_domains).agg(F.count("*").alias("extrapolated")),
-    ]
-    return functools.reduce(DataFrame.crossJoin, counts)  # one row each
+    rows = _told(releases.withColumn("there", F.col("content_html").isNotNull()), ("there",), self_domains)
+    names = ("there", "missing", "appoints", "named", "shown", "made")
+    line = lambda email, *counts: F.struct(email.alias("email"), *[c.cast("long").alias(n) for n, c in zip(names, counts, strict=True)])
+    nil, one = F.lit(0), F.lit(1)
+    own = line(F.lit(None).cast("string"), F.col("there"), ~F.col("there"), F.size("named") > 0, F.size("named"), nil, nil)
+    shown, made = F.transform("shown", lambda p: line(p["email"], nil, nil, nil, nil, one, nil)), F.transform("made", lambda g: line(g["email"], nil, nil, nil, nil, nil, one))
+    # a line for a release and one for each address: those of equal addresses meet, so that each is known as shown, made or both
+    lines = rows.select(F.inline(F.concat(F.array(own), shown, made))).groupBy("email").agg(*[F.sum(n).alias(n) for n in names])
+    total = lambda n: F.coalesce(F.sum(n), F.lit(0).cast("long"))
+    return lines.agg(
+        total("there").alias("releases"), total("missing").alias("missing"), total("shown").alias("candidates"), F.count_if(F.col("shown") > 0).alias("contacts"),
+        total("appoints").alias("appointment_releases"), total("named").alias("appointees_named"), F.count_if((F.col("made") > 0) & (F.col("shown") == 0)).alias("extrapolated"),
+    )
 
 
 def release_contacts(releases: DataFrame, tables: DataFrame) -> DataFrame:

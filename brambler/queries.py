@@ -510,7 +510,7 @@ def _as_mail(documents):
     "SELECT doc_id AS msg_id, CASE doc_id % 5 WHEN 0 THEN 'bounce' WHEN 1 THEN 'ooo' END AS kind, CASE doc_id % 5 WHEN 0 THEN 'u' || CAST(doc_id AS VARCHAR) || '@a.test' WHEN 1 THEN 'u' || CAST(doc_id AS VARCHAR) || '@b.test' END AS email, CASE WHEN doc_id % 5 = 1 THEN DATE '2024-01-01' END AS evdate FROM documents"
 )
 def mail_classify(documents):
-    return mail.classify(mail.parse_messages(_as_mail(documents)))
+    return mail.classify(mail.parse_messages(_as_mail(documents), body=False))
 
 
 @query()
@@ -525,8 +525,7 @@ def mime_body(documents):
 
 @query("SELECT release_id, n3 AS name, 'Sales Manager' AS role FROM release_mails WHERE kind <> 2")
 def appointments(releases):
-    text = release.read_releases(releases).select("release_id", F.col("text").alias("body"))
-    return mail.appointments(releases.select("release_id", "title").join(text, "release_id"))
+    return mail.appointments(release.read_releases(releases, ("title",)).select("release_id", "title", F.col("text").alias("body")))
 
 
 # ---- locators

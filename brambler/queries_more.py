@@ -272,7 +272,7 @@ def reply_people(reply_mails):
     """SELECT msg_id, 'ooo' AS kind, 'sam.sender@' || dom AS email FROM reply_facts"""
 )
 def reply_kinds(reply_mails):
-    return mail.classify(mail.parse_messages(reply_mails)).select("msg_id", "kind", "email")
+    return mail.classify(mail.parse_messages(reply_mails, body=False)).select("msg_id", "kind", "email")
 
 
 # ---- lists and stored tables

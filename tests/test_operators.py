@@ -562,3 +562,18 @@ def test_fused_people(spark):
     }
     none = fusion.fuse_people(spark.createDataFrame([], "id long, url string, html string"), dealers)
     assert [r.email for r in none.collect()] == ["x@site.test", "jo.fox@a.test"][1:]
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_counts_of_releases_read_once(spark):
+    shown = "<p>Acme has appointed Jane Doe as Sales Manager.</p><p>Ann Example ann.example@acme.test</p>"
+    rows = [(1, "Acme", "named", shown, None, 1), (2, "Acme", "named", shown.replace("Ann Example", "Jane Doe").replace("ann.example", "jane.doe"), None, 2), (3, "Acme", "named", shown.replace("Jane Doe", "Al Oak"), None, 3), (4, "x", None, None, None, 4)]
+    table = spark.createDataFrame(rows, "release_id int, client_name string, title string, content_html string, release_date string, list_pos int")
+    counts = release.release_counts(table)
+    assert counts.first().asDict() == {"releases": 3, "missing": 1, "candidates": 3, "contacts": 2, "appointment_releases": 3, "appointees_named": 3, "extrapolated": 1}
+    assert plan_of(counts).count("MapInArrow") == 1 and "Join" not in plan_of(counts)
+    nothing = release.release_counts(table.filter("release_id > 9")).first().asDict()
+    assert set(nothing.values()) == {0} and len(nothing) == 7
