@@ -577,3 +577,13 @@ def test_counts_of_releases_read_once(spark):
     assert plan_of(counts).count("MapInArrow") == 1 and "Join" not in plan_of(counts)
     nothing = release.release_counts(table.filter("release_id > 9")).first().asDict()
     assert set(nothing.values()) == {0} and len(nothing) == 7
+
+
+def test_messages_in_small_batches(spark):
+    raw = spark.createDataFrame([(k, f"Subject: out of office\nAuto-Submitted: auto-replied\nFrom: =?utf-8?q?J=C3=B6?= <U{k}@a.test>\n\nask jane.doe@b{k}.test") for k in range(250)] + [(250, None)], "msg_id int, raw string")
+    for kind, frame in ("classify", mail.classify(mail.parse_messages(raw, body=False))), ("people", mail.harvest_replies(mail.parse_messages(raw))):
+        # Arrow would take ten thousand whole messages at a time, whatever their length
+        assert plan_of(frame).count("BatchEvalPython") == 1 and "MapIn" not in plan_of(frame) and "ArrowEval" not in plan_of(frame), kind
+        assert frame.filter("email is not null").count() == 250
+    assert mail.parse_messages(raw).filter("msg_id = 7").first().sender == "Jö <U7@a.test>"
+    assert "body" not in mail.parse_messages(raw, body=False).columns
