@@ -587,3 +587,17 @@ def test_messages_in_small_batches(spark):
         assert frame.filter("email is not null").count() == 250
     assert mail.parse_messages(raw).filter("msg_id = 7").first().sender == "Jö <U7@a.test>"
     assert "body" not in mail.parse_messages(raw, body=False).columns
+
+
+@pytest.mark.parametrize("name", ["reply_mails", "releases"])
+def test_texts_are_made_in_many_tasks(spark, name):
+    rows = domain(spark, SF, name)
+    assert rows.select(F.spark_partition_id().alias("p")).distinct().count() > 8  # one file of one row group
+
+
+def test_appointments_read_once(spark):
+    from brambler.queries import QUERIES
+
+    for query in ("appointments", "appointee_addresses"):
+        plan = plan_of(QUERIES[query](spark, SF))
+        assert plan.count("MapInArrow") == 1 and "Join" not in plan, query
