@@ -156,26 +156,28 @@ def appointed_role(raw: Column) -> Column:
 
 
 def appointees(title: Column, body: Column) -> Column:
-    """Names and roles of all people said to be appointed; a gate on title and start comes first.
+    """Names and roles of all people said to be appointed; a gate on the whole of title and text comes first.
 
     Each pattern's every match in title and text counts, a name once, with the first role that it has. A pattern is only
-    tried on texts that hold a word without which it can't match.
+    tried on texts that hold a word without which it can't match. Texts may be long: no step is quadratic in their length.
     """
     none = F.array().cast("array<struct<name:string,role:string>>")
 
-    def matches(head: Column, pattern: str, word: str) -> Column:
-        every = F.zip_with(*[F.regexp_extract_all(head, F.lit(pattern), F.lit(k)) for k in (1, 2)], lambda name, role: F.struct(name.alias("name"), role.alias("role")))
-        return F.when(F.contains(head, F.lit(word)), every).otherwise(none)
-
-    def told(head: Column) -> Column:
-        every = F.concat(*[matches(head, p, w) for p, w in zip(vocab.APPOINTED, vocab.APPOINTED_WORDS, strict=True)])
-        found = F.transform(F.filter(every, lambda m: release_name(m["name"])), lambda m: F.struct(m["name"].alias("name"), appointed_role(m["role"]).alias("role")))
-        role = lambda all_, name: F.get(F.filter(all_, lambda m: (m["name"] == name) & m["role"].isNotNull()), F.lit(0))["role"]
-        return let(found, lambda all_: F.transform(F.array_distinct(F.transform(all_, lambda m: m["name"])), lambda name: F.struct(name.alias("name"), role(all_, name).alias("role"))))
-
-    blob = F.concat(F.coalesce(title, F.lit("")), F.lit(". "))
-    gate = (body != "") & F.concat(blob, F.substring(body, 1, 1500)).rlike(vocab.APPOINTING)
-    return F.when(gate, let(F.substring(F.concat(blob, body), 1, 1800), told)).otherwise(none)
+    def matches(text: Column, pattern: str, word: str) -> Column:
+        if pattern.startswith("(?U)([A-Z]"):  # a long word isn't read again from each of its capitals: a name has the first, or the first behind the last match
+            pattern = r"(?U)(?:(?<![a-zA-Z'\-])|\G)[a-z'\-]*+" + pattern.removeprefix("(?U)")
+        every = F.zip_with(*[F.regexp_extract_all(text, F.lit(pattern), F.lit(k)) for k in (1, 2)], lambda name, role: F.struct(name.alias("name"), role.alias("role")))
+        return F.when(F.contains(text, F.lit(word)), every).otherwise(none)
+
+    def told(text: Column) -> Column:
+        every = F.concat(*[matches(text, p, w) for p, w in zip(vocab.APPOINTED, vocab.APPOINTED_WORDS, strict=True)])
+        row = lambda m, at: let(appointed_role(m["role"]), lambda role: F.struct(m["name"].alias("name"), role.isNull().alias("bare"), at.alias("at"), role.alias("role")))
+        found = F.sort_array(F.transform(F.filter(every, lambda m: release_name(m["name"])), row))
+        first = lambda all_: F.filter(all_, lambda m, k: (k == 0) | (m["name"] != F.get(all_, k - 1)["name"]))
+        return F.transform(let(found, first), lambda m: F.struct(m["name"].alias("name"), m["role"].alias("role")))
+
+    whole = F.concat(F.coalesce(title, F.lit("")), F.lit(". "), body)
+    return F.when((body != "") & whole.rlike(vocab.APPOINTING), let(whole, told)).otherwise(none)
 
 
 def appointments(releases: DataFrame) -> DataFrame:

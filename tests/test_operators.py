@@ -234,6 +234,13 @@ def test_all_appointments(spark):
     assert people_("Bo Ray", "nobody has been hired") == people_("Acme welcomes Jane Doe", None) == {}
 
 
+def test_appointees_of_whole_texts(spark):
+    """The guesses of a release whose text tells of the appointment far behind its start."""
+    far = "<p>" + "Nothing new in the yard. " * 200 + "</p><p>Acme has appointed Jane Doe as Sales Manager. Ann Example ann.example@acme.test</p>"
+    table = spark.createDataFrame([(1, "Acme Cars", "Changes", far, "2024-01-01", 1)], "release_id int, client_name string, title string, content_html string, release_date string, list_pos int")
+    assert [(r.email, r.name, r.role_raw) for r in release.appointee_addresses(table).collect()] == [("jane.doe@acme.test", "Jane Doe", "Sales Manager")]
+
+
 def test_locators(spark):
     def rows(brand, *payloads):
         raw = spark.createDataFrame([(brand, i, json.dumps(p)) for i, p in enumerate(payloads)], "brand_slug string, seq long, payload_json string")
