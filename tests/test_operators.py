@@ -241,6 +241,24 @@ def test_appointees_of_whole_texts(spark):
     assert [(r.email, r.name, r.role_raw) for r in release.appointee_addresses(table).collect()] == [("jane.doe@acme.test", "Jane Doe", "Sales Manager")]
 
 
+def test_appointments_of_whole_texts(spark):
+    """Gate and sentences, wherever they stand: behind 1,500 and 1,800 characters and across these places."""
+    fill = lambda n: ("nobody new here " * (n // 16 + 1))[:n]
+    texts = [fill(2000) + " Acme has appointed Jane Doe as Sales Manager.", fill(1470) + " Acme Motors has been pleased; Jane Doe has been appointed as Sales Manager.", "Jane Doe has been appointed. " + fill(3000) + " Jane Doe has been appointed as Sales Manager. Bo Ray joins Acme as Buyer."]
+    texts += [fill(1480) + " has appointed Jane Doe as " + "w " * n + "Manager." for n in (5, 9)] + [fill(900_000) + " Acme welcomes Jane Doe as Buyer."]
+    rows = spark.createDataFrame(list(enumerate(texts)), "release_id int, body string").withColumn("title", F.lit("News"))
+    found = sorted((r.release_id, r.name, r.role) for r in mail.appointments(rows).collect())
+    jane = "Jane Doe"
+    assert found == [(0, jane, "Sales Manager"), (1, jane, "Sales Manager"), (2, "Bo Ray", "Buyer"), (2, jane, "Sales Manager"), (3, jane, "w w w w w Manager"), (4, jane, None), (5, jane, "Buyer")]
+
+
+def test_names_of_appointments_begin_where_they_did(spark):
+    """A name begins with its word's first capital, or with the first behind a role that was cut off in the word."""
+    cut = "Al Oak has been named " + "w" * 54 + "xJaneMc Doe has been named a Fellow."
+    rows = spark.createDataFrame([(1, "eJane O'Doe has been named Buyer. " + cut), (2, "A-'b" * 200_000 + " has been named; Bo Ray has been named Buyer")], "release_id int, body string").withColumn("title", F.lit("x"))
+    assert sorted((r.release_id, r.name, r.role) for r in mail.appointments(rows).collect()) == [(1, "Al Oak", "w" * 54 + "xJane"), (1, "Jane O'Doe", "Buyer"), (1, "Mc Doe", "a Fellow"), (2, "Bo Ray", "Buyer")]
+
+
 def test_locators(spark):
     def rows(brand, *payloads):
         raw = spark.createDataFrame([(brand, i, json.dumps(p)) for i, p in enumerate(payloads)], "brand_slug string, seq long, payload_json string")
