@@ -604,6 +604,14 @@ def test_counts_of_releases_read_once(spark):
     assert set(nothing.values()) == {0} and len(nothing) == 7
 
 
+def test_counts_of_whole_texts(spark):
+    """Appointments far behind the start of a text count as others do, each person once, with their guesses."""
+    many = "".join(f"Acme has appointed Jane {chr(65 + k // 26)}{chr(97 + k % 26)}e. " for k in range(500)) * 2
+    far = "<p>" + "Nothing new in the yard. " * 300 + f"</p><p>{many}</p><p>Ann Example ann.example@acme.test</p>"
+    table = spark.createDataFrame([(1, "Acme", "Changes", far, None, 1)], "release_id int, client_name string, title string, content_html string, release_date string, list_pos int")
+    assert release.release_counts(table).first().asDict() == {"releases": 1, "missing": 0, "candidates": 1, "contacts": 1, "appointment_releases": 1, "appointees_named": 500, "extrapolated": 500}
+
+
 def test_messages_in_small_batches(spark):
     raw = spark.createDataFrame([(k, f"Subject: out of office\nAuto-Submitted: auto-replied\nFrom: =?utf-8?q?J=C3=B6?= <U{k}@a.test>\n\nask jane.doe@b{k}.test") for k in range(250)] + [(250, None)], "msg_id int, raw string")
     for kind, frame in ("classify", mail.classify(mail.parse_messages(raw, body=False))), ("people", mail.harvest_replies(mail.parse_messages(raw))):
